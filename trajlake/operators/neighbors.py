@@ -30,9 +30,9 @@ def with_position(atoms: DataFrame, unwrapped: bool = True) -> DataFrame:
     return atoms.withColumns(cols)
 
 
-def _cells_along(length: Column, cutoff: float) -> Column:
+def _cells_along(length: Column, cutoff: Column) -> Column:
     # a hair wider than the cutoff, so rounding can not hide a neighbour two cells away
-    return F.greatest(F.floor(length / F.lit(cutoff * (1 + 1e-9))), F.lit(1)).cast("bigint")
+    return F.greatest(F.floor(length / (cutoff * (1 + 1e-9))), F.lit(1)).cast("bigint")
 
 
 def _cell_of(pos: Column, length: Column, count: Column) -> Column:
@@ -40,7 +40,7 @@ def _cell_of(pos: Column, length: Column, count: Column) -> Column:
     return F.least(F.floor(fraction * count), count - 1).cast("bigint")
 
 
-def _with_cells(df: DataFrame, cutoff: float) -> DataFrame:
+def _with_cells(df: DataFrame, cutoff: Column) -> DataFrame:
     counts = {f"_n{i}": _cells_along(F.col(l), cutoff) for i, l in enumerate(LENGTHS)}
     df = df.withColumns(counts)
     return df.withColumns({f"_c{i}": _cell_of(F.col(p), F.col(l), F.col(f"_n{i}"))
@@ -58,13 +58,16 @@ def _around(i: int) -> Column:
 
 
 def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
-               cutoff: float, inclusive: bool = True) -> DataFrame:
+               cutoff: float | Column, inclusive: bool = True) -> DataFrame:
     """All (center, member) pairs of a frame within the cutoff.
 
+    The cutoff is a number or an expression over the box lengths.
+
     Both inputs carry px,py,pz,lx,ly,lz; the other columns of ``members`` must
     not clash with those of ``centers`` (frame excepted).  Adds ``d2``.
     """
     frame = list(frame)
+    cutoff = cutoff if isinstance(cutoff, Column) else F.lit(float(cutoff))
     member_cells = _with_cells(members, cutoff)
     member_cells = member_cells.withColumn("_cell", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
     for p in POSITION:
@@ -79,7 +82,7 @@ def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
 
     d2 = squared_distance([F.col(p) for p in POSITION], [F.col(f"_m{p}") for p in POSITION],
                           [F.col(l) for l in LENGTHS])
-    limit = F.lit(float(cutoff) ** 2)
+    limit = cutoff * cutoff
     return (probe.join(member_cells, [*frame, "_cell"])
             .withColumn("d2", d2)
             .where(F.col("d2") <= limit if inclusive else F.col("d2") < limit)
