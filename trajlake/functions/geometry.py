@@ -12,8 +12,8 @@ BOLTZMANN_EV_PER_K = 8.617333262e-5
 
 
 def min_image(delta: Column, length: Column) -> Column:
-    """Fold a difference into the nearest periodic image."""
-    return delta - F.rint(delta / length) * length
+    """Fold a difference into the nearest periodic image (NULL for a box of no length)."""
+    return delta - F.rint(F.try_divide(delta, length)) * length
 
 
 def pbc_abs_diff(a: Column, b: Column, length: Column) -> Column:

@@ -69,7 +69,7 @@ def recompute(beads: DataFrame, atoms: DataFrame, frame: Sequence[str], rules: B
     out = beads.withColumnRenamed("id", "cg_id").join(members, [*frame, "cg_id"], "left")
     pos_err = F.greatest(*[pbc_abs_diff(F.col(f"_x{i}"), F.col(a), F.col(f"_l{i}")) for i, a in enumerate(axes)])
     force_err = F.greatest(*[F.abs(F.col(f"_{c}") - F.col(c)) for c in ("fx", "fy", "fz")])
-    fractions = F.array(*[F.col(f"_s{i}") / F.col(f"_l{i}") for i in range(3)])
+    fractions = F.array(*[F.try_divide(f"_s{i}", f"_l{i}") for i in range(3)])
     return out.withColumns({
         "n_members": F.coalesce("n_members", F.lit(0)), "n_lost": F.coalesce("n_lost", F.lit(0)),
         "pos_err": pos_err, "force_err": force_err,
@@ -282,7 +282,7 @@ def find_owners(beads: DataFrame, atoms: DataFrame, frame: Sequence[str], atom_i
                                 *[F.col(p).alias(m) for p, m in zip(POSITION, places)], *LENGTHS), [*frame, "_r"])
     sib = sib.groupBy(*frame, "atom_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "_sid"))), lambda s: s["_sid"]).alias("member_ids"),
-        F.greatest(*[(F.max(m) - F.min(m)) / F.first(l) for m, l in zip(places, LENGTHS)]).alias("span"))
+        F.greatest(*[F.try_divide(F.max(m) - F.min(m), F.first(l)) for m, l in zip(places, LENGTHS)]).alias("span"))
     return hit.join(sib, [*frame, "atom_id"], "left").select(
         *frame, "atom_id", "row_idx", *POSITION, "cg_id", "cg_type", "manual", "member_ids",
         (~F.col("manual") & (F.size("member_ids") >= 2) & (F.col("span") > threshold)).alias("spans_box"), "n_extra")

@@ -173,7 +173,8 @@ def _claims(bindings: DataFrame, frame: list[str]) -> DataFrame:
             .select(*frame, "center_row", "m.pos", "m.row_idx"))
 
 
-def _conflict_groups(rows: DataFrame, frame: list[str], atom: str, limit: int) -> DataFrame:
+def _conflict_groups(rows: DataFrame, frame: list[str], atom: str, limit: int,
+                     centers_are_atoms: bool = False) -> DataFrame:
     """Add ``_group``: rows that must be decided together.
 
     Normally the frame; in a hot frame the connected component of centers that
@@ -184,8 +185,11 @@ def _conflict_groups(rows: DataFrame, frame: list[str], atom: str, limit: int) -
         return rows.withColumn("_group", F.lit(-1).cast("bigint"))
     cold = rows.join(hot, frame, "left_anti").withColumn("_group", F.lit(-1).cast("bigint"))
     big = rows.join(hot, frame, "left_semi")
-    first = big.groupBy(*frame, atom).agg(F.min("center_row").alias("v"))
-    links = big.join(first, [*frame, atom]).select(*frame, F.col("center_row").alias("u"), "v")
+    wanted = big.select(*frame, "center_row", atom)
+    if centers_are_atoms:
+        wanted = wanted.union(big.select(*frame, "center_row", "center_row")).distinct()
+    first = wanted.groupBy(*frame, atom).agg(F.min("center_row").alias("v"))
+    links = wanted.join(first, [*frame, atom]).select(*frame, F.col("center_row").alias("u"), "v")
     parts = connected_components(links, frame).select(
         *frame, F.col("node").alias("center_row"), F.col("component").alias("_group"))
     big = big.join(parts, [*frame, "center_row"], "left").withColumn(
@@ -342,7 +346,7 @@ def settle_contested(flagged: DataFrame, frame: Sequence[str], rules: BeadRules,
     frame = list(frame)
     shared = rules.center_type == MEMBER_TYPE
     rows = flagged.where("contested").select(*frame, "center_row", "member_row", "d2")
-    rows = _in_groups(_conflict_groups(rows, frame, "member_row", limit), frame, ["d2", "member_row"])
+    rows = _in_groups(_conflict_groups(rows, frame, "member_row", limit, shared), frame, ["d2", "member_row"])
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*frame).schema],
                         "center_row bigint, pattern_no int, pos int, row_idx bigint"])
     chosen = rows.mapInPandas(_greedy(frame, rules.best_pattern(), shared), schema)

@@ -25,6 +25,8 @@ def with_position(atoms: DataFrame, unwrapped: bool = True) -> DataFrame:
         if unwrapped and f"{c}u" in atoms.columns:
             have = F.col("xu").isNotNull() & F.col("yu").isNotNull() & F.col("zu").isNotNull()
             cols[p] = F.when(have, F.col(f"{c}u")).otherwise(F.col(c))
+        elif f"{c}u" in atoms.columns:
+            cols[p] = F.coalesce(c, f"{c}u")
         else:
             cols[p] = F.col(c)
     return atoms.withColumns(cols)
@@ -32,11 +34,12 @@ def with_position(atoms: DataFrame, unwrapped: bool = True) -> DataFrame:
 
 def _cells_along(length: Column, cutoff: Column) -> Column:
     # a hair wider than the cutoff, so rounding can not hide a neighbour two cells away
-    return F.greatest(F.floor(length / (cutoff * (1 + 1e-9))), F.lit(1)).cast("bigint")
+    return F.greatest(F.floor(F.try_divide(length, cutoff * (1 + 1e-9))), F.lit(1)).cast("bigint")
 
 
 def _cell_of(pos: Column, length: Column, count: Column) -> Column:
-    fraction = pos / length - F.floor(pos / length)
+    turns = F.try_divide(pos, length)
+    fraction = turns - F.floor(turns)
     return F.least(F.floor(fraction * count), count - 1).cast("bigint")
 
 

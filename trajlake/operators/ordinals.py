@@ -80,7 +80,7 @@ def even_picks_truncating(position_col: Column, n: Column, picks: int) -> Column
     if picks <= 1:
         return position_col == 0
     step = (n - 1) / F.lit(float(picks - 1))
-    guess = F.ceil(position_col / step)
+    guess = F.ceil(F.try_divide(position_col, step))
     hit = F.lit(False)
     for i in (guess - 1, guess, guess + 1):
         hit = hit | ((i >= 0) & (i <= picks - 1) & (_linspace_index(i, n, picks, step) == position_col))
@@ -97,8 +97,8 @@ def even_picks_rounding(position_col: Column, n: Column, picks: Column) -> Colum
 
     ``picks`` <= 0 selects nothing, 1 selects the middle, >= n selects all.
     """
-    step = (n - 1) / (picks - 1)
-    guess = F.rint(position_col / step)
+    step = F.try_divide(n - 1, picks - 1)
+    guess = F.rint(F.try_divide(position_col, step))
     hit = F.lit(False)
     for i in (guess - 1, guess, guess + 1):
         hit = hit | ((i >= 0) & (i <= picks - 1) & (F.rint(i * step) == position_col))

@@ -54,7 +54,7 @@ def profile_rollup(files: DataFrame) -> DataFrame:
         F.sum("n_frames").alias("n_frames"), F.avg("n_particles").alias("particles_per_file"),
         (F.sum("n_particles") / F.sum("n_frames")).alias("particles_per_frame"),
         _weighted("force_mean").alias("force_mean"), _weighted("force_std").alias("force_std"),
-        F.sqrt((F.coalesce(second, F.lit(0.0)) + between) / (F.sum(w) - 1)).alias("force_std_pooled"),
+        F.sqrt((F.coalesce(second, F.lit(0.0)) + between) / F.nullif(F.sum(w) - 1, F.lit(0))).alias("force_std_pooled"),
         F.min("force_min").alias("force_min"), F.max("force_max").alias("force_max"),
         _weighted("pe_mean").alias("pe_mean"), _weighted("pe_std").alias("pe_std"),
         F.min("pe_min").alias("pe_min"), F.max("pe_max").alias("pe_max"))
@@ -110,11 +110,11 @@ def density_grid(df: DataFrame, value: str, weight: str, points: int = 200, marg
     facts = rows.agg(F.struct(
         F.min("_v").alias("lo"), F.max("_v").alias("hi"), w.alias("w"), (v / w).alias("mean")).alias("s")).scalar()
     spread = rows.withColumn("_m", facts["mean"]).agg(
-        (F.sum(F.col("_w") * (F.col("_v") - F.col("_m")) * (F.col("_v") - F.col("_m"))) / (F.sum("_w") - 1)).alias("v")).scalar()
+        (F.sum(F.col("_w") * (F.col("_v") - F.col("_m")) * (F.col("_v") - F.col("_m"))) / F.nullif(F.sum("_w") - 1, F.lit(0.0))).alias("v")).scalar()
     n = F.least(facts["w"], F.lit(float(sample_cap)))
     rows = rows.withColumns({
         "_lo": facts["lo"], "_hi": facts["hi"], "_tot": facts["w"],
-        "_h": F.pow(n, F.lit(-0.2)) * F.sqrt(spread)})
+        "_h": F.nullif(F.pow(n, F.lit(-0.2)) * F.sqrt(spread), F.lit(0.0))})
     pad = (F.col("_hi") - F.col("_lo")) * margin
     start, stop = F.col("_lo") - pad, F.col("_hi") + pad
     rows = rows.select("*", start.alias("_a"), stop.alias("_b"),

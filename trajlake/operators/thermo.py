@@ -52,7 +52,7 @@ def coverage(frames: DataFrame) -> DataFrame:
 
     return frames.agg(
         F.count(F.lit(1)).alias("n_frames"), F.count_if(matched).alias("n_matched"),
-        (F.count_if(matched) * 100.0 / F.count(F.lit(1))).alias("matched_pct"),
+        (F.count_if(matched) * 100.0 / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("matched_pct"),
         F.min(when("temp_measured")).alias("temp_min"), F.max(when("temp_measured")).alias("temp_max"),
         F.min(when("pressure")).alias("pressure_min"), F.max(when("pressure")).alias("pressure_max"))
 

@@ -26,7 +26,7 @@ def unwrap_chain(atoms: DataFrame, frame: Sequence[str], block_rows: int = 65_53
     here = W.partitionBy(*frame, "_block").orderBy("_key", "row_idx")
     upto = here.rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumns({
-        f"_d_{c}": F.coalesce(F.rint((F.col(c) - F.lag(c).over(here)) / F.col(l)), F.lit(0.0))
+        f"_d_{c}": F.coalesce(F.rint(F.try_divide(F.col(c) - F.lag(c).over(here), F.col(l))), F.lit(0.0))
         for c, l in axes})
     rows = rows.withColumns({f"_k_{c}": F.sum(f"_d_{c}").over(upto) for c, _ in axes})
 
@@ -41,7 +41,7 @@ def unwrap_chain(atoms: DataFrame, frame: Sequence[str], block_rows: int = 65_53
     chain_upto = chain.rowsBetween(W.unboundedPreceding, 0)
     blocks = blocks.withColumns({
         f"_step_{c}": F.coalesce(
-            F.rint((F.col(f"_first_{c}") - F.lag(f"_last_{c}").over(chain)) / F.col(f"_{l}"))
+            F.rint(F.try_divide(F.col(f"_first_{c}") - F.lag(f"_last_{c}").over(chain), F.col(f"_{l}")))
             + F.lag(f"_total_{c}").over(chain), F.lit(0.0))
         for c, l in axes})
     blocks = blocks.select(*frame, "_block",
@@ -54,5 +54,5 @@ def unwrap_chain(atoms: DataFrame, frame: Sequence[str], block_rows: int = 65_53
         value = F.when(valid, F.col(c) - (F.col(f"_k_{c}") + F.col(f"_carry_{c}")) * F.col(l)).otherwise(F.col(c))
         moved[c] = value
         if f"{c}u" in atoms.columns:
-            moved[f"{c}u"] = value
+            moved[f"{c}u"] = F.when(F.col(c).isNull(), F.col(f"{c}u")).otherwise(value)
     return rows.withColumns(moved).select(*atoms.columns)

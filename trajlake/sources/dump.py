@@ -122,7 +122,7 @@ def atom_rows(frames: DataFrame, keep: Sequence[str] = ("file", "seq", "timestep
         return F.when(at > 0, F.get("_v", (at - 1).cast("int")).try_cast("double"))
 
     out = [*keep, F.col("row_idx").cast("bigint").alias("row_idx"),
-           cell("id").cast("bigint").alias("id"), cell("type").cast("int").alias("type"),
+           cell("id").try_cast("bigint").alias("id"), cell("type").try_cast("int").alias("type"),
            *[cell(c).alias(c) for c in ATOM_DOUBLES], "lx", "ly", "lz"]
     if extra:
         known = F.array(*[F.lit(c) for c in ("id", "type", *ATOM_DOUBLES)])
