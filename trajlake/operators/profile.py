@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.functions.geometry import magnitude
+from trajlake.operators.joins import join_keys
 from trajlake.operators.quantiles import exact_quantiles
 from trajlake.session import HOT_GROUP_ROWS
 
@@ -19,17 +20,15 @@ def file_profile(beads: DataFrame, file: Sequence[str], step: str = "timestep",
     """One row per file: counts, force and energy statistics."""
     file = list(file)
     rows = beads.withColumn("_f", magnitude(F.col("fx"), F.col("fy"), F.col("fz")))
-    # steps are counted apart, so the wide aggregate keeps its map-side combine
-    steps = rows.select(*file, step).distinct().groupBy(*file).agg(F.count(step).alias("n_frames"))
     stats = rows.groupBy(*file).agg(
-        F.count(F.lit(1)).alias("n_particles"),
+        F.count(F.lit(1)).alias("n_particles"), F.countDistinct(step).alias("n_frames"),
         F.avg("_f").alias("force_mean"), F.stddev_samp("_f").alias("force_std"),
         F.min("_f").alias("force_min"), F.max("_f").alias("force_max"),
         F.avg("c_pe").alias("pe_mean"), F.stddev_samp("c_pe").alias("pe_std"),
-        F.min("c_pe").alias("pe_min"), F.max("c_pe").alias("pe_max")).join(steps, file)
+        F.min("c_pe").alias("pe_min"), F.max("c_pe").alias("pe_max"))
     if quantiles:
         q = exact_quantiles(rows, file, "_f", list(QUANTILES.values()), limit)
-        stats = stats.join(q, file, "left").withColumns(
+        stats = join_keys(stats, q, file, "left").withColumns(
             {f"force_{name}": F.col("q")[i] for i, name in enumerate(QUANTILES)}).drop("q")
     return stats
 
@@ -79,7 +78,7 @@ def histogram(df: DataFrame, value: str, bins: int, weight: Column | None = None
     low = F.when(same, F.min("_v") - 0.5).otherwise(F.min("_v"))
     high = F.when(same, F.max("_v") + 0.5).otherwise(F.max("_v"))
     if keys:
-        rows = rows.join(rows.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi")), keys)
+        rows = join_keys(rows, rows.groupBy(*keys).agg(low.alias("_lo"), high.alias("_hi")), keys)
     else:
         ends = rows.agg(F.struct(low.alias("lo"), high.alias("hi")).alias("e")).scalar()
         rows = rows.withColumns({"_lo": ends["lo"], "_hi": ends["hi"]})
@@ -136,7 +135,7 @@ def box_plot(df: DataFrame, keys: Sequence[str], value: str,
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = F.col("_v").between(low, high)
-    return rows.join(q, keys).groupBy(*keys, "q1", "median", "q3").agg(
+    return join_keys(rows, q, keys).groupBy(*keys, "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"),
         F.least(F.coalesce(F.min(F.when(inside, F.col("_v"))), F.col("q1")), F.col("q1")).alias("whisker_low"),
         F.greatest(F.coalesce(F.max(F.when(inside, F.col("_v"))), F.col("q3")), F.col("q3")).alias("whisker_high"),

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trajlake.operators.joins import join_keys
 from trajlake.operators.ordinals import hot_keys
 from trajlake.session import HOT_GROUP_ROWS
 
@@ -28,8 +29,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     hot = hot_keys(rows, keys, limit)
     if hot is None:
         return direct(rows)
-    return direct(rows.join(hot, keys, "left_anti")).unionByName(
-        _bracketed(rows.join(hot, keys, "left_semi"), keys, probs))
+    return direct(join_keys(rows, hot, keys, "left_anti")).unionByName(
+        _bracketed(join_keys(rows, hot, keys, "left_semi"), keys, probs))
 
 
 def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float],
@@ -48,7 +49,7 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float],
     high = [F.when(F.lit(p + margin >= 1), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]) for i, p in enumerate(probs)]
     brackets = sketch.select(*keys, "_n", *[low[i].alias(f"_lo{i}") for i in range(len(probs))],
                              *[high[i].alias(f"_hi{i}") for i in range(len(probs))])
-    joined = rows.join(brackets, keys)
+    joined = join_keys(rows, brackets, keys)
     below = joined.groupBy(*keys).agg(
         F.first("_n").alias("_n"),
         F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(probs))]).alias("_below"))
@@ -57,7 +58,7 @@ def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float],
     counted = (joined.select(*keys, "_v", F.explode(inside).alias("_i"))
                .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")))
     upto = W.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("_end", F.sum("_c").over(upto)).join(below, keys)
+    ranked = join_keys(counted.withColumn("_end", F.sum("_c").over(upto)), below, keys)
     place = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i")) * (F.col("_n") - 1)
     ranked = ranked.withColumns({"_end": F.col("_end") + F.get("_below", F.col("_i")), "_place": place})
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.operators.joins import join_keys
 from trajlake.operators.ordinals import bucketed_position
 
 CHUNK_BEADS = 65_536
@@ -81,7 +82,7 @@ def type_map(packed: DataFrame, group: Sequence[str], frame: Sequence[str]) -> D
     """(group, codes, type_map): types of the first frame and its ``CG<code>`` names."""
     first = packed.groupBy(*group).agg(F.min(F.struct(*frame)).alias("_f"))
     first = first.select(*group, *[F.col(f"_f.{c}").alias(c) for c in frame if c not in group])
-    rows = packed.join(first, [*group, *[c for c in frame if c not in group]], "left_semi")
+    rows = join_keys(packed, first, [*group, *[c for c in frame if c not in group]], "left_semi")
     names = rows.select(*group, F.explode("codes").alias("_c")).distinct().groupBy(*group).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("_c")), lambda c: F.concat(F.lit("CG"), c)), " ").alias("type_map"))
-    return rows.select(*group, "chunk", "codes").join(names, list(group))
+    return join_keys(rows.select(*group, "chunk", "codes"), names, list(group))

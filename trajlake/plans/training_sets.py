@@ -35,6 +35,11 @@ def training_rows(beads: DataFrame, boxes: DataFrame, num_sets: int = 1, use_typ
     return packed.join(placed, FRAME).withColumn("temp", F.when(F.col("temp") >= 0, F.col("temp")))
 
 
+def _in_chunk_order(name: str):
+    parts = F.array_sort(F.collect_list(F.struct("chunk", name)))
+    return F.flatten(F.transform(parts, lambda s: s[name])).alias(name)
+
+
 def write_training_set(rows: DataFrame, path: str, raw: bool = True, npy: bool = True) -> None:
     """``.raw`` text folders and ``set.NNN/*.npy`` files per (sim, temp, bead count)."""
     rows = cut_lineage(rows)
@@ -43,14 +48,12 @@ def write_training_set(rows: DataFrame, path: str, raw: bool = True, npy: bool =
                         F.format_string("n%d", "n_beads"))
     if raw:
         # a line holds a whole frame; chunks of giant frames are put back together here only
-        whole = rows.groupBy(*GROUP, "frame_no").agg(*[F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", c))),
-                                                                            lambda s, c=c: s[c])).alias(c)
-                                                       for c in ("coord", "force", "atom_ener")])
+        whole = rows.groupBy(*GROUP, "frame_no").agg(*[_in_chunk_order(c) for c in ("coord", "force", "atom_ener")])
         for name in ("coord", "force", "atom_ener"):
             sink.write_raw(whole, f"{path}/{name}.raw", GROUP, ["frame_no"], name)
         sink.write_raw(first.withColumn("v", F.array("total_energy")), f"{path}/energy.raw", GROUP, ["frame_no"], "v")
         sink.write_raw(first, f"{path}/box.raw", GROUP, ["frame_no"], "cell")
-        sink.write_types(T.type_map(rows.withColumn("_g", F.struct(*GROUP)), GROUP, ["frame_no"]), path, GROUP)
+        sink.write_types(T.type_map(rows, GROUP, ["frame_no"]), path, GROUP)
     if npy:
         folder = F.concat_ws("/", group, F.format_string("set.%03d", "set_id"))
         for name in ("coord", "force", "atom_ener"):
