@@ -18,9 +18,11 @@ def test_position_hot_equals_plain(spark):
     rows = [(int(rng.integers(3)), int(rng.integers(5)), int(v)) for v in rng.permutation(400)]
     df = spark.createDataFrame(rows, "k int, b int, v int")
     order = [F.col("b"), F.col("v")]
-    plain = ordinals.position(df, ["k"], order, {"_b": F.col("b")}, "at")
-    hot = ordinals.position(df, ["k"], order, {"_b": F.col("b")}, "at", limit=10)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, hot.select(plain.columns).collect()))
+    plain = ordinals.position(df, ["k"], order, "at")
+    want = sorted(map(tuple, plain.collect()))
+    for other in (ordinals.position(df, ["k"], order, "at", limit=10), ordinals.ranged_position(df, ["k"], order, "at"),
+                  ordinals.bucketed_position(df, ["k"], {"_b": F.col("b")}, [F.col("v")], "at")):
+        assert want == sorted(map(tuple, other.select(plain.columns).collect()))
 
 
 @pytest.mark.parametrize("limit", [10**6, 50])
@@ -37,7 +39,7 @@ def test_exact_quantiles(spark, limit):
 @pytest.mark.parametrize("n,m", [(10, 4), (1000, 7), (5, 5), (3, 9), (100, 1), (57, 56)])
 def test_even_picks(spark, n, m):
     df = spark.range(n).select(F.col("id"))
-    got = sorted(r[0] for r in sampling.even_downsample(df, m, {"_b": F.floor(F.col("id") / 10)}, [F.col("id")]).collect())
+    got = sorted(r[0] for r in sampling.even_downsample(df, m, [F.col("id")]).collect())
     want = sorted(set(np.linspace(0, n - 1, num=m, dtype=int).tolist())) if n > m else list(range(n))
     assert got == want
     files = df.select(F.concat(F.lit("f."), "id").alias("file"), F.lit("s").alias("sim"), F.lit(None).cast("int").alias("temp"))
@@ -90,7 +92,7 @@ def test_metrics(spark):
 
 def test_set_split_and_types(spark):
     df = spark.createDataFrame([("s", 1, i) for i in range(5)], "sim string, temp int, f int")
-    got = training.split_sets(df, ["sim", "temp"], 2, {"_b": F.floor(F.col("f") / 2)}, [F.col("f")]).orderBy("f").collect()
+    got = training.split_sets(df, ["sim", "temp"], 2, [F.col("f")]).orderBy("f").collect()
     assert [r["set_id"] for r in got] == [0, 0, 0, 1, 1] and [r["frame_no"] for r in got] == list(range(5))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from trajlake.functions.geometry import pbc_abs_diff
 from trajlake.operators.beads import BeadRules
 from trajlake.operators.neighbors import LENGTHS, POSITION
+from trajlake.session import cut_lineage
 
 LISTED = 50
 ROW_BLOCK = 65_536
@@ -63,9 +64,7 @@ def recompute(beads: DataFrame, atoms: DataFrame, frame: Sequence[str], rules: B
         *[F.min_by(p, "pos").alias(f"_x{i}") for i, p in enumerate(POSITION)],
         *[(F.max(p) - F.min(p)).alias(f"_s{i}") for i, p in enumerate(POSITION)],
         *[F.first(l, ignorenulls=True).alias(f"_l{i}") for i, l in enumerate(LENGTHS)],
-        *[force[c].alias(f"_{c}") for c in ("fx", "fy", "fz")], energy.alias("_pe"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "atom_id"))),
-                                 lambda m: m["atom_id"].cast("string")), ";").alias("member_atom_ids"))
+        *[force[c].alias(f"_{c}") for c in ("fx", "fy", "fz")], energy.alias("_pe"))
     out = beads.withColumnRenamed("id", "cg_id").join(members, [*frame, "cg_id"], "left")
     pos_err = F.greatest(*[pbc_abs_diff(F.col(f"_x{i}"), F.col(a), F.col(f"_l{i}")) for i, a in enumerate(axes)])
     force_err = F.greatest(*[F.abs(F.col(f"_{c}") - F.col(c)) for c in ("fx", "fy", "fz")])
@@ -113,8 +112,11 @@ def worst_errors(checked: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.coalesce(F.max(F.when(whole, F.col(c))), F.lit(0.0)).alias(f"worst_{c}") for c in ("force_err", "pe_err", "pos_err")])
 
 
-def span_issues(checked: DataFrame, frame: Sequence[str], threshold: float = 0.45) -> DataFrame:
-    """Beads whose members spread over too much of the box; manual beads are exempt."""
+def span_issues(checked: DataFrame, atoms: DataFrame, frame: Sequence[str], threshold: float = 0.45) -> DataFrame:
+    """Beads whose members spread over too much of the box; manual beads are exempt.
+
+    Member ids are looked up for the failing beads only.
+    """
     frame = list(frame)
     rows = checked.where(~F.coalesce("manual_assignment", F.lit(False)) & (F.col("n_members") >= 2)
                          & (F.col("n_lost") == 0) & ~F.col("flat_box"))
@@ -123,6 +125,10 @@ def span_issues(checked: DataFrame, frame: Sequence[str], threshold: float = 0.4
     severity = F.when(worst > threshold, "FAIL").when(worst > 0.5 * threshold, "WARN")
     message = F.format_string("bead spans %.1f%% of L_%s", worst * 100, axis)
     rows = rows.withColumn("_s", severity).where(F.col("_s").isNotNull())
+    fails = rows.where(F.col("_s") == "FAIL").select(*frame, F.col("cg_id").alias("id"), "atom_indices")
+    names = bead_members(fails, atoms, frame).groupBy(*frame, "cg_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "atom_id"))), lambda m: m["atom_id"].cast("string")), ";").alias("member_atom_ids"))
+    rows = rows.join(names, [*frame, "cg_id"], "left")
     return _issue(rows, frame, "pbc", F.col("_s"), F.col("cg_id"), message,
                   member_atom_ids=F.when(F.col("_s") == "FAIL", F.col("member_atom_ids")),
                   **{f"pbc_span_frac_{a}": F.col("span_frac")[i] for i, a in enumerate("xyz")})
@@ -151,9 +157,10 @@ def coverage_issues(beads: DataFrame, atoms: DataFrame, frame: Sequence[str]) ->
     members = members.withColumn("row_idx", F.col("row_idx").cast("bigint"))
     frames = beads.select(*frame).distinct()
     both = atoms.select(*frame, "row_idx", F.col("id").alias("atom_id"), F.lit(1).alias("_real")).join(
-        frames, frame, "left_semi").join(members, [*frame, "row_idx"], "full")
-    missing = _first_rows(both.where(F.col("_uses").isNull()), frame)
-    doubled = _first_rows(both.where(F.col("_uses") > 1), frame)
+        members, [*frame, "row_idx"], "full")
+    odd = cut_lineage(both.where(F.col("_uses").isNull() | (F.col("_uses") > 1)).join(frames, frame, "left_semi"))
+    missing = _first_rows(odd.where(F.col("_uses").isNull()), frame)
+    doubled = _first_rows(odd.where(F.col("_uses") > 1), frame)
 
     def listed(col: str) -> Column:
         return F.array_join(F.transform(F.col(col), lambda v: v.cast("string")), ";")
@@ -166,7 +173,7 @@ def coverage_issues(beads: DataFrame, atoms: DataFrame, frame: Sequence[str]) ->
     sizes = both.groupBy(*frame).agg(
         F.coalesce(F.sum("_uses"), F.lit(0)).alias("_seen"), F.count("_real").alias("_atoms"),
         F.count_if(F.col("_uses").isNull()).alias("_missing"), F.count_if(F.col("_uses") > 1).alias("_doubled"))
-    off = sizes.where((F.col("_missing") == 0) & (F.col("_doubled") == 0) & (F.col("_seen") != F.col("_atoms")))
+    off = sizes.join(frames, frame, "left_semi").where((F.col("_missing") == 0) & (F.col("_doubled") == 0) & (F.col("_seen") != F.col("_atoms")))
     notes.append(_issue(off, frame, "coverage", F.lit("FAIL"), F.lit(None), F.concat(
         F.lit("size mismatch: "), F.col("_seen").cast("string"), F.lit(" assigned, "), F.col("_atoms").cast("string"), F.lit(" atoms")),
         n_atoms=F.col("_seen") - F.col("_atoms")))
@@ -209,8 +216,10 @@ def audit_issues(beads: DataFrame, atoms: DataFrame, frame: Sequence[str], rules
     parts = []
     if "pbc" in checks or "conservation" in checks:
         checked = recompute(beads, atoms, frame, rules)
+        if "pbc" in checks and "conservation" in checks:
+            checked = cut_lineage(checked)
         if "pbc" in checks:
-            parts.append(span_issues(checked, frame, span))
+            parts.append(span_issues(checked, atoms, frame, span))
         if "conservation" in checks:
             parts.append(conservation_issues(checked, frame, force_tol, pe_tol))
     if "coverage" in checks:

@@ -365,7 +365,13 @@ def distance_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules,
     frame = list(frame)
     if rules.r_cutoff is None:
         return _without_cutoff(atoms, frame, rules, limit)
-    return _within_cutoff(atoms, frame, rules, float(rules.r_cutoff), limit)
+    cutoff = float(rules.r_cutoff)
+    dense = hot_keys(atoms, frame, limit)
+    if dense is None:
+        return _within_cutoff(atoms, frame, rules, cutoff, limit)
+    # a hot frame may be crowded: most centers are settled with few candidates
+    crowded = _growing_cutoff(atoms.join(dense, frame, "left_semi"), frame, rules, limit, cutoff / 8, cutoff)
+    return crowded.unionByName(_within_cutoff(atoms.join(dense, frame, "left_anti"), frame, rules, cutoff, limit))
 
 
 def _within_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, cutoff: float,
@@ -398,7 +404,8 @@ def _without_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit:
     if large is None:
         return _within_cutoff(atoms, frame, rules, _frame_diagonal(atoms) * (1 + 1e-9) or 1.0, limit)
     small = atoms.join(large, frame, "left_anti")
-    members = _growing_cutoff(atoms.join(large, frame, "left_semi"), frame, rules, limit)
+    crowded = atoms.join(large, frame, "left_semi")
+    members = _growing_cutoff(crowded, frame, rules, limit, 2.0, _frame_diagonal(crowded) * (1 + 1e-9) or 1.0)
     if small.isEmpty():
         return members
     return members.unionByName(_within_cutoff(
@@ -406,20 +413,19 @@ def _without_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit:
 
 
 def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit: int,
-                    first: float = 2.0) -> DataFrame:
-    """The rule without a cutoff, decided with growing finite cutoffs.
+                    first: float, reach: float) -> DataFrame:
+    """The rule with cutoff ``reach``, decided with growing smaller cutoffs.
 
-    Under a finite cutoff every center up to the first one that can not fill
+    Under a smaller cutoff every center up to the first one that can not fill
     the largest pattern has its final members, because its nearest free members
-    are the same with and without the cutoff.  Those are kept; the rest of the
-    frame is redone with twice the cutoff, until the cutoff spans the box.
+    are the same under both.  Those are kept; the rest of the
+    frame is redone with twice the cutoff, until ``reach`` is reached.
     """
-    reach = _frame_diagonal(atoms)
     most = rules.best_pattern()[0][0]
     done, open_atoms, cutoff = None, atoms, first
     while True:
         last = cutoff >= reach
-        members = cut_lineage(_within_cutoff(open_atoms, frame, rules, min(cutoff, reach * (1 + 1e-9)) or 1.0, limit))
+        members = cut_lineage(_within_cutoff(open_atoms, frame, rules, min(cutoff, reach), limit))
         if last:
             return members if done is None else done.unionByName(members)
         full = members.groupBy(*frame, "center_row").agg((F.count(F.lit(1)) - 1).alias("_got"))

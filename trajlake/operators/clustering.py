@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.operators.components import connected_components
-from trajlake.operators.ordinals import bucketed_position
+from trajlake.operators.ordinals import ranged_position
 from trajlake.session import cut_lineage
 
 SLACK = 1e-9
@@ -190,8 +190,7 @@ def dbscan(vectors: DataFrame, eps: float, min_samples: int = 5) -> DataFrame:
              .select(F.col("a_node").alias("u"), F.col("b_node").alias("v")))
     parts = connected_components(edges)
     labelled = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    names = bucketed_position(labelled.select("component").distinct(), [], {"_b": F.floor(F.col("component") / 65_536)},
-                              [F.col("component")], "cluster")
+    names = ranged_position(labelled.select("component").distinct(), [], [F.col("component")], "cluster")
     cell_cluster = cut_lineage(labelled.join(names, "component").select("cell", "cluster"))
 
     core_labels = core.join(cell_cluster, "cell").select("pid", "cluster")

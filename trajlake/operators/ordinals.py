@@ -1,9 +1,14 @@
 """Dense positions and even picks without one-task windows.
 
 ``row_number() over (partition by frame ...)`` puts a whole frame into one
-task.  Here a position is "rows in earlier buckets" + "position inside the
-bucket": the full rows are windowed per bucket, and only the table of bucket
-sizes is windowed per key.
+task.  Two ways around it:
+
+* ``bucketed_position``: rows in earlier buckets + position inside the bucket.
+  The rows are windowed per bucket and only the bucket sizes per key; good
+  where a key has few dense buckets (row blocks of a frame, splits of a file).
+* ``ranged_position``: a range sort of everything; a position is the rows of
+  earlier partitions + the place in the partition.  Good for any order and for
+  keys that hold most of the rows.
 """
 from __future__ import annotations
 
@@ -13,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trajlake.session import HOT_GROUP_ROWS
+from trajlake.operators.joins import join_keys
+from trajlake.session import HOT_GROUP_ROWS, cut_lineage
 
 
 def bucket_offsets(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
@@ -54,10 +60,29 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) ->
     return None if hot.isEmpty() else hot
 
 
-def position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-             buckets: Mapping[str, Column], out: str,
+def ranged_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """Add the 0-based position in ``keys`` (none: the whole table) by ``order``.
+
+    The sorted rows are checkpointed, so partition numbers and places stay what
+    they were when the offsets were counted.
+    """
+    everything = [*[F.col(k) for k in keys], *order]
+    rows = cut_lineage(df.repartitionByRange(*everything).sortWithinPartitions(*everything)
+                       .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
+    # one row per partition
+    parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select("_part", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = rows.join(F.broadcast(parts), "_part").withColumn("_place", F.col("_row") + F.col("_shift"))
+    if keys:
+        starts = placed.groupBy(*keys).agg(F.min("_place").alias("_start"))
+        placed = join_keys(placed, starts, keys).withColumn("_place", F.col("_place") - F.col("_start")).drop("_start")
+    return placed.withColumn(out, F.col("_place").cast("bigint")).drop("_part", "_row", "_shift", "_place")
+
+
+def position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
              limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    """0-based position in ``keys`` by ``order``; hot keys go through buckets."""
+    """0-based position in ``keys`` by ``order``; hot keys go through a range sort."""
     plain = W.partitionBy(*keys).orderBy(*order)
 
     def direct(rows: DataFrame) -> DataFrame:
@@ -67,7 +92,7 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     if hot is None:
         return direct(df)
     cold_rows = direct(df.join(hot, list(keys), "left_anti"))
-    hot_rows = bucketed_position(df.join(hot, list(keys), "left_semi"), keys, buckets, order, out)
+    hot_rows = ranged_position(df.join(hot, list(keys), "left_semi"), keys, order, out)
     return cold_rows.unionByName(hot_rows)
 
 

@@ -1,24 +1,22 @@
 """Even picks, per-file limits and seeded samples."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.functions.text import first_number
-from trajlake.operators.ordinals import (bucketed_position, even_picks_rounding,
-                                         even_picks_truncating)
+from trajlake.operators.ordinals import even_picks_rounding, even_picks_truncating, ranged_position
 
 
-def even_downsample(df: DataFrame, picks: int | None, buckets: Mapping[str, Column],
-                    order: Sequence[Column]) -> DataFrame:
+def even_downsample(df: DataFrame, picks: int | None, order: Sequence[Column]) -> DataFrame:
     """At most ``picks`` rows, evenly spread over the whole order (truncating rule)."""
     if picks is None:
         return df
-    placed = bucketed_position(df, [], buckets, order, "_at")
-    n = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    placed = ranged_position(df, [], order, "_at")
+    n = placed.agg(F.count(F.lit(1)).alias("n")).scalar()
     return placed.withColumn("_n", n).where(
         even_picks_truncating(F.col("_at"), F.col("_n"), picks)).drop("_at", "_n")
 
@@ -42,8 +40,7 @@ def pick_files(files: DataFrame, limits: DataFrame | None, default: int | None,
         want = F.coalesce("_exact", "_sim", want)
     rows = rows.withColumn("_want", want)
     sizes = rows.groupBy("sim", "_k").agg(F.count(F.lit(1)).alias("_n"))
-    placed = bucketed_position(rows, ["sim", "_k"], {"_b": F.floor(F.col("_t") / 65_536)},
-                               [F.col("_t"), F.col("file")], "_at").join(sizes, ["sim", "_k"])
+    placed = ranged_position(rows, ["sim", "_k"], [F.col("_t"), F.col("file")], "_at").join(sizes, ["sim", "_k"])
     keep = F.col("_want").isNull() | (F.col("_want") <= 0) | even_picks_rounding(F.col("_at"), F.col("_n"), F.col("_want"))
     return placed.where(keep).select(*files.columns)
 

@@ -1,13 +1,13 @@
 """Frames as training rows: type codes, packed vectors, set numbers."""
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.operators.joins import join_keys
-from trajlake.operators.ordinals import bucketed_position
+from trajlake.operators.ordinals import ranged_position
 
 CHUNK_BEADS = 65_536
 
@@ -64,18 +64,17 @@ def file_boxes(boxes: DataFrame) -> DataFrame:
         F.max_by("cell", "row_no").alias("cell"), (F.min("cell") != F.max("cell")).alias("varies"))
 
 
-def split_sets(frames: DataFrame, group: Sequence[str], num_sets: int, buckets: Mapping[str, Column],
-               order: Sequence[Column]) -> DataFrame:
+def split_sets(frames: DataFrame, group: Sequence[str], num_sets: int, order: Sequence[Column]) -> DataFrame:
     """Add frame_no and set_id: contiguous sets per group, larger sets first."""
     group = list(group)
-    placed = bucketed_position(frames, group, buckets, order, "frame_no")
-    totals = frames.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    placed = ranged_position(frames, group, order, "frame_no")
+    totals = placed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     small = F.floor(F.col("_n") / num_sets)
     extra = F.col("_n") % num_sets
     cut = extra * (small + 1)
     set_id = F.when(F.col("frame_no") < cut, F.floor(F.col("frame_no") / (small + 1))).otherwise(
         extra + F.floor((F.col("frame_no") - cut) / F.greatest(small, F.lit(1))))
-    return placed.join(totals, group).withColumn("set_id", set_id.cast("bigint")).drop("_n")
+    return join_keys(placed, totals, group).withColumn("set_id", set_id.cast("bigint")).drop("_n")
 
 
 def type_map(packed: DataFrame, group: Sequence[str], frame: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from trajlake.functions.text import safe_name
 from trajlake.operators import clustering as C
 from trajlake.operators import descriptors as D
 from trajlake.operators import profile as P
+from trajlake.operators.ordinals import ranged_position
 from trajlake.operators.pairwise import distance_percentile
 from trajlake.operators.sampling import limit_frames, sample_rows
 from trajlake.operators.selection import select_maximin
@@ -98,9 +99,7 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
 
 
 def _structure_ids(frames: DataFrame) -> DataFrame:
-    from trajlake.operators.ordinals import bucketed_position
-    return bucketed_position(frames.select(*FRAME), [], {
-        "_p": natural_key(F.col("file")), "_f": F.col("file")}, [F.col("frame_idx")], "id")
+    return ranged_position(frames.select(*FRAME), [], [natural_key(F.col("file")), F.col("file"), F.col("frame_idx")], "id")
 
 
 def cluster(points: DataFrame, method: str, n_clusters: int, eps: float | None, min_samples: int, seed: int,

@@ -9,13 +9,14 @@ from trajlake.operators import audit as A
 from trajlake.operators.beads import BeadRules
 from trajlake.operators.neighbors import with_position
 from trajlake.plans import bindings as at
+from trajlake.session import cut_lineage
 
 RULES = BeadRules(cg_assignments=(((1, 2, 3), 2), ((4, 5, 6), 4), ((90, 91), 2)))
 
 
 def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Atoms, and beads of three consecutive atoms with seeded defects."""
-    atoms = with_position(at.atoms(spark, sf_dir))
+    atoms = cut_lineage(with_position(at.atoms(spark, sf_dir)))
     k = F.floor(F.col("row_idx") / 3)
     w = F.when(F.col("type") == 1, 12.0).otherwise(1.0)
     beads = (atoms.withColumns({"_k": k, "_w": w}).groupBy("frame", "_k").agg(
@@ -77,7 +78,7 @@ FROM checked WHERE n_members IS NULL OR n_lost > 0 OR pos_err > 1e-9 OR force_er
 
 def audit_span(spark, sf_dir) -> DataFrame:
     atoms, beads = _tables(spark, sf_dir)
-    out = A.span_issues(A.recompute(beads, atoms, at.FRAME, RULES), at.FRAME)
+    out = A.span_issues(A.recompute(beads, atoms, at.FRAME, RULES), atoms, at.FRAME)
     return out.select("frame", "cg_id", "severity", F.substring("message", -1, 1).alias("axis"), "member_atom_ids",
                       *[round_to(F.col(f"pbc_span_frac_{a}"), 9).alias(f"span_{a}") for a in "xyz"])
 

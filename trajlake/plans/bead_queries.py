@@ -9,6 +9,7 @@ from trajlake.operators import beads as B
 from trajlake.operators.neighbors import candidate_pairs, nearest_members, with_position
 from trajlake.operators.unwrap import unwrap_chain
 from trajlake.plans import bindings as at
+from trajlake.session import cut_lineage
 
 CUTOFF = 6.0
 PATTERNS = ((1, 2, 2), (1, 2))
@@ -20,6 +21,11 @@ def _atoms(spark, sf_dir):
     return with_position(at.atoms(spark, sf_dir))
 
 
+def _kept_atoms(spark, sf_dir):
+    """Atoms that several steps of a query read; built once."""
+    return cut_lineage(_atoms(spark, sf_dir))
+
+
 def chain_unwrap(spark, sf_dir) -> DataFrame:
     out = unwrap_chain(at.atoms(spark, sf_dir), at.FRAME)
     return out.select("frame", "row_idx", *[round_to(F.col(c), 9).alias(c) for c in "xyz"])
@@ -77,7 +83,7 @@ FROM (SELECT m.frame, rule_no, center_row, any_value(cg_type)::BIGINT AS type, a
 
 def bead_fast_path(spark, sf_dir) -> DataFrame:
     """Beads of the centers nobody competes with."""
-    atoms = _atoms(spark, sf_dir)
+    atoms = _kept_atoms(spark, sf_dir)
     rules = B.BeadRules(patterns=PATTERNS, r_cutoff=CUTOFF)
     flagged = B.flag_contested(candidate_pairs(atoms, at.FRAME, CUTOFF), at.FRAME)
     members = B.settle_uncontested(flagged, at.FRAME, rules)
@@ -99,7 +105,7 @@ members AS (
 
 def bead_greedy(spark, sf_dir) -> DataFrame:
     """The whole nearest-neighbour stage, competing centers included."""
-    atoms = _atoms(spark, sf_dir)
+    atoms = _kept_atoms(spark, sf_dir)
     rules = B.BeadRules(patterns=PATTERNS, r_cutoff=CUTOFF)
     members = B.distance_members(atoms, at.FRAME, rules)
     return _bead_columns(B.build_beads(members, atoms, at.FRAME, rules))
@@ -128,7 +134,7 @@ BEAD_GREEDY = f"WITH RECURSIVE {at.ATOMS_SQL}, {at.PAIRS_SQL}, {GREEDY_SQL}\n{BE
 
 def bead_unlimited(spark, sf_dir) -> DataFrame:
     """The nearest-neighbour stage without a cutoff."""
-    atoms = _atoms(spark, sf_dir)
+    atoms = _kept_atoms(spark, sf_dir)
     rules = B.BeadRules(patterns=PATTERNS)
     members = B.distance_members(atoms, at.FRAME, rules)
     return _bead_columns(B.build_beads(members, atoms, at.FRAME, rules))
@@ -138,7 +144,7 @@ BEAD_UNLIMITED = BEAD_GREEDY.replace("WHERE d2 <= 36)", ")")
 
 
 def bead_by_id_offset(spark, sf_dir) -> DataFrame:
-    atoms = _atoms(spark, sf_dir)
+    atoms = _kept_atoms(spark, sf_dir)
     rules = B.BeadRules(id_patterns=(OFFSETS,))
     members, _ = B.offset_members(atoms, at.FRAME, rules.valid_id_patterns()[0], 1)
     return _bead_columns(B.build_beads(members, atoms, at.FRAME, rules))
@@ -174,14 +180,14 @@ COARSE_RULES = B.BeadRules(patterns=PATTERNS, r_cutoff=CUTOFF, cg_assignments=((
 
 def coarse_grain(spark, sf_dir) -> DataFrame:
     """All three stages on unwrapped chains."""
-    atoms = with_position(unwrap_chain(at.atoms(spark, sf_dir), at.FRAME))
+    atoms = cut_lineage(with_position(unwrap_chain(at.atoms(spark, sf_dir), at.FRAME)))
     members, _ = B.assign_members(atoms, at.FRAME, COARSE_RULES)
     return _bead_columns(B.build_beads(members, atoms, at.FRAME, COARSE_RULES))
 
 
 def bead_warnings(spark, sf_dir) -> DataFrame:
     """Centers left out, rolled up by stage and reason."""
-    atoms = _atoms(spark, sf_dir)
+    atoms = _kept_atoms(spark, sf_dir)
     _, notes = B.assign_members(atoms, at.FRAME, COARSE_RULES)
     return notes.groupBy(F.col("stage").cast("bigint").alias("stage"), "reason").agg(
         F.count(F.lit(1)).alias("n"), F.min("frame").alias("first_frame"))

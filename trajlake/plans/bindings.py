@@ -15,7 +15,6 @@ FRAME = ["frame"]
 BOX = (50.0, 12.0, 10.0)
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
               "l_extendedprice", "l_discount", "l_tax"]
-PART_BLOCK = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,9 +25,7 @@ def atoms(spark: SparkSession, sf_dir: str, labels: bool = False,
           limit: int = HOT_GROUP_ROWS) -> DataFrame:
     """Line items as atoms; ``labels`` adds sim_type and temp of the frame's order."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    lines = position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER],
-                     {"_b0": F.col("l_linenumber"), "_b1": F.floor(F.col("l_partkey") / PART_BLOCK)},
-                     "row_idx", limit)
+    lines = position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "row_idx", limit)
     out = lines.select(
         F.col("l_orderkey").alias("frame"), "row_idx", (F.col("row_idx") + 1).alias("id"),
         F.when(F.col("row_idx") % 3 == 0, 1).otherwise(2).alias("type"),

@@ -50,7 +50,7 @@ def pressure_temperature(spark: SparkSession, dumps, logs, log_dir: str, sims: S
         "temp_nominal", "temp_measured", "pressure", F.col("step").alias("timestep"), F.col("file").alias("source_file"))
     if max_frames is None:
         return rows
-    return even_downsample(rows, max_frames, {"_p": natural_key(F.col("source_file"))}, [F.col("source_file")])
+    return even_downsample(rows, max_frames, [natural_key(F.col("source_file")), F.col("source_file")])
 
 
 @dataclass
@@ -111,7 +111,7 @@ def score_predictions(spark: SparkSession, pred_dir: str, ref_dir: str, max_fram
             continue
         ref = ref.join(pred.select("frame_no"), "frame_no", "left_semi")
         if max_frames is not None:
-            ref = even_downsample(ref, max_frames, {"_b": F.floor(F.col("frame_no") / 65_536)}, [F.col("frame_no")])
+            ref = even_downsample(ref, max_frames, [F.col("frame_no")])
         values = M.paired_values(pred, ref)
         frames = ref.agg(F.count(F.lit(1)).alias("n")).scalar()
         part = M.parity_metrics(values).select(F.lit(name).alias("quantity"), "rmse", "mae", "r2").withColumn("n_frames", frames)

@@ -44,6 +44,8 @@ def coarse_grain_dumps(spark: SparkSession, paths: str | Sequence[str], rules: B
         *[F.col("box")[i]["hi"] - F.col("box")[i]["lo"] for i in range(3)]).alias("cell")))
     moved = unwrap_chain(atoms, FRAME) if rules.unwrap_pbc else atoms
     placed = with_position(moved, rules.unwrapped)
+    if rules.unwrap_pbc:
+        placed = cut_lineage(placed)
     members, warnings = assign_members(placed, FRAME, rules)
     beads = build_beads(members, placed, FRAME, rules).join(heads.select(*FRAME, "timestep"), FRAME)
     counts = beads.groupBy("file").agg(F.count(F.lit(1)).alias("n_beads"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from trajlake.functions.geometry import magnitude, round_to
 from trajlake.operators import metrics, profile, sampling, thermo, training
 from trajlake.plans import bindings as at
+from trajlake.session import cut_lineage
 from trajlake.sources.thermo import last_per_step
 
 
@@ -217,7 +218,7 @@ FROM thermo GROUP BY sim, block_id, step"""
 def even_downsample(spark, sf_dir) -> DataFrame:
     """500 events spread evenly over the log."""
     rows = at.thermo(spark, sf_dir).select("line_no", "sim", "step")
-    return sampling.even_downsample(rows, 500, {"_b": F.floor(F.col("line_no") / 65_536)}, [F.col("line_no")])
+    return sampling.even_downsample(rows, 500, [F.col("line_no")])
 
 
 EVEN_DOWNSAMPLE = f"""WITH {at.THERMO_SQL}, o AS (
@@ -282,8 +283,7 @@ SELECT frame, 0 AS chunk, count(*) AS n, round(sum(x * (3 * id - 2) + y * (3 * i
 
 def set_split(spark, sf_dir) -> DataFrame:
     """Frames of each simulation and temperature in four contiguous sets."""
-    return training.split_sets(at.frame_labels(spark, sf_dir), ["sim_type", "temp"], 4,
-                               {"_b": F.floor(F.col("frame") / 4096)}, [F.col("frame")])
+    return training.split_sets(at.frame_labels(spark, sf_dir), ["sim_type", "temp"], 4, [F.col("frame")])
 
 
 SET_SPLIT = f"""WITH {at.LABELS_SQL}
@@ -296,7 +296,7 @@ def mean_force_by_sim(spark, sf_dir) -> DataFrame:
     from trajlake.operators import beads as B
     from trajlake.operators.neighbors import with_position
     from trajlake.plans.bead_queries import CUTOFF, PATTERNS
-    atoms = with_position(at.atoms(spark, sf_dir))
+    atoms = cut_lineage(with_position(at.atoms(spark, sf_dir)))
     rules = B.BeadRules(patterns=PATTERNS, r_cutoff=CUTOFF)
     values = B.bead_values(B.distance_members(atoms, at.FRAME, rules), atoms, at.FRAME, rules)
     out = values.join(at.frame_labels(spark, sf_dir), "frame").groupBy("sim_type", "temp").agg(

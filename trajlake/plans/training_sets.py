@@ -29,10 +29,8 @@ def training_rows(beads: DataFrame, boxes: DataFrame, num_sets: int = 1, use_typ
     sizes = T.frame_energy(packed, FRAME).select(*FRAME, F.col("n").alias("n_beads"), F.col("energy").alias("total_energy"))
     heads = beads.select("sim_type", "temp", "file", "frame_idx").distinct().join(sizes, FRAME).join(
         boxes.select(*FRAME, "cell"), FRAME)
-    heads = cut_lineage(heads.withColumn("temp", F.coalesce("temp", F.lit(-1))))
-    placed = T.split_sets(heads, GROUP, num_sets, {
-        "_p": natural_key(F.col("file")), "_f": F.col("file"), "_i": F.floor(F.col("frame_idx") / 65_536)}, [F.col("frame_idx")])
-    return packed.join(placed, FRAME).withColumn("temp", F.when(F.col("temp") >= 0, F.col("temp")))
+    placed = T.split_sets(heads, GROUP, num_sets, [natural_key(F.col("file")), F.col("file"), F.col("frame_idx")])
+    return packed.join(placed, FRAME)
 
 
 def _in_chunk_order(name: str):
