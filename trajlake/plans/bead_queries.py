@@ -185,6 +185,36 @@ def coarse_grain(spark, sf_dir) -> DataFrame:
     return _bead_columns(B.build_beads(members, atoms, at.FRAME, COARSE_RULES))
 
 
+# ids run 1..n and every third atom is a center: the id list takes rows 0 and 1, complete groups of
+# three are bound by offsets, and at most one center per frame is left for the distance stage
+COARSE_SQL = """sized AS (SELECT *, count(*) OVER (PARTITION BY frame) AS n FROM {source}),
+open AS (SELECT * FROM sized WHERE type = 1 AND row_idx >= 3 AND row_idx + 2 >= n),
+reach AS (
+  SELECT *, row_number() OVER (PARTITION BY frame ORDER BY d2, row_idx) AS pos, count(*) OVER (PARTITION BY frame) AS c FROM (
+    SELECT c.frame, c.row_idx AS center_row, m.row_idx,
+      pow((m.x-c.x) - round_even((m.x-c.x)/c.lx,0)*c.lx, 2) + pow((m.y-c.y) - round_even((m.y-c.y)/c.ly,0)*c.ly, 2)
+      + pow((m.z-c.z) - round_even((m.z-c.z)/c.lz,0)*c.lz, 2) AS d2
+    FROM open c JOIN sized m ON m.frame = c.frame AND m.type = 2 AND (m.row_idx = 2 OR m.row_idx > c.row_idx))
+  WHERE d2 <= 36)"""
+COARSE_GRAIN = f"""WITH {at.ATOMS_SQL}, d AS (
+  SELECT *, coalesce(round_even((x - lag(x) OVER w) / lx, 0), 0) AS dx,
+    coalesce(round_even((y - lag(y) OVER w) / ly, 0), 0) AS dy, coalesce(round_even((z - lag(z) OVER w) / lz, 0), 0) AS dz
+  FROM atoms WINDOW w AS (PARTITION BY frame ORDER BY id)),
+moved AS (
+  SELECT frame, row_idx, id, type, fx, fy, fz, c_pe, lx, ly, lz, x - sum(dx::DOUBLE) OVER w * lx AS x, y - sum(dy::DOUBLE) OVER w * ly AS y,
+    z - sum(dz::DOUBLE) OVER w * lz AS z FROM d WINDOW w AS (PARTITION BY frame ORDER BY id ROWS UNBOUNDED PRECEDING)),
+{COARSE_SQL.format(source='moved')},
+members AS (
+  SELECT frame, 1 AS rule_no, 0 AS center_row, 9 AS cg_type, row_idx AS pos, row_idx FROM sized WHERE row_idx < 2
+  UNION ALL
+  SELECT frame, 2, row_idx, 3, o, row_idx + o FROM sized, range(3) r(o) WHERE type = 1 AND row_idx >= 3 AND row_idx + 2 < n
+  UNION ALL
+  SELECT frame, 3, center_row, CASE WHEN c >= 2 THEN 1 ELSE 2 END, pos, row_idx FROM reach WHERE pos <= 2
+  UNION ALL
+  SELECT frame, 3, center_row, CASE WHEN c >= 2 THEN 1 ELSE 2 END, 0, center_row FROM reach WHERE pos = 1)
+{BEAD_VALUES_SQL.replace("FROM atoms)", "FROM moved)")}"""
+
+
 def bead_warnings(spark, sf_dir) -> DataFrame:
     """Centers left out, rolled up by stage and reason."""
     atoms = _kept_atoms(spark, sf_dir)
@@ -193,6 +223,11 @@ def bead_warnings(spark, sf_dir) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min("frame").alias("first_frame"))
 
 
+BEAD_WARNINGS = f"""WITH {at.ATOMS_SQL}, {COARSE_SQL.format(source='atoms')}
+SELECT 2 AS stage, 'missing' AS reason, count(*) AS n, min(frame) AS first_frame FROM open
+UNION ALL
+SELECT 3, 'no pattern', count(*), min(frame) FROM open WHERE frame NOT IN (SELECT frame FROM reach)"""
+
 QUERIES = {
     "chain_unwrap": (chain_unwrap, CHAIN_UNWRAP),
     "neighbor_candidates": (neighbor_candidates, NEIGHBOR_CANDIDATES),
@@ -202,6 +237,6 @@ QUERIES = {
     "bead_unlimited": (bead_unlimited, BEAD_UNLIMITED),
     "bead_by_id_offset": (bead_by_id_offset, BEAD_BY_ID_OFFSET),
     "bead_by_explicit_ids": (bead_by_explicit_ids, BEAD_BY_EXPLICIT_IDS),
-    "coarse_grain": (coarse_grain, None),
-    "bead_warnings": (bead_warnings, None),
+    "coarse_grain": (coarse_grain, COARSE_GRAIN),
+    "bead_warnings": (bead_warnings, BEAD_WARNINGS),
 }
