@@ -4,7 +4,9 @@ All rounding is half-even (``rint``); ``F.round`` would round half up.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: Boltzmann constant in eV/K (CODATA 2018).
@@ -42,6 +44,16 @@ def magnitude(fx: Column, fy: Column, fz: Column) -> Column:
     return F.sqrt(fx * fx + fy * fy + fz * fz)
 
 
+def centered(atoms: DataFrame, frame: Sequence[str], axes: Sequence[str] = ("px", "py", "pz")) -> DataFrame:
+    """Positions relative to the mean position of their frame.
+
+    The means are one row per frame, so a hot frame only meets a single row.
+    """
+    means = atoms.groupBy(*frame).agg(*[F.avg(a).alias(f"_mean_{a}") for a in axes])
+    return atoms.join(means, list(frame)).withColumns(
+        {a: F.col(a) - F.col(f"_mean_{a}") for a in axes}).drop(*[f"_mean_{a}" for a in axes])
+
+
 def kelvin_to_ev(kelvin: Column) -> Column:
     return kelvin * F.lit(BOLTZMANN_EV_PER_K)
 

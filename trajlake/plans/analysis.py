@@ -112,6 +112,22 @@ def cluster(points: DataFrame, method: str, n_clusters: int, eps: float | None,
     return C.dbscan(points, distance_percentile(points) if eps is None else eps, min_samples)
 
 
+def bead_energies(beads: DataFrame, whole_file: bool = False) -> DataFrame:
+    """(file, frame_idx, total_energy) from the bead table, which dumps do not carry.
+
+    ``whole_file`` gives every frame the energy of its whole file.
+    """
+    keys = ["file"] if whole_file else FRAME
+    sums = beads.groupBy(*keys).agg(F.sum("c_pe").alias("total_energy"))
+    return beads.select(*FRAME).distinct().join(sums, keys) if whole_file else sums
+
+
+def mark_selected(table: DataFrame, picks: DataFrame) -> DataFrame:
+    """Add ``selected``: is the structure among the picks (by structure id)?"""
+    chosen = picks.select("structure_id").distinct().withColumn("_s", F.lit(True))
+    return table.join(chosen, "structure_id", "left").withColumn("selected", F.coalesce("_s", F.lit(False))).drop("_s")
+
+
 def select_structures(table: DataFrame, n: int, space: str | None = None, method: str = "kmeans", n_clusters: int = 8,
                       eps: float | None = None, min_samples: int = 5, seed: int = 42,
                       include_noise: bool = False) -> DataFrame:

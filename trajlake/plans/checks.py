@@ -32,6 +32,11 @@ def keep_matching(rows: DataFrame, sims: Sequence[str] | None, temps: Sequence[i
     return rows if keep_all_if_empty and out is not rows and out.isEmpty() else out
 
 
+def keep_temperatures(rows: DataFrame, temps: Sequence[int] | None) -> DataFrame:
+    """Temperature filter that lets rows without a temperature (ramps) through."""
+    return rows if not temps else rows.where(F.col("temp").isNull() | F.col("temp").isin(list(temps)))
+
+
 def pressure_temperature(spark: SparkSession, dumps, logs, log_dir: str, sims: Sequence[str] | None = None,
                          temps: Sequence[int] | None = None, max_frames: int | None = None, **options) -> DataFrame:
     """First frame of every dump with the temperature and pressure its log measured.

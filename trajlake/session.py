@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -10,14 +11,25 @@ from pyspark.sql import DataFrame
 HOT_GROUP_ROWS = 1_000_000
 
 
+def shared_folder(df: DataFrame) -> str:
+    """A fresh folder name next to the checkpoints, for files other tasks must see."""
+    sc = df.sparkSession.sparkContext
+    _ensure_checkpoint_dir(df)
+    return f"{sc.getCheckpointDir().rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def _ensure_checkpoint_dir(df: DataFrame) -> None:
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trajlake-"))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the reliable checkpoint folder of the session.
 
     The folder comes from ``spark.checkpoint.dir``; only a session without one
     (tests) gets a folder of its own.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trajlake-"))
+    _ensure_checkpoint_dir(df)
     return df.checkpoint(eager=True)
