@@ -13,19 +13,23 @@ CHUNK_BEADS = 65_536
 
 
 def type_codes(beads: DataFrame, frame: Sequence[str], source: str | None = "type",
-               out: str = "code") -> DataFrame:
+               out: str = "code", number: str = "id") -> DataFrame:
     """Add the 0-based dense code of a bead's type within its frame.
 
-    The few distinct types of a frame are listed first and looked up, so no
-    frame is sorted in one task.  ``source=None`` gives code 0 everywhere.
+    The few distinct types of a frame are listed first and looked up per block
+    of bead numbers, so no frame is sorted or joined in one task.
+    ``source=None`` gives code 0 everywhere.
     """
     frame = list(frame)
     if source is None:
         return beads.withColumn(out, F.lit(0))
-    kinds = (beads.select(*frame, F.col(source).cast("bigint").alias("_t")).distinct()
-             .groupBy(*frame).agg(F.array_sort(F.collect_list("_t")).alias("_types")))
-    return beads.join(kinds, frame).withColumn(
-        out, (F.array_position("_types", F.col(source).cast("bigint")) - 1).cast("int")).drop("_types")
+    rows = beads.withColumn("_block", F.floor(F.col(number) / CHUNK_BEADS))
+    found = rows.select(*frame, "_block", F.col(source).cast("bigint").alias("_t")).distinct()
+    kinds = found.groupBy(*frame).agg(F.array_sort(F.collect_set("_t")).alias("_types"),
+                                      F.collect_set("_block").alias("_blocks"))
+    kinds = kinds.select(*frame, "_types", F.explode("_blocks").alias("_block"))
+    return rows.join(kinds, [*frame, "_block"]).withColumn(
+        out, (F.array_position("_types", F.col(source).cast("bigint")) - 1).cast("int")).drop("_types", "_block")
 
 
 def pack_frames(beads: DataFrame, frame: Sequence[str], chunk: int = CHUNK_BEADS) -> DataFrame:

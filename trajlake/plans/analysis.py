@@ -1,7 +1,6 @@
 """Dataset profile, structure analysis and diverse-frame selection."""
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,11 +63,14 @@ def load_structures(spark: SparkSession, paths, max_frames: int | None = 500, ma
 
 def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "pairs", components: int = 10,
                        method: str = "dbscan", n_clusters: int = 4, min_samples: int = 5, seed: int = 42,
-                       energies: DataFrame | None = None) -> Structures:
+                       energies: DataFrame | None = None, space: str = "pca",
+                       projection: DataFrame | None = None) -> Structures:
     """Describe, scale, project and cluster structures.
 
     ``descriptor`` is 'pairs' or 'density'.  ``energies`` (file, frame_idx,
     total_energy) supplies energies that the dump itself does not carry.
+    ``projection`` (id, tSNE or UMAP columns) may bring another space to cluster
+    in; a space that is absent falls back to the first three components.
     """
     atoms = cut_lineage(atoms)
     if descriptor == "density":
@@ -91,8 +93,9 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
     scaled = cut_lineage(D.standardize(vectors).select("id", "features"))
     scores, variance = D.principal_components(scaled, components)
     scores = cut_lineage(scores)
-    columns = [c for c in scores.columns if c.startswith("PC")]
-    points = C.as_vectors(scores, columns[:3])
+    if projection is not None:
+        scores = cut_lineage(scores.join(projection, "id", "left"))
+    points = C.as_vectors(scores, clustering_columns(scores.columns, space))
     clustered = cluster(points, method, n_clusters, None, min_samples, seed)
     table = table.join(scores, "id").join(clustered.select("id", "cluster"), "id")
     return Structures(table, scaled, variance)
@@ -189,6 +192,3 @@ def _file_exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
-
-__all__ = ["profile_dataset", "load_structures", "analyse_structures", "select_structures", "attach_frames",
-           "write_picks", "cluster", "clustering_columns"]

@@ -40,8 +40,8 @@ def read_frames(spark: SparkSession, paths: str | Sequence[str], **options) -> D
     orders frames inside a split; ``body`` holds the atom lines as text.
     """
     records = read_lines(spark, paths, FRAME_MARK, **options)
-    text = F.regexp_replace("value", "\r", "")
-    rows = records.withColumn("_text", text).where(F.trim(F.regexp_replace("_text", "\n", "")) != "")
+    text = F.replace(F.col("value"), F.lit("\r"), F.lit(""))
+    rows = records.where(F.col("value").rlike(r"\S")).withColumn("_text", text)
     header = F.substring_index("_text", ATOMS_MARK, 1)
     rows = rows.withColumn("_header", header)
     after = F.substring(F.col("_text"), F.length("_header") + 1 + len(ATOMS_MARK), F.length("_text"))
