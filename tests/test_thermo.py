@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from trajlake.functions import metadata as M
 from trajlake.functions import text as X
 from trajlake.operators.thermo import join_thermo
-from trajlake.plans.training_sets import labels_for_boxes, measured_labels
+from trajlake.plans.training_sets import labels_for_boxes, measured_labels, write_labels
 from trajlake.sinks.training import label_text
 from trajlake.sources.matrix import read_matrix, read_npy, read_raw
 from trajlake.sources.thermo import read_thermo
@@ -54,6 +54,15 @@ def test_measured_labels_in_log_order(spark, tmp_path):
     assert [r["fparam"] for r in rows] == [200.0, 220.0, 500.0, 510.0, 300.0]
 
 
+def test_label_files(spark, tmp_path):
+    (tmp_path / "log.lammps").write_text(LOG)
+    rows = measured_labels(spark, str(tmp_path / "log.lammps"), "K").withColumn("sim", F.lit("3-upT"))
+    write_labels(rows, str(tmp_path / "out"), ["sim"], ["block_id", "first_line"])
+    assert np.load(tmp_path / "out" / "3-upT" / "set.000" / "fparam.npy").tolist() == [200.0, 220.0, 500.0, 510.0, 300.0]
+    text = [r[0] for r in spark.read.text(str(tmp_path / "out" / "fparam.raw" / "sim=3-upT")).collect()]
+    assert text == ["200", "220", "500", "510", "300"]
+
+
 def test_constant_labels(spark, tmp_path):
     (tmp_path / "box.raw").write_text("1 2 3\n\n4 5 6\n   \n7 8 9")
     rows = labels_for_boxes(spark, str(tmp_path / "box.raw"), 300.0).orderBy("frame_no").collect()

@@ -14,6 +14,8 @@ from trajlake.operators.neighbors import LENGTHS, POSITION, cell_pairs
 
 PAIR_WINDOW = 99
 PAIR_VALUES = 500
+DENSITY_BINS = 8
+DENSITY_SLOTS = 4 * DENSITY_BINS  # type pairs of two types
 
 
 def pair_descriptor(atoms: DataFrame, frame: Sequence[str], values: int = PAIR_VALUES) -> DataFrame:
@@ -44,7 +46,7 @@ def pair_descriptor(atoms: DataFrame, frame: Sequence[str], values: int = PAIR_V
     return few.select(*frame, F.slice(F.flatten(F.flatten(nested)), 1, values).alias("features"))
 
 
-def density_descriptor(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0, n_max: int = 8,
+def density_descriptor(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0, n_max: int = DENSITY_BINS,
                        sigma: float = 0.5) -> DataFrame:
     """(frame, type_i, type_j, bin, density): Gaussian-smeared neighbour density
     per type pair and radial bin, averaged over the atoms of the frame.
@@ -68,7 +70,7 @@ def density_descriptor(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0
     return sums.join(sizes, frame).select(*frame, "type_i", "type_j", "bin", (F.col("_s") / F.col("_n")).alias("density"))
 
 
-def density_vectors(density: DataFrame, frame: Sequence[str], n_max: int = 8,
+def density_vectors(density: DataFrame, frame: Sequence[str], n_max: int = DENSITY_BINS,
                     types: Sequence[int] = (1, 2)) -> DataFrame:
     """(frame, features): one slot per type pair and bin, zero where nothing is near."""
     slots = [F.coalesce(F.max(F.when((F.col("type_i") == a) & (F.col("type_j") == b) & (F.col("bin") == k), F.col("density"))), F.lit(0.0))

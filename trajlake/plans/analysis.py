@@ -74,7 +74,10 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
     """
     atoms = cut_lineage(atoms)
     if descriptor == "density":
-        vectors = D.density_vectors(D.density_descriptor(atoms, FRAME), FRAME)
+        found = D.density_vectors(D.density_descriptor(atoms, FRAME), FRAME)
+        # a frame whose atoms reach nobody still has a (zero) vector
+        vectors = frames.select(*FRAME).join(found, FRAME, "left").withColumn(
+            "features", F.coalesce("features", F.array_repeat(F.lit(0.0), D.DENSITY_SLOTS)))
     else:
         vectors = D.equal_length(D.pair_descriptor(atoms, FRAME))
     facts = atoms.groupBy(*FRAME).agg(F.avg("c_pe").alias("mean_energy"), F.stddev_pop("c_pe").alias("std_energy"),
@@ -97,7 +100,7 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
         scores = cut_lineage(scores.join(projection, "id", "left"))
     points = C.as_vectors(scores, clustering_columns(scores.columns, space))
     clustered = cluster(points, method, n_clusters, None, min_samples, seed)
-    table = table.join(scores, "id").join(clustered.select("id", "cluster"), "id")
+    table = table.join(scores, "id").join(clustered.select("id", "cluster"), "id", "left")
     return Structures(table, scaled, variance)
 
 

@@ -66,6 +66,13 @@ def measured_labels(spark: SparkSession, logs: str | Sequence[str], unit: str =
     return series.withColumn("fparam", in_unit(F.col("temp"), unit)).drop("temp")
 
 
+def write_labels(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str]) -> None:
+    """``fparam.raw`` text per group, and the same values as ``set.000/fparam.npy``."""
+    sink.write_labels(rows, f"{path}/fparam.raw", by, order)
+    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in by], F.lit("set.000"))
+    sink.write_npy(rows.withColumn("_v", F.array("fparam")), path, "fparam", folder, order, "_v", order, True).collect()
+
+
 def labels_for_boxes(spark: SparkSession, box_files: str | Sequence[str], temp: float, unit: str = "eV") -> DataFrame:
     """(file, frame_no, fparam): a constant label for every non-blank box line."""
     counts = count_filled_lines(spark, box_files)
