@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
@@ -23,56 +24,73 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
-class WordMemoTokenizer:
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte inside a byte-level vocabulary."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class WordMemoTokenizer(dict):
     """Ids of whole texts, with the ids of units of a text remembered.
 
-    The tokenizer cuts a text before every blank or line feed that follows a
-    character that isn't white space, so the units between such places can be
-    encoded one by one.  A unit that ends in white space is joined with the
-    next, as no cut is certain there.
+    The tokenizer always cuts before a blank or line feed that follows a
+    character that isn't white space, and before a full stop or comma that
+    follows a letter or digit.  The units between such places are encoded one
+    by one.  A unit whose end makes the next cut uncertain has no ids of its own
+    (None); its text is then cut with care, or not at all.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.ids: dict[str, bytes] = {}
+        super().__init__({"": b""})
+        self.joined: dict[str, bytes] = {}  # ids of what was cut with care
+        self.whole = Tokenizer.from_file(path)
+        self.words = self.whole.model
+        self.letters = _byte_letters()
         # strings the tokenizer treats as one id wherever they stand
-        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
-
-    def _fill(self, units: list[str]) -> None:
-        if len(self.ids) > MEMO:
-            self.ids.clear()
-        for unit, found in zip(units, self.model.encode_batch_fast(units, add_special_tokens=False)):
-            self.ids[unit] = np.asarray(found.ids, "<u4").tobytes()
-
-    @staticmethod
-    def units(text: str) -> list[str]:
-        units = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-        if any(u[-1:].isspace() for u in units):
-            joined, open_ = [], ""
-            for u in units:
-                open_ += u
-                if not u[-1:].isspace():
-                    joined.append(open_)
-                    open_ = ""
-            units = joined + [open_] * bool(open_)
-        return units
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [[t] if "\x00" in t or any(s in t for s in self.special) else self.units(t) for t in texts]
-        out = []
-        known = self.ids
-        missing = list({u for units in split for u in units if u not in known})
-        if missing:
-            self._fill(missing)
-        for units in split:
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+
+    def __missing__(self, unit: str) -> bytes | None:
+        last = unit[-1]
+        sure = last.isalpha() or last.isdecimal() or unit in (".", ",")
+        ids = self[unit] = self.ids_of(unit) if sure else None
+        return ids
+
+    def ids_of(self, unit: str) -> bytes:
+        if unit.isalpha() or unit[0] == " " and unit[1:].isalpha():  # one word for the vocabulary
+            return array("I", [t.id for t in self.words.tokenize(unit.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        return array("I", self.whole.encode(unit, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        """Unsigned 32-bit ids of the whole text, in the machine's (little-endian) order."""
+        if "\x00" in text or any(s in text for s in self.special):
+            return self.ids_of(text)
+        if len(self) + len(self.joined) > MEMO:
+            self.clear()
+            self.joined.clear()
+            self[""] = b""
+        units = (text.replace(" ", "\x00 ").replace("\n", "\x00\n").replace(".", "\x00.").replace(",", "\x00,").split("\x00"))
+        if ".." not in text and ",," not in text and ".," not in text and ",." not in text:
             try:
-                out.append(b"".join([known[u] for u in units]))
-            except KeyError:  # the memo was cleared meanwhile
-                self._fill(list(set(units)))
-                out.append(b"".join([known[u] for u in units]))
-        return out
+                return b"".join(map(self.__getitem__, units))
+            except TypeError:  # an uncertain unit
+                pass
+        out, held, known = [], "", self.joined
+        for unit in units:
+            if held:
+                last = held[-1]
+                sure = not last.isspace() if unit[:1] in " \n" else last.isalpha() or last.isdecimal()
+                if sure:
+                    ids = self.get(held) or known.get(held)
+                    if ids is None:
+                        ids = known[held] = self.ids_of(held)
+                    out.append(ids)
+                    held = ""
+            held += unit
+        if held:
+            out.append(self.ids_of(held))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
@@ -85,10 +103,10 @@ def _pieces(path: str | None, length: int):
         tokens = _tokenizer(path or tokenizer_path())
         end = (0).to_bytes(4, "little")
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            ids, texts = batch.column(0).to_pylist(), (t.as_py() or "" for t in batch.column(1))
             out: list[list] = [[], [], [], [], []]
-            for doc, data in zip(ids, tokens.encode(texts)):
-                data += end
+            for doc, text in zip(ids, texts):
+                data = tokens.encode(text) + end
                 n = len(data) // 4
                 start = 0
                 stop = n % length or length if n > length else n

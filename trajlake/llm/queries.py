@@ -5,9 +5,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm.exact_dedup import copy_groups
+from trajlake.llm.language import fit_languages, fold_of, predict_languages
 from trajlake.llm.mixing import mix_sources
 from trajlake.llm.packing import pack_documents
 from trajlake.llm.sharding import shard_by_ring
+from trajlake.llm.toxicity import fit_toxicity, score_toxicity
 from trajlake.llm.warc import fixity_audit, warc_record
 
 
@@ -67,10 +69,22 @@ def op8_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir))
 
 
+def op9_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return predict_languages(docs, fit_languages(docs.where(fold_of() != 0)))
+
+
 QUERIES = {
     "op3_ring_shards": (op3_ring_shards, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_source_mix": (op6_source_mix, None),
     "op7_warc_fixity": (op7_warc_fixity, OP7_SQL),
     "op8_complement_packing": (op8_complement_packing, None),
+    "op9_toxicity_neighbours": (op9_toxicity_neighbours, None),
+    "op10_language_centroids": (op10_language_centroids, None),
 }
