@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from trajlake.llm.common import global_rank, literal_table, stored
 
 LENGTH = 2048
-MEMO = 300_000  # words whose ids a task remembers
+MEMO = 250_000  # words of one generation whose ids a task remembers
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -44,6 +44,7 @@ class WordMemoTokenizer(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         super().__init__({"": b""})
+        self.older: dict[str, bytes | None] = {}  # the generation before, asked before the tokenizer
         self.joined: dict[str, bytes] = {}  # ids of what was cut with care
         self.whole = Tokenizer.from_file(path)
         self.words = self.whole.model
@@ -52,6 +53,9 @@ class WordMemoTokenizer(dict):
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
     def __missing__(self, unit: str) -> bytes | None:
+        if unit in self.older:
+            ids = self[unit] = self.older[unit]
+            return ids
         last = unit[-1]
         sure = last.isalpha() or last.isdecimal() or unit in (".", ",")
         ids = self[unit] = self.ids_of(unit) if sure else None
@@ -66,10 +70,12 @@ class WordMemoTokenizer(dict):
         """Unsigned 32-bit ids of the whole text, in the machine's (little-endian) order."""
         if "\x00" in text or any(s in text for s in self.special):
             return self.ids_of(text)
-        if len(self) + len(self.joined) > MEMO:
+        if len(self) > MEMO:
+            self.older = dict(self)
             self.clear()
-            self.joined.clear()
             self[""] = b""
+        if len(self.joined) > MEMO:
+            self.joined.clear()
         units = (text.replace(" ", "\x00 ").replace("\n", "\x00\n").replace(".", "\x00.").replace(",", "\x00,").split("\x00"))
         if ".." not in text and ",," not in text and ".," not in text and ",." not in text:
             try:
