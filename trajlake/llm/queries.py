@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.llm.exact_dedup import copy_groups
+from trajlake.llm.fingerprints import fingerprint_documents
 from trajlake.llm.language import fit_languages, fold_of, predict_languages
 from trajlake.llm.mixing import mix_sources
 from trajlake.llm.packing import pack_documents
@@ -17,6 +18,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_parse_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(documents(spark, sf_dir))
+
+
 def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_by_ring(documents(spark, sf_dir), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -80,6 +85,7 @@ def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_parse_fingerprints": (op2_parse_fingerprints, None),
     "op3_ring_shards": (op3_ring_shards, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_source_mix": (op6_source_mix, None),
