@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from trajlake.llm.exact_dedup import copy_groups
 from trajlake.llm.fingerprints import fingerprint_documents
 from trajlake.llm.language import fit_languages, fold_of, predict_languages
+from trajlake.llm.minhash import near_duplicates
 from trajlake.llm.mixing import mix_sources
 from trajlake.llm.packing import pack_documents
+from trajlake.llm.repeats import remove_repeats
 from trajlake.llm.sharding import shard_by_ring
 from trajlake.llm.toxicity import fit_toxicity, score_toxicity
 from trajlake.llm.warc import fixity_audit, warc_record
@@ -18,6 +20,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"),
+                                                           "kept_sha256")
+
+
 def op2_parse_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(documents(spark, sf_dir))
 
@@ -28,6 +35,10 @@ def op3_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), words_each=2, percent=80)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy_groups(documents(spark, sf_dir), keep="max")
 
@@ -85,8 +96,10 @@ def op10_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_merged_transforms": (op1_merged_transforms, None),
     "op2_parse_fingerprints": (op2_parse_fingerprints, None),
     "op3_ring_shards": (op3_ring_shards, None),
+    "op4_minmax_near_dedup": (op4_minmax_near_dedup, None),
     "op5_exact_dedup": (op5_exact_dedup, OP5_SQL),
     "op6_source_mix": (op6_source_mix, None),
     "op7_warc_fixity": (op7_warc_fixity, OP7_SQL),
