@@ -1,7 +1,6 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted lists."""
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -12,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.llm.common import stored
 from trajlake.llm.language import fold_of, thinned
 
 BLOCK = 64  # examples of one block of the inverted lists
@@ -52,6 +52,11 @@ class ToxicityModel:
         wide[:, :len(self.ids)] = self.weights
         self.block_max = wide.reshape(len(self.terms), blocks, BLOCK).max(axis=2)
 
+    @classmethod
+    def without_examples(cls, terms: dict[str, int], idf: np.ndarray | None = None, base: float = 0.0, k: int = 9) -> ToxicityModel:
+        idf = np.ones(len(terms)) if idf is None else idf
+        return cls(terms, idf, [], np.zeros(0), np.zeros(0), np.zeros((len(terms), 0)), base, k)
+
     def __getstate__(self):
         return {**self.__dict__, "known": {}, "found": {}}
 
@@ -118,66 +123,70 @@ class ToxicityModel:
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, toxic) for every term of every example."""
     for batch in batches:
-        terms = [sorted({t for w in set(words_of(text)) for t in terms_of(w)}) for text in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(terms, pa.list_(pa.string())), batch.column(2)],
-                                         ["doc_id", "toxic", "terms", "text"])
-
-
-def choose_terms(examples: list[tuple[int, list[str]]], most: int, least: float = 4.0) -> list[str]:
-    """Terms whose share of toxic examples differs from the others' by ``least`` standard errors."""
-    n = [sum(1 for y, _ in examples if y == k) for k in (0, 1)]
-    seen = (Counter(t for y, terms in examples if y == 0 for t in terms), Counter(t for y, terms in examples if y == 1 for t in terms))
-    scores = []
-    for term in seen[1]:
-        a, b = seen[1][term], seen[0][term]
-        if a + b < 3:
-            continue
-        ratio = math.log((a + 0.5) / (n[1] + 1)) - math.log((b + 0.5) / (n[0] + 1))
-        z = ratio / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-        share = (a / n[1] - b / n[0]) / math.sqrt((a + b) / (n[0] + n[1]) * (1 - (a + b) / (n[0] + n[1])) * (1 / n[0] + 1 / n[1]) + 1e-12)
-        if max(z, share) >= least and ratio > 1:
-            scores.append((-share, term))
-    return [t for _, t in sorted(scores)[:most]]
+        for y, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            terms = sorted({t for w in set(words_of(text)) for t in terms_of(w)})
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([y] * len(terms), pa.int32())], ["term", "toxic"])
+
+
+def choose_terms(examples: DataFrame, n: dict[int, int], most: int, least: float = 4.0) -> list[str]:
+    """At most ``most`` terms whose share of toxic examples is above the others' by ``least`` standard errors."""
+    a, b = F.sum("toxic"), F.sum(1 - F.col("toxic"))
+    counts = (examples.mapInArrow(_term_rows, "term string, toxic int").groupBy("term").agg(a.alias("a"), b.alias("b"))
+              .where("a + b >= 3"))
+    ratio = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("b") + 0.5) / (n[0] + 1))
+    z = ratio / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    both = (F.col("a") + F.col("b")) / (n[0] + n[1])
+    share = (F.col("a") / n[1] - F.col("b") / n[0]) / F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-12)
+    found = counts.select("term", F.greatest(z, share).alias("gain"), ratio.alias("ratio")).where(f"gain >= {least} AND ratio > 1")
+    return [r["term"] for r in found.orderBy(F.desc("gain"), "term").limit(most).collect()]
+
+
+def _vector_rows(terms: dict[str, int]):
+    """(doc_id, toxic, term numbers, counts) of every example."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = ToxicityModel.without_examples(terms)
+        for batch in batches:
+            found = [model.vector(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[t for t, _ in v] for v in found], pa.list_(pa.int32())),
+                                              pa.array([[n for _, n in v] for v in found], pa.list_(pa.int32()))], ["id", "toxic", "at", "n"])
+    return run
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, most_terms: int = 1024, k: int = 9,
                  id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Examples from the labelled rows outside the held-out fold.
 
-    At most ``per_class`` examples of a label are kept and reach the driver;
-    each stands for its share of the labelled rows of its class.  The document
-    frequencies of the terms cover all documents.  Repeated labels of an id
-    count once (the greatest); null labels and ids are left out.
+    At most ``per_class`` examples of a label are kept, and ``most_terms`` terms
+    are chosen on them; the examples' counts of those terms reach the driver.
+    An example stands for its share of the labelled rows of its class.  The
+    document frequencies of the terms cover all documents.  Repeated labels of
+    an id count once (the greatest); null labels and ids are left out.
     """
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(fold_of(id_col) != 0)
              .groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("toxic")))
     held = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ids = thinned(known, "toxic", per_class, [id_col])
-    rows = sorted((r["id"], r["toxic"], r["terms"], r["text"]) for r in
-                  docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                  .join(F.broadcast(ids.select(F.col(id_col).alias("id"), "toxic")), "id")
-                  .select(F.col("id").cast("bigint"), "toxic", F.coalesce("text", F.lit("")).alias("text"))
-                  .mapInArrow(_term_rows, "id bigint, toxic int, terms array<string>, text string").collect())
-    both = {y for _, y, _, _ in rows} >= {0, 1}
-    names = choose_terms([(y, t) for _, y, t, _ in rows], most_terms) if both else []
+    ids = thinned(known, "toxic", per_class, [id_col]).select(F.col(id_col).alias("id"), "toxic")
+    examples = stored(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+                      .join(F.broadcast(ids), "id").select(F.col("id").cast("bigint"), "toxic", "text"))
+    taken = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    names = choose_terms(examples, taken, most_terms) if set(taken) >= {0, 1} else []
     terms = {t: i for i, t in enumerate(names)}
     n_docs, df = document_counts(docs, terms, text_col)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
-    taken = Counter(y for _, y, _, _ in rows)
     share = held.get(1, 0) / max(1, sum(held.values()))
-    model = ToxicityModel(terms, idf, [], np.zeros(0), np.zeros(0), np.zeros((len(terms), 0)), share, k)
+    model = ToxicityModel.without_examples(terms, idf, share, k)
     kept, columns, empty = [], [], Counter()
-    for i, y, _, text in rows:
-        vector = model.vector(text)
-        worth = held[y] / taken[y]
-        if not vector:
-            empty[y] += worth
+    for r in sorted(examples.mapInArrow(_vector_rows(terms), "id bigint, toxic int, at array<int>, n array<int>").collect()):
+        worth = held[r["toxic"]] / taken[r["toxic"]]
+        if not r["at"]:
+            empty[r["toxic"]] += worth
             continue
         column = np.zeros(len(terms))
-        at, w = model.weigh(vector)
+        at, w = model.weigh(tuple(zip(r["at"], r["n"])))
         column[at] = w
-        kept.append((i, y, worth))
+        kept.append((r["id"], r["toxic"], worth))
         columns.append(column)
     if empty:
         share = empty[1] / sum(empty.values())
@@ -188,7 +197,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, m
 def document_counts(docs: DataFrame, terms: dict[str, int], text_col: str = "text") -> tuple[int, np.ndarray]:
     """Number of documents, and in how many each term occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = ToxicityModel(terms, np.ones(len(terms)), [], np.zeros(0), np.zeros(0), np.zeros((len(terms), 0)), 0.0)
+        empty = ToxicityModel.without_examples(terms)
         total, n = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             for text in batch.column(0):
