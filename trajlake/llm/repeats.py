@@ -133,10 +133,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int,
             block.append((NO_ID if doc is None else doc, tk, data))
             size += len(data)
             if size >= BLOCK:
-                yield sorted(block)
+                yield sorted(set(block))
                 block, size = [], 0
     if block:
-        yield sorted(block)
+        yield sorted(set(block))
 
 
 def _pieces(block: list[tuple[int, int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -239,6 +239,9 @@ def _repeated_anchors(group: pd.DataFrame) -> pd.DataFrame:
     if blobs:
         r = np.concatenate([_records(b) for b in blobs])
         r = r[np.lexsort((r["place"], r["tk"], r["doc"], r["body"], r["anchor"]))]
+        again = np.zeros(len(r), bool)  # rows that repeat an id and a text are one document
+        again[1:] = r[1:] == r[:-1]
+        r = r[~again]
         new_anchor = np.ones(len(r), bool)
         new_anchor[1:] = r["anchor"][1:] != r["anchor"][:-1]
         new_body = new_anchor.copy()
@@ -356,8 +359,9 @@ def _merged_spans(group: pd.DataFrame) -> pd.DataFrame:
     about = np.concatenate([np.frombuffer(x, np.int64).reshape(5, -1) for x in group["about"]], axis=1)
     shards = [np.frombuffer(x, np.uint8).reshape(COLUMNS, -1) for x in group["columns"]]
     doc, tk, place, lead, count = about
-    rank = np.empty(about.shape[1], np.int64)
-    rank[np.lexsort((place, tk, doc))] = np.arange(about.shape[1])
+    rank, order = np.empty(about.shape[1], np.int64), np.lexsort((place, tk, doc))
+    step = np.any(np.diff(about[:3, order], axis=1) != 0, axis=0)  # a repeated row has the same rank
+    rank[order] = np.concatenate([[0], np.cumsum(step)])
     removed = merge_shards(shards, LEFT - lead, count, rank)
     edge = np.diff(np.pad(removed, ((0, 0), (1, 1))).astype(np.int8), axis=1)
     at, begin = np.nonzero(edge == 1)
