@@ -9,7 +9,7 @@ from trajlake.llm.common import text_or_empty
 
 def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     text = text_or_empty(text_col)
-    return docs.withColumns({"_bytes": text, "_hash": F.unhex(F.md5(text))})
+    return docs.withColumns({"__bytes": text, "__hash": F.unhex(F.md5(text))})
 
 
 def _keeper(keep: str, column: Column | str) -> Column:
@@ -32,11 +32,11 @@ def copy_groups(docs: DataFrame, *, keep: str = "min", id_col: str = "doc_id", t
     win against others, and a group of null ids only keeps all its rows.
     """
     keyed = _keyed(docs.select(id_col, text_col), text_col)
-    groups = (keyed.groupBy("_hash", "_bytes")
+    groups = (keyed.groupBy("__hash", "__bytes")
               .agg(_keeper(keep, id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-              .select("_hash", F.sha2("_bytes", 256).alias("text_sha256"), "keep_id", "group_size"))
-    rows = keyed.select(id_col, "_hash", F.sha2("_bytes", 256).alias("text_sha256"))
-    return (rows.join(groups, ["_hash", "text_sha256"])
+              .select("__hash", F.sha2("__bytes", 256).alias("text_sha256"), "keep_id", "group_size"))
+    rows = keyed.select(id_col, "__hash", F.sha2("__bytes", 256).alias("text_sha256"))
+    return (rows.join(groups, ["__hash", "text_sha256"])
             .select(id_col, "keep_id", F.col("group_size").cast("bigint").alias("group_size"),
                     F.col(id_col).eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))
 
@@ -48,7 +48,7 @@ def drop_copies(docs: DataFrame, *, keep: str = "min", id_col: str = "doc_id", t
     so exactly one row stays.  A null text equals an empty one.
     """
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    row = F.struct(F.col(id_col), F.col(text_col).isNull().alias("_null"), *[F.col(c) for c in others])
-    best = _keyed(docs, text_col).groupBy("_hash", "_bytes").agg(_keeper(keep, row).alias("_row"))
-    text = F.when(F.col("_row._null"), F.lit(None)).otherwise(F.col("_bytes"))
-    return best.select(*[text.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    row = F.struct(F.col(id_col), F.col(text_col).isNull().alias("__null"), *[F.col(c) for c in others])
+    best = _keyed(docs, text_col).groupBy("__hash", "__bytes").agg(_keeper(keep, row).alias("__row"))
+    text = F.when(F.col("__row.__null"), F.lit(None)).otherwise(F.col("__bytes"))
+    return best.select(*[text.alias(c) if c == text_col else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])

@@ -153,6 +153,6 @@ def mix_sources(docs: DataFrame, *, cycle: Sequence[float] = CYCLE, total_factor
 
 def apply_mix(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` repeated as often as the mix takes them."""
-    times = copies.where("copies > 0").groupBy(id_col).agg(F.max("copies").alias("_copies"))
-    return (docs.join(times, id_col).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    times = copies.where("copies > 0").groupBy(id_col).agg(F.max("copies").cast("int").alias("__times"))
+    return (docs.join(times, id_col).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
             .select(*docs.columns))
