@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trajlake.llm.common import stored
 
-BANDS, ROWS = 50, 5
+BANDS, ROWS = 100, 8
 MEMO = 400_000
 STEP = 1024  # shingles hashed at once
 
@@ -52,16 +52,21 @@ def _scramble(x: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=4)
 def multipliers(n: int, seed: int = 1) -> np.ndarray:
-    return np.random.default_rng(seed).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.random.default_rng(seed).integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 def min_max(shingles: np.ndarray, permutations: int) -> np.ndarray:
-    """The minima and then the maxima of a set under each permutation: two values for one evaluation."""
+    """The minima and then the maxima of a set under each permutation: two values for one evaluation.
+
+    A permutation multiplies 32-bit hashes by an odd number; the shingles' sets
+    themselves stay 64 bits wide.
+    """
     factors = multipliers(permutations)
-    low = np.full(permutations, np.iinfo(np.uint64).max, np.uint64)
-    high = np.zeros(permutations, np.uint64)
-    for at in range(0, len(shingles), STEP):
-        under = factors[:, None] * shingles[None, at:at + STEP]
+    folded = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
+    low = np.full(permutations, np.iinfo(np.uint32).max, np.uint32)
+    high = np.zeros(permutations, np.uint32)
+    for at in range(0, len(folded), STEP):
+        under = factors[:, None] * folded[None, at:at + STEP]
         np.minimum(low, under.min(axis=1), out=low)
         np.maximum(high, under.max(axis=1), out=high)
     return np.concatenate([low, high])
@@ -69,7 +74,7 @@ def min_max(shingles: np.ndarray, permutations: int) -> np.ndarray:
 
 def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band; a band's values come from different permutations."""
-    values = signature[:bands * rows].reshape(bands, rows)
+    values = signature[:bands * rows].reshape(bands, rows).astype(np.uint64)
     key = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(rows):
         key = _scramble(key * np.uint64(0x9E3779B97F4A7C15) ^ values[:, i])
@@ -145,8 +150,9 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80,
 
     Documents are linked when their whole shingle sets meet ``percent``; the
     component is the smallest id reachable.  ``bands`` of ``rows`` min-max
-    values find candidates: with 50 of 5 a pair at 0.8 shares no band with
-    probability 2.4e-9.  Documents with the same set are one node.  In each
+    values find candidates: with 100 of 8 a pair at 0.8 shares no band with
+    probability 1.1e-8, and a pair at 0.3 (texts with a common passage) shares
+    one with 0.7 %.  Documents with the same set are one node.  In each
     band's bucket,
 
     1. every node is compared with the bucket's smallest node, one pair per
