@@ -81,9 +81,9 @@ def sequential(rows, rules):
     return out
 
 
-def compare(spark, rows, rules, limit=10**6):
+def compare(spark, rows, rules):
     atoms = atoms_of(spark, rows)
-    members, notes = B.assign_members(atoms, ["frame"], rules, limit)
+    members, notes = B.assign_members(atoms, ["frame"], rules)
     beads = B.build_beads(members, atoms, ["frame"], rules).orderBy("frame", "id").collect()
     got = {}
     for b in beads:
@@ -104,9 +104,8 @@ RULES = {
 
 
 @pytest.mark.parametrize("name", list(RULES))
-@pytest.mark.parametrize("limit", [10**6, 10])
-def test_same_as_sequential(spark, name, limit):
-    compare(spark, random_frames(6, (12, 60), 3), RULES[name], limit)
+def test_same_as_sequential(spark, name):
+    compare(spark, random_frames(6, (12, 60), 3), RULES[name])
 
 
 def test_large_frame_without_cutoff_grows_one(spark):

@@ -2,6 +2,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.operators import clustering as C
@@ -13,25 +14,24 @@ from trajlake.operators.profile import density_grid, histogram
 from trajlake.operators.quantiles import exact_quantiles
 
 
-def test_position_hot_equals_plain(spark):
+def test_positions_equal_row_numbers(spark):
     rng = np.random.default_rng(0)
     rows = [(int(rng.integers(3)), int(rng.integers(5)), int(v)) for v in rng.permutation(400)]
     df = spark.createDataFrame(rows, "k int, b int, v int")
     order = [F.col("b"), F.col("v")]
-    plain = ordinals.position(df, ["k"], order, "at")
+    plain = df.withColumn("at", (F.row_number().over(W.partitionBy("k").orderBy(*order)) - 1).cast("bigint"))
     want = sorted(map(tuple, plain.collect()))
-    for other in (ordinals.position(df, ["k"], order, "at", limit=10), ordinals.ranged_position(df, ["k"], order, "at"),
+    for other in (ordinals.ranged_position(df, ["k"], order, "at"),
                   ordinals.bucketed_position(df, ["k"], {"_b": F.col("b")}, [F.col("v")], "at")):
         assert want == sorted(map(tuple, other.select(plain.columns).collect()))
 
 
-@pytest.mark.parametrize("limit", [10**6, 50])
-def test_exact_quantiles(spark, limit):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(1)
     pdf = pd.DataFrame({"k": np.where(rng.random(30_000) < 0.9, "big", "small"), "v": rng.gamma(2.0, size=30_000)})
     pdf.loc[rng.random(30_000) < 0.3, "v"] = 1.25  # copies
     probs = (0.0, 0.25, 0.5, 0.75, 0.99, 1.0)
-    got = {r["k"]: r["q"] for r in exact_quantiles(spark.createDataFrame(pdf), ["k"], "v", probs, limit).collect()}
+    got = {r["k"]: r["q"] for r in exact_quantiles(spark.createDataFrame(pdf), ["k"], "v", probs).collect()}
     for k, part in pdf.groupby("k"):
         assert np.allclose(got[k], part["v"].quantile(list(probs)), rtol=1e-12)
 
@@ -252,3 +252,33 @@ def test_window_edges_across_blocks(spark):
 def test_outliers(spark):
     df = spark.createDataFrame([(i, float(v), 1.0) for i, v in enumerate([0, 0, 0, 0, 0, 0, 0, 9])], "id long, a double, b double")
     assert [r["id"] for r in selection.zscore_outliers(df, ["a", "b"]).collect()] == [7]
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(2000).withColumn("v", F.col("id") % 7)
+    want = sorted(r["id"] for r in sampling.sample_rows(df.repartition(3), 0.2).collect())
+    assert want == sorted(r["id"] for r in sampling.sample_rows(df.repartition(11), 0.2).collect()) and 300 < len(want) < 500
+    points = {r["id"] for r in sampling.random_points(df.repartition(5), 40).collect()}
+    assert points == {r["id"] for r in sampling.random_points(df.coalesce(1), 40).collect()} and len(points) == 40
+
+
+def test_unequal_frames_are_listed(spark):
+    from trajlake.operators.metrics import paired_values, unpaired_frames
+    pred = spark.createDataFrame([(0, [1.0, 2.0, 3.0]), (1, [1.0]), (2, [0.0])], "frame_no bigint, values array<double>")
+    ref = spark.createDataFrame([(0, [1.0, 2.0, 5.0]), (1, [1.0, 2.0]), (3, [0.0])], "frame_no bigint, values array<double>")
+    assert {r["frame_no"] for r in paired_values(pred, ref).collect()} == {0}
+    assert {tuple(r) for r in unpaired_frames(pred, ref).collect()} == {(1, 1, 2), (2, 1, None), (3, None, 1)}
+
+
+def test_csv_layouts_are_read_by_their_own_header(spark, tmp_path):
+    from trajlake.sources.tables import read_beads_csv, read_boxes_csv
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b/1.csv").write_text('id,type,x,match_status\n1,2,0.5,pattern\n')
+    (tmp_path / "b/2.csv").write_text('match_status,type,id,atom_indices,extra\nmanual,7,3,"[0, 2]",q\nmanual,8,4,"[1]",r\n')
+    got = {(r["id"], r["type"], r["x"], r["match_status"], tuple(r["atom_indices"] or ()), r["extra"])
+           for r in read_beads_csv(spark, str(tmp_path / "b")).collect()}
+    assert got == {(1, 2, 0.5, "pattern", (), None), (3, 7, None, "manual", (0, 2), "q"), (4, 8, None, "manual", (1,), "r")}
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x/1.csv").write_text("a,b,c,step\n1,2,3,10\n")
+    (tmp_path / "x/2.csv").write_text("a,b,step\n4,5,20\n")
+    assert {(tuple(r["cell"]), r["timestep"]) for r in read_boxes_csv(spark, str(tmp_path / "x")).collect()} == {((1.0, 2.0, 3.0), 10), ((4.0, 5.0), 20)}

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.functions.geometry import pbc_abs_diff
@@ -19,8 +18,6 @@ from trajlake.operators.beads import BeadRules
 from trajlake.operators.neighbors import LENGTHS, POSITION
 from trajlake.session import cut_lineage
 
-LISTED = 50
-ROW_BLOCK = 65_536
 # fixed values: columns of the audit report
 REPORT_COLUMNS = ("file", "sim", "temp", "timestep", "check", "severity", "cg_id", "message", "n_atoms",
                   "member_atom_ids", "force_err", "pe_err", "pos_err", "pbc_span_frac_x", "pbc_span_frac_y",
@@ -90,9 +87,9 @@ def conservation_issues(checked: DataFrame, frame: Sequence[str], force_tol: flo
                         pe_tol: float = 1e-6) -> DataFrame:
     frame = list(frame)
     wrong = ((F.col("pos_err") > 1e-9) | (F.col("force_err") > force_tol) | (F.col("pe_err") > pe_tol))
-    kind = (F.when(F.col("n_members") == 0, "empty atom_indices")
-            .when(F.col("n_lost") > 0, "atom_indices out of range")
-            .when(wrong, F.format_string("recompute mismatch: pos_err=%.2e F_err=%.2e E_err=%.2e",
+    kind = (F.when(F.col("n_members") == 0, "bead without members")
+            .when(F.col("n_lost") > 0, "member outside the frame")
+            .when(wrong, F.format_string("stored values differ: position by %.2e, force by %.2e, energy by %.2e",
                                          "pos_err", "force_err", "pe_err")))
     whole = (F.col("n_members") > 0) & (F.col("n_lost") == 0)
 
@@ -123,7 +120,7 @@ def span_issues(checked: DataFrame, atoms: DataFrame, frame: Sequence[str], thre
     worst = F.array_max("span_frac")
     axis = F.get(F.array(F.lit("x"), F.lit("y"), F.lit("z")), (F.array_position("span_frac", worst) - 1).cast("int"))
     severity = F.when(worst > threshold, "FAIL").when(worst > 0.5 * threshold, "WARN")
-    message = F.format_string("bead spans %.1f%% of L_%s", worst * 100, axis)
+    message = F.format_string("members cover %.1f%% of the box along %s", worst * 100, axis)
     rows = rows.withColumn("_s", severity).where(F.col("_s").isNotNull())
     fails = rows.where(F.col("_s") == "FAIL").select(*frame, F.col("cg_id").alias("id"), "atom_indices")
     names = bead_members(fails, atoms, frame).groupBy(*frame, "cg_id").agg(F.array_join(F.transform(
@@ -134,50 +131,42 @@ def span_issues(checked: DataFrame, atoms: DataFrame, frame: Sequence[str], thre
                   **{f"pbc_span_frac_{a}": F.col("span_frac")[i] for i, a in enumerate("xyz")})
 
 
-def _first_rows(rows: DataFrame, frame: list[str], ids: str = "atom_id") -> DataFrame:
-    """(frame, n, rows, ids): count and the first rows; lists are cut per block
-    before they meet, so no frame is collected."""
-    block = F.floor(F.col("row_idx") / ROW_BLOCK)
-    counted = rows.groupBy(*frame).agg(F.count(F.lit(1)).alias("n"))
-    per_block = W.partitionBy(*frame, block).orderBy("row_idx")
-    per_frame = W.partitionBy(*frame).orderBy("row_idx")
-    head = (rows.withColumn("_r", F.row_number().over(per_block)).where(F.col("_r") <= LISTED)
-            .withColumn("_r", F.row_number().over(per_frame)).where(F.col("_r") <= LISTED))
-    lists = head.groupBy(*frame).agg(F.array_sort(F.collect_list(F.struct("row_idx", ids))).alias("_h"))
-    return counted.join(lists, frame).select(
-        *frame, "n", F.transform("_h", lambda h: h["row_idx"]).alias("rows"),
-        F.transform("_h", lambda h: h[ids]).alias("ids"))
+def _uses(beads: DataFrame, atoms: DataFrame, frame: list[str]) -> DataFrame:
+    """(frame, row_idx, atom_id, real, uses) of every atom and every member index of the frames with beads."""
+    members = beads.select(*frame, F.explode(F.col("atom_indices").cast("array<bigint>")).alias("row_idx")).groupBy(*frame, "row_idx").agg(
+        F.count(F.lit(1)).alias("uses"))
+    found = atoms.select(*frame, "row_idx", F.col("id").alias("atom_id"), F.lit(True).alias("real"))
+    return found.join(members, [*frame, "row_idx"], "full").join(beads.select(*frame).distinct(), frame, "left_semi")
+
+
+def coverage_atoms(beads: DataFrame, atoms: DataFrame, frame: Sequence[str]) -> DataFrame:
+    """(frame, row_idx, atom_id, uses): every atom that is not in exactly one bead.
+
+    An index without an atom has no atom_id and counts when it is used more
+    than once.
+    """
+    frame = list(frame)
+    rows = _uses(beads, atoms, frame).withColumn("uses", F.coalesce("uses", F.lit(0)).cast("bigint"))
+    return rows.where("uses <> 1").select(*frame, "row_idx", "atom_id", "uses")
 
 
 def coverage_issues(beads: DataFrame, atoms: DataFrame, frame: Sequence[str]) -> DataFrame:
-    """Every atom of a frame with beads must be in exactly one bead."""
+    """Every atom of a frame with beads must be in exactly one bead; one issue per frame and kind, with the count.
+
+    ``coverage_atoms`` lists the atoms.
+    """
     frame = list(frame)
-    members = beads.select(*frame, F.explode("atom_indices").alias("row_idx")).groupBy(*frame, "row_idx").agg(
-        F.count(F.lit(1)).alias("_uses"))
-    members = members.withColumn("row_idx", F.col("row_idx").cast("bigint"))
-    frames = beads.select(*frame).distinct()
-    both = atoms.select(*frame, "row_idx", F.col("id").alias("atom_id"), F.lit(1).alias("_real")).join(
-        members, [*frame, "row_idx"], "full")
-    odd = cut_lineage(both.where(F.col("_uses").isNull() | (F.col("_uses") > 1)).join(frames, frame, "left_semi"))
-    missing = _first_rows(odd.where(F.col("_uses").isNull()), frame)
-    doubled = _first_rows(odd.where(F.col("_uses") > 1), frame)
-
-    def listed(col: str) -> Column:
-        return F.array_join(F.transform(F.col(col), lambda v: v.cast("string")), ";")
-
-    notes = [
-        _issue(missing, frame, "coverage", F.lit("FAIL"), F.lit(None), F.concat(
-            F.col("n").cast("string"), F.lit(" atom(s) not in any bead")), n_atoms=F.col("n"), member_atom_ids=listed("ids")),
-        _issue(doubled, frame, "coverage", F.lit("FAIL"), F.lit(None), F.concat(
-            F.col("n").cast("string"), F.lit(" atom(s) in more than one bead")), n_atoms=F.col("n"), member_atom_ids=listed("ids"))]
-    sizes = both.groupBy(*frame).agg(
-        F.coalesce(F.sum("_uses"), F.lit(0)).alias("_seen"), F.count("_real").alias("_atoms"),
-        F.count_if(F.col("_uses").isNull()).alias("_missing"), F.count_if(F.col("_uses") > 1).alias("_doubled"))
-    off = sizes.join(frames, frame, "left_semi").where((F.col("_missing") == 0) & (F.col("_doubled") == 0) & (F.col("_seen") != F.col("_atoms")))
-    notes.append(_issue(off, frame, "coverage", F.lit("FAIL"), F.lit(None), F.concat(
-        F.lit("size mismatch: "), F.col("_seen").cast("string"), F.lit(" assigned, "), F.col("_atoms").cast("string"), F.lit(" atoms")),
-        n_atoms=F.col("_seen") - F.col("_atoms")))
-    return reduce(DataFrame.unionByName, notes)
+    sizes = _uses(beads, atoms, frame).groupBy(*frame).agg(
+        F.coalesce(F.sum("uses"), F.lit(0)).alias("seen"), F.count("real").alias("atoms"),
+        F.count_if(F.col("uses").isNull()).alias("missing"), F.count_if(F.col("uses") > 1).alias("doubled"))
+    clean = (F.col("missing") == 0) & (F.col("doubled") == 0)
+    notes = F.array_compact(F.array(
+        F.when(F.col("missing") > 0, F.struct(F.lit("atoms in no bead").alias("message"), F.col("missing").alias("n"))),
+        F.when(F.col("doubled") > 0, F.struct(F.lit("atoms in several beads").alias("message"), F.col("doubled").alias("n"))),
+        F.when(clean & (F.col("seen") != F.col("atoms")), F.struct(
+            F.lit("members and atoms differ in number").alias("message"), (F.col("seen") - F.col("atoms")).alias("n")))))
+    rows = sizes.select(*frame, F.explode(notes).alias("note"))
+    return _issue(rows, frame, "coverage", F.lit("FAIL"), F.lit(None), F.col("note.message"), n_atoms=F.col("note.n"))
 
 
 def rule_issues(beads: DataFrame, frame: Sequence[str], rules: BeadRules) -> DataFrame | None:
@@ -199,13 +188,13 @@ def rule_issues(beads: DataFrame, frame: Sequence[str], rules: BeadRules) -> Dat
         F.count(F.lit(1)).alias("_n"), F.min("type").alias("_type"), F.min("id").alias("_id"))
     both = declared.join(stored, [*frame, "ids"], "full")
     name = F.array_join(F.transform("ids", lambda v: v.cast("string")), ",")
-    kind = (F.when(F.col("want").isNull(), "undeclared manual assignment")
-            .when(F.col("_n").isNull(), "manual assignment missing")
-            .when(F.col("_n") > 1, "manual assignment duplicated")
-            .when(F.col("_type") != F.col("want"), "bead type mismatch"))
+    kind = (F.when(F.col("want").isNull(), "marked manual without a rule")
+            .when(F.col("_n").isNull(), "rule without a bead")
+            .when(F.col("_n") > 1, "several beads of one rule")
+            .when(F.col("_type") != F.col("want"), "bead of another type than its rule"))
     rows = both.withColumn("_k", kind).where(F.col("_k").isNotNull())
     severity = F.when(F.col("want").isNull(), "WARN").otherwise("FAIL")
-    cg_id = F.when(F.col("_k") == "bead type mismatch", F.col("_id"))
+    cg_id = F.when(F.col("_k") == "bead of another type than its rule", F.col("_id"))
     return _issue(rows, frame, "manual", severity, cg_id, F.concat_ws(": ", "_k", name), n_atoms=F.col("_n"))
 
 

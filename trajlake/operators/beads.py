@@ -4,7 +4,7 @@ Three stages, in order of priority, all sharing the rule "an atom belongs to
 one bead": explicit id lists, id offsets from a center, nearest neighbours of
 a center.  Each stage is joins and windows.  Only centers that compete for an
 atom need the sequential rule; they are handed to a small grouped function per
-frame, or per conflict component when a frame is hot.
+conflict component.
 """
 from __future__ import annotations
 
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from trajlake.operators.components import connected_components
 from trajlake.operators.neighbors import LENGTHS, POSITION, candidate_pairs
-from trajlake.operators.ordinals import bucketed_position, hot_keys
-from trajlake.session import HOT_GROUP_ROWS, cut_lineage
+from trajlake.operators.ordinals import bucketed_position
+from trajlake.session import cut_lineage
 
 EXPLICIT, OFFSET, DISTANCE = 1, 2, 3
 MEMBER_TYPE = 2
@@ -173,28 +173,16 @@ def _claims(bindings: DataFrame, frame: list[str]) -> DataFrame:
             .select(*frame, "center_row", "m.pos", "m.row_idx"))
 
 
-def _conflict_groups(rows: DataFrame, frame: list[str], atom: str, limit: int,
-                     centers_are_atoms: bool = False) -> DataFrame:
-    """Add ``_group``: rows that must be decided together.
-
-    Normally the frame; in a hot frame the connected component of centers that
-    share atoms.
-    """
-    hot = hot_keys(rows, frame, limit)
-    if hot is None:
-        return rows.withColumn("_group", F.lit(-1).cast("bigint"))
-    cold = rows.join(hot, frame, "left_anti").withColumn("_group", F.lit(-1).cast("bigint"))
-    big = rows.join(hot, frame, "left_semi")
-    wanted = big.select(*frame, "center_row", atom)
+def _conflict_groups(rows: DataFrame, frame: list[str], atom: str, centers_are_atoms: bool = False) -> DataFrame:
+    """Add ``_group``: the connected component of centers that share atoms, decided together."""
+    wanted = rows.select(*frame, "center_row", atom)
     if centers_are_atoms:
-        wanted = wanted.union(big.select(*frame, "center_row", "center_row")).distinct()
+        wanted = wanted.union(rows.select(*frame, "center_row", "center_row")).distinct()
     first = wanted.groupBy(*frame, atom).agg(F.min("center_row").alias("v"))
     links = wanted.join(first, [*frame, atom]).select(*frame, F.col("center_row").alias("u"), "v")
     parts = connected_components(links, frame).select(
         *frame, F.col("node").alias("center_row"), F.col("component").alias("_group"))
-    big = big.join(parts, [*frame, "center_row"], "left").withColumn(
-        "_group", F.coalesce("_group", "center_row"))
-    return cold.unionByName(big)
+    return rows.join(parts, [*frame, "center_row"], "left").withColumn("_group", F.coalesce("_group", "center_row"))
 
 
 def _in_groups(rows: DataFrame, frame: list[str], order: list[str]) -> DataFrame:
@@ -238,7 +226,7 @@ def _first_come(frame: list[str]):
 
 
 def offset_members(atoms: DataFrame, frame: Sequence[str], rule, center_type: int,
-                   used: DataFrame | None = None, limit: int = HOT_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+                   used: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Members accepted by one id-offset rule, and the binding table behind it."""
     frame = list(frame)
     number, types, offsets, cg_type = rule
@@ -249,7 +237,7 @@ def offset_members(atoms: DataFrame, frame: Sequence[str], rule, center_type: in
     flagged = cut_lineage(claims.withColumn("_n", F.count(F.lit(1)).over(per_atom))
                           .withColumn("_open", F.max(F.col("_n") > 1).over(per_center)).drop("_n"))
     clean = flagged.where(~F.col("_open")).drop("_open")
-    fought = _conflict_groups(flagged.where("_open").drop("_open"), frame, "row_idx", limit)
+    fought = _conflict_groups(flagged.where("_open").drop("_open"), frame, "row_idx")
     fought = _in_groups(fought, frame, ["pos"])
     settled = fought.mapInPandas(_first_come(frame), fought.drop("_group").schema)
     members = clean.unionByName(settled).select(
@@ -340,13 +328,12 @@ def _greedy(frame: list[str], steps, shared_type: bool):
     return run
 
 
-def settle_contested(flagged: DataFrame, frame: Sequence[str], rules: BeadRules,
-                     limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Competing centers, decided in row order within their frame (or component)."""
+def settle_contested(flagged: DataFrame, frame: Sequence[str], rules: BeadRules) -> DataFrame:
+    """Competing centers, decided in row order within their component."""
     frame = list(frame)
     shared = rules.center_type == MEMBER_TYPE
     rows = flagged.where("contested").select(*frame, "center_row", "member_row", "d2")
-    rows = _in_groups(_conflict_groups(rows, frame, "member_row", limit, shared), frame, ["d2", "member_row"])
+    rows = _in_groups(_conflict_groups(rows, frame, "member_row", shared), frame, ["d2", "member_row"])
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*frame).schema],
                         "center_row bigint, pattern_no int, pos int, row_idx bigint"])
     chosen = rows.mapInPandas(_greedy(frame, rules.best_pattern(), shared), schema)
@@ -359,33 +346,25 @@ def _frame_diagonal(atoms: DataFrame) -> float:
     return float(row["d"] or 0.0)
 
 
-def distance_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules,
-                     limit: int = HOT_GROUP_ROWS) -> DataFrame:
+def distance_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules) -> DataFrame:
     """Members bound by the nearest-neighbour patterns among the given free atoms."""
     frame = list(frame)
     if rules.r_cutoff is None:
-        return _without_cutoff(atoms, frame, rules, limit)
-    cutoff = float(rules.r_cutoff)
-    dense = hot_keys(atoms, frame, limit)
-    if dense is None:
-        return _within_cutoff(atoms, frame, rules, cutoff, limit)
-    # a hot frame may be crowded: most centers are settled with few candidates
-    crowded = _growing_cutoff(atoms.join(dense, frame, "left_semi"), frame, rules, limit, cutoff / 8, cutoff)
-    return crowded.unionByName(_within_cutoff(atoms.join(dense, frame, "left_anti"), frame, rules, cutoff, limit))
-
-
-def _within_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, cutoff: float,
-                   limit: int) -> DataFrame:
+        return _growing_cutoff(atoms, frame, rules, 2.0, _frame_diagonal(atoms) * (1 + 1e-9) or 1.0)
+    return _within_cutoff(atoms, frame, rules, float(rules.r_cutoff))
+
+
+def _within_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, cutoff: float) -> DataFrame:
     pairs = candidate_pairs(atoms, frame, cutoff, rules.center_type, MEMBER_TYPE)
     if rules.center_type == MEMBER_TYPE:
         # a center may itself be wanted: everybody in reach of somebody competes
         flagged = pairs.withColumn("contested", F.lit(True))
         flagged = cut_lineage(flagged)
-        members = settle_contested(flagged, frame, rules, limit)
+        members = settle_contested(flagged, frame, rules)
     else:
         flagged = cut_lineage(flag_contested(pairs, frame))
         members = settle_uncontested(flagged, frame, rules).unionByName(
-            settle_contested(flagged, frame, rules, limit))
+            settle_contested(flagged, frame, rules))
     lonely = next((s for s in rules.best_pattern() if s[0] == 0), None)
     if lonely is not None:  # a pattern without members also fits centers that reach nobody
         alone = (atoms.where(F.col("type") == rules.center_type)
@@ -397,35 +376,19 @@ def _within_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, cutoff:
     return members
 
 
-def _without_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit: int,
-                    small_frame: int = 256) -> DataFrame:
-    """Small frames look across the whole box at once; larger ones grow a cutoff."""
-    large = hot_keys(atoms, frame, small_frame)
-    if large is None:
-        return _within_cutoff(atoms, frame, rules, _frame_diagonal(atoms) * (1 + 1e-9) or 1.0, limit)
-    small = atoms.join(large, frame, "left_anti")
-    crowded = atoms.join(large, frame, "left_semi")
-    members = _growing_cutoff(crowded, frame, rules, limit, 2.0, _frame_diagonal(crowded) * (1 + 1e-9) or 1.0)
-    if small.isEmpty():
-        return members
-    return members.unionByName(_within_cutoff(
-        small, frame, rules, _frame_diagonal(small) * (1 + 1e-9) or 1.0, limit))
-
-
-def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit: int,
-                    first: float, reach: float) -> DataFrame:
+def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, first: float, reach: float) -> DataFrame:
     """The rule with cutoff ``reach``, decided with growing smaller cutoffs.
 
     Under a smaller cutoff every center up to the first one that can not fill
     the largest pattern has its final members, because its nearest free members
     are the same under both.  Those are kept; the rest of the
-    frame is redone with twice the cutoff, until ``reach`` is reached.
+    frame is redone with four times the cutoff, until ``reach`` is reached.
     """
     most = rules.best_pattern()[0][0]
     done, open_atoms, cutoff = None, atoms, first
     while True:
         last = cutoff >= reach
-        members = cut_lineage(_within_cutoff(open_atoms, frame, rules, min(cutoff, reach), limit))
+        members = cut_lineage(_within_cutoff(open_atoms, frame, rules, min(cutoff, reach)))
         if last:
             return members if done is None else done.unionByName(members)
         full = members.groupBy(*frame, "center_row").agg((F.count(F.lit(1)) - 1).alias("_got"))
@@ -445,13 +408,12 @@ def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, limit:
             final.select(*frame, "row_idx"), [*frame, "row_idx"], "left_anti"))
         if open_atoms.isEmpty():
             return done
-        cutoff *= 2
+        cutoff *= 4
 
 
 # --- all stages --------------------------------------------------------------
 
-def assign_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules,
-                   limit: int = HOT_GROUP_ROWS) -> tuple[DataFrame, DataFrame]:
+def assign_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules) -> tuple[DataFrame, DataFrame]:
     """(members, warnings) over the three stages.
 
     ``atoms`` carries px,py,pz,lx,ly,lz.  ``warnings`` has one row per center
@@ -465,7 +427,7 @@ def assign_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules,
         parts.append(cut_lineage(explicit))
     for rule in rules.valid_id_patterns():
         used = _used(parts, frame)
-        members, bindings = offset_members(atoms, frame, rule, rules.center_type, used, limit)
+        members, bindings = offset_members(atoms, frame, rule, rules.center_type, used)
         members = cut_lineage(members)
         won = members.where(F.col("pos") == 0).select(*frame, "center_row")
         lost = bindings.join(won, [*frame, "center_row"], "left_anti")
@@ -475,7 +437,7 @@ def assign_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules,
         parts.append(members)
     used = _used(parts, frame)
     free = atoms if used is None else atoms.join(used, [*frame, "row_idx"], "left_anti")
-    nearest = cut_lineage(distance_members(free, frame, rules, limit))
+    nearest = cut_lineage(distance_members(free, frame, rules))
     parts.append(nearest)
     unmatched = (free.where(F.col("type") == rules.center_type)
                  .select(*frame, F.col("row_idx").alias("center_row"), F.col("id").alias("center_id"))
@@ -523,7 +485,8 @@ def bead_values(members: DataFrame, atoms: DataFrame, frame: Sequence[str],
     else:
         if rules.average_forces:
             total = F.sum("_mass")
-            force = {c: F.sum(F.col(c) * F.col("_mass")) / F.when(total > 0, total) for c in ("fx", "fy", "fz")}
+            # the plain mean where no member has a mass, as in the audit
+            force = {c: F.when(total > 0, F.sum(F.col(c) * F.col("_mass")) / total).otherwise(F.avg(c)) for c in ("fx", "fy", "fz")}
         else:
             force = {c: F.lit(0.0) for c in ("fx", "fy", "fz")}
         energy = F.avg("c_pe") if rules.average_potential_energy else F.lit(None).cast("double")

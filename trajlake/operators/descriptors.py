@@ -13,7 +13,9 @@ from trajlake.functions.geometry import squared_distance
 from trajlake.operators.neighbors import LENGTHS, POSITION, cell_pairs
 
 PAIR_WINDOW = 99
-PAIR_VALUES = 500
+PAIR_VALUES = 500  # of the explicit prefix form
+HISTOGRAM_BINS = 16
+HISTOGRAM_REACH = 16.0
 DENSITY_BINS = 8
 DENSITY_SLOTS = 4 * DENSITY_BINS  # type pairs of two types
 
@@ -46,6 +48,38 @@ def pair_descriptor(atoms: DataFrame, frame: Sequence[str], values: int = PAIR_V
     return few.select(*frame, F.slice(F.flatten(F.flatten(nested)), 1, values).alias("features"))
 
 
+def pair_histogram(atoms: DataFrame, frame: Sequence[str], bins: int = HISTOGRAM_BINS,
+                   reach: float = HISTOGRAM_REACH) -> DataFrame:
+    """(frame, type_i, type_j, bin, n): all pairs i < j < i+100 by type pair and distance.
+
+    The last bin also holds all larger distances.  A block of rows meets its own
+    and the next block, so each row is paired with at most two blocks and no
+    frame is collected.
+    """
+    frame = list(frame)
+    width = PAIR_WINDOW + 1
+    block = F.floor(F.col("row_idx") / width)
+    left = atoms.select(*frame, *LENGTHS, block.alias("_b"), F.col("row_idx").alias("_i"), F.col("type").alias("type_i"),
+                        *[F.col(p).alias(f"_{p}") for p in POSITION])
+    right = atoms.select(*frame, F.explode(F.array(block, block - 1)).alias("_b"), F.col("row_idx").alias("_j"),
+                         F.col("type").alias("type_j"), *POSITION)
+    pairs = left.join(right, [*frame, "_b"]).where((F.col("_j") > F.col("_i")) & (F.col("_j") - F.col("_i") <= PAIR_WINDOW))
+    d = F.sqrt(squared_distance([F.col(f"_{p}") for p in POSITION], [F.col(p) for p in POSITION], [F.col(l) for l in LENGTHS]))
+    place = F.least(F.floor(d * (bins / reach)), F.lit(bins - 1)).cast("int")
+    return pairs.groupBy(*frame, "type_i", "type_j", place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_vectors(frames: DataFrame, histogram: DataFrame, frame: Sequence[str], bins: int = HISTOGRAM_BINS,
+                      types: Sequence[int] = (1, 2)) -> DataFrame:
+    """(frame, features): shares of a frame's pairs, one slot per type pair and bin; zeros without pairs."""
+    total = F.nullif(F.sum("n"), F.lit(0))
+    slots = [F.coalesce(F.sum(F.when((F.col("type_i") == a) & (F.col("type_j") == b) & (F.col("bin") == k), F.col("n"))) / total, F.lit(0.0))
+             for a in types for b in types for k in range(bins)]
+    found = histogram.groupBy(*frame).agg(F.array(*slots).alias("features"))
+    empty = F.array_repeat(F.lit(0.0), bins * len(types) ** 2)
+    return frames.join(found, list(frame), "left").withColumn("features", F.coalesce("features", empty))
+
+
 def density_descriptor(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0, n_max: int = DENSITY_BINS,
                        sigma: float = 0.5) -> DataFrame:
     """(frame, type_i, type_j, bin, density): Gaussian-smeared neighbour density

@@ -36,9 +36,10 @@ def error_summary(df: DataFrame, keys: Sequence[str] = (), pred: str = "pred",
 
 
 def paired_values(pred: DataFrame, ref: DataFrame) -> DataFrame:
-    """(frame_no, pos, component, pred, ref) of two matrices, cut to the shorter one.
+    """(frame_no, pos, component, pred, ref) of the frames both matrices hold with the same width.
 
     Matrices are (frame_no, values); ``component`` counts 0,1,2 along a row.
+    What is left out is listed by ``unpaired_frames``.
     """
     both = pred.select("frame_no", F.col("values").alias("p")).join(
         ref.select("frame_no", F.col("values").alias("r")), "frame_no")
@@ -46,3 +47,10 @@ def paired_values(pred: DataFrame, ref: DataFrame) -> DataFrame:
     return both.select("frame_no", F.posexplode(F.arrays_zip("p", "r")).alias("pos", "v")).select(
         "frame_no", "pos", (F.col("pos") % 3).alias("component"),
         F.col("v.p").alias("pred"), F.col("v.r").alias("ref"))
+
+
+def unpaired_frames(pred: DataFrame, ref: DataFrame) -> DataFrame:
+    """(frame_no, pred_width, ref_width) of frames that can't be scored: only on one side, or of unequal width."""
+    both = pred.select("frame_no", F.size("values").alias("pred_width")).join(
+        ref.select("frame_no", F.size("values").alias("ref_width")), "frame_no", "full")
+    return both.where(~F.col("pred_width").eqNullSafe(F.col("ref_width")))

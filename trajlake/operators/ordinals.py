@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.operators.joins import join_keys
-from trajlake.session import HOT_GROUP_ROWS, cut_lineage
+from trajlake.session import cut_lineage
 
 
 def bucket_offsets(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
@@ -49,21 +49,10 @@ def bucketed_position(df: DataFrame, keys: Sequence[str], buckets: Mapping[str,
             .drop("_before", "_inside", *names))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none.
-
-    One map-side-combined count over the key columns; there can be at most
-    ``rows / limit`` hot keys.
-    """
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > limit).select(*keys))
-    return None if hot.isEmpty() else hot
-
-
 def ranged_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """Add the 0-based position in ``keys`` (none: the whole table) by ``order``.
 
-    The sorted rows are checkpointed, so partition numbers and places stay what
+    The sorted rows are stored, so partition numbers and places stay what
     they were when the offsets were counted.
     """
     everything = [*[F.col(k) for k in keys], *order]
@@ -80,22 +69,6 @@ def ranged_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return placed.withColumn(out, F.col("_place").cast("bigint")).drop("_part", "_row", "_shift", "_place")
 
 
-def position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-             limit: int = HOT_GROUP_ROWS) -> DataFrame:
-    """0-based position in ``keys`` by ``order``; hot keys go through a range sort."""
-    plain = W.partitionBy(*keys).orderBy(*order)
-
-    def direct(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(out, (F.row_number().over(plain) - 1).cast("bigint"))
-
-    hot = hot_keys(df, keys, limit)
-    if hot is None:
-        return direct(df)
-    cold_rows = direct(df.join(hot, list(keys), "left_anti"))
-    hot_rows = ranged_position(df.join(hot, list(keys), "left_semi"), keys, order, out)
-    return cold_rows.unionByName(hot_rows)
-
-
 def even_picks_truncating(position_col: Column, n: Column, picks: int) -> Column:
     """True where the position is one of ``int(linspace(0, n-1, picks))``.
 

@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 from trajlake.functions.geometry import magnitude
 from trajlake.operators.joins import join_keys
 from trajlake.operators.quantiles import exact_quantiles
-from trajlake.session import HOT_GROUP_ROWS
 
 # fixed values: reported force quantiles
 QUANTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q95": 0.95, "q99": 0.99}
 
 
 def file_profile(beads: DataFrame, file: Sequence[str], step: str = "timestep",
-                 quantiles: bool = True, limit: int = HOT_GROUP_ROWS) -> DataFrame:
+                 quantiles: bool = True) -> DataFrame:
     """One row per file: counts, force and energy statistics."""
     file = list(file)
     rows = beads.withColumn("_f", magnitude(F.col("fx"), F.col("fy"), F.col("fz")))
@@ -27,7 +26,7 @@ def file_profile(beads: DataFrame, file: Sequence[str], step: str = "timestep",
         F.avg("c_pe").alias("pe_mean"), F.stddev_samp("c_pe").alias("pe_std"),
         F.min("c_pe").alias("pe_min"), F.max("c_pe").alias("pe_max"))
     if quantiles:
-        q = exact_quantiles(rows, file, "_f", list(QUANTILES.values()), limit)
+        q = exact_quantiles(rows, file, "_f", list(QUANTILES.values()))
         stats = join_keys(stats, q, file, "left").withColumns(
             {f"force_{name}": F.col("q")[i] for i, name in enumerate(QUANTILES)}).drop("q")
     return stats
@@ -97,11 +96,11 @@ def histogram(df: DataFrame, value: str, bins: int, weight: Column | None = None
 
 
 def density_grid(df: DataFrame, value: str, weight: str, points: int = 200, margin: float = 0.1,
-                 sample_cap: int = 10_000) -> DataFrame:
+                 sample_cap: int | None = None) -> DataFrame:
     """(grid, x, density): weighted Gaussian density estimate on an even grid.
 
-    Scott's bandwidth with the sample size limited to ``sample_cap``; all
-    values enter with their weights, nothing is sampled.
+    Scott's bandwidth of the whole weight; ``sample_cap`` limits the sample
+    size the bandwidth assumes.  All values enter with their weights.
     """
     rows = df.where(F.col(value).isNotNull()).select(
         F.col(value).cast("double").alias("_v"), F.col(weight).cast("double").alias("_w"))
@@ -110,7 +109,7 @@ def density_grid(df: DataFrame, value: str, weight: str, points: int = 200, marg
         F.min("_v").alias("lo"), F.max("_v").alias("hi"), w.alias("w"), (v / w).alias("mean")).alias("s")).scalar()
     spread = rows.withColumn("_m", facts["mean"]).agg(
         (F.sum(F.col("_w") * (F.col("_v") - F.col("_m")) * (F.col("_v") - F.col("_m"))) / F.nullif(F.sum("_w") - 1, F.lit(0.0))).alias("v")).scalar()
-    n = F.least(facts["w"], F.lit(float(sample_cap)))
+    n = facts["w"] if sample_cap is None else F.least(facts["w"], F.lit(float(sample_cap)))
     rows = rows.withColumns({
         "_lo": facts["lo"], "_hi": facts["hi"], "_tot": facts["w"],
         "_h": F.nullif(F.pow(n, F.lit(-0.2)) * F.sqrt(spread), F.lit(0.0))})
@@ -125,12 +124,11 @@ def density_grid(df: DataFrame, value: str, weight: str, points: int = 200, marg
         F.first(x).alias("x"), F.sum(F.col("_w") * F.exp(-u * u / 2) / norm).alias("density"))
 
 
-def box_plot(df: DataFrame, keys: Sequence[str], value: str,
-             limit: int = HOT_GROUP_ROWS) -> DataFrame:
+def box_plot(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, n, mean, q1, median, q3, whisker_low, whisker_high, n_outside)."""
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    q = exact_quantiles(rows, keys, "_v", (0.25, 0.5, 0.75), limit).select(
+    q = exact_quantiles(rows, keys, "_v", (0.25, 0.5, 0.75)).select(
         *keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low, high = F.col("q1") - reach, F.col("q3") + reach

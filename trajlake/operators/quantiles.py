@@ -4,71 +4,27 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.operators.joins import join_keys
-from trajlake.operators.ordinals import hot_keys
-from trajlake.session import HOT_GROUP_ROWS
+from trajlake.operators.ordinals import ranged_position
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                    limit: int = HOT_GROUP_ROWS) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """(keys, q): array of linearly interpolated quantiles of the non-null values.
 
-    The built-in exact percentile keeps every distinct value of a group in one
-    task, so it only serves groups up to ``limit`` rows.
+    The values are range-sorted by (keys, value), so a group of any size is
+    spread over partitions; only the rows at the wanted ranks are kept.
     """
     keys = list(keys)
     rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    placed = ranged_position(rows, keys, [F.col("_v")], "_at")
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def direct(part: DataFrame) -> DataFrame:
-        return part.groupBy(*keys).agg(F.percentile("_v", wanted).alias("q"))
-
-    hot = hot_keys(rows, keys, limit)
-    if hot is None:
-        return direct(rows)
-    return direct(join_keys(rows, hot, keys, "left_anti")).unionByName(
-        _bracketed(join_keys(rows, hot, keys, "left_semi"), keys, probs))
-
-
-def _bracketed(rows: DataFrame, keys: list[str], probs: Sequence[float],
-               accuracy: int = 10_000) -> DataFrame:
-    """Exact quantiles of large groups in two passes.
-
-    A mergeable sketch brackets each quantile within a proven rank error; only
-    values inside a bracket are counted by distinct value and ranked.
-    """
-    margin = 4.0 / accuracy
-    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", F.array(*[F.lit(e) for e in ends]), accuracy).alias("_e"))
-    low = [F.when(F.lit(p - margin <= 0), F.col("_min")).otherwise(F.col("_e")[2 * i]) for i, p in enumerate(probs)]
-    high = [F.when(F.lit(p + margin >= 1), F.col("_max")).otherwise(F.col("_e")[2 * i + 1]) for i, p in enumerate(probs)]
-    brackets = sketch.select(*keys, "_n", *[low[i].alias(f"_lo{i}") for i in range(len(probs))],
-                             *[high[i].alias(f"_hi{i}") for i in range(len(probs))])
-    joined = join_keys(rows, brackets, keys)
-    below = joined.groupBy(*keys).agg(
-        F.first("_n").alias("_n"),
-        F.array(*[F.count_if(F.col("_v") < F.col(f"_lo{i}")) for i in range(len(probs))]).alias("_below"))
-    inside = F.array_compact(F.array(*[
-        F.when(F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i)) for i in range(len(probs))]))
-    counted = (joined.select(*keys, "_v", F.explode(inside).alias("_i"))
-               .groupBy(*keys, "_i", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    upto = W.partitionBy(*keys, "_i").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    ranked = join_keys(counted.withColumn("_end", F.sum("_c").over(upto)), below, keys)
-    place = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i")) * (F.col("_n") - 1)
-    ranked = ranked.withColumns({"_end": F.col("_end") + F.get("_below", F.col("_i")), "_place": place})
-
-    def at(rank):
-        return F.max(F.when((F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end")), F.col("_v")))
-
-    found = ranked.groupBy(*keys, "_i").agg(
-        F.first("_place").alias("_p"), at(F.floor("_place")).alias("_a"), at(F.ceil("_place")).alias("_b"))
-    value = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_p") - F.floor("_p"))
-    # a bracket that missed its rank would give NULL; fail instead of returning it
-    value = F.coalesce(value, F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
+    hit = F.filter(F.transform(wanted, lambda p, i: F.struct(i.alias("i"), (p * (F.col("_n") - 1)).alias("place"))),
+                   lambda w: (F.floor(w["place"]) == F.col("_at")) | (F.ceil(w["place"]) == F.col("_at")))
+    found = (join_keys(placed, sizes, keys).withColumn("_w", F.explode(hit))
+             .groupBy(*keys, "_w").agg(F.min("_v").alias("_a"), F.max("_v").alias("_b")))
+    value = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_w.place") - F.floor("_w.place"))
     return found.groupBy(*keys).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_i", value.alias("v")))), lambda s: s["v"]).alias("q"))
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("_w.i").alias("i"), value.alias("v")))), lambda s: s["v"]).alias("q"))

@@ -69,11 +69,16 @@ def limit_frames(frames: DataFrame, max_per_file: int | None, max_frames: int |
         F.col("frame_idx") < F.col("_left")).drop("_left")
 
 
-def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42) -> DataFrame:
-    """Seeded row sample; None or >= 1 keeps everything."""
-    return df if fraction is None or fraction >= 1 else df.sample(fraction=fraction, seed=seed)
+def _draw(df: DataFrame, keys: Sequence[str] | None, seed: int) -> Column:
+    """A number in [0, 1) that depends on the row's keys only (default: all columns)."""
+    return F.pmod(F.xxhash64(*(keys or df.columns), F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
 
 
-def random_points(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """At most ``n`` random rows, e.g. the points of a scatter."""
-    return df.orderBy(F.rand(seed)).limit(n)
+def sample_rows(df: DataFrame, fraction: float | None, seed: int = 42, keys: Sequence[str] | None = None) -> DataFrame:
+    """Sample by a hash of the row, whatever the partitioning; None or >= 1 keeps everything."""
+    return df if fraction is None or fraction >= 1 else df.where(_draw(df, keys, seed) < fraction)
+
+
+def random_points(df: DataFrame, n: int, seed: int = 42, keys: Sequence[str] | None = None) -> DataFrame:
+    """At most ``n`` rows by the order of a hash of the row, e.g. the points of a scatter."""
+    return df.orderBy(_draw(df, keys, seed), *(keys or df.columns)).limit(n)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.functions.geometry import kelvin_to_ev
+from trajlake.operators.joins import join_keys
 
 
 def block_means(thermo: DataFrame, source: Sequence[str]) -> DataFrame:
@@ -26,21 +27,18 @@ def join_thermo(frames: DataFrame, thermo: DataFrame, source: Sequence[str] = ("
     """
     source = list(source)
     rows = thermo.join(block_means(thermo, source), [*source, "block_id"])
-    # one row per step first, so the join below never multiplies frames
-    options = rows.groupBy(*source, F.col("step").alias(step)).agg(F.array_sort(F.collect_list(F.struct(
-        "block_id", F.coalesce("mean_temp", F.lit(float("inf"))).alias("mean_temp"), "temp", "press"))).alias("_options"))
-    goal = F.col(nominal)
-
-    def scored(o: Column) -> Column:
-        gap = F.when(goal.isNull(), F.lit(0.0)).otherwise(F.abs(o["mean_temp"] - goal))
-        return F.struct(gap.alias("gap"), o["block_id"].alias("block_id"), o["temp"].alias("temp"), o["press"].alias("press"))
-
-    best = F.array_min(F.transform("_options", scored))
-    out = frames.join(options, [*source, step], "left").withColumn("_best", best)
+    # the best block of every distinct (source, step, nominal), so that the join below never multiplies frames
+    asked = frames.select(*source, step, F.col(nominal).alias("_goal")).distinct()
+    gap = F.when(F.col("_goal").isNull(), F.lit(0.0)).otherwise(
+        F.abs(F.coalesce("mean_temp", F.lit(float("inf"))) - F.col("_goal")))
+    options = rows.select(*source, F.col("step").alias(step), "block_id", "mean_temp", "temp", "press")
+    best = asked.join(options, [*source, step]).groupBy(*source, step, "_goal").agg(
+        F.min(F.struct(gap.alias("gap"), "block_id", "temp", "press")).alias("_best"))
+    out = join_keys(frames.withColumn("_goal", F.col(nominal)), best, [*source, step, "_goal"], "left")
     near = F.lit(True) if max_gap is None else F.col("_best.gap") <= max_gap
     return out.withColumns({
         "temp_measured": F.when(near, F.col("_best.temp")),
-        "pressure": F.when(near, F.col("_best.press"))}).drop("_best", "_options")
+        "pressure": F.when(near, F.col("_best.press"))}).drop("_best", "_goal")
 
 
 def coverage(frames: DataFrame) -> DataFrame:

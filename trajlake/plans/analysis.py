@@ -51,12 +51,12 @@ class Structures:
     variance: list[float]
 
 
-def load_structures(spark: SparkSession, paths, max_frames: int | None = 500, max_per_file: int | None = 10,
+def load_structures(spark: SparkSession, paths, max_frames: int | None = None, max_per_file: int | None = None,
                     bead_dumps: bool = True, **options) -> tuple[DataFrame, DataFrame]:
-    """(frames, atoms) of the chosen frames, in natural path order."""
+    """(frames, atoms) of all frames, in natural path order; the limits are the caller's choice."""
     frames = with_frame_idx(valid_frames(read_frames(spark, paths, **options)))
     labels = bead_dump_labels if bead_dumps else dump_labels
-    frames = limit_frames(frames, max_per_file if bead_dumps else 1, max_frames, natural_key(F.col("file")))
+    frames = limit_frames(frames, max_per_file, max_frames, natural_key(F.col("file")))
     frames = cut_lineage(frames.withColumn("_l", labels(F.col("file"))).select("*", "_l.sim_type", "_l.temp").drop("_l"))
     return frames, canonical_atoms(atom_rows(frames, (*FRAME, "timestep", "natoms")))
 
@@ -79,7 +79,7 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
         vectors = frames.select(*FRAME).join(found, FRAME, "left").withColumn(
             "features", F.coalesce("features", F.array_repeat(F.lit(0.0), D.DENSITY_SLOTS)))
     else:
-        vectors = D.equal_length(D.pair_descriptor(atoms, FRAME))
+        vectors = D.histogram_vectors(frames.select(*FRAME), D.pair_histogram(atoms, FRAME), FRAME)
     facts = atoms.groupBy(*FRAME).agg(F.avg("c_pe").alias("mean_energy"), F.stddev_pop("c_pe").alias("std_energy"),
                                       F.sum("c_pe").alias("_sum"))
     table = frames.select(*FRAME, "timestep", "sim_type", "temp").join(facts, FRAME, "left")

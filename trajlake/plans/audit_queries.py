@@ -69,8 +69,8 @@ def audit_conservation(spark, sf_dir) -> DataFrame:
 
 
 AUDIT_CONSERVATION = f"""WITH {TABLES_SQL}
-SELECT frame, id AS cg_id, CASE WHEN n_members IS NULL THEN 'empty atom_indices' WHEN n_lost > 0 THEN 'atom_indices out of range'
-    ELSE 'recompute mismatch' END AS message,
+SELECT frame, id AS cg_id, CASE WHEN n_members IS NULL THEN 'bead without members' WHEN n_lost > 0 THEN 'member outside the frame'
+    ELSE 'stored values differ' END AS message,
   CASE WHEN n_lost = 0 THEN n_members END AS n_atoms, CASE WHEN n_lost = 0 THEN round(force_err, 9) END AS force_err,
   CASE WHEN n_lost = 0 THEN round(pe_err, 9) END AS pe_err, CASE WHEN n_lost = 0 THEN round(pos_err, 9) END AS pos_err
 FROM checked WHERE n_members IS NULL OR n_lost > 0 OR pos_err > 1e-9 OR force_err > 1e-4 OR pe_err > 1e-6"""
@@ -93,21 +93,26 @@ FROM s WHERE worst > 0.225::DOUBLE"""
 
 def audit_coverage(spark, sf_dir) -> DataFrame:
     atoms, beads = _tables(spark, sf_dir)
-    out = A.coverage_issues(beads, atoms, at.FRAME)
-    return out.select("frame", F.regexp_replace("message", r"^\d+ ", "").alias("message"), "n_atoms", "member_atom_ids")
+    return A.coverage_atoms(beads, atoms, at.FRAME)
 
 
-AUDIT_COVERAGE = f"""WITH {TABLES_SQL}, n AS (SELECT frame, row_idx, count(*) AS n FROM uses GROUP BY frame, row_idx),
-j AS (SELECT coalesce(a.frame, n.frame) AS frame, coalesce(a.row_idx, n.row_idx) AS row_idx, a.id, n.n
-  FROM (SELECT * FROM atoms SEMI JOIN beads USING (frame)) a FULL JOIN n ON n.frame = a.frame AND n.row_idx = a.row_idx)
-SELECT frame, 'atom(s) not in any bead' AS message, count(*) AS n_atoms,
-  array_to_string(list(id::VARCHAR ORDER BY row_idx)[1:50], ';') AS member_atom_ids FROM j WHERE n IS NULL GROUP BY frame
-UNION ALL
-SELECT frame, 'atom(s) in more than one bead', count(*), coalesce(array_to_string(list(id::VARCHAR ORDER BY row_idx)[1:50], ';'), '')
-FROM j WHERE n > 1 GROUP BY frame
-UNION ALL
-SELECT frame, 'size mismatch: ' || sum(n) || ' assigned, ' || count(id) || ' atoms', sum(n)::BIGINT - count(id), NULL FROM j
-GROUP BY frame HAVING count(*) FILTER (n IS NULL) = 0 AND count(*) FILTER (n > 1) = 0 AND sum(n) <> count(id)"""
+COVERAGE_SQL = """n AS (SELECT frame, row_idx, count(*) AS n FROM uses GROUP BY frame, row_idx),
+j AS (SELECT coalesce(a.frame, n.frame) AS frame, coalesce(a.row_idx, n.row_idx) AS row_idx, a.id, coalesce(n.n, 0) AS n
+  FROM (SELECT * FROM atoms SEMI JOIN beads USING (frame)) a FULL JOIN n ON n.frame = a.frame AND n.row_idx = a.row_idx)"""
+AUDIT_COVERAGE = f"WITH {TABLES_SQL}, {COVERAGE_SQL} SELECT frame, row_idx, id AS atom_id, n AS uses FROM j WHERE n <> 1"
+
+
+def audit_frame_coverage(spark, sf_dir) -> DataFrame:
+    atoms, beads = _tables(spark, sf_dir)
+    return A.coverage_issues(beads, atoms, at.FRAME).select("frame", "message", "n_atoms")
+
+
+AUDIT_FRAME_COVERAGE = f"""WITH {TABLES_SQL}, {COVERAGE_SQL},
+k AS (SELECT frame, count(*) FILTER (n = 0) AS missing, count(*) FILTER (n > 1) AS doubled, sum(n)::BIGINT AS seen, count(id) AS atoms
+  FROM j GROUP BY frame)
+SELECT frame, 'atoms in no bead' AS message, missing AS n_atoms FROM k WHERE missing > 0
+UNION ALL SELECT frame, 'atoms in several beads', doubled FROM k WHERE doubled > 0
+UNION ALL SELECT frame, 'members and atoms differ in number', seen - atoms FROM k WHERE missing = 0 AND doubled = 0 AND seen <> atoms"""
 
 
 def audit_rules(spark, sf_dir) -> DataFrame:
@@ -121,33 +126,34 @@ AUDIT_RULES = f"""WITH {TABLES_SQL}, d AS (
 m AS (SELECT frame, assigned_atom_ids AS ids, count(*) AS n, min(type) AS type, min(id) AS id FROM beads WHERE manual_assignment GROUP BY ALL),
 j AS (SELECT coalesce(d.frame, m.frame) AS frame, coalesce(d.ids, m.ids) AS ids, want, n, type, id
   FROM d FULL JOIN m ON d.frame = m.frame AND d.ids = m.ids),
-k AS (SELECT *, CASE WHEN want IS NULL THEN 'undeclared manual assignment' WHEN n IS NULL THEN 'manual assignment missing'
-  WHEN n > 1 THEN 'manual assignment duplicated' WHEN type <> want THEN 'bead type mismatch' END AS kind FROM j)
-SELECT frame, CASE WHEN want IS NULL THEN 'WARN' ELSE 'FAIL' END AS severity, CASE WHEN kind = 'bead type mismatch' THEN id END AS cg_id,
+k AS (SELECT *, CASE WHEN want IS NULL THEN 'marked manual without a rule' WHEN n IS NULL THEN 'rule without a bead'
+  WHEN n > 1 THEN 'several beads of one rule' WHEN type <> want THEN 'bead of another type than its rule' END AS kind FROM j)
+SELECT frame, CASE WHEN want IS NULL THEN 'WARN' ELSE 'FAIL' END AS severity, CASE WHEN kind = 'bead of another type than its rule' THEN id END AS cg_id,
   kind || ': ' || array_to_string(ids, ',') AS message FROM k WHERE kind IS NOT NULL"""
 
 
 def audit_summary(spark, sf_dir) -> DataFrame:
     """Frames by status and check."""
     atoms, beads = _tables(spark, sf_dir)
-    issues = A.audit_issues(beads, atoms, at.FRAME, RULES, ("pbc", "conservation", "coverage"))
+    issues = A.audit_issues(beads, atoms, at.FRAME, RULES)
     frames = A.frame_rollup(beads, issues, at.FRAME)
     return frames.groupBy(F.when(F.col("n_fail") > 0, "FAIL").otherwise("OK").alias("status")).agg(
         F.count(F.lit(1)).alias("n_frames"), *[F.sum(c).alias(c) for c in (
-            "n_beads", "n_covered", "n_fail", "n_warn", "n_pbc", "n_conservation", "n_coverage")])
+            "n_beads", "n_covered", "n_fail", "n_warn", "n_pbc", "n_conservation", "n_coverage", "n_manual")])
 
 
-AUDIT_SUMMARY = f"""WITH c AS ({AUDIT_CONSERVATION}), s AS ({AUDIT_SPAN}), v AS ({AUDIT_COVERAGE}), {TABLES_SQL},
+AUDIT_SUMMARY = f"""WITH c AS ({AUDIT_CONSERVATION}), s AS ({AUDIT_SPAN}), v AS ({AUDIT_FRAME_COVERAGE}), r AS ({AUDIT_RULES}), {TABLES_SQL},
 i AS (SELECT frame, 'FAIL' AS severity, 'conservation' AS chk FROM c UNION ALL SELECT frame, severity, 'pbc' FROM s
-  UNION ALL SELECT frame, 'FAIL', 'coverage' FROM v),
+  UNION ALL SELECT frame, 'FAIL', 'coverage' FROM v UNION ALL SELECT frame, severity, 'manual' FROM r),
 n AS (SELECT frame, count(*) FILTER (severity = 'FAIL') AS n_fail, count(*) FILTER (severity = 'WARN') AS n_warn,
-    count(*) FILTER (chk = 'pbc') AS n_pbc, count(*) FILTER (chk = 'conservation') AS n_conservation, count(*) FILTER (chk = 'coverage') AS n_coverage
+    count(*) FILTER (chk = 'pbc') AS n_pbc, count(*) FILTER (chk = 'conservation') AS n_conservation, count(*) FILTER (chk = 'coverage') AS n_coverage,
+    count(*) FILTER (chk = 'manual') AS n_manual
   FROM i GROUP BY frame),
 f AS (SELECT frame, count(*) AS n_beads, sum(len(atom_indices)) AS n_covered FROM beads GROUP BY frame)
 SELECT CASE WHEN n_fail > 0 THEN 'FAIL' ELSE 'OK' END AS status, count(*) AS n_frames, sum(n_beads)::BIGINT AS n_beads,
   sum(n_covered)::BIGINT AS n_covered, coalesce(sum(n_fail), 0)::BIGINT AS n_fail, coalesce(sum(n_warn), 0)::BIGINT AS n_warn,
   coalesce(sum(n_pbc), 0)::BIGINT AS n_pbc, coalesce(sum(n_conservation), 0)::BIGINT AS n_conservation,
-  coalesce(sum(n_coverage), 0)::BIGINT AS n_coverage
+  coalesce(sum(n_coverage), 0)::BIGINT AS n_coverage, coalesce(sum(n_manual), 0)::BIGINT AS n_manual
 FROM f LEFT JOIN n USING (frame) GROUP BY 1"""
 
 
@@ -172,6 +178,7 @@ QUERIES = {
     "audit_conservation": (audit_conservation, AUDIT_CONSERVATION),
     "audit_span": (audit_span, AUDIT_SPAN),
     "audit_coverage": (audit_coverage, AUDIT_COVERAGE),
+    "audit_frame_coverage": (audit_frame_coverage, AUDIT_FRAME_COVERAGE),
     "audit_rules": (audit_rules, AUDIT_RULES),
     "audit_summary": (audit_summary, AUDIT_SUMMARY),
     "atom_owner": (atom_owner, ATOM_OWNER),

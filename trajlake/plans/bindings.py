@@ -5,11 +5,12 @@ log rows; embeddings are structure descriptors.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.operators.ordinals import position
-from trajlake.session import HOT_GROUP_ROWS
+from trajlake.operators.ordinals import ranged_position
 
 FRAME = ["frame"]
 BOX = (50.0, 12.0, 10.0)
@@ -21,11 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def atoms(spark: SparkSession, sf_dir: str, labels: bool = False,
-          limit: int = HOT_GROUP_ROWS) -> DataFrame:
+def atoms(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
     """Line items as atoms; ``labels`` adds sim_type and temp of the frame's order."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    lines = position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "row_idx", limit)
+    lines = ranged_position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "row_idx")
     out = lines.select(
         F.col("l_orderkey").alias("frame"), "row_idx", (F.col("row_idx") + 1).alias("id"),
         F.when(F.col("row_idx") % 3 == 0, 1).otherwise(2).alias("type"),
@@ -72,13 +72,25 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def descriptors(spark: SparkSession, sf_dir: str, dims: int | None = None) -> DataFrame:
-    """Embeddings as (structure, label, f1..fD) or, without dims, as an array of doubles."""
+    """Embeddings as (structure, label, f1..fD) or, without dims, as an array of doubles.
+
+    A component is the sum of its block of the vector over the root of the
+    block's length, so all values count.
+    """
     vectors = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), F.col("label").cast("bigint").alias("label"),
         F.col("embedding").cast("array<double>").alias("features"))
     if dims is None:
         return vectors
-    return vectors.select("id", "label", *[F.col("features")[i].alias(f"f{i + 1}") for i in range(dims)])
+    return vectors.select("id", "label", *[
+        (F.aggregate(F.slice("features", low + 1, n), F.lit(0.0), lambda a, x: a + x) / math.sqrt(n)).alias(f"f{i + 1}")
+        for i, (low, n) in enumerate(_blocks(dims))])
+
+
+def _blocks(dims: int, width: int = 64) -> list[tuple[int, int]]:
+    """(start, length) of ``dims`` blocks that together cover a whole vector."""
+    cuts = [i * width // dims for i in range(dims + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
 # --- the same bindings for the checking engine -------------------------------
@@ -121,5 +133,5 @@ PREDICTIONS_SQL = """predictions AS (
 
 
 def descriptors_sql(dims: int) -> str:
-    cols = ", ".join(f"embedding[{i + 1}]::DOUBLE AS f{i + 1}" for i in range(dims))
+    cols = ", ".join(f"list_sum(embedding[{low + 1}:{low + n}]::DOUBLE[]) / sqrt({n}) AS f{i + 1}" for i, (low, n) in enumerate(_blocks(dims)))
     return f"vectors AS (SELECT vec_id AS id, label::BIGINT AS label, {cols} FROM embeddings)"

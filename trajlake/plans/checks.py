@@ -107,19 +107,31 @@ def exit_code(files: DataFrame) -> int:
 
 def score_predictions(spark: SparkSession, pred_dir: str, ref_dir: str, max_frames: int | None = None,
                       quantities: Sequence[str] = ("force", "energy")) -> DataFrame:
-    """(quantity, rmse, mae, r2, n_frames) for the quantities both folders have."""
+    """(quantity, rmse, mae, r2, n_frames, n_unpaired) for the quantities both folders have.
+
+    Forces are scored together and per component.  ``n_frames`` counts what was
+    scored, ``n_unpaired`` what could not be (one side only, or unequal width).
+    """
     out = None
     for name in quantities:
         try:
             pred, ref = read_matrix(spark, pred_dir, name), read_matrix(spark, ref_dir, name)
         except FileNotFoundError:
             continue
-        ref = ref.join(pred.select("frame_no"), "frame_no", "left_semi")
         if max_frames is not None:
+            ref = ref.join(pred.select("frame_no"), "frame_no", "left_semi")
             ref = even_downsample(ref, max_frames, [F.col("frame_no")])
         values = M.paired_values(pred, ref)
-        frames = ref.agg(F.count(F.lit(1)).alias("n")).scalar()
-        part = M.parity_metrics(values).select(F.lit(name).alias("quantity"), "rmse", "mae", "r2").withColumn("n_frames", frames)
+        frames = values.agg(F.count_distinct("frame_no").alias("n")).scalar()
+        # a limit leaves predictions without a reference on purpose
+        left = M.unpaired_frames(pred if max_frames is None else pred.join(ref.select("frame_no"), "frame_no", "left_semi"), ref)
+        unpaired = left.agg(F.count(F.lit(1)).alias("n")).scalar()
+        part = M.parity_metrics(values).select(F.lit(name).alias("quantity"), "rmse", "mae", "r2")
+        if name == "force":
+            axis = F.get(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.col("component").cast("int"))
+            part = part.unionByName(M.parity_metrics(values, ["component"]).select(
+                F.concat(F.lit("force_"), axis).alias("quantity"), "rmse", "mae", "r2"))
+        part = part.withColumns({"n_frames": frames, "n_unpaired": unpaired})
         out = part if out is None else out.unionByName(part)
     if out is None:
         raise FileNotFoundError("no quantity is present in both folders")

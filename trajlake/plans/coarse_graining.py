@@ -34,8 +34,8 @@ def coarse_grain_dumps(spark: SparkSession, paths: str | Sequence[str], rules: B
                        **options) -> CoarseGrained:
     """Assign and aggregate beads of all valid frames behind ``paths``.
 
-    The text is parsed once into a checkpointed atom table; everything after
-    reads that table.
+    The text is parsed into a stored atom table; everything after reads that
+    table.
     """
     records = read_frames(spark, paths, **options)
     frames = with_frame_idx(valid_frames(records))
@@ -63,11 +63,11 @@ def run_counters(outcomes: DataFrame) -> DataFrame:
         F.sum("n_frames").alias("total_frames"), F.sum("n_beads").alias("total_beads"))
 
 
-def warning_rollup(warnings: DataFrame, shown: int = 20) -> DataFrame:
+def warning_rollup(warnings: DataFrame) -> DataFrame:
     """(message, n, first_file): repeated messages once, in order of first appearance."""
     message = F.concat_ws(" ", F.when(F.col("stage") == 2, "id pattern:").otherwise("distance:"), F.lit("center"),
                           F.col("center_id").cast("string"), "reason", F.col("bad_id").cast("string"))
     at = F.struct("file", "frame_idx", "stage", "center_row")
     rows = warnings.withColumn("message", message).groupBy("message").agg(
         F.count(F.lit(1)).alias("n"), F.min(at).alias("_first"))
-    return rows.orderBy("_first").limit(shown).select("message", "n", F.col("_first.file").alias("first_file"))
+    return rows.orderBy("_first").select("message", "n", F.col("_first.file").alias("first_file"))

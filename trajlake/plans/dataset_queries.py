@@ -116,7 +116,7 @@ DENSITY_GRID = f"""WITH {FILES_SQL}, s AS (
     sum(n_particles * force_mean) / sum(n_particles) AS m FROM files),
 v AS (SELECT sum(n_particles * (force_mean - (SELECT m FROM s)) ** 2) / (sum(n_particles) - 1) AS v FROM files),
 p AS (SELECT lo - (hi - lo) * 0.1::DOUBLE AS a, hi + (hi - lo) * 0.1::DOUBLE AS b, w,
-    pow(least(w, 10000), -0.2::DOUBLE) * sqrt(v) AS h FROM s, v)
+    pow(w, -0.2::DOUBLE) * sqrt(v) AS h FROM s, v)
 SELECT grid, round(any_value(x), 6) AS x, round(sum(n_particles * exp(-0.5 * pow((x - force_mean) / h, 2))) / any_value(w * h * sqrt(2 * pi())), 6) AS density
 FROM (SELECT grid, a + grid * (b - a) / 199 AS x, w, h FROM p, range(200) g(grid)), files GROUP BY grid"""
 

@@ -93,16 +93,27 @@ def _mark(name: str):
                        lambda a, p: a + p["v"] * p["i"])
 
 
+def pair_histogram(spark, sf_dir) -> DataFrame:
+    out = D.pair_histogram(_atoms(spark, sf_dir), at.FRAME)
+    return out.select("frame", *[F.col(c).cast("bigint").alias(c) for c in ("type_i", "type_j", "bin")], "n")
+
+
+_PAIRS_IN_WINDOW = f"""p AS (
+  SELECT a.frame, sqrt({DIST2_SQL}) AS d, a.type AS ti, b.type AS tj,
+    row_number() OVER (PARTITION BY a.frame ORDER BY a.row_idx, b.row_idx) - 1 AS k
+  FROM atoms a JOIN atoms b ON a.frame = b.frame AND b.row_idx > a.row_idx AND b.row_idx <= a.row_idx + 99)"""
+PAIR_HISTOGRAM = f"""WITH {at.ATOMS_SQL}, {_PAIRS_IN_WINDOW}
+SELECT frame, ti::BIGINT AS type_i, tj::BIGINT AS type_j, least(floor(d), 15)::BIGINT AS bin, count(*) AS n FROM p GROUP BY ALL"""
+
+
 def pair_descriptor(spark, sf_dir) -> DataFrame:
+    """The explicit prefix form: its length is the feature."""
     out = D.pair_descriptor(_atoms(spark, sf_dir), at.FRAME)
     out = out.where(F.size("features") > 0)
     return out.select("frame", F.size("features").cast("bigint").alias("n"), round_to(_mark("features"), 6).alias("mark"))
 
 
-PAIR_DESCRIPTOR = f"""WITH {at.ATOMS_SQL}, p AS (
-  SELECT a.frame, sqrt({DIST2_SQL}) AS d, a.type AS ti, b.type AS tj,
-    row_number() OVER (PARTITION BY a.frame ORDER BY a.row_idx, b.row_idx) - 1 AS k
-  FROM atoms a JOIN atoms b ON a.frame = b.frame AND b.row_idx > a.row_idx AND b.row_idx <= a.row_idx + 99)
+PAIR_DESCRIPTOR = f"""WITH {at.ATOMS_SQL}, {_PAIRS_IN_WINDOW}
 SELECT frame, least(count(*) * 3, 500) AS n, round(sum(d * (3 * k + 1) + CASE WHEN k < 166 THEN ti * (3 * k + 2) + tj * (3 * k + 3)
   WHEN k = 166 THEN ti * (3 * k + 2) ELSE 0 END), 6) AS mark FROM p WHERE k < 167 GROUP BY frame"""
 
@@ -257,6 +268,7 @@ QUERIES = {
     "graph_stats": (graph_stats, GRAPH_STATS),
     "node_features": (node_features, NODE_FEATURES),
     "feature_correlation": (feature_correlation, FEATURE_CORRELATION),
+    "pair_histogram": (pair_histogram, PAIR_HISTOGRAM),
     "pair_descriptor": (pair_descriptor, PAIR_DESCRIPTOR),
     "density_descriptor": (density_descriptor, DENSITY_DESCRIPTOR),
     "standardize": (standardize, STANDARDIZE),

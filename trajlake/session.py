@@ -1,35 +1,68 @@
-"""Session helpers shared by the iterative operators."""
+"""Scratch tables shared by the iterative operators."""
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# A group (frame, file, simulation) with more rows than this is treated as hot
-# and never handed whole to one window task or one grouped Python call.
-HOT_GROUP_ROWS = 1_000_000
+_folders: dict[str, list[str]] = {}
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder of the session (``spark.checkpoint.dir``).
+
+    Only a local session without the setting gets a folder of its own; on a
+    cluster the setting is required, as executors don't share local disks.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='trajlake-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def shared_folder(df: DataFrame) -> str:
-    """A fresh folder name next to the checkpoints, for files other tasks must see."""
-    sc = df.sparkSession.sparkContext
-    _ensure_checkpoint_dir(df)
-    return f"{sc.getCheckpointDir().rstrip('/')}/files-{uuid.uuid4().hex}"
+    """A fresh folder name in the shared folder, for files other tasks must see."""
+    return _fresh(df.sparkSession, "files")
 
 
-def _ensure_checkpoint_dir(df: DataFrame) -> None:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trajlake-"))
+def _fresh(spark: SparkSession, kind: str) -> str:
+    path = f"{scratch_root(spark)}/{kind}-{uuid.uuid4().hex}"
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder of the session.
+    """Store ``df`` as Parquet in the shared folder and read it back.
 
-    The folder comes from ``spark.checkpoint.dir``; only a session without one
-    (tests) gets a folder of its own.
+    Later steps read only the columns and rows they need, and a lost executor
+    costs a re-read.  Columns without a type are put back as NULL.
     """
-    _ensure_checkpoint_dir(df)
-    return df.checkpoint(eager=True)
+    void = [c for c, kind in df.dtypes if kind == "void"]
+    path = _fresh(df.sparkSession, "rows")
+    kept = df.drop(*void)
+    kept.write.parquet(path)
+    out = df.sparkSession.read.schema(kept.schema).parquet(path)
+    return out.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns]) if void else out
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the scratch tables of this session; call it when no result reads them any more."""
+    sc = spark.sparkContext
+    for path in _folders.pop(sc.applicationId, []):
+        where = sc._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)
+
+
+atexit.register(_release_at_exit)

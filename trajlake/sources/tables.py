@@ -1,7 +1,9 @@
 """Bead, box and projection tables in CSV form."""
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +22,27 @@ def _csv(spark: SparkSession, paths, schema: str, **options) -> DataFrame:
             .schema(schema).csv(paths))
 
 
-def _header_schema(spark: SparkSession, paths, known: dict[str, str]) -> str:
-    first = paths if isinstance(paths, str) else list(paths)[0]
-    names = spark.read.options(header=True).csv(first).columns
-    return ", ".join(f"`{n}` {known.get(n, 'string')}" for n in names)
+def _by_layout(spark: SparkSession, paths) -> list[tuple[tuple[str, ...], list[str]]]:
+    """(column names, files) for every distinct header line behind ``paths``.
+
+    Only header lines are read as rows; one row per layout, with its files,
+    reaches the driver.
+    """
+    first = spark.read.option("wholetext", False).text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"), "value").where("at = 0")
+    heads = first.groupBy("file").agg(F.min_by("value", "n").alias("head"))
+    rows = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    return [(tuple(next(csv.reader([r["head"]]))), r["files"]) for r in rows]
+
+
+def _read_layouts(spark: SparkSession, paths, kind_of, **options) -> DataFrame:
+    """All files behind ``paths``, each read by its own header; a missing column is NULL."""
+    parts = []
+    for names, files in _by_layout(spark, paths):
+        schema = ", ".join(f"`{n}` {kind_of(n)}" for n in names)
+        parts.append(_file_id(_csv(spark, files, schema, **options)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _file_id(df: DataFrame) -> DataFrame:
@@ -31,9 +50,9 @@ def _file_id(df: DataFrame) -> DataFrame:
 
 
 def read_beads_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
-    """Bead CSVs of one header layout; list and boolean cells become typed columns."""
+    """Bead CSVs of any mix of layouts; list and boolean cells become typed columns."""
     known = {p.split()[0]: p.split()[1] for p in BEAD_CSV.split(", ")}
-    df = _file_id(_csv(spark, paths, _header_schema(spark, paths, known), **options))
+    df = _read_layouts(spark, paths, lambda n: known.get(n, "string"), **options)
     for name, kind in known.items():
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast(kind))
@@ -48,23 +67,22 @@ def read_beads_csv(spark: SparkSession, paths: str | Sequence[str], **options) -
 
 def read_boxes_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     """(file, row_no, cell, timestep); the last column of the file is the step."""
-    first = paths if isinstance(paths, str) else list(paths)[0]
-    names = spark.read.options(header=True).csv(first).columns
-    df = _csv(spark, paths, ", ".join(f"`{n}` double" for n in names), **options)
-    return _file_id(df).select(
-        "file", F.monotonically_increasing_id().alias("row_no"),
-        F.array(*[F.col(f"`{n}`") for n in names[:-1]]).alias("cell"),
-        F.col(f"`{names[-1]}`").cast("bigint").alias("timestep"))
+    parts = []
+    for names, files in _by_layout(spark, paths):
+        df = _csv(spark, files, ", ".join(f"`{n}` double" for n in names), **options)
+        parts.append(_file_id(df).select(
+            "file", F.monotonically_increasing_id().alias("row_no"),
+            F.array(*[F.col(f"`{n}`") for n in names[:-1]]).alias("cell"),
+            F.col(f"`{names[-1]}`").cast("bigint").alias("timestep")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_projection_csv(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     """Projection tables: PC/tSNE/UMAP columns are doubles, ids and paths text."""
-    first = paths if isinstance(paths, str) else list(paths)[0]
-    names = spark.read.options(header=True).csv(first).columns
     kinds = {"timestep": "bigint", "temp": "double", "sim_type": "string", "structure_id": "string",
              "source_file": "string"}
-    df = _csv(spark, paths, ", ".join(f"`{n}` {kinds.get(n, 'double')}" for n in names), **options)
-    return df.withColumn("temp", F.col("temp").cast("int")) if "temp" in names else df
+    df = _read_layouts(spark, paths, lambda n: kinds.get(n, "double"), **options).drop("file")
+    return df.withColumn("temp", F.col("temp").cast("int")) if "temp" in df.columns else df
 
 
 def pair_bead_and_box(bead_files: DataFrame, box_files: DataFrame) -> DataFrame:
