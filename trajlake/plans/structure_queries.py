@@ -157,6 +157,23 @@ def pca_variance(spark, sf_dir) -> DataFrame:
         "component", "variance", (F.col("variance") / total).alias("share"))
 
 
+def pca_spectrum(spark, sf_dir) -> DataFrame:
+    """Sum and sum of squares of all component variances: trace and squared norm of the covariance."""
+    vectors = D.standardize(at.descriptors(spark, sf_dir))
+    width = vectors.agg(F.max(F.size("features"))).first()[0]
+    scores, _ = D.principal_components(vectors, width)
+    cols = [c for c in scores.columns if c.startswith("PC")]
+    found = scores.agg(*[F.var_pop(c).alias(c) for c in cols])
+    return found.select(F.lit(len(cols)).cast("bigint").alias("n"), round_to(sum(F.col(c) for c in cols), 6).alias("total"),
+                        round_to(sum(F.col(c) * F.col(c) for c in cols), 6).alias("squares"))
+
+
+PCA_SPECTRUM = """WITH u AS (SELECT vec_id AS id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+s AS (SELECT id, dim, (v - avg(v) OVER w) / stddev_pop(v) OVER w AS v FROM u WINDOW w AS (PARTITION BY dim)),
+c AS (SELECT a.dim AS i, b.dim AS j, covar_pop(a.v, b.v) AS c FROM s a JOIN s b ON a.id = b.id GROUP BY ALL)
+SELECT count(DISTINCT i) AS n, round(sum(c) FILTER (i = j), 6) AS total, round(sum(c * c), 6) AS squares FROM c"""
+
+
 def kmeans_sizes(spark, sf_dir) -> DataFrame:
     out, _ = C.kmeans(_vectors(spark, sf_dir, 3), 4)
     return out.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
@@ -259,7 +276,26 @@ SELECT id, neighbor, rank, round(dist, 9) AS dist FROM (
 
 def knn_affinities(spark, sf_dir) -> DataFrame:
     """Perplexity-calibrated weights on the 91 nearest structures."""
-    return P.neighbor_affinities(P.nearest_structures(_vectors(spark, sf_dir, 8), 91), 30.0)
+    out = P.neighbor_affinities(P.nearest_structures(_vectors(spark, sf_dir, 8), 91), 30.0)
+    return out.select("id", "neighbor", round_to("dist", 9).alias("dist"), round_to("affinity", 9).alias("affinity"))
+
+
+KNN_AFFINITIES = f"""WITH RECURSIVE {at.descriptors_sql(8)}, near AS (
+  SELECT id, neighbor, dist, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY dist, neighbor) AS rank FROM (
+      SELECT a.id, b.id AS neighbor, {_D8} AS dist FROM vectors a JOIN vectors b ON a.id <> b.id)) WHERE rank <= 91),
+rows_of AS (SELECT id, list(neighbor ORDER BY rank) AS nb, list(dist ORDER BY rank) AS dist, min(dist * dist) AS least FROM near GROUP BY id),
+walk AS (
+  SELECT id, 0 AS step, 0::DOUBLE AS low, 'inf'::DOUBLE AS high, 1::DOUBLE AS beta, nb, dist,
+    list_transform(dist, lambda x: x * x - least) AS d FROM rows_of
+  UNION ALL
+  SELECT id, step + 1, CASE WHEN up THEN beta ELSE low END, CASE WHEN up THEN high ELSE beta END,
+    CASE WHEN NOT up THEN (low + beta) / 2 WHEN isinf(high) THEN beta * 2 ELSE (beta + high) / 2 END, nb, dist, d
+  FROM (SELECT *, ln(total) + beta * s / total > ln(30::DOUBLE) AS up FROM (
+    SELECT *, list_sum(list_transform(d, lambda x: exp(-beta * x))) AS total, list_sum(list_transform(d, lambda x: x * exp(-beta * x))) AS s
+    FROM walk WHERE step < 64))),
+w AS (SELECT id, nb, dist, list_transform(d, lambda x: exp(-beta * x)) AS w FROM walk WHERE step = 64)
+SELECT id, unnest(nb) AS neighbor, round(unnest(dist), 9) AS dist, round(unnest(list_transform(w, lambda x: x / list_sum(w))), 9) AS affinity FROM w"""
 
 
 QUERIES = {
@@ -274,6 +310,7 @@ QUERIES = {
     "standardize": (standardize, STANDARDIZE),
     "pca_scores": (pca_scores, None),
     "pca_variance": (pca_variance, None),
+    "pca_spectrum": (pca_spectrum, PCA_SPECTRUM),
     "kmeans_sizes": (kmeans_sizes, None),
     "auto_eps": (auto_eps, AUTO_EPS),
     "dbscan": (dbscan, DBSCAN),
@@ -282,5 +319,5 @@ QUERIES = {
     "outlier_zscore": (outlier_zscore, OUTLIER_ZSCORE),
     "outlier_distance": (outlier_distance, OUTLIER_DISTANCE),
     "knn_graph": (knn_graph, KNN_GRAPH),
-    "knn_affinities": (knn_affinities, None),
+    "knn_affinities": (knn_affinities, KNN_AFFINITIES),
 }
