@@ -30,7 +30,15 @@ def write_raw(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str
 
 
 def _open_fs(uri: str):
-    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
+
+
+def _qualified(rows: DataFrame, path: str) -> str:
+    """``path`` with the scheme Spark's own writers would use for it."""
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file:///") else full
 
 
 def _npy_head(shape: tuple[int, ...]) -> bytes:
@@ -89,7 +97,7 @@ def write_npy(rows: DataFrame, root: str, name: str, folder: Column, order: Sequ
              .withColumn("last", F.struct(*order) == F.col("_last")))
     ready = (ready.repartition("folder").sortWithinPartitions("folder", *order)
              .select("folder", "n_rows", "width", F.lit(flat).alias("flat"), F.col(values).alias("values"), "last"))
-    return ready.mapInPandas(_stream_npy(root, name), "file string, rows long")
+    return ready.mapInPandas(_stream_npy(_qualified(rows, root), name), "file string, rows long")
 
 
 def set_folder(*group: str) -> Column:
