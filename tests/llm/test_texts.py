@@ -7,7 +7,7 @@ import pytest
 
 from trajlake.llm import fingerprints as fp
 from trajlake.llm import repeats
-from trajlake.llm.minhash import drop_near_duplicates, min_max, near_duplicates
+from trajlake.llm.minhash import drop_near_duplicates, min_max, near_duplicates, prefix_pairs
 from trajlake.llm.repeats import remove_repeats
 
 from .tables import ODD, odd_docs
@@ -210,3 +210,18 @@ def test_min_max_agreement_estimates_similarity():
     a, b = both[:3000], np.concatenate([both[1000:3000], both[3000:]])
     same = (min_max(np.sort(a), 400) == min_max(np.sort(b), 400)).mean()
     assert abs(same - 2000 / 4000) < 0.07
+
+
+def test_prefixes_keep_every_similar_pair(spark):
+    draw = np.random.default_rng(9)
+    base = draw.integers(0, 1 << 40, 60)
+    sets = {}
+    for node in range(60):
+        own = np.concatenate([draw.choice(base, draw.integers(40, 60), replace=False), draw.integers(0, 1 << 40, draw.integers(0, 12))])
+        sets[node] = np.unique(own.astype(np.uint64))
+    rows = [(i, len(s), i % 7, bytearray(s.tobytes())) for i, s in sets.items()]
+    df = spark.createDataFrame(rows, "node bigint, n bigint, component bigint, shingles binary")
+    got = {(min(r["node"], r["_node"]), max(r["node"], r["_node"])) for r in prefix_pairs(df, 80).collect()}
+    similar = {(a, b) for a in sets for b in sets if a < b and a % 7 != b % 7
+               and 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert similar and similar <= got and all(a % 7 != b % 7 for a, b in got)

@@ -8,11 +8,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.llm.common import stored
 
-BANDS, ROWS = 100, 8
+BANDS, ROWS = 50, 5
 MEMO = 400_000
 STEP = 1024  # shingles hashed at once
 
@@ -144,27 +145,62 @@ def merge_labels(links: DataFrame) -> DataFrame:
     return links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per shingle of a node."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            shingles = np.frombuffer(batch.column(3)[i].as_buffer(), np.int64)
+            same = [pa.array(np.full(len(shingles), batch.column(j)[i].as_py(), np.int64)) for j in range(3)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(shingles)], ["node", "n", "component", "e"])
+
+
+def prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, n, _node, _n): pairs from different components that may reach ``percent``.
+
+    All sets are ordered alike, rare shingles first.  Sets of n and m shingles
+    that share at least a = ceil(p (n + m) / (100 + p)) have a common one among
+    their first n - a + 1 and m - a + 1; others are ruled out.  A far copy in a
+    large group of copies begins with its own edits, so it meets few others.
+    For each shingle, the rows of its largest component are not joined with
+    each other.
+    """
+    rows = stored(nodes.select("node", "n", "component", "shingles")
+                  .mapInArrow(_elements, "node bigint, n bigint, component bigint, e bigint"))
+    counts = rows.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    place = F.row_number().over(W.partitionBy("node").orderBy("df", "e"))
+    ordered = rows.join(counts, "e", "left").withColumn("df", F.coalesce("df", F.lit(1))).withColumn("pos", place)
+    first = stored(ordered.where("df > 1").where(f"pos <= n - floor(({percent} * n + 99) / 100) + 1")
+                   .select("e", "node", "n", "component", "pos"))
+    size = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    main = first.join(size, "component").groupBy("e").agg(F.max(F.struct("members", "component")).alias("_main"))
+    left = first.join(main, "e").where("component <> _main.component").drop("_main")
+    right = first.select("e", *[F.col(c).alias(f"_{c}") for c in ("node", "n", "component", "pos")])
+    least = F.floor((percent * (F.col("n") + F.col("_n")) + (99 + percent)) / (100 + percent))
+    return left.join(right, "e").where((F.col("component") != F.col("_component")) & (F.col("pos") <= F.col("n") - least + 1)
+                                       & (F.col("_pos") <= F.col("_n") - least + 1)).select("node", "n", "_node", "_n")
+
+
 def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
                     stars: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document.
 
     Documents are linked when their whole shingle sets meet ``percent``; the
     component is the smallest id reachable.  ``bands`` of ``rows`` min-max
-    values find candidates: with 100 of 8 a pair at 0.8 shares no band with
-    probability 1.1e-8, and a pair at 0.3 (texts with a common passage) shares
-    one with 0.7 %.  Documents with the same set are one node.  In each
+    values find candidates: with 50 of 5 a pair at 0.8 shares no band with
+    probability 2.4e-9.  Documents with the same set are one node.  In each
     band's bucket,
 
     1. every node is compared with the bucket's smallest node, one pair per
        node and round in the first round (its smallest partner in any band);
     2. in ``stars`` further rounds, buckets that still hold several components
-       compare their smallest component's first node with all nodes outside it;
-    3. at last all pairs of a bucket from different components that were never
-       compared are compared, if their sizes allow the similarity.
+       compare a drawn node of their smallest component with all nodes outside it;
+    3. at last the nodes of buckets that still hold several components are
+       joined exactly: two sets can only reach the similarity if they share one
+       of their rarest shingles (``prefix_pairs``).
 
-    So each pair of nodes of one bucket is compared or already connected, and no
-    link between components is lost, while the many pairs inside a large group
-    of copies are never made.  Links are confirmed on full sets.
+    So each pair of nodes of one bucket is compared, connected or ruled out, and
+    no link between components is lost, while the many pairs inside a large
+    group of copies are never made.  Links are confirmed on full sets.
 
     A null text or one without words has no shingles and is its own component.
     Rows repeating an id and a text have equal results.  Null ids take part like
@@ -199,16 +235,16 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80,
             labels = stored(wanted.join(merge_labels(links), "node", "left")
                             .select("node", F.coalesce("component", "node").alias("component")))
         placed = members.join(labels, "node").select("key", "node", "n", "component")
+        drawn = F.xxhash64("node", "key", F.lit(turn))
         split = (placed.groupBy("key").agg(F.min("component").alias("_one"), F.max("component").alias("_other"),
-                                           F.min_by(F.struct("node", "n"), F.struct("component", "node")).alias("_head"))
+                                           F.min(F.struct("component", drawn.alias("draw"), "node", "n")).alias("_head"))
                  .where("_one < _other"))
         if turn < stars:
             pairs = (placed.join(split, "key").where("component <> _one")
                      .select("node", "n", F.col("_head.node").alias("_node"), F.col("_head.n").alias("_n")))
         else:
-            left = placed.join(split.select("key"), "key")
-            right = left.select("key", F.col("node").alias("_node"), F.col("n").alias("_n"), F.col("component").alias("_component"))
-            pairs = left.join(right, "key").where("component < _component")
+            open_ = placed.join(split.select("key"), "key").select("node", "n", "component").distinct()
+            pairs = prefix_pairs(sets.join(open_, "node"), percent)
         pairs = (pairs.where(sizes_allow).select(F.greatest("node", "_node").alias("u"), F.least("node", "_node").alias("v"))
                  .distinct().join(tried, ["u", "v"], "left_anti"))
         pairs = stored(pairs)
