@@ -77,6 +77,14 @@ def _colons(schema: str) -> str:
     return ",".join(":".join(field.split()) for field in schema.split(","))
 
 
+def bound_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """Limit the rows of an Arrow batch in the session, as whole texts travel in them; returns ``df``."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name)) > rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

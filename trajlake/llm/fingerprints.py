@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.llm.common import bound_batches
+
 KEPT = 64  # phrase names of a fingerprint
 FIRST = 2  # lowest level whose names count
 CHUNK = 200_000  # code points parsed at once
@@ -201,7 +203,7 @@ def fingerprint_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     chunks = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    rows = bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / chunks for i in range(1, chunks)] or [0.5], 100 * chunks).alias("cuts"),
                     F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("nulls")).first()
     bounds = sorted({c for c in cuts["cuts"] or [] if cuts["nulls"] or c > cuts["low"]} if chunks > 1 else ())

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from trajlake.llm.common import bound_batches
+
 DIMS = 1 << 13
 ORDERS = (1, 2, 3)
 CHUNK = 128  # documents weighted at once
@@ -141,7 +143,7 @@ def fit_languages(train: DataFrame, *, sample: int = 3000, per_lang: int = 600,
     most ``per_lang`` documents of a language and ``sample`` together; that
     sample is what reaches the driver.
     """
-    rows = train.where(F.col(lang_col).isNotNull())
+    rows = bound_batches(train).where(F.col(lang_col).isNotNull())
     langs = sorted(r[0] for r in rows.select(lang_col).distinct().collect())
     idf = np.ones(DIMS, np.float32)
     if not langs:
@@ -181,7 +183,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, *, text_col: str =
     language was learned from is marked ``rejected``.  Repeated rows are
     predicted alike; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import stored
+from trajlake.llm.common import bound_batches, stored
 
 BANDS, ROWS = 50, 5
-MEMO = 400_000
+MEMO = 200_000
 STEP = 1024  # shingles hashed at once
 
 
@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80,
     Rows repeating an id and a text have equal results.  Null ids take part like
     others, but a component is named by its smallest id that isn't null.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    base = bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(base.mapInArrow(_signed(words_each, bands, rows),
                                     "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"))
     some = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")

@@ -13,10 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import global_rank, literal_table, stored
+from trajlake.llm.common import bound_batches, global_rank, literal_table, stored
 
 LENGTH = 2048
-MEMO = 250_000  # words of one generation whose ids a task remembers
+MEMO = 150_000  # words of one generation whose ids a task remembers
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -134,7 +134,7 @@ def token_pieces(docs: DataFrame, *, path: str | None = None, length: int = LENG
     A document is its ids and one 0.  A longer one is cut into whole pieces,
     of which the first holds the remainder.  A null text counts as empty.
     """
-    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_col)
+    return (bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), text_col)
             .mapInArrow(_pieces(path, length), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"))
 
 

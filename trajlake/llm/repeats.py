@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import stored
+from trajlake.llm.common import bound_batches, stored
 
 WINDOW = 100
 GRAM = 32
@@ -413,7 +413,7 @@ def repeated_spans(docs: DataFrame, *, buckets: int | None = None, id_col: str =
 
 def _with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(text_col, F.lit(""))
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tk"), text.alias("text"))
+    return bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tk"), text.alias("text"))
 
 
 def remove_repeats(docs: DataFrame, *, buckets: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,13 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.llm.common import stored
+from trajlake.llm.common import bound_batches, stored
 from trajlake.llm.language import fold_of, thinned
 
 BLOCK = 64  # examples of one block of the inverted lists
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘¡¿…"
 STEMS = (4, 5, 6)  # word beginnings that are terms of their own
-MEMO = 200_000
+MEMO = 100_000
 
 
 def words_of(text: str | None) -> list[str]:
@@ -206,14 +206,14 @@ def document_counts(docs: DataFrame, terms: dict[str, int], text_col: str = "tex
                     total[t] += 1
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(terms))), pa.array(np.concatenate([[n], total]))], ["term", "n"])
 
-    df = {r["term"]: r["n"] for r in docs.select(text_col).mapInArrow(run, "term bigint, n bigint")
+    df = {r["term"]: r["n"] for r in bound_batches(docs).select(text_col).mapInArrow(run, "term bigint, n bigint")
           .groupBy("term").agg(F.sum("n").alias("n")).collect()}
     return df.get(-1, 0), np.array([df.get(i, 0) for i in range(len(terms))], float)
 
 
 def toxicity_of(model: ToxicityModel, docs: DataFrame, text: Column) -> Column:
     """struct(score, evidence): the score of a text and the ids of its nearest examples."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<score: double, evidence: array<bigint>>")
     def run(texts: pd.Series) -> pd.DataFrame:
