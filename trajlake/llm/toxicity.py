@@ -130,16 +130,21 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([y] * len(terms), pa.int32())], ["term", "toxic"])
 
 
-def choose_terms(examples: DataFrame, n: dict[int, int], most: int, least: float = 4.0) -> list[str]:
-    """At most ``most`` terms whose share of toxic examples is above the others' by ``least`` standard errors."""
+def choose_terms(examples: DataFrame, n: dict[int, int], worth: dict[int, float], most: int, least: float = 5.0,
+                 purity: float = 0.8) -> list[str]:
+    """At most ``most`` terms that mark toxic examples.
+
+    Their share of toxic examples is above the others' by ``least`` standard
+    errors, and ``purity`` of the labelled documents they stand in are toxic,
+    each example counted for the ``worth`` of its label.
+    """
     a, b = F.sum("toxic"), F.sum(1 - F.col("toxic"))
     counts = (examples.mapInArrow(_term_rows, "term string, toxic int").groupBy("term").agg(a.alias("a"), b.alias("b"))
               .where("a + b >= 3"))
-    ratio = F.log((F.col("a") + 0.5) / (n[1] + 1)) - F.log((F.col("b") + 0.5) / (n[0] + 1))
-    z = ratio / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
     both = (F.col("a") + F.col("b")) / (n[0] + n[1])
     share = (F.col("a") / n[1] - F.col("b") / n[0]) / F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-12)
-    found = counts.select("term", F.greatest(z, share).alias("gain"), ratio.alias("ratio")).where(f"gain >= {least} AND ratio > 1")
+    pure = F.col("a") * worth[1] >= purity * (F.col("a") * worth[1] + F.col("b") * worth[0])
+    found = counts.where(pure).select("term", share.alias("gain")).where(f"gain >= {least}")
     return [r["term"] for r in found.orderBy(F.desc("gain"), "term").limit(most).collect()]
 
 
@@ -154,12 +159,12 @@ def _vector_rows(terms: dict[str, int]):
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, most_terms: int = 1024, k: int = 9,
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000, most_clean: int = 10_000, most_terms: int = 1024, k: int = 9,
                  id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Examples from the labelled rows outside the held-out fold.
 
-    At most ``per_class`` examples of a label are kept, and ``most_terms`` terms
-    are chosen on them; the examples' counts of those terms reach the driver.
+    At most ``most_toxic`` examples of label 1 and ``most_clean`` of label 0 are
+    kept, and ``most_terms`` terms are chosen on them; the examples' counts of those terms reach the driver.
     An example stands for its share of the labelled rows of its class.  The
     document frequencies of the terms cover all documents.  Repeated labels of
     an id count once (the greatest); null labels and ids are left out.
@@ -167,11 +172,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, m
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(fold_of(id_col) != 0)
              .groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("toxic")))
     held = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ids = thinned(known, "toxic", per_class, [id_col]).select(F.col(id_col).alias("id"), "toxic")
+    ids = (thinned(known.where("toxic = 1"), "toxic", most_toxic, [id_col])
+           .unionByName(thinned(known.where("toxic <> 1"), "toxic", most_clean, [id_col])).select(F.col(id_col).alias("id"), "toxic"))
     examples = stored(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
                       .join(F.broadcast(ids), "id").select(F.col("id").cast("bigint"), "toxic", "text"))
     taken = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    names = choose_terms(examples, taken, most_terms) if set(taken) >= {0, 1} else []
+    worths = {y: held[y] / n for y, n in taken.items()}
+    names = choose_terms(examples, taken, worths, most_terms) if set(taken) >= {0, 1} else []
     terms = {t: i for i, t in enumerate(names)}
     n_docs, df = document_counts(docs, terms, text_col)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
@@ -179,7 +186,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, per_class: int = 2000, m
     model = ToxicityModel.without_examples(terms, idf, share, k)
     kept, columns, empty = [], [], Counter()
     for r in sorted(examples.mapInArrow(_vector_rows(terms), "id bigint, toxic int, at array<int>, n array<int>").collect()):
-        worth = held[r["toxic"]] / taken[r["toxic"]]
+        worth = worths[r["toxic"]]
         if not r["at"]:
             empty[r["toxic"]] += worth
             continue
