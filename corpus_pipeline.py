@@ -28,8 +28,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    return drop_near_duplicates(docs, words_each=2, percent=80)
+    """One document of each group of near copies (five-word shingles), the one with the smallest id."""
+    return drop_near_duplicates(docs, words_each=5, percent=80)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,3 +159,12 @@ def test_stages_on_odd_rows(spark, tmp_path):
             docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)))
             if name != "packing":
                 assert docs.columns == start.columns
+
+
+def test_near_dedup_stage_takes_five_words(spark):
+    words = [f"w{i}" for i in range(25)]
+    other = [*words[:12], "changed", *words[13:]]  # 22 of 26 two-word and 16 of 26 five-word shingles are shared
+    last = [f"v{i}" for i in range(25)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words) + " "), (4, " ".join(last)), (5, " ".join([*last, "more"]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {1, 2, 4}
