@@ -89,3 +89,43 @@ def test_words_that_mark_toxic_texts_are_learned(spark):
     labels = spark.createDataFrame([(i, int("stupid" in t)) for i, t in rows], "doc_id bigint, toxic int")
     got = {r["doc_id"]: r["predicted"] for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect()}
     assert got == {i: int("stupid" in t) for i, t in rows}
+
+
+def test_rare_and_ambiguous_toxic_words_are_found(spark):
+    rows, toxic = [], {}
+    for i in range(600):
+        a, b = i % 5 in (0, 1), i % 5 in (1, 2)  # toxic only together: each word alone is half clean
+        rows.append((i, f"plain words number n{i % 7} {'left' if a else ''} {'right' if b else ''} more"))
+        toxic[i] = int(a and b)
+    rows += [(600 + i, f"schmutz{i} worte nummer{i} zeile{i}") for i in range(4)]
+    rows += [(700 + i, f"schmutz{i % 4} worte nummer{i % 4} zeile{i % 4} ende") for i in range(60)]
+    toxic |= {600 + i: 1 for i in range(4)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(list(toxic.items()), "doc_id bigint, toxic int")
+    got = {r["doc_id"]: r for r in score_toxicity(docs, fit_toxicity(docs, labels, k=3)).collect()}
+    assert {d: got[d]["predicted"] for d in range(600)} == {d: toxic[d] for d in range(600)}
+    learned = [i for i in range(4) if not got[600 + i]["held_out"]]
+    assert learned and all(got[700 + i]["predicted"] == 1 and got[700 + i]["evidence"] for i in range(60) if i % 4 in learned)
+
+
+def test_clean_texts_have_neighbours_too(spark):
+    rows = [(i, f"word{i} word{i + 1} common {'stupid' if i % 4 == 0 else ''}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int("stupid" in t)) for i, t in rows], "doc_id bigint, toxic int")
+    assert all(len(r["evidence"]) == 3 for r in score_toxicity(docs, fit_toxicity(docs, labels)).collect())
+
+
+def test_search_over_short_and_long_lists_equals_brute_force():
+    draw = np.random.default_rng(8)
+    dense = np.zeros((700, 900))
+    for e in range(900):
+        at = np.unique(np.minimum(draw.zipf(1.3, 30) - 1, 699))
+        dense[at, e] = draw.random(len(at)) + 0.1
+    dense /= np.linalg.norm(dense, axis=0)
+    model = ToxicityModel({f"t{i}": i for i in range(700)}, np.ones(700), list(range(900)), np.zeros(900), np.ones(900), dense, 0.1, k=9)
+    model.prepare()
+    assert 0 < len(model.block_max) < 700
+    queries = [(at := np.unique(np.minimum(draw.zipf(1.3, 20) - 1, 699)), model.unit(at, np.ones(len(at)))) for _ in range(100)]
+    for (at, w), got in zip(queries, model.search(queries)):
+        want = sorted((-round(float(c), 12), i) for i, c in enumerate(w @ dense[at]) if c > 0)[:9]
+        assert [i for _, i in got] == [i for _, i in want] and np.allclose([c for c, _ in got], [-c for c, _ in want], atol=1e-11)

@@ -1,13 +1,16 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over block-max inverted lists."""
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +21,8 @@ BLOCK = 64  # examples of one block of the inverted lists
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘¡¿…"
 STEMS = (4, 5, 6)  # word beginnings that are terms of their own
 MEMO = 100_000
+WORDS = 200_000
+LONG = 512  # terms whose lists are also kept in blocks
 
 
 def words_of(text: str | None) -> list[str]:
@@ -30,97 +35,196 @@ def terms_of(word: str) -> list[str]:
     return [word, *[f"{word[:n]}-" for n in STEMS if len(word) >= n]] if word else []
 
 
+@dataclass
+class TermLists:
+    """Inverted lists: of term t, the places ``start[t]`` to ``start[t + 1]`` hold its examples in order and their weights."""
+
+    start: np.ndarray
+    example: np.ndarray
+    weight: np.ndarray
+
+    @classmethod
+    def of(cls, term: np.ndarray, example: np.ndarray, weight: np.ndarray, terms: int) -> TermLists:
+        order = np.lexsort((example, term))
+        start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+        return cls(start, example[order].astype(np.int32), weight[order])
+
+
+@dataclass
+class TermCounts:
+    """The terms (ascending) and counts of the examples, one after the other, and how many each has."""
+
+    size: np.ndarray
+    term: np.ndarray
+    n: np.ndarray
+
+    def __getstate__(self):
+        # few bytes a term, as each executor and worker gets a copy
+        return [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (self.size, np.diff(self.term, prepend=np.int32(0)), self.n)]
+
+    def __setstate__(self, state):
+        self.size, steps, self.n = (np.frombuffer(zlib.decompress(x), np.int32) for x in state)
+        self.term = np.cumsum(steps, dtype=np.int32)
+
+    def lists(self, idf: np.ndarray) -> TermLists:
+        example = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
+        w = (1 + np.log(self.n)) * idf[self.term]
+        return TermLists.of(self.term, example, w / np.sqrt(np.bincount(example, weights=w * w))[example], len(idf))
+
+
 @dataclass
 class ToxicityModel:
-    """Examples as weighted terms, in blocks with the greatest weight of each term."""
+    """Examples as weighted terms: lists of all terms, those of the longest lists also in blocks with their greatest weights."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # weight of each term
     ids: list[int]
     toxic: np.ndarray
     worth: np.ndarray  # documents an example stands for
-    weights: np.ndarray  # terms x examples
+    weights: np.ndarray | TermCounts  # terms x examples
     base: float  # share of toxic documents among those without any term
     k: int = 9
     smooth: float = 0.05
     known: dict = field(default_factory=dict, repr=False, compare=False)
     found: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def __post_init__(self):
-        blocks = -(-len(self.ids) // BLOCK)
-        wide = np.zeros((len(self.terms), blocks * BLOCK), np.float64)
-        wide[:, :len(self.ids)] = self.weights
-        self.block_max = wide.reshape(len(self.terms), blocks, BLOCK).max(axis=2)
+    lists: TermLists | None = field(default=None, repr=False, compare=False)
+
+    def prepare(self):
+        """Make the lists and blocks, where the first text is searched."""
+        if isinstance(self.weights, TermCounts):
+            self.lists = lists = self.weights.lists(self.idf)
+        else:
+            term, example = np.nonzero(self.weights)
+            self.lists = lists = TermLists.of(term, example, np.asarray(self.weights)[term, example], len(self.terms))
+        sizes, blocks = np.diff(lists.start), -(-len(self.ids) // BLOCK)
+        long = np.sort(np.argsort(-sizes, kind="stable")[:LONG])
+        long = long[sizes[long] >= BLOCK]
+        self.long_of = np.full(len(sizes), -1)
+        self.long_of[long] = np.arange(len(long))
+        self.long = np.zeros((blocks, len(long), BLOCK))
+        for i, t in enumerate(long):
+            e = lists.example[lists.start[t]:lists.start[t + 1]]
+            self.long[e // BLOCK, i, e % BLOCK] = lists.weight[lists.start[t]:lists.start[t + 1]]
+        self.block_max = self.long.max(axis=2).T if blocks else np.zeros((len(long), 0))
 
     @classmethod
     def without_examples(cls, terms: dict[str, int], idf: np.ndarray | None = None, base: float = 0.0, k: int = 9) -> ToxicityModel:
         idf = np.ones(len(terms)) if idf is None else idf
-        return cls(terms, idf, [], np.zeros(0), np.zeros(0), np.zeros((len(terms), 0)), base, k)
+        nothing = TermCounts(*[np.zeros(0, np.int32)] * 3)
+        return cls(terms, idf, [], np.zeros(0), np.zeros(0), nothing, base, k)
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}, "found": {}}
-
-    def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        """(term, count) of the model's terms in the whole text."""
-        words = words_of(text)
-        known, out = self.known, Counter()
-        if len(known) > MEMO:
-            known.clear()
-        for word in set(words):
-            hit = known.get(word)
-            if hit is None:
-                hit = known[word] = [self.terms[t] for t in terms_of(word) if t in self.terms]
-            if hit:
-                n = words.count(word)
-                for t in hit:
-                    out[t] += n
-        return tuple(sorted(out.items()))
+        own = ("long", "long_of", "block_max")
+        state = {n: v for n, v in self.__dict__.items() if n not in own}
+        # terms hold no blanks
+        return {**state, "terms": zlib.compress(" ".join(self.terms).encode("utf-8", "surrogatepass"), 1),
+                "idf": zlib.compress(self.idf.tobytes(), 1), "known": {}, "found": {}, "lists": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.idf = np.frombuffer(zlib.decompress(self.idf))
+        names = zlib.decompress(self.terms).decode("utf-8", "surrogatepass")
+        self.terms = {t: i for i, t in enumerate(names.split(" "))} if names else {}
+
+    def term_numbers(self, word: str) -> list[int]:
+        hit = self.known.get(word)
+        if hit is None:
+            hit = self.known[word] = [self.terms[t] for t in terms_of(word) if t in self.terms]
+        return hit
+
+    def term_set(self, text: str | None) -> set[int]:
+        if len(self.known) > WORDS:
+            self.known.clear()
+        return {t for word in set(words_of(text)) for t in self.term_numbers(word)}
+
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The model's terms in the whole text, ascending, and their counts."""
+        at, n = [], []
+        if len(self.known) > WORDS:
+            self.known.clear()
+        for word, count in Counter(words_of(text)).items():
+            hit = self.term_numbers(word)
+            at += hit
+            n += [count] * len(hit)
+        if not at:
+            return np.zeros(0, np.int64), np.zeros(0)
+        places, back = np.unique(at, return_inverse=True)
+        return places, np.bincount(back, weights=n)
+
+    def unit(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        w = (1 + np.log(n)) * self.idf[at]
+        return w / np.linalg.norm(w)
 
     def weigh(self, vector: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
         at = np.array([t for t, _ in vector], int)
-        w = (1 + np.log([n for _, n in vector])) * self.idf[at]
-        return at, w / np.linalg.norm(w)
+        return at, self.unit(at, np.array([n for _, n in vector], float))
 
     def nearest(self, vector: tuple[tuple[int, int], ...]) -> list[tuple[float, int]]:
-        """The ``k`` examples of the greatest cosine, exactly; ties go to the earlier example.
+        return self.search([self.weigh(vector)])[0]
 
-        A block is opened in the order of the bound that its greatest weights
-        give, until no unopened block can reach the k-th cosine.
-        """
-        at, w = self.weigh(vector)
-        bound = w @ self.block_max[at]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == self.k and bound[b] < -best[-1][0] - 1e-12:
-                break
-            low = int(b) * BLOCK
-            cosine = w @ self.weights[at, low:low + BLOCK]
-            best = sorted(best + [(-round(float(c), 12), low + i) for i, c in enumerate(cosine) if c > 0])[:self.k]
-        return [(-c, i) for c, i in best]
-
-    def score(self, text: str | None) -> tuple[float, list[int]]:
-        """Probability of label 1 and the ids of the nearest examples.
-
-        Votes count by cosine and by how many documents an example stands for;
-        the share among documents without terms is the prior.
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
+        """The ``k`` examples of the greatest cosine of each query, exactly; ties go to the earlier example.
+
+        Short lists are added up whole.  That sum bounds a cosine from below;
+        with the greatest weights of the long lists in a block it bounds it from
+        above, and only blocks that can reach the k-th lower bound are opened.
         """
-        vector = self.vector(text)
-        if not vector:
-            return self.base, []
-        out = self.found.get(vector)
-        if out is None:
-            near = self.nearest(vector)
-            vote = np.array([c * self.worth[i] for c, i in near])
-            own = float(vote @ self.toxic[[i for _, i in near]]) if near else 0.0
-            total = float(vote.sum()) if near else 0.0
-            smooth = self.smooth * (total / len(near) if near else 1.0)
-            score = (own + smooth * self.base) / (total + smooth) if total + smooth > 0 else self.base
-            out = (min(1.0, max(0.0, score)), [self.ids[i] for _, i in near[:3]])
-            if len(self.found) > MEMO:
-                self.found.clear()
-            self.found[vector] = out
+        if not self.ids:
+            return [[] for _ in queries]
+        if self.lists is None:
+            self.prepare()
+        lists, blocks, k = self.lists, len(self.long), min(self.k, len(self.ids))
+        cosine = np.zeros((len(queries), blocks * BLOCK))
+        far = np.zeros((len(queries), len(self.block_max)))
+        for row, wide, (at, w) in zip(cosine, far, queries):
+            place = self.long_of[at]
+            wide[place[place >= 0]] = w[place >= 0]
+            at, w = at[place < 0], w[place < 0]
+            size = lists.start[at + 1] - lists.start[at]
+            pick = np.repeat(lists.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            row += np.bincount(lists.example[pick], weights=lists.weight[pick] * np.repeat(w, size), minlength=len(row))
+        least = np.partition(cosine, -k, axis=1)[:, -k]
+        bound = far @ self.block_max + cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
+        for b in range(blocks):
+            rows = np.flatnonzero(bound[:, b] >= least - 1e-9)
+            cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows] @ self.long[b]
+        least = np.partition(cosine, -k, axis=1)[:, -k]
+        out = []
+        for row, floor in zip(cosine, least):
+            near = np.flatnonzero((row >= floor - 1e-11) & (row > 0))
+            out.append([(-c, i) for c, i in sorted((-round(float(row[i]), 12), int(i)) for i in near)[:self.k]])
         return out
 
+    def vote(self, near: list[tuple[float, int]]) -> tuple[float, list[int]]:
+        """Votes count by cosine and by how many documents an example stands for; the base share is the prior."""
+        if not near:
+            return self.base, []
+        vote = np.array([c * self.worth[i] for c, i in near])
+        own, total = float(vote @ self.toxic[[i for _, i in near]]), float(vote.sum())
+        smooth = self.smooth * total / len(near)
+        score = (own + smooth * self.base) / (total + smooth) if total + smooth > 0 else self.base
+        return min(1.0, max(0.0, score)), [self.ids[i] for _, i in near[:3]]
+
+    def scores(self, texts: list[str | None]) -> list[tuple[float, list[int]]]:
+        """Probability of label 1 and the ids of the nearest examples, of each text."""
+        keys = [blake2b((t or "").encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
+        if len(self.found) > MEMO:
+            self.found.clear()
+        new = {key: t for key, t in zip(keys, texts) if key not in self.found}
+        queries = []
+        for key, text in new.items():
+            at, n = self.vector(text)
+            if len(at):
+                queries.append((key, (at, self.unit(at, n))))
+            else:
+                self.found[key] = self.base, []
+        for i in range(0, len(queries), BLOCK):
+            some = queries[i:i + BLOCK]
+            for (key, _), near in zip(some, self.search([q for _, q in some])):
+                self.found[key] = self.vote(near)
+        return [self.found[key] for key in keys]
+
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, toxic) for every term of every example."""
@@ -130,44 +234,40 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([y] * len(terms), pa.int32())], ["term", "toxic"])
 
 
-def choose_terms(examples: DataFrame, n: dict[int, int], worth: dict[int, float], most: int, least: float = 5.0,
-                 purity: float = 0.8) -> list[str]:
-    """At most ``most`` terms that mark toxic examples.
+def term_contrast(examples: DataFrame, n: dict[int, int]) -> tuple[list[str], np.ndarray]:
+    """Every term of the examples, and by how many standard errors its shares of the two classes differ (0 with one class)."""
+    a, b = F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
+    counts = examples.mapInArrow(_term_rows, "term string, toxic int").groupBy("term").agg(a, b).toArrow().sort_by("term")
+    a, b = counts["a"].to_numpy().astype(float), counts["b"].to_numpy().astype(float)
+    if set(n) < {0, 1}:
+        return counts["term"].to_pylist(), np.zeros(len(a))
+    both = (a + b + 0.5) / (n[0] + n[1] + 1)
+    return counts["term"].to_pylist(), np.abs(a / n[1] - b / n[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
 
-    Their share of toxic examples is above the others' by ``least`` standard
-    errors, and ``purity`` of the labelled documents they stand in are toxic,
-    each example counted for the ``worth`` of its label.
-    """
-    a, b = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-    counts = (examples.mapInArrow(_term_rows, "term string, toxic int").groupBy("term").agg(a.alias("a"), b.alias("b"))
-              .where("a + b >= 3"))
-    both = (F.col("a") + F.col("b")) / (n[0] + n[1])
-    share = (F.col("a") / n[1] - F.col("b") / n[0]) / F.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]) + 1e-12)
-    pure = F.col("a") * worth[1] >= purity * (F.col("a") * worth[1] + F.col("b") * worth[0])
-    found = counts.where(pure).select("term", share.alias("gain")).where(f"gain >= {least}")
-    return [r["term"] for r in found.orderBy(F.desc("gain"), "term").limit(most).collect()]
-
-
-def _vector_rows(terms: dict[str, int]):
-    """(doc_id, toxic, term numbers, counts) of every example."""
+
+def _vector_rows(shared: Broadcast):
+    """(id, toxic, term numbers, counts) of every example, the last two as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = ToxicityModel.without_examples(terms)
         for batch in batches:
-            found = [model.vector(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([[t for t, _ in v] for v in found], pa.list_(pa.int32())),
-                                              pa.array([[n for _, n in v] for v in found], pa.list_(pa.int32()))], ["id", "toxic", "at", "n"])
+            found = [shared.value.vector(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([at.astype(np.int32).tobytes() for at, _ in found], pa.binary()),
+                                              pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], ["id", "toxic", "at", "n"])
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000, most_clean: int = 10_000, most_terms: int = 1024, k: int = 9,
+def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000, most_clean: int = 10_000, k: int = 9,
                  id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Examples from the labelled rows outside the held-out fold.
 
     At most ``most_toxic`` examples of label 1 and ``most_clean`` of label 0 are
-    kept, and ``most_terms`` terms are chosen on them; the examples' counts of those terms reach the driver.
-    An example stands for its share of the labelled rows of its class.  The
-    document frequencies of the terms cover all documents.  Repeated labels of
-    an id count once (the greatest); null labels and ids are left out.
+    kept, each with all its terms; their counts reach the driver.  A term weighs
+    its inverse document frequency over all documents times one plus
+    ``term_contrast``: no term is left out, and those that tell the classes
+    apart decide which examples are near.  Terms of a text that no example has
+    would scale all its cosines alike, which changes neither order nor score.
+    An example stands for its share of the labelled rows of its class.
+    Repeated labels of an id count once (the greatest); null labels and ids are
+    left out.
     """
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).where(fold_of(id_col) != 0)
              .groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("toxic")))
@@ -178,44 +278,47 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000,
                       .join(F.broadcast(ids), "id").select(F.col("id").cast("bigint"), "toxic", "text"))
     taken = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     worths = {y: held[y] / n for y, n in taken.items()}
-    names = choose_terms(examples, taken, worths, most_terms) if set(taken) >= {0, 1} else []
-    terms = {t: i for i, t in enumerate(names)}
-    n_docs, df = document_counts(docs, terms, text_col)
-    idf = np.log((1 + n_docs) / (1 + df)) + 1
-    share = held.get(1, 0) / max(1, sum(held.values()))
-    model = ToxicityModel.without_examples(terms, idf, share, k)
-    kept, columns, empty = [], [], Counter()
-    for r in sorted(examples.mapInArrow(_vector_rows(terms), "id bigint, toxic int, at array<int>, n array<int>").collect()):
-        worth = worths[r["toxic"]]
-        if not r["at"]:
-            empty[r["toxic"]] += worth
+    names, contrast = term_contrast(examples, taken)
+    model = ToxicityModel.without_examples({t: i for i, t in enumerate(names)})
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    n_docs, df = document_counts(docs, shared, len(names), text_col)
+    model.idf = (np.log((1 + n_docs) / (1 + df)) + 1) * (1 + contrast)
+    rows = (bound_batches(examples).mapInArrow(_vector_rows(shared), "id bigint, toxic int, at binary, n binary")
+            .toArrow().sort_by([("id", "ascending"), ("toxic", "ascending"), ("at", "ascending"), ("n", "ascending")]))
+    kept, term, count, empty = [], [], [], Counter()
+    for i, y, at, n in zip(*(rows[c] for c in ("id", "toxic", "at", "n"))):
+        y, at, n = y.as_py(), np.frombuffer(at.as_py(), np.int32), np.frombuffer(n.as_py(), np.int32)
+        if not len(at):
+            empty[y] += worths[y]
             continue
-        column = np.zeros(len(terms))
-        at, w = model.weigh(tuple(zip(r["at"], r["n"])))
-        column[at] = w
-        kept.append((r["id"], r["toxic"], worth))
-        columns.append(column)
-    if empty:
-        share = empty[1] / sum(empty.values())
-    return ToxicityModel(terms, idf, [i for i, _, _ in kept], np.array([y for _, y, _ in kept], float),
-                         np.array([w for _, _, w in kept]), np.array(columns).T if kept else np.zeros((len(terms), 0)), share, k)
-
-
-def document_counts(docs: DataFrame, terms: dict[str, int], text_col: str = "text") -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term occurs."""
+        kept.append((i.as_py(), y, worths[y]))
+        term.append(at)
+        count.append(n)
+    shared.unpersist()
+    share = empty[1] / sum(empty.values()) if empty else held.get(1, 0) / max(1, sum(held.values()))
+    if not kept:
+        return ToxicityModel.without_examples(model.terms, model.idf, share, k)
+    counts = TermCounts(np.array([len(t) for t in term], np.int32), np.concatenate(term), np.concatenate(count))
+    return ToxicityModel(model.terms, model.idf, [i for i, _, _ in kept], np.array([y for _, y, _ in kept], float),
+                         np.array([w for _, _, w in kept]), counts, share, k)
+
+
+def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: str = "text") -> tuple[int, np.ndarray]:
+    """Number of documents, and in how many each term of the shared model occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = ToxicityModel.without_examples(terms)
-        total, n = np.zeros(len(terms), np.int64), 0
+        total, n = np.zeros(terms, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                for t, _ in empty.vector(text.as_py()):
-                    total[t] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(terms))), pa.array(np.concatenate([[n], total]))], ["term", "n"])
+                total[list(shared.value.term_set(text.as_py()))] += 1
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[n], total[some]]))], ["term", "n"])
 
-    df = {r["term"]: r["n"] for r in bound_batches(docs).select(text_col).mapInArrow(run, "term bigint, n bigint")
-          .groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return df.get(-1, 0), np.array([df.get(i, 0) for i in range(len(terms))], float)
+    counts = (bound_batches(docs).select(text_col).mapInArrow(run, "term bigint, n bigint")
+              .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
+    df = np.zeros(terms + 1)
+    df[counts["term"].to_numpy()] = counts["n"].to_numpy()  # -1 is the last
+    return int(df[-1]), df[:-1]
 
 
 def toxicity_of(model: ToxicityModel, docs: DataFrame, text: Column) -> Column:
@@ -224,7 +327,7 @@ def toxicity_of(model: ToxicityModel, docs: DataFrame, text: Column) -> Column:
 
     @F.pandas_udf("struct<score: double, evidence: array<bigint>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        scored = [shared.value.score(t) for t in texts]
+        scored = shared.value.scores(list(texts))
         return pd.DataFrame({"score": [s for s, _ in scored], "evidence": [e for _, e in scored]})
 
     return run(text)
@@ -233,8 +336,9 @@ def toxicity_of(model: ToxicityModel, docs: DataFrame, text: Column) -> Column:
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, held_out, score, predicted, evidence) of every whole text.
 
-    Texts without any term of the model, null and empty ones among them, get
-    the share of toxic documents among such examples.  Repeated rows score
+    Every text with a term of any example is voted on by its neighbours of both
+    labels; others, null and empty ones among them, get the share of toxic
+    documents among empty examples, or else among all labels.  Repeated rows score
     alike; an empty table gives an empty result.
     """
     scored = docs.select(id_col, (fold_of(id_col) == 0).alias("held_out"), toxicity_of(model, docs, F.col(text_col)).alias("_out"))
