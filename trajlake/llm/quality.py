@@ -14,8 +14,17 @@ from pyspark.sql import functions as F
 from trajlake.llm.common import bound_batches
 from trajlake.llm.language import fold_of, thinned
 
-STATS = 12  # numbers that describe a line
-BINS = 8  # values of each
+SHARE = (0.0, 0.003, 0.01, 0.02, 0.04, 0.08, 0.15, 0.3, 0.5, 0.7)
+EDGES = np.array([
+    (2.3, 3.0, 3.4, 3.8, 4.2, 4.7, 5.3, 6.0, 7.0, 8.0),  # logarithm of the bytes
+    *[SHARE] * 4,  # capitals among letters, digits, stops, other signs
+    tuple(1 - x for x in reversed(SHARE)),  # letters
+    *[SHARE] * 2,  # repeated words, words equal to the one before
+    (2.5, 3.5, 4.5, 5.5, 6.5, 7.5, 8.5, 10.0, 13.0, 20.0),  # bytes a word
+    *[SHARE] * 2,  # exclamation marks a word, bytes that aren't ASCII
+    (0.5,) * len(SHARE),  # whether the document had the line before
+])
+STATS, BINS = len(EDGES), len(SHARE) + 1
 MOST_LINES = 2000  # of an example
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -42,16 +51,15 @@ def line_stats(lines: list[str]) -> np.ndarray:
         stops = size - len(data.translate(None, STOPS))
         other = len(data.translate(None, UPPER + LOWER + HIGH + DIGITS + STOPS + BLANKS))
         row[:] = (log(size), upper / max(1, letters), (size - len(data.translate(None, DIGITS))) / size, stops / size, other / size,
-                  letters / size, len(set(words)) / n, sum(map(eq, words, words[1:])) / n, size / n, data.count(b"!") / n,
+                  letters / size, 1 - len(set(words)) / n, sum(map(eq, words, words[1:])) / n, size / n, data.count(b"!") / n,
                   (size - len(data.translate(None, HIGH))) / size, line in seen)
         seen.add(line)
     return out
 
 
-def binned(stats: np.ndarray, edges: np.ndarray) -> np.ndarray:
+def binned(stats: np.ndarray) -> np.ndarray:
     """Feature numbers of each line: the bin of each number, counted through."""
-    return np.stack([np.searchsorted(edges[i], stats[:, i], "left") + BINS * i for i in range(STATS)], axis=1) if len(stats) else np.zeros(
-        (0, STATS), np.int64)
+    return np.stack([np.searchsorted(EDGES[i], stats[:, i], "left") + BINS * i for i in range(STATS)], axis=1)
 
 
 def line_scores(features: np.ndarray, first: np.ndarray, last: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -90,7 +98,6 @@ def good_marginals(scores: list[float], turns: list[float]) -> list[float]:
 
 @dataclass
 class QualityModel:
-    edges: np.ndarray  # between the bins of each number
     weights: np.ndarray
     turns: list[float]
     slope: float  # of the logarithm of the bad share
@@ -98,10 +105,10 @@ class QualityModel:
     base: float  # share of label 1, for texts without a line
 
     def values(self) -> tuple:
-        return self.edges, self.weights, self.turns, self.slope, self.shift, self.base
+        return self.weights, self.turns, self.slope, self.shift, self.base
 
 
-def bad_share(texts: list[str | None], edges: np.ndarray, weights: np.ndarray, turns: list[float]) -> list[float | None]:
+def bad_share(texts: list[str | None], weights: np.ndarray, turns: list[float]) -> list[float | None]:
     """Length-weighted mean probability of bad over the lines of each text; None without a line."""
     lines = [lines_of(t) for t in texts]
     counts = [len(x) for x in lines]
@@ -110,7 +117,7 @@ def bad_share(texts: list[str | None], edges: np.ndarray, weights: np.ndarray, t
     first, last = np.zeros(len(stats), bool), np.zeros(len(stats), bool)
     full = np.flatnonzero(counts)
     first[(ends - counts)[full]], last[ends[full] - 1] = True, True
-    scores = line_scores(binned(stats, edges), first, last, weights).tolist() if len(stats) else []
+    scores = line_scores(binned(stats), first, last, weights).tolist()
     out: list[float | None] = [None] * len(texts)
     for i in full:
         good = good_marginals(scores[ends[i] - counts[i]:ends[i]], turns)
@@ -132,15 +139,14 @@ def _example_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fit_chain(stats: list[np.ndarray], labels: np.ndarray, *, rounds: int = 200, rate: float = 0.08, decay: float = 1e-3):
-    """Edges, weights and turns of the field, by gradient steps (Adam) on the likelihood of the document labels.
+    """Weights and turns of the field, by gradient steps (Adam) on the likelihood of the document labels.
 
     Only documents are labelled: label 1 says that all lines are good, label 0
     that at least one is bad.  Each class weighs half.
     """
     counts = np.array([len(s) for s in stats])
     rows = np.concatenate(stats)
-    edges = np.stack([np.quantile(rows[:, i], np.linspace(0, 1, BINS + 1)[1:-1]) for i in range(STATS)])
-    features, starts = binned(rows, edges), np.cumsum(counts) - counts
+    features, starts = binned(rows), np.cumsum(counts) - counts
     first, last = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
     first[starts], last[starts + counts - 1] = True, True
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
@@ -178,7 +184,7 @@ def fit_chain(stats: list[np.ndarray], labels: np.ndarray, *, rounds: int = 200,
             m += 0.1 * (step - m)
             v += 0.01 * (step * step - v)
             value += rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
-    return edges, weights, np.exp(turns).ravel().tolist()
+    return weights, np.exp(turns).ravel().tolist()
 
 
 def calibrate(x: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -217,19 +223,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, most: int = 4000, id_col:
     found = sorted({(i, y, s) for i, y, s in zip(*(c.to_pylist() for c in found.columns)) if s})
     labels_ = np.array([y for _, y, _ in found])
     if len(set(labels_.tolist())) < 2:
-        return QualityModel(np.zeros((STATS, BINS - 1)), np.zeros((3, STATS * BINS + 1)), [1.0] * 4, 0.0, log((base + 1e-6) / (1 - base + 1e-6)), base)
+        return QualityModel(np.zeros((3, STATS * BINS + 1)), [1.0] * 4, 0.0, log((base + 1e-6) / (1 - base + 1e-6)), base)
     stats = [np.frombuffer(s).reshape(-1, STATS) for *_, s in found]
-    edges, weights, turns = fit_chain(stats, labels_)
+    weights, turns = fit_chain(stats, labels_)
     shares = []
     for s in stats:
         at = np.arange(len(s))
-        score = line_scores(binned(s, edges), at == 0, at == len(s) - 1, weights)
+        score = line_scores(binned(s), at == 0, at == len(s) - 1, weights)
         size = np.exp(s[:, 0])
         shares.append(1 - float(np.dot(good_marginals(score.tolist(), turns), size) / size.sum()))
     slope, shift = calibrate(_tail(np.array(shares)), labels_)
     # the examples may hold the classes in other shares than the labels
     taken = labels_.mean()
-    return QualityModel(edges, weights, turns, slope, shift + log(base / (1 - base)) - log(taken / (1 - taken)), base)
+    return QualityModel(weights, turns, slope, shift + log(base / (1 - base)) - log(taken / (1 - taken)), base)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_col: str = "text", fold: int = 1,
@@ -244,9 +250,9 @@ def score_quality(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edges, weights, turns, slope, shift, base = shared.value
+        weights, turns, slope, shift, base = shared.value
         for batch in batches:
-            bad = bad_share(batch.column(2).to_pylist(), edges, weights, turns)
+            bad = bad_share(batch.column(2).to_pylist(), weights, turns)
             score = [base if b is None else _stable_sigmoid(slope * float(_tail(b)) + shift) for b in bad]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()),
