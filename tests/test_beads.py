@@ -109,7 +109,7 @@ def test_same_as_sequential(spark, name):
 
 
 def test_large_frame_without_cutoff_grows_one(spark):
-    compare(spark, random_frames(1, 300, 5, 0.3), RULES["no cutoff"], 10**6)
+    compare(spark, random_frames(1, 300, 5, 0.3), RULES["no cutoff"])
 
 
 def test_coincident_atoms(spark):

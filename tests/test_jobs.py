@@ -146,7 +146,7 @@ def test_analysis_and_selection(spark, data, tmp_path):
     picks = select_structures(out.table, 2, n_clusters=3)
     assert picks.count() == sum(min(2, r["n"]) for r in picks.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect())
     extra = picks.limit(1).withColumns({"source_file": F.lit(str(tmp_path / "gone")), "structure_id": F.lit("x/1@5")})
-    manifest, found = attach_frames(spark, picks.unionByName(extra))
+    manifest, found = attach_frames(picks.unionByName(extra))
     states = {r["status"]: r["n"] for r in manifest.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert states == {"written": picks.count(), "source missing": 1}
     write_picks(found, str(tmp_path / "sel"))

@@ -17,8 +17,9 @@ from trajlake.operators.pairwise import distance_percentile
 from trajlake.operators.sampling import limit_frames, sample_rows
 from trajlake.operators.selection import select_maximin
 from trajlake.session import cut_lineage
-from trajlake.sinks.dumps import frame_dump_lines, write_dump
-from trajlake.sources.dump import atom_rows, canonical_atoms, read_frames, valid_frames, with_frame_idx
+from trajlake.sinks.dumps import indexed_dump_lines, write_dump
+from trajlake.sources.dump import canonical_atoms
+from trajlake.sources.frame_index import FrameIndex, frame_index, indexed_atoms, indexed_lines, list_files, stat_files
 
 FRAME = ["file", "frame_idx"]
 
@@ -54,11 +55,12 @@ class Structures:
 def load_structures(spark: SparkSession, paths, max_frames: int | None = None, max_per_file: int | None = None,
                     bead_dumps: bool = True, **options) -> tuple[DataFrame, DataFrame]:
     """(frames, atoms) of all frames, in natural path order; the limits are the caller's choice."""
-    frames = with_frame_idx(valid_frames(read_frames(spark, paths, **options)))
+    index = frame_index(list_files(spark, paths, **options))
+    frames = index.frames.where("ok").drop("ok")
     labels = bead_dump_labels if bead_dumps else dump_labels
     frames = limit_frames(frames, max_per_file, max_frames, natural_key(F.col("file")))
     frames = cut_lineage(frames.withColumn("_l", labels(F.col("file"))).select("*", "_l.sim_type", "_l.temp").drop("_l"))
-    return frames, canonical_atoms(atom_rows(frames, (*FRAME, "timestep", "natoms")))
+    return frames, canonical_atoms(indexed_atoms(index.of(frames)))
 
 
 def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "pairs", components: int = 10,
@@ -151,47 +153,34 @@ def select_structures(table: DataFrame, n: int, space: str | None = None, method
     return rows.drop("cluster", "selection_rank").join(picks, "id")
 
 
-def attach_frames(spark: SparkSession, picks: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """(manifest rows, frames to write) for picks with source_file and timestep.
+def attach_frames(picks: DataFrame, index: FrameIndex | None = None) -> tuple[DataFrame, DataFrame]:
+    """(manifest rows, dump lines to write) for picks with source_file and timestep.
 
-    Only the files of the picks are read; of frames sharing a step the last
-    one counts.  ``status`` tells what could not be found.
+    Without an index one is made of the files of the picks that exist.  Only
+    the bytes of the picked frames are read then; of frames sharing a step the
+    last one counts.  ``status`` tells what could not be found.
     """
-    rows = picks.withColumn("timestep", resolved_step(
-        F.col("timestep") if "timestep" in picks.columns else F.lit(None), F.col("structure_id")))
-    # the list of files grows with the picks, a report-sized table
-    files = [r[0] for r in rows.select("source_file").distinct().toLocalIterator() if r[0] is not None]
-    here = [f for f in files if _file_exists(spark, f)]
-    if not here:
-        return rows.withColumns({"status": F.lit("source missing"), "output_file": F.lit("")}), None
-    frames = valid_frames(read_frames(spark, here, **options))
-    wanted = rows.select(_plain(F.col("source_file")).alias("_path"), "timestep").distinct()
-    frames = frames.withColumn("_path", _plain(F.col("file"))).join(wanted, ["_path", "timestep"], "left_semi")
-    last = frames.groupBy("_path", "timestep").agg(F.max(F.struct("split_start", "seq")).alias("_last"))
-    frames = frames.join(last, ["_path", "timestep"]).where(F.struct("split_start", "seq") == F.col("_last")).drop("_last")
+    rows = cut_lineage(picks.withColumn("timestep", resolved_step(
+        F.col("timestep") if "timestep" in picks.columns else F.lit(None), F.col("structure_id"))))
+    if index is None:
+        index = frame_index(stat_files(rows.select(F.col("source_file").alias("file"))))
+    frames = index.frames.withColumn("_path", _plain(F.col("file")))
+    known = frames.select("_path").distinct().withColumn("_known", F.lit(True))
+    last = (frames.where("ok").join(rows.select(_plain(F.col("source_file")).alias("_path"), "timestep").distinct(), ["_path", "timestep"], "left_semi")
+            .groupBy("_path", "timestep").agg(F.max("offset").alias("offset")))
     name = F.concat(safe_name(F.coalesce("structure_id", F.concat(F.lit("frame_"), F.col("timestep").cast("string")))), F.lit(".lammpstrj"))
-    found = last.select("_path", "timestep", F.lit(True).alias("_found"))
-    known = F.col("_path").isin(*[_plain_text(f) for f in here])
-    manifest = (rows.withColumn("_path", _plain(F.col("source_file"))).join(found, ["_path", "timestep"], "left")
-                .withColumns({"status": F.when(F.col("_found"), "written").when(known, "no such frame").otherwise("source missing"),
-                              "output_file": F.when(F.col("_found"), name).otherwise("")}))
-    out = manifest.where("_found").select("_path", "timestep", F.regexp_replace("output_file", r"\.lammpstrj$", "").alias("out_name"))
-    return manifest.drop("_path", "_found"), frames.join(out, ["_path", "timestep"])
+    manifest = cut_lineage(
+        rows.withColumn("_path", _plain(F.col("source_file"))).join(last, ["_path", "timestep"], "left").join(known, "_path", "left")
+        .withColumns({"status": F.when(F.col("offset").isNotNull(), "written").when(F.col("_known"), "no such frame").otherwise("source missing"),
+                      "output_file": F.when(F.col("offset").isNotNull(), name).otherwise("")}))
+    out = manifest.where("offset is not null").select("_path", "timestep", "offset", F.regexp_replace("output_file", r"\.lammpstrj$", "").alias("out_name"))
+    wanted = cut_lineage(frames.join(out, ["_path", "timestep", "offset"]))
+    return manifest.drop("_path", "_known", "offset"), indexed_dump_lines(wanted, indexed_lines(index.of(wanted)), ["out_name", "timestep"])
 
 
-def write_picks(frames: DataFrame, path: str) -> None:
-    write_dump(frame_dump_lines(frames, ["out_name", "timestep"]), path, "out_name", ["timestep"])
+def write_picks(lines: DataFrame, path: str) -> None:
+    write_dump(lines, path, "out_name", ["timestep"])
 
 
 def _plain(path):
     return F.regexp_replace(path, "^file:/*", "/")
-
-
-def _plain_text(path: str) -> str:
-    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
-
-
-def _file_exists(spark: SparkSession, path: str) -> bool:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
-

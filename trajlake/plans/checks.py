@@ -16,7 +16,7 @@ from trajlake.operators.sampling import even_downsample
 from trajlake.operators.thermo import join_thermo
 from trajlake.operators.unwrap import unwrap_chain
 from trajlake.session import cut_lineage
-from trajlake.sources.dump import atom_rows, first_frames, read_frames, valid_frames
+from trajlake.sources.frame_index import frame_index, indexed_atoms, list_files
 from trajlake.sources.matrix import read_matrix
 from trajlake.sources.thermo import read_thermo
 
@@ -43,7 +43,7 @@ def pressure_temperature(spark: SparkSession, dumps, logs, log_dir: str, sims: S
 
     Logs are ``<folder>/log.lammps`` right under ``log_dir``.
     """
-    frames = first_frames(valid_frames(read_frames(spark, dumps, **options))).select("file", "timestep")
+    frames = frame_index(list_files(spark, dumps, **options)).frames.where("frame_idx = 0").select("file", "timestep")
     frames = frames.withColumn("_l", dump_labels(F.col("file"))).select("file", "timestep", "_l.sim_type", "_l.temp")
     frames = keep_matching(frames, sims, temps)
     frames = frames.withColumn("sim", log_folder(F.col("file"), log_dir))
@@ -75,9 +75,8 @@ def audit_files(spark: SparkSession, beads: DataFrame, sources: DataFrame, dumps
     first one counts.
     """
     frame = ["file", "timestep"]
-    records = valid_frames(read_frames(spark, dumps, **options))
-    first = records.groupBy("file", "timestep").agg(F.min(F.struct("split_start", "seq")).alias("_f"))
-    records = records.join(first, ["file", "timestep"]).where(F.struct("split_start", "seq") == F.col("_f")).drop("_f")
+    index = frame_index(list_files(spark, dumps, **options))
+    records = index.frames.where("ok").groupBy("file", "timestep").agg(F.min("frame_idx").alias("frame_idx")).withColumn("source", F.col("file"))
     plain = F.regexp_replace("file", "^file:/*", "/")
     link = sources.where(F.col("source").isNotNull()).select(
         F.col("bead_file"), F.regexp_replace("source", "^file:/*", "/").alias("_path"))
@@ -88,7 +87,9 @@ def audit_files(spark: SparkSession, beads: DataFrame, sources: DataFrame, dumps
         "file", F.lit("atom source not found").alias("reason"))
     bad = cut_lineage(bad.unionByName(unresolved).groupBy("file").agg(F.min("reason").alias("reason")))
     good = cut_lineage(beads.join(bad, "file", "left_anti"))
-    atoms = atom_rows(records.join(good.select(*frame).distinct(), frame, "left_semi"), tuple(frame))
+    wanted = records.join(good.select(*frame).distinct(), frame, "left_semi").select("source", "frame_idx", "file")
+    atoms = indexed_atoms(index.of(wanted.withColumnRenamed("file", "bead_file").withColumnRenamed("source", "file")))
+    atoms = atoms.withColumnRenamed("file", "source").join(wanted, ["source", "frame_idx"]).drop("source", "frame_idx", "natoms")
     atoms = cut_lineage(with_position(unwrap_chain(atoms, frame) if rules.unwrap_pbc else atoms, rules.unwrapped))
     issues = cut_lineage(A.audit_issues(good, atoms, frame, rules, checks, force_tol, pe_tol, span))
     frames = cut_lineage(A.frame_rollup(good, issues, frame))

@@ -13,7 +13,7 @@ from trajlake.operators.beads import BeadRules, assign_members, build_beads
 from trajlake.operators.neighbors import with_position
 from trajlake.operators.unwrap import unwrap_chain
 from trajlake.session import cut_lineage
-from trajlake.sources.dump import atom_rows, read_frames, valid_frames, with_frame_idx
+from trajlake.sources.frame_index import frame_index, indexed_atoms, list_files
 
 FRAME = ["file", "frame_idx"]
 
@@ -34,13 +34,13 @@ def coarse_grain_dumps(spark: SparkSession, paths: str | Sequence[str], rules: B
                        **options) -> CoarseGrained:
     """Assign and aggregate beads of all valid frames behind ``paths``.
 
-    The text is parsed into a stored atom table; everything after reads that
-    table.
+    One scan makes the frame index, a second read of the atom lines the stored
+    atom table; everything after reads those tables.
     """
-    records = read_frames(spark, paths, **options)
-    frames = with_frame_idx(valid_frames(records))
-    atoms = cut_lineage(atom_rows(frames, (*FRAME, "timestep")))
-    heads = cut_lineage(frames.select(*FRAME, "timestep", "natoms", cell9(
+    index = frame_index(list_files(spark, paths, **options))
+    records = index.frames
+    atoms = cut_lineage(indexed_atoms(index.parts).drop("natoms"))
+    heads = cut_lineage(records.where("ok").select(*FRAME, "timestep", "natoms", cell9(
         *[F.col("box")[i]["hi"] - F.col("box")[i]["lo"] for i in range(3)]).alias("cell")))
     moved = unwrap_chain(atoms, FRAME) if rules.unwrap_pbc else atoms
     placed = with_position(moved, rules.unwrapped)

@@ -49,20 +49,34 @@ def frame_dump_lines(frames: DataFrame, keep: Sequence[str], keep_tilt: bool = F
 
     ``frames`` are records of the dump reader (timestep, natoms, box, columns, body).
     """
+    heads = _frame_heads(frames, keep, keep_tilt)
+    lines = F.filter(F.slice(F.split("body", "\n"), F.lit(1), F.greatest(F.col("natoms"), F.lit(0)).cast("int")),
+                     lambda l: F.trim(l) != "")
+    body = frames.select(*keep, F.size("columns").alias("_w"), F.posexplode(lines).alias("line_no", "_l"))
+    return heads.unionByName(body.select(*keep, (F.col("line_no") + HEAD).alias("line_no"), _plain_cells("_l", "_w").alias("value")))
+
+
+def indexed_dump_lines(frames: DataFrame, lines: DataFrame, keep: Sequence[str], keep_tilt: bool = False) -> DataFrame:
+    """(keep, line_no, value) of indexed frames; ``lines`` are their atom lines (file, offset, line_no, value)."""
+    body = lines.join(frames.select("file", "offset", *keep, F.size("columns").alias("_w")), ["file", "offset"])
+    return _frame_heads(frames, keep, keep_tilt).withColumn("line_no", F.col("line_no").cast("bigint")).unionByName(
+        body.select(*keep, (F.col("line_no") + HEAD).alias("line_no"), _plain_cells("value", "_w").alias("value")))
+
+
+def _frame_heads(frames: DataFrame, keep: Sequence[str], keep_tilt: bool) -> DataFrame:
     def axis(i: int) -> Column:
         b = F.col("box")[i]
         tilt = F.coalesce(b["tilt"], F.lit(0.0)) if keep_tilt else F.lit(0.0)
         return F.concat_ws(" ", b["lo"].cast("string"), b["hi"].cast("string"), tilt.cast("string"))
 
-    heads = frames.select(*keep, F.posexplode(_header(
+    return frames.select(*keep, F.posexplode(_header(
         F.col("timestep"), F.col("natoms"), [axis(i) for i in range(3)], F.array_join("columns", " "))).alias("line_no", "value"))
-    lines = F.filter(F.slice(F.split("body", "\n"), F.lit(1), F.greatest(F.col("natoms"), F.lit(0)).cast("int")),
-                     lambda l: F.trim(l) != "")
-    body = frames.select(*keep, F.size("columns").alias("_w"), F.posexplode(lines).alias("line_no", "_l"))
-    words = F.filter(F.split("_l", r"\s+"), lambda w: w != "")
-    cells = F.transform(F.sequence(F.lit(0), F.col("_w") - 1), lambda i: plain_number(F.get(words, i)))
-    body = body.select(*keep, (F.col("line_no") + HEAD).alias("line_no"), F.array_join(cells, " ").alias("value"))
-    return heads.unionByName(body)
+
+
+def _plain_cells(line: str, width: str) -> Column:
+    """The first ``width`` cells of a line as plain numbers."""
+    words = F.filter(F.split(line, r"\s+"), lambda w: w != "")
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.col(width) - 1), lambda i: plain_number(F.get(words, i))), " ")
 
 
 def write_dump(lines: DataFrame, path: str, output: str, frame: Sequence[str]) -> None:

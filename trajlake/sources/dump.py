@@ -22,17 +22,26 @@ BOX_HEAD = r"ITEM: BOX BOUNDS[^\n]*\n([^\n]*)\n([^\n]*)\n([^\n]*)"
 ATOM_DOUBLES = ("x", "y", "z", "xu", "yu", "zu", "fx", "fy", "fz", "c_pe")
 
 
-def _words(text: Column) -> Column:
+def split_words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
 def _box_axis(header: Column, line: int) -> Column:
-    parts = _words(F.regexp_extract(header, BOX_HEAD, line))
+    parts = split_words(F.regexp_extract(header, BOX_HEAD, line))
     return F.struct(F.get(parts, F.lit(0)).try_cast("double").alias("lo"),
                     F.get(parts, F.lit(1)).try_cast("double").alias("hi"),
                     F.get(parts, F.lit(2)).try_cast("double").alias("tilt"))
 
 
+def box_columns(header: Column) -> Column:
+    """The three axes of a frame's box: lo, hi, tilt."""
+    return F.array(*[_box_axis(header, i) for i in (1, 2, 3)])
+
+
+def has_box(box: str) -> Column:
+    return ~F.exists(box, lambda b: b["lo"].isNull() | b["hi"].isNull())
+
+
 def read_frames(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
     """One row per frame record, valid or not.
 
@@ -46,18 +55,16 @@ def read_frames(spark: SparkSession, paths: str | Sequence[str], **options) -> D
     rows = rows.withColumn("_header", header)
     after = F.substring(F.col("_text"), F.length("_header") + 1 + len(ATOMS_MARK), F.length("_text"))
     rows = rows.withColumn("_atoms", F.when(F.length("_header") < F.length("_text"), after))
-    box = F.array(*[_box_axis(F.col("_header"), i) for i in (1, 2, 3)])
     rows = rows.select(
         "file", "split_start", "seq",
         F.trim(F.regexp_extract("_header", r"^\n([^\n]*)", 1)).try_cast("bigint").alias("timestep"),
         F.regexp_extract("_header", COUNT_HEAD, 1).try_cast("bigint").alias("natoms"),
-        box.alias("box"),
-        _words(F.substring_index("_atoms", "\n", 1)).alias("columns"),
+        box_columns(F.col("_header")).alias("box"),
+        split_words(F.substring_index("_atoms", "\n", 1)).alias("columns"),
         F.when(F.instr("_atoms", "\n") > 0,
                F.expr(r"substr(_atoms, instr(_atoms, '\n') + 1)")).alias("body"))
-    has_box = ~F.exists("box", lambda b: b["lo"].isNull() | b["hi"].isNull())
     return rows.withColumn("ok", F.col("timestep").isNotNull() & F.col("natoms").isNotNull()
-                           & has_box & F.col("columns").isNotNull())
+                           & has_box("box") & F.col("columns").isNotNull())
 
 
 def valid_frames(frames: DataFrame) -> DataFrame:
@@ -115,7 +122,7 @@ def atom_rows(frames: DataFrame, keep: Sequence[str] = ("file", "seq", "timestep
     places = {f"_at_{c}": F.array_position("columns", c) for c in ("id", "type", *ATOM_DOUBLES)}
     rows = frames.withColumns({**lengths, **places}).select(
         *keep, "columns", *lengths, *places, F.posexplode(lines).alias("row_idx", "_line"))
-    rows = rows.withColumn("_v", _words(F.col("_line")))
+    rows = rows.withColumn("_v", split_words(F.col("_line")))
 
     def cell(name: str) -> Column:
         at = F.col(f"_at_{name}")
