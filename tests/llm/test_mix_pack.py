@@ -168,3 +168,19 @@ def test_near_dedup_stage_takes_five_words(spark):
     rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(words) + " "), (4, " ".join(last)), (5, " ".join([*last, "more"]))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {1, 2, 4}
+
+
+def test_mixed_rows_keep_null_and_repeated_ids(spark):
+    """Every row is taken as often as its own line of the mix says, whatever its id."""
+    rows = [(1, "one two three", None, "a", 1, "x"), (1, "four five", None, "a", 1, None), (None, "six seven eight", "en", "a", 1, "x"),
+            (None, None, None, None, None, None), (2, "same row", "en", "b", 1, "x"), (2, "same row", "en", "b", 1, "x"), (3, "", "en", "b", 1, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, copies string").repartition(3)
+    got = Counter(tuple(r) for r in mixing.mix_documents(docs).collect())
+    want = Counter()
+    for r in mixing.mix_sources(docs, carry=[F.coalesce("text", F.lit("")).alias("t")]).collect():
+        want[r["doc_id"], r["t"]] += r["copies"]
+    assert mixing.mix_documents(docs).columns == docs.columns
+    seen = Counter()
+    for row, n in got.items():
+        seen[row[0], row[1] or ""] += n
+    assert seen == +want and any(i is None for i, _ in seen)

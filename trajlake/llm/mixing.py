@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.llm.common import WORD, stored, text_or_empty
@@ -151,8 +152,30 @@ def mix_sources(docs: DataFrame, *, cycle: Sequence[float] = CYCLE, total_factor
             .drop("_null", "_name", "_whole", "_part", "_key"))
 
 
+def mix_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as the mix takes it.
+
+    Rows are known by 128 bits of hashes of all their columns, so null ids and
+    ids repeated with other texts keep their own copies.  Rows that agree in
+    every column share theirs evenly, the first ones taking what is left over.
+    """
+    def row_key(*first: Column) -> Column:
+        return F.xxhash64(*first, *[F.struct(F.col(f"`{c}`"), F.col(f"`{c}`").isNull()) for c in docs.columns])
+
+    keys = {"__key": row_key(), "__key2": row_key(F.lit(1))}
+    mixed = mix_sources(docs, carry=[key.alias(name) for name, key in keys.items()], **options)
+    times = mixed.groupBy(*keys).agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")).where("__all > 0")
+    rows = docs.withColumns(keys).join(times, list(keys)).withColumn("__extra", F.col("__all") % F.col("__rows"))
+    place = F.row_number().over(W.partitionBy(*keys).orderBy("__all"))
+    even = rows.where("__extra = 0").withColumn("__place", F.lit(1))
+    odd = rows.where("__extra > 0").withColumn("__place", place)  # only rows with equals
+    each = (F.floor(F.col("__all") / F.col("__rows")) + F.when(F.col("__place") <= F.col("__extra"), 1).otherwise(0)).cast("int")
+    return (even.unionByName(odd).withColumn("__times", each).where("__times > 0")
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[f"`{c}`" for c in docs.columns]))
+
+
 def apply_mix(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` repeated as often as the mix takes them."""
+    """The rows of ``docs`` repeated as often as the mix takes them, for ids that are unique and not null (else ``mix_documents``)."""
     times = copies.where("copies > 0").groupBy(id_col).agg(F.max("copies").cast("int").alias("__times"))
     return (docs.join(times, id_col).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
             .select(*docs.columns))
