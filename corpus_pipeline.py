@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trajlake.llm.common import stored
 from trajlake.llm.exact_dedup import drop_copies
 from trajlake.llm.minhash import drop_near_duplicates
-from trajlake.llm.mixing import apply_mix, mix_sources
+from trajlake.llm.mixing import mix_documents
 from trajlake.llm.packing import pack_documents
 from trajlake.llm.toxicity import drop_toxic, fit_toxicity
 
@@ -34,7 +34,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return apply_mix(docs, mix_sources(docs))
+    return mix_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
