@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -13,16 +14,20 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from trajlake.llm.common import bound_batches, stored
 from trajlake.llm.language import fold_of, thinned
 
 BLOCK = 64  # examples of one block of the inverted lists
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘¡¿…"
-STEMS = (4, 5, 6)  # word beginnings that are terms of their own
+STEMS = (5,)  # lengths of the word beginnings that are terms of their own
 MEMO = 100_000
 WORDS = 200_000
+NONE: list[int] = []  # shared by all words without a term
 LONG = 512  # terms whose lists are also kept in blocks
+BATCH = 256  # texts searched at once
+SLACK = 1e-4  # more than the rounding of approximate cosines
 
 
 def words_of(text: str | None) -> list[str]:
@@ -35,19 +40,11 @@ def terms_of(word: str) -> list[str]:
     return [word, *[f"{word[:n]}-" for n in STEMS if len(word) >= n]] if word else []
 
 
-@dataclass
-class TermLists:
-    """Inverted lists: of term t, the places ``start[t]`` to ``start[t + 1]`` hold its examples in order and their weights."""
-
-    start: np.ndarray
-    example: np.ndarray
-    weight: np.ndarray
-
-    @classmethod
-    def of(cls, term: np.ndarray, example: np.ndarray, weight: np.ndarray, terms: int) -> TermLists:
-        order = np.lexsort((example, term))
-        start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
-        return cls(start, example[order].astype(np.int32), weight[order])
+def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the terms of the words, one after the other, and how many each word has."""
+    terms = [terms_of(w) for w in words]
+    flat = np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in chain.from_iterable(terms)), np.uint64)
+    return flat.view(np.int64), np.fromiter(map(len, terms), np.int64, len(terms))
 
 
 @dataclass
@@ -58,25 +55,119 @@ class TermCounts:
     term: np.ndarray
     n: np.ndarray
 
-    def __getstate__(self):
-        # few bytes a term, as each executor and worker gets a copy
-        return [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (self.size, np.diff(self.term, prepend=np.int32(0)), self.n)]
 
-    def __setstate__(self, state):
-        self.size, steps, self.n = (np.frombuffer(zlib.decompress(x), np.int32) for x in state)
-        self.term = np.cumsum(steps, dtype=np.int32)
+def _counts_of(size: bytes, steps: bytes, n: bytes) -> TermCounts:
+    size, steps, n = (np.frombuffer(zlib.decompress(x), np.int32) for x in (size, steps, n))
+    return TermCounts(size, np.cumsum(steps, dtype=np.int32), n)
 
-    def lists(self, idf: np.ndarray) -> TermLists:
-        example = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
-        w = (1 + np.log(self.n)) * idf[self.term]
-        return TermLists.of(self.term, example, w / np.sqrt(np.bincount(example, weights=w * w))[example], len(idf))
+
+class TermIndex:
+    """Inverted lists of weighted examples, the longest also in blocks with their greatest weights.
+
+    Approximate cosines are single precision; ``exact`` adds up an example's
+    own weights in double precision.
+    """
+
+    def __init__(self, size: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
+        self.examples = len(size)
+        self.own = np.concatenate([[0], np.cumsum(size)])
+        self.term, self.weight = term.astype(np.int32), weight
+        example = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        self.label = self._alike(len(size), example, term, weight, terms)
+        place = np.empty(len(size), np.int32)
+        place[self.label] = np.arange(len(size))
+        order = np.argsort(term, kind="stable")
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+        self.example = place[example][order]
+        self.near = weight[order].astype(np.float32)
+        sizes, blocks = np.diff(self.start), -(-len(size) // BLOCK)
+        long = np.sort(np.argsort(-sizes, kind="stable")[:LONG])
+        long = long[sizes[long] >= BLOCK]
+        self.long_of = np.full(len(sizes), -1)
+        self.long_of[long] = np.arange(len(long))
+        self.long = np.zeros((blocks, len(long), BLOCK), np.float32)
+        for i, t in enumerate(long):
+            e = self.example[self.start[t]:self.start[t + 1]]
+            self.long[e // BLOCK, i, e % BLOCK] = self.near[self.start[t]:self.start[t + 1]]
+        self.block_max = self.long.max(axis=2).T.copy() if blocks else np.zeros((len(long), 0), np.float32)
+        self.query = np.zeros(terms)
+
+    @staticmethod
+    def _alike(examples: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> np.ndarray:
+        """The examples in an order that brings those with the same weightiest frequent term together, so that blocks are alike."""
+        frequent = np.zeros(terms, bool)
+        frequent[np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:BLOCK]] = True
+        some = np.flatnonzero(frequent[term])
+        some = some[np.argsort(weight[some], kind="stable")]
+        head = np.full(examples, -1)
+        head[example[some]] = term[some]  # the greatest comes last
+        return np.argsort(head, kind="stable")
+
+    @classmethod
+    def of_dense(cls, weights: np.ndarray) -> TermIndex:
+        example, term = np.nonzero(weights.T)
+        return cls(np.bincount(example, minlength=weights.shape[1]), term, weights[term, example], len(weights))
+
+    @classmethod
+    def of_counts(cls, counts: TermCounts, idf: np.ndarray) -> TermIndex:
+        example = np.repeat(np.arange(len(counts.size), dtype=np.int32), counts.size)
+        w = (1 + np.log(counts.n)) * idf[counts.term]
+        return cls(counts.size, counts.term, w / np.sqrt(np.bincount(example, weights=w * w))[example], len(idf))
+
+    def exact(self, at: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        self.query[at] = w
+        out = np.array([self.query[self.term[a:b]] @ self.weight[a:b] for a, b in zip(self.own[examples], self.own[examples + 1])])
+        self.query[at] = 0
+        return out
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """The ``k`` examples of the greatest cosine above 0 of each query, exactly; ties go to the earlier example.
+
+        Short lists are added up whole.  That sum bounds a cosine from below;
+        with the greatest weights of the long lists in a block it bounds it from
+        above, and only blocks that can reach the k-th lower bound are opened.
+        What comes within ``SLACK`` of the k-th is computed again exactly.
+        """
+        if not self.examples:
+            return [[] for _ in queries]
+        blocks, k = len(self.long), min(k, self.examples)
+        cosine = np.zeros((len(queries), blocks * BLOCK), np.float32)
+        far = np.zeros((len(queries), len(self.block_max)), np.float32)
+        for row, wide, (at, w) in zip(cosine, far, queries):
+            place = self.long_of[at]
+            wide[place[place >= 0]] = w[place >= 0]
+            at, w = at[place < 0], w[place < 0].astype(np.float32)
+            size = self.start[at + 1] - self.start[at]
+            pick = np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            row += np.bincount(self.example[pick], weights=self.near[pick] * np.repeat(w, size), minlength=len(row)).astype(np.float32)
+        few = min(k, blocks)  # the greatest ones of k blocks are k examples
+        best = cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
+        least = np.partition(best, -few, axis=1)[:, -few] if few == k else np.zeros(len(queries), np.float32)
+        bound = far @ self.block_max + best
+        for b in range(blocks):
+            rows = np.flatnonzero(bound[:, b] >= least - SLACK)
+            if len(rows):
+                cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows] @ self.long[b]
+        best = cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
+        least = np.partition(best, -few, axis=1)[:, -few] if few == k else np.zeros(len(queries), np.float32)
+        out = []
+        for row, floor, (at, w) in zip(cosine, least, queries):
+            near = np.flatnonzero(row[:self.examples] >= max(floor - SLACK, SLACK))
+            if len(near) > k:
+                near = near[row[near] >= np.partition(row[near], -k)[-k] - SLACK]
+            if len(near) < k:  # fewer than k examples share a term that counts
+                near = np.flatnonzero(row[:self.examples] > 0)
+            near = self.label[near]
+            found = sorted((-round(c, 12), i) for c, i in zip(self.exact(at, w, near).tolist(), near.tolist()) if c > 0)
+            out.append([(-c, i) for c, i in found[:k]])
+        return out
 
 
 @dataclass
 class ToxicityModel:
-    """Examples as weighted terms: lists of all terms, those of the longest lists also in blocks with their greatest weights."""
+    """Examples as weighted terms; terms by name, or the ascending hashes of all terms."""
 
-    terms: dict[str, int]
+    terms: dict[str, int] | np.ndarray
     idf: np.ndarray  # weight of each term
     ids: list[int]
     toxic: np.ndarray
@@ -87,70 +178,75 @@ class ToxicityModel:
     smooth: float = 0.05
     known: dict = field(default_factory=dict, repr=False, compare=False)
     found: dict = field(default_factory=dict, repr=False, compare=False)
-
-    lists: TermLists | None = field(default=None, repr=False, compare=False)
+    index: TermIndex | None = field(default=None, repr=False, compare=False)
 
     def prepare(self):
         """Make the lists and blocks, where the first text is searched."""
         if isinstance(self.weights, TermCounts):
-            self.lists = lists = self.weights.lists(self.idf)
+            self.index = TermIndex.of_counts(self.weights, self.idf)
         else:
-            term, example = np.nonzero(self.weights)
-            self.lists = lists = TermLists.of(term, example, np.asarray(self.weights)[term, example], len(self.terms))
-        sizes, blocks = np.diff(lists.start), -(-len(self.ids) // BLOCK)
-        long = np.sort(np.argsort(-sizes, kind="stable")[:LONG])
-        long = long[sizes[long] >= BLOCK]
-        self.long_of = np.full(len(sizes), -1)
-        self.long_of[long] = np.arange(len(long))
-        self.long = np.zeros((blocks, len(long), BLOCK))
-        for i, t in enumerate(long):
-            e = lists.example[lists.start[t]:lists.start[t + 1]]
-            self.long[e // BLOCK, i, e % BLOCK] = lists.weight[lists.start[t]:lists.start[t + 1]]
-        self.block_max = self.long.max(axis=2).T if blocks else np.zeros((len(long), 0))
+            self.index = TermIndex.of_dense(np.asarray(self.weights))
+
+    @property
+    def block_max(self) -> np.ndarray:
+        return self.index.block_max
 
     @classmethod
-    def without_examples(cls, terms: dict[str, int], idf: np.ndarray | None = None, base: float = 0.0, k: int = 9) -> ToxicityModel:
+    def without_examples(cls, terms: np.ndarray, idf: np.ndarray | None = None, base: float = 0.0, k: int = 9) -> ToxicityModel:
         idf = np.ones(len(terms)) if idf is None else idf
         nothing = TermCounts(*[np.zeros(0, np.int32)] * 3)
         return cls(terms, idf, [], np.zeros(0), np.zeros(0), nothing, base, k)
 
-    def __getstate__(self):
-        own = ("long", "long_of", "block_max")
-        state = {n: v for n, v in self.__dict__.items() if n not in own}
-        # terms hold no blanks
-        return {**state, "terms": zlib.compress(" ".join(self.terms).encode("utf-8", "surrogatepass"), 1),
-                "idf": zlib.compress(self.idf.tobytes(), 1), "known": {}, "found": {}, "lists": None}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self.idf = np.frombuffer(zlib.decompress(self.idf))
-        names = zlib.decompress(self.terms).decode("utf-8", "surrogatepass")
-        self.terms = {t: i for i, t in enumerate(names.split(" "))} if names else {}
-
-    def term_numbers(self, word: str) -> list[int]:
-        hit = self.known.get(word)
-        if hit is None:
-            hit = self.known[word] = [self.terms[t] for t in terms_of(word) if t in self.terms]
-        return hit
-
-    def term_set(self, text: str | None) -> set[int]:
+    def values(self) -> tuple:
+        """What a worker needs, as plain values: it builds its own model of them."""
+        w = self.weights
+        packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (w.size, np.diff(w.term, prepend=np.int32(0)), w.n)]
+        return (np.asarray(self.terms).tobytes(), zlib.compress(self.idf.tobytes(), 1), self.ids, self.toxic, self.worth, *packed, self.base, self.k, self.smooth)
+
+    @classmethod
+    def of_values(cls, values: tuple) -> ToxicityModel:
+        terms, idf, ids, toxic, worth, size, steps, n, base, k, smooth = values
+        return cls(np.frombuffer(terms, np.int64), np.frombuffer(zlib.decompress(idf)), ids, toxic, worth, _counts_of(size, steps, n), base, k, smooth)
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the numbers of the model's terms in new words."""
+        if isinstance(self.terms, dict):
+            self.known |= {w: [self.terms[t] for t in terms_of(w) if t in self.terms] for w in words}
+            return
+        hashes, sizes = term_hashes(words)
+        at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1))
+        hit = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
+        ends = np.cumsum(sizes)
+        per_word = np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(hit)])[ends]])).tolist()
+        numbers, start = at[hit].tolist(), 0
+        for word, n in zip(words, per_word):
+            self.known[word] = numbers[start:start + n] if n else NONE
+            start += n
+
+    def term_set(self, text: str | None) -> np.ndarray:
+        """The model's terms in the whole text, ascending."""
+        words, known = set(words_of(text)), self.known
+        self._learn_new(words)
+        return np.unique(np.fromiter(chain.from_iterable([known[w] for w in words]), np.int64))
+
+    def _learn_new(self, words) -> None:
         if len(self.known) > WORDS:
             self.known.clear()
-        return {t for word in set(words_of(text)) for t in self.term_numbers(word)}
+        new = [w for w in words if w not in self.known]
+        if new:
+            self.learn(new)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The model's terms in the whole text, ascending, and their counts."""
-        at, n = [], []
-        if len(self.known) > WORDS:
-            self.known.clear()
-        for word, count in Counter(words_of(text)).items():
-            hit = self.term_numbers(word)
-            at += hit
-            n += [count] * len(hit)
-        if not at:
-            return np.zeros(0, np.int64), np.zeros(0)
+        counts, known = Counter(words_of(text)), self.known
+        self._learn_new(counts)
+        hits = [known[w] for w in counts]
+        sizes = np.fromiter(map(len, hits), np.int64, len(hits))
+        at = np.fromiter(chain.from_iterable(hits), np.int64, int(sizes.sum()))
+        if not len(at):
+            return at, np.zeros(0)
         places, back = np.unique(at, return_inverse=True)
-        return places, np.bincount(back, weights=n)
+        return places, np.bincount(back, weights=np.repeat(np.fromiter(counts.values(), np.float64, len(hits)), sizes))
 
     def unit(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (1 + np.log(n)) * self.idf[at]
@@ -164,37 +260,9 @@ class ToxicityModel:
         return self.search([self.weigh(vector)])[0]
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> list[list[tuple[float, int]]]:
-        """The ``k`` examples of the greatest cosine of each query, exactly; ties go to the earlier example.
-
-        Short lists are added up whole.  That sum bounds a cosine from below;
-        with the greatest weights of the long lists in a block it bounds it from
-        above, and only blocks that can reach the k-th lower bound are opened.
-        """
-        if not self.ids:
-            return [[] for _ in queries]
-        if self.lists is None:
+        if self.index is None:
             self.prepare()
-        lists, blocks, k = self.lists, len(self.long), min(self.k, len(self.ids))
-        cosine = np.zeros((len(queries), blocks * BLOCK))
-        far = np.zeros((len(queries), len(self.block_max)))
-        for row, wide, (at, w) in zip(cosine, far, queries):
-            place = self.long_of[at]
-            wide[place[place >= 0]] = w[place >= 0]
-            at, w = at[place < 0], w[place < 0]
-            size = lists.start[at + 1] - lists.start[at]
-            pick = np.repeat(lists.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            row += np.bincount(lists.example[pick], weights=lists.weight[pick] * np.repeat(w, size), minlength=len(row))
-        least = np.partition(cosine, -k, axis=1)[:, -k]
-        bound = far @ self.block_max + cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
-        for b in range(blocks):
-            rows = np.flatnonzero(bound[:, b] >= least - 1e-9)
-            cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows] @ self.long[b]
-        least = np.partition(cosine, -k, axis=1)[:, -k]
-        out = []
-        for row, floor in zip(cosine, least):
-            near = np.flatnonzero((row >= floor - 1e-11) & (row > 0))
-            out.append([(-c, i) for c, i in sorted((-round(float(row[i]), 12), int(i)) for i in near)[:self.k]])
-        return out
+        return self.index.search(queries, self.k)
 
     def vote(self, near: list[tuple[float, int]]) -> tuple[float, list[int]]:
         """Votes count by cosine and by how many documents an example stands for; the base share is the prior."""
@@ -219,37 +287,46 @@ class ToxicityModel:
                 queries.append((key, (at, self.unit(at, n))))
             else:
                 self.found[key] = self.base, []
-        for i in range(0, len(queries), BLOCK):
-            some = queries[i:i + BLOCK]
+        for i in range(0, len(queries), BATCH):
+            some = queries[i:i + BATCH]
             for (key, _), near in zip(some, self.search([q for _, q in some])):
                 self.found[key] = self.vote(near)
         return [self.found[key] for key in keys]
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic) for every term of every example."""
+    """(term, toxic) for every term of every example, terms as hashes."""
     for batch in batches:
         for y, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            terms = sorted({t for w in set(words_of(text)) for t in terms_of(w)})
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([y] * len(terms), pa.int32())], ["term", "toxic"])
+            words = set(words_of(text))
+            terms = np.unique(term_hashes(list(words))[0])
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array([y] * len(terms), pa.int32())], ["term", "toxic"])
 
 
-def term_contrast(examples: DataFrame, n: dict[int, int]) -> tuple[list[str], np.ndarray]:
-    """Every term of the examples, and by how many standard errors its shares of the two classes differ (0 with one class)."""
+def term_contrast(examples: DataFrame, n: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all terms of the examples, ascending, and by how many standard errors their shares of the two classes differ."""
     a, b = F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")
-    counts = examples.mapInArrow(_term_rows, "term string, toxic int").groupBy("term").agg(a, b).toArrow().sort_by("term")
+    counts = examples.mapInArrow(_term_rows, "term bigint, toxic int").groupBy("term").agg(a, b).toArrow().sort_by("term")
     a, b = counts["a"].to_numpy().astype(float), counts["b"].to_numpy().astype(float)
     if set(n) < {0, 1}:
-        return counts["term"].to_pylist(), np.zeros(len(a))
+        return counts["term"].to_numpy(), np.zeros(len(a))
     both = (a + b + 0.5) / (n[0] + n[1] + 1)
-    return counts["term"].to_pylist(), np.abs(a / n[1] - b / n[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
+    return counts["term"].to_numpy(), np.abs(a / n[1] - b / n[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
+
+
+def _of_terms(shared: Broadcast) -> ToxicityModel:
+    """The model without examples that a worker keeps for all its tasks."""
+    if shared.value[1] is None:
+        shared.value[1] = ToxicityModel.without_examples(np.frombuffer(shared.value[0], np.int64))
+    return shared.value[1]
 
 
 def _vector_rows(shared: Broadcast):
     """(id, toxic, term numbers, counts) of every example, the last two as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _of_terms(shared)
         for batch in batches:
-            found = [shared.value.vector(t) for t in batch.column(2).to_pylist()]
+            found = [model.vector(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([at.astype(np.int32).tobytes() for at, _ in found], pa.binary()),
                                               pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], ["id", "toxic", "at", "n"])
     return run
@@ -279,10 +356,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000,
     taken = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     worths = {y: held[y] / n for y, n in taken.items()}
     names, contrast = term_contrast(examples, taken)
-    model = ToxicityModel.without_examples({t: i for i, t in enumerate(names)})
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast([names.tobytes(), None])
     n_docs, df = document_counts(docs, shared, len(names), text_col)
-    model.idf = (np.log((1 + n_docs) / (1 + df)) + 1) * (1 + contrast)
+    idf = (np.log((1 + n_docs) / (1 + df)) + 1) * (1 + contrast)
     rows = (bound_batches(examples).mapInArrow(_vector_rows(shared), "id bigint, toxic int, at binary, n binary")
             .toArrow().sort_by([("id", "ascending"), ("toxic", "ascending"), ("at", "ascending"), ("n", "ascending")]))
     kept, term, count, empty = [], [], [], Counter()
@@ -297,20 +373,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000,
     shared.unpersist()
     share = empty[1] / sum(empty.values()) if empty else held.get(1, 0) / max(1, sum(held.values()))
     if not kept:
-        return ToxicityModel.without_examples(model.terms, model.idf, share, k)
+        return ToxicityModel.without_examples(names, idf, share, k)
     counts = TermCounts(np.array([len(t) for t in term], np.int32), np.concatenate(term), np.concatenate(count))
-    return ToxicityModel(model.terms, model.idf, [i for i, _, _ in kept], np.array([y for _, y, _ in kept], float),
+    return ToxicityModel(names, idf, [i for i, _, _ in kept], np.array([y for _, y, _ in kept], float),
                          np.array([w for _, _, w in kept]), counts, share, k)
 
 
 def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: str = "text") -> tuple[int, np.ndarray]:
-    """Number of documents, and in how many each term of the shared model occurs."""
+    """Number of documents, and in how many each of the shared terms occurs; a task sends each term it saw once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _of_terms(shared)
         total, n = np.zeros(terms, np.int64), 0
         for batch in batches:
             for text in batch.column(0):
                 n += 1
-                total[list(shared.value.term_set(text.as_py()))] += 1
+                total[model.term_set(text.as_py())] += 1
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[n], total[some]]))], ["term", "n"])
 
@@ -323,11 +400,14 @@ def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: st
 
 def toxicity_of(model: ToxicityModel, docs: DataFrame, text: Column) -> Column:
     """struct(score, evidence): the score of a text and the ids of its nearest examples."""
-    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)
+    # the second place holds what a worker builds of the first, for all its tasks
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast([model.values(), None])
 
     @F.pandas_udf("struct<score: double, evidence: array<bigint>>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        scored = shared.value.scores(list(texts))
+        if shared.value[1] is None:
+            shared.value[1] = ToxicityModel.of_values(shared.value[0])
+        scored = shared.value[1].scores(list(texts))
         return pd.DataFrame({"score": [s for s, _ in scored], "evidence": [e for _, e in scored]})
 
     return run(text)
