@@ -1,6 +1,9 @@
 """The frame index: same frames and atoms as the line reader at any range size, pruned reads, odd files."""
+import os
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, IsNotNull
 
 from trajlake.plans.analysis import attach_frames, write_picks
 from trajlake.sources import dump as D
@@ -49,11 +52,10 @@ def test_filters_choose_the_bytes(spark, tmp_path):
     assert sorted((r["timestep"], r["row_idx"], r["x"]) for r in some.collect()) == [(110 + 10 * i, k, 11.0 + i) for i in range(2) for k in range(5)]
     assert atoms.where(F.col("frame_idx").isin(5, 299)).count() == 10 and atoms.where("timestep = 7").count() == 0 and atoms.count() == 1500
     reader = X.AtomsReader("unused")
-    from pyspark.sql.datasource import EqualTo, IsNotNull
     assert list(reader.pushFilters([EqualTo(("timestep",), 10), EqualTo(("x",), 1.0), IsNotNull(("timestep",))])) == [
         EqualTo(("x",), 1.0), IsNotNull(("timestep",))] and reader.wanted == [("timestep", "=", 10)]
     read = index.parts.where("timestep = 110").agg(F.sum(F.expr("stop - start"))).first()[0]
-    assert 0 < read < 0.01 * sum(1 for _ in open(path)) * 20
+    assert 0 < read < os.path.getsize(path) / 50
 
 
 def test_reader_opens_only_wanted_ranges(spark, tmp_path, monkeypatch):
@@ -80,7 +82,7 @@ def test_picks_read_their_frames_only(spark, tmp_path):
     write_picks(lines, str(tmp_path / "out"))
     back = D.read_atoms(spark, str(tmp_path / "out" / "*"), extra=True).collect()
     assert sorted((r["timestep"], r["id"], r["y"], dict(r["extra"])["q"] if r["extra"] else None) for r in back) == [(5, 1, 2.5, 9.0), (6, 7, 3.0, None)]
-    assert manifest.columns[:2] != [] and manifest.where("status = 'written' and output_file = ''").isEmpty()
+    assert manifest.where("status = 'written' and output_file = ''").isEmpty()
 
 
 def test_no_files(spark):
