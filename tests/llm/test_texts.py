@@ -7,7 +7,7 @@ import pytest
 
 from trajlake.llm import fingerprints as fp
 from trajlake.llm import repeats
-from trajlake.llm.minhash import drop_near_duplicates, min_max, near_duplicates, prefix_pairs
+from trajlake.llm.minhash import drop_near_duplicates, min_max, multipliers, near_duplicates, prefix_pairs
 from trajlake.llm.repeats import remove_repeats
 
 from .tables import ODD, odd_docs
@@ -204,11 +204,27 @@ def test_near_copies_of_odd_rows(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_an_id_with_several_texts_is_several_documents(spark):
+    base = [f"w{i}" for i in range(40)]
+    near, far, other = " ".join(base), " ".join(base[:39] + ["end"]), " ".join(f"v{i}" for i in range(40))
+    rows = [(1, other), (1, near), (3, far), (5, other + " x"), (None, far + " y"), (7, near), (8, "alone"), (8, "else"), (8, None), (1, near)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 36, 1, True)] * 3 + [(3, 36, 1, False), (5, 37, 1, False), (None, 37, 1, False), (7, 36, 1, False)]
+                         + [(8, 1, 8, True), (8, 1, 8, True), (8, 0, 8, True)], key=str)
+    left = sorted(((r["doc_id"], r["text"]) for r in drop_near_duplicates(docs).collect()), key=str)
+    assert left == sorted([(1, other), (1, near), (1, near), (8, "alone"), (8, "else"), (8, None)], key=str)
+    few = spark.createDataFrame([(None, near), (None, far), (2, None)], SCHEMA)
+    assert sorted(str(r["component_id"]) for r in near_duplicates(few).collect()) == ["2", "None", "None"]
+    assert drop_near_duplicates(few).count() == 2
+
+
 def test_min_max_agreement_estimates_similarity():
     draw = np.random.default_rng(4)
     both = draw.integers(0, 1 << 63, 4000).astype(np.uint64)
     a, b = both[:3000], np.concatenate([both[1000:3000], both[3000:]])
-    same = (min_max(np.sort(a), 400) == min_max(np.sort(b), 400)).mean()
+    factors = multipliers(400)
+    same = (min_max(np.sort(a), factors) == min_max(np.sort(b), factors)).mean()
     assert abs(same - 2000 / 4000) < 0.07
 
 

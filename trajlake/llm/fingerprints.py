@@ -3,7 +3,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +24,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
 def _toss_table() -> np.ndarray:
     """label for (left label, own label) below 128: twice the lowest place where they differ, plus the own bit there."""
     left, own = np.meshgrid(np.arange(128), np.arange(128), indexing="ij")
@@ -34,6 +32,9 @@ def _toss_table() -> np.ndarray:
     return (2 * place + ((own >> place) & 1)).astype(np.uint8).ravel()
 
 
+TOSS = _toss_table()  # a plain value, so that task functions carry it to workers without the package
+
+
 def coin_labels(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Labels below 8 by three rounds of deterministic coin tossing.
 
@@ -46,7 +47,7 @@ def coin_labels(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
     differ = left ^ x
     place = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)).astype(np.uint64) & np.uint64(63)
     label = ((place << np.uint64(1)) | ((x >> place) & np.uint64(1))).astype(np.uint8)
-    table = _toss_table()
+    table = TOSS
     for _ in range(2):
         left = np.empty_like(label)
         left[1:] = label[:-1]

@@ -2,8 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import lru_cache
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +17,18 @@ ORDERS = (1, 2, 3)
 CHUNK = 128  # documents weighted at once
 
 
-@lru_cache(maxsize=1)
+# where letters begin and end among the code points: a small plain value, so that task functions carry it
+LETTER_EDGES = np.flatnonzero(np.diff(np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000), prepend=False)).astype(np.int32)
+_tables: dict[str, np.ndarray] = {}
+
+
 def _letters() -> np.ndarray:
-    """1 where a code point is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    """True where a code point is a letter."""
+    if "letters" not in _tables:
+        steps = np.zeros(0x110000, np.uint8)
+        steps[LETTER_EDGES] = 1
+        _tables["letters"] = (np.cumsum(steps, dtype=np.uint8) & 1).astype(bool)
+    return _tables["letters"]
 
 
 def ngram_counts(text: str | None) -> np.ndarray | None:
@@ -140,8 +147,9 @@ def fit_languages(train: DataFrame, *, sample: int = 3000, per_lang: int = 600,
     """Learn from the rows of ``train`` with a language.
 
     The document frequencies cover all rows.  The centroids are fitted on at
-    most ``per_lang`` documents of a language and ``sample`` together; that
-    sample is what reaches the driver.
+    most ``per_lang`` documents with a letter of a language and ``sample``
+    together; that sample is what reaches the driver.  Rows with a null id
+    count in the frequencies only.
     """
     rows = bound_batches(train).where(F.col(lang_col).isNotNull())
     langs = sorted(r[0] for r in rows.select(lang_col).distinct().collect())
@@ -153,7 +161,8 @@ def fit_languages(train: DataFrame, *, sample: int = 3000, per_lang: int = 600,
     docs = df.get(-1, 0)
     idf = np.log((1 + docs) / (1 + np.array([df.get(i, 0) for i in range(DIMS)], float))).astype(np.float32) + 1
     each = max(1, min(per_lang, sample // len(langs)))
-    ids = thinned(rows.select(lang_col, id_col), lang_col, each, [id_col]).select(id_col).distinct()
+    lettered = rows.where(F.col(text_col).rlike(r"\p{L}"))  # others can't be learned from
+    ids = thinned(lettered.select(lang_col, id_col), lang_col, each, [id_col]).select(id_col).distinct()
     few = rows.join(F.broadcast(ids), id_col).select(F.col(lang_col).cast("string").alias("lang"), text_col)
     by_lang: dict[str, list] = {}
     for r in few.mapInArrow(_sparse_rows, "lang string, at array<smallint>, n array<int>").collect():
@@ -183,11 +192,13 @@ def predict_languages(docs: DataFrame, model: LanguageModel, *, text_col: str =
     language was learned from is marked ``rejected``.  Repeated rows are
     predicted alike; an empty table gives an empty result.
     """
-    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast([astuple(model), None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if shared.value[1] is None:  # plain values reach workers without the package
+            shared.value[1] = LanguageModel(*shared.value[0])
         for batch in batches:
-            pred, score, far = shared.value.predict(batch.column(2).to_pylist())
+            pred, score, far = shared.value[1].predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(pred, pa.string()),
                                               pa.array(score, pa.float64()), pa.array(far, pa.bool_())],
                                              ["id", "held_out", "lang_pred", "score", "rejected"])

@@ -3,7 +3,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,18 +50,17 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
-@lru_cache(maxsize=4)
 def multipliers(n: int, seed: int = 1) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def min_max(shingles: np.ndarray, permutations: int) -> np.ndarray:
+def min_max(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """The minima and then the maxima of a set under each permutation: two values for one evaluation.
 
-    A permutation multiplies 32-bit hashes by an odd number; the shingles' sets
+    A permutation multiplies 32-bit hashes by an odd number of ``factors``; the shingles' sets
     themselves stay 64 bits wide.
     """
-    factors = multipliers(permutations)
+    permutations = len(factors)
     folded = (shingles ^ (shingles >> np.uint64(32))).astype(np.uint32)
     low = np.full(permutations, np.iinfo(np.uint32).max, np.uint32)
     high = np.zeros(permutations, np.uint32)
@@ -84,16 +82,16 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def _signed(words_each: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, permutations = WordHashes(), -(-bands * rows // 2)
+        hashes, factors = WordHashes(), multipliers(-(-bands * rows // 2))
         for batch in batches:
-            ids, n, key, keys = batch.column(0), [], [], []
-            for text in batch.column(1):
+            n, key, keys = [], [], []
+            for text in batch.column(2):
                 shingles = shingle_hashes(text.as_py(), words_each, hashes)
                 n.append(len(shingles))
                 key.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                keys.append(band_keys(min_max(shingles, permutations), bands, rows).view(np.int64) if len(shingles) else None)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(key, pa.binary()),
-                                              pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_key", "bands"])
+                keys.append(band_keys(min_max(shingles, factors), bands, rows).view(np.int64) if len(shingles) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(key, pa.binary()),
+                                              pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "text_key", "n_shingles", "set_key", "bands"])
     return run
 
 
@@ -203,21 +201,32 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80,
     group of copies are never made.  Links are confirmed on full sets.
 
     A null text or one without words has no shingles and is its own component.
-    Rows repeating an id and a text have equal results.  Null ids take part like
-    others, but a component is named by its smallest id that isn't null.
+    An id with several texts is several documents: each row has the result of
+    its own text.  Rows repeating an id and a text have equal results.  Null ids
+    take part like others, but a component is named by its smallest id that
+    isn't null; one of null ids only has a null name and all its rows are kept.
     """
-    base = bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return (_components(docs, words_each, percent, bands, rows, stars, id_col, text_col)
+            .select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+
+
+def _components(docs: DataFrame, words_each: int, percent: int, bands: int, rows: int, stars: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text_key, n_shingles, component_id, head) of every document; head is the (id, text) that stands for its component."""
+    base = bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     signed = stored(base.mapInArrow(_signed(words_each, bands, rows),
-                                    "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>"))
-    some = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
-    nodes = some.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    first = some.join(nodes, "set_key").where("doc_id = node").select("node", F.col("n_shingles").alias("n"), "bands")
-    keyed = first.select("node", "n", F.explode("bands").alias("key"))
+                                    "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, bands array<bigint>"))
+    # a node is a set; its number is drawn once and stored, its text is that of its least row
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")).alias("low")
+    nodes = stored(signed.where("set_key IS NOT NULL").groupBy("set_key")
+                   .agg(least_row, F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+                   .withColumn("node", F.monotonically_increasing_id()))
+    keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("_last")).where("head < _last").drop("_last")
     members = stored(keyed.join(shared, "key").select("key", "head", "node", "n"))
     wanted = members.select("node").distinct()
-    sets = stored(base.join(wanted, base["doc_id"] == wanted["node"]).select("doc_id", "text").dropDuplicates(["doc_id"])
-                  .mapInArrow(_sets(words_each), "node bigint, shingles binary"))
+    lows = nodes.join(wanted, "node").select("node", F.col("low.doc_id").alias("_id"), F.col("low.text_key").alias("_text_key"))
+    texts = base.join(lows, base["doc_id"].eqNullSafe(lows["_id"]) & (base["text_key"] == lows["_text_key"]))
+    sets = stored(texts.dropDuplicates(["doc_id", "text_key"]).select("node", "text").mapInArrow(_sets(words_each), "node bigint, shingles binary"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("u"), F.col("shingles").alias("_a"))
@@ -254,14 +263,25 @@ def near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80,
         links = stored(links.union(confirm(pairs)))
     if not links.isEmpty():
         labels = merge_labels(links)
-    named = nodes.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("_component"))
-    component = F.coalesce("_component", "doc_id")
-    return (signed.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
-            .select(F.col("doc_id").alias(id_col), "n_shingles", component.alias("component_id"),
-                    F.col("doc_id").eqNullSafe(component).alias("kept")))
-
-
-def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` with one document of each component, all columns; null ids stay."""
-    gone = near_duplicates(docs, id_col=id_col, **options).where(F.col(id_col).isNotNull() & ~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    named = nodes.select("set_key", "low", "node").join(labels, "node", "left").select("set_key", "low", F.coalesce("component", "node").alias("_component"))
+    heads = named.groupBy("_component").agg(F.min("low").alias("head"))
+    named = named.join(heads, "_component").select("set_key", "head")
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
+    return (signed.select("doc_id", "text_key", "n_shingles", "set_key").join(named, "set_key", "left")
+            .select("doc_id", "text_key", "n_shingles", F.coalesce("head", own).alias("head"))
+            .withColumn("component_id", F.col("head.doc_id")))
+
+
+def drop_near_duplicates(docs: DataFrame, *, words_each: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS,
+                         stars: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one text of each component, all columns: that of the smallest id.
+
+    Rows are known by id and text, so an id with several texts loses only those
+    that repeat others.  Rows that repeat both the id and the text that stays,
+    stay together; texts without words stay.
+    """
+    found = _components(docs, words_each, percent, bands, rows, stars, id_col, text_col)
+    same = F.col("head.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("head.text_key") == F.col("text_key"))
+    gone = found.where(~same).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
+    match = docs[id_col].cast("bigint").eqNullSafe(gone["__id"]) & (F.xxhash64(docs[text_col]) == gone["__text"])
+    return docs.join(gone, match, "left_anti")

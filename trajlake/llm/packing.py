@@ -6,10 +6,10 @@ from array import array
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Mapping
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,14 +99,11 @@ class WordMemoTokenizer(dict):
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordMemoTokenizer:
-    return WordMemoTokenizer(path)
-
-
-def _pieces(path: str | None, length: int):
+def _pieces(shared: Broadcast, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _tokenizer(path or tokenizer_path())
+        if shared.value[1] is None:  # a worker keeps it for all its tasks
+            shared.value[1] = WordMemoTokenizer(shared.value[0] or tokenizer_path())
+        tokens = shared.value[1]
         end = (0).to_bytes(4, "little")
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), (t.as_py() or "" for t in batch.column(1))
@@ -134,8 +131,9 @@ def token_pieces(docs: DataFrame, *, path: str | None = None, length: int = LENG
     A document is its ids and one 0.  A longer one is cut into whole pieces,
     of which the first holds the remainder.  A null text counts as empty.
     """
+    shared = docs.sparkSession.sparkContext.broadcast([path, None])
     return (bound_batches(docs).select(F.col(id_col).cast("bigint").alias("doc_id"), text_col)
-            .mapInArrow(_pieces(path, length), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"))
+            .mapInArrow(_pieces(shared, length), "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"))
 
 
 def exact_fills(counts: Mapping[int, int], length: int) -> tuple[list[tuple[tuple[int, ...], int]], Counter]:

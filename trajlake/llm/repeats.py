@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -51,14 +50,13 @@ def _scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=1)
-def _byte_codes() -> np.ndarray:
-    return _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+# a plain value, so that task functions carry it to workers without the package
+BYTE_CODES = _scramble(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """64-bit hash of the 32 bytes that start at each place, by doubling."""
-    h, width = _byte_codes()[data], 1
+    h, width = BYTE_CODES[data], 1
     while width < GRAM:
         h = h[:-width] * np.uint64((0x9E3779B97F4A7C15 * (2 * width + 1)) & (1 << 64) - 1 | 1) + h[width:]
         width *= 2
