@@ -69,7 +69,7 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
                        projection: DataFrame | None = None) -> Structures:
     """Describe, scale, project and cluster structures.
 
-    ``descriptor`` is 'pairs' or 'density'.  ``energies`` (file, frame_idx,
+    ``descriptor`` is 'pairs', 'density' or 'angular'.  ``energies`` (file, frame_idx,
     total_energy) supplies energies that the dump itself does not carry.
     ``projection`` (id, tSNE or UMAP columns) may bring another space to cluster
     in; a space that is absent falls back to the first three components.
@@ -80,6 +80,10 @@ def analyse_structures(frames: DataFrame, atoms: DataFrame, descriptor: str = "p
         # a frame whose atoms reach nobody still has a (zero) vector
         vectors = frames.select(*FRAME).join(found, FRAME, "left").withColumn(
             "features", F.coalesce("features", F.array_repeat(F.lit(0.0), D.DENSITY_SLOTS)))
+    elif descriptor == "angular":
+        vectors = D.spectrum_vectors(frames.select(*FRAME), D.angular_spectrum(atoms, FRAME), FRAME)
+    elif descriptor != "pairs":
+        raise ValueError(f"unknown descriptor {descriptor!r}")
     else:
         vectors = D.histogram_vectors(frames.select(*FRAME), D.pair_histogram(atoms, FRAME), FRAME)
     facts = atoms.groupBy(*FRAME).agg(F.avg("c_pe").alias("mean_energy"), F.stddev_pop("c_pe").alias("std_energy"),

@@ -131,6 +131,39 @@ SELECT frame, ti::BIGINT AS type_i, tj::BIGINT AS type_j, bin, round(sum(exp(-0.
   / any_value(n), 9) AS density FROM p JOIN n USING (frame), range(8) b(bin) WHERE d2 <= 25 GROUP BY frame, ti, tj, bin"""
 
 
+def angular_spectrum(spark, sf_dir) -> DataFrame:
+    """Rotation-invariant products up to l = 2 of the surroundings of each frame's atoms."""
+    out = D.angular_spectrum(_atoms(spark, sf_dir), at.FRAME, n_max=2, l_max=2)
+    slots = F.array(*[F.struct(*[F.lit(v).cast("bigint").alias(c) for c, v in zip(("type_1", "n_1", "type_2", "n_2", "l"), s)])
+                      for s in D.spectrum_slots(2, 2)])
+    rows = out.withColumn("slots", slots).select("frame", F.col("type_i").cast("bigint").alias("type_i"),
+                                                 F.inline(F.arrays_zip("slots", "features")))
+    return rows.select("frame", "type_i", "slots.*", round_to("features", 6).alias("power")).where("power <> 0")
+
+
+# radial functions by the closed inverse root of a 2 x 2 matrix, harmonics as they stand in textbooks
+ANGULAR_SPECTRUM = f"""WITH {at.ATOMS_SQL}, p AS (
+  SELECT a.frame, a.row_idx AS i, a.type AS ti, b.type AS tj, {DIST2_SQL} AS d2,
+    (b.x-a.x) - round_even((b.x-a.x)/a.lx,0)*a.lx AS dx, (b.y-a.y) - round_even((b.y-a.y)/a.ly,0)*a.ly AS dy,
+    (b.z-a.z) - round_even((b.z-a.z)/a.lz,0)*a.lz AS dz
+  FROM atoms a JOIN atoms b ON a.frame = b.frame AND a.row_idx <> b.row_idx),
+s AS (SELECT sqrt(63::DOUBLE) / 8 AS s),
+w AS (SELECT (1 / sqrt(1 + s) + 1 / sqrt(1 - s)) / 2 AS same, (1 / sqrt(1 + s) - 1 / sqrt(1 - s)) / 2 AS cross_ FROM s),
+f AS (SELECT frame, i, ti, tj, CASE WHEN d2 > 0 THEN dx / sqrt(d2) ELSE 0 END AS x, CASE WHEN d2 > 0 THEN dy / sqrt(d2) ELSE 0 END AS y,
+    CASE WHEN d2 > 0 THEN dz / sqrt(d2) ELSE 0 END AS z, CASE WHEN d2 > 0 THEN 1 ELSE 0 END AS has,
+    pow(5 - sqrt(d2), 3) / sqrt(pow(5::DOUBLE, 7) / 7) AS f1, pow(5 - sqrt(d2), 4) / sqrt(pow(5::DOUBLE, 9) / 9) AS f2 FROM p WHERE d2 <= 25),
+e AS (SELECT frame, i, ti, tj, unnest([0, 1]) AS n, unnest([same * f1 + cross_ * f2, cross_ * f1 + same * f2]) AS g,
+    [0.5 / sqrt(pi()), sqrt(0.75 / pi()) * z, sqrt(0.75 / pi()) * x, sqrt(0.75 / pi()) * y, sqrt(5 / pi()) / 4 * (3 * z * z - has),
+     sqrt(15 / pi()) / 2 * x * z, sqrt(15 / pi()) / 2 * y * z, sqrt(15 / pi()) / 4 * (x * x - y * y), sqrt(15 / pi()) / 2 * x * y] AS h FROM f, w),
+k AS (SELECT frame, i, ti, tj, n, g, unnest(h) AS h, generate_subscripts(h, 1) - 1 AS k FROM e),
+c AS (SELECT frame, i, ti, tj, n, k, CASE WHEN k = 0 THEN 0 WHEN k < 4 THEN 1 ELSE 2 END AS l, sum(g * h) AS c FROM k GROUP BY ALL),
+q AS (SELECT u.frame, u.ti, u.tj AS t1, u.n AS n1, v.tj AS t2, v.n AS n2, u.l, sum(u.c * v.c) AS s
+  FROM c u JOIN c v ON u.frame = v.frame AND u.i = v.i AND u.k = v.k AND (u.tj < v.tj OR u.tj = v.tj AND u.n <= v.n) GROUP BY ALL),
+m AS (SELECT frame, count(*) AS m FROM atoms GROUP BY frame)
+SELECT * FROM (SELECT frame, ti::BIGINT AS type_i, t1::BIGINT AS type_1, n1::BIGINT AS n_1, t2::BIGINT AS type_2, n2::BIGINT AS n_2, l::BIGINT AS l,
+  round(s / m, 6) AS power FROM q JOIN m USING (frame)) WHERE power <> 0"""
+
+
 def standardize(spark, sf_dir) -> DataFrame:
     out = D.standardize(at.descriptors(spark, sf_dir))
     return out.select("id", F.posexplode("features").alias("dim", "value")).select(
@@ -307,6 +340,7 @@ QUERIES = {
     "pair_histogram": (pair_histogram, PAIR_HISTOGRAM),
     "pair_descriptor": (pair_descriptor, PAIR_DESCRIPTOR),
     "density_descriptor": (density_descriptor, DENSITY_DESCRIPTOR),
+    "angular_spectrum": (angular_spectrum, ANGULAR_SPECTRUM),
     "standardize": (standardize, STANDARDIZE),
     "pca_scores": (pca_scores, None),
     "pca_variance": (pca_variance, None),
