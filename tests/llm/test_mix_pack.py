@@ -24,14 +24,59 @@ def test_shares_stop_at_the_limit():
 
 
 def test_pairing_keeps_the_sum_and_the_expectation():
-    sizes = np.array([900, 50, 50, 7, 3, 3, 1])
-    total = np.zeros(len(sizes))
-    for seed in range(3000):
-        out, held = mixing.pair_off(sizes, np.full(len(sizes), 0.4), np.arange(len(sizes)), seed)
-        assert (out * sizes).sum() == pytest.approx(0.4 * sizes.sum())
-        assert sum(0 < p < 1 for p in out) == (held >= 0)
-        total += out
-    assert np.abs(total / 3000 - 0.4).max() < 0.04
+    # the sum goes first: the last small documents give up part of their expectation to it
+    for sizes, near, last in (([900, 50, 50, 7, 3, 3, 1], 0.04, 0.04), ([40] * 10, 0.04, 0.04), ([60, 50, 50, 40, 30, 30, 20, 9, 9, 5, 3, 2, 1, 1], 0.05, 0.2)):
+        sizes = np.array(sizes)
+        total = np.zeros(len(sizes))
+        for seed in range(3000):
+            out, held = mixing.pair_off(sizes, np.full(len(sizes), 0.4), np.arange(len(sizes)), seed)
+            assert (out * sizes).sum() == pytest.approx(0.4 * sizes.sum())
+            assert sum(0 < p < 1 for p in out) == (held >= 0)
+            total += out
+        off = np.abs(total / 3000 - 0.4)
+        assert off[sizes >= 20].max() < near and off.max() < last
+
+
+def plain_pairing(sizes, parts, keys, seed):
+    """The rounding with every part written out after every step."""
+    parts = [float(p) for p in parts]
+    for i, a in enumerate(sizes):
+        later = [j for j in range(i + 1, len(sizes)) if 0 < parts[j] < 1]
+        if not 0 < parts[i] < 1:
+            continue
+        held, space = sum(sizes[j] * parts[j] for j in later), sum(sizes[j] * (1 - parts[j]) for j in later)
+        p, draw = parts[i], mixing._draw(int(keys[i]), seed)
+        can = ((1 - p) * a <= held + 1e-6, p * a <= space + 1e-6)
+        if can == (False, False):
+            rises = draw * (held + space) < space
+            parts[i] += held / a if rises else -space / a
+            for j in later:
+                parts[j] = 0.0 if rises else 1.0
+            break
+        rises = draw < p if all(can) else can[0]
+        for j in later:
+            parts[j] = parts[j] * (1 - (1 - p) * a / held) if rises else 1 - (1 - parts[j]) * (1 - p * a / space)
+            parts[j] = 0.0 if parts[j] < 1e-9 else 1.0 if parts[j] > 1 - 1e-9 else parts[j]
+        parts[i] = 1.0 if rises else 0.0
+    return parts
+
+
+def test_pairing_equals_the_plain_rounding():
+    draw = np.random.default_rng(5)
+    for seed in range(300):
+        n = int(draw.integers(1, 30))
+        sizes = np.sort(draw.integers(1, 2000, n))[::-1]
+        parts = draw.uniform(0.05, 0.95, n) if seed % 2 else np.full(n, draw.uniform(0.05, 0.95))
+        got, _ = mixing.pair_off(sizes, parts, np.arange(n) * 977, seed)
+        assert got == pytest.approx(plain_pairing(sizes, parts, np.arange(n) * 977, seed), abs=1e-6)
+
+
+def test_small_documents_settle_the_rest():
+    draw = np.random.default_rng(1)
+    for seed in range(200):
+        sizes = np.sort(np.concatenate([draw.integers(1000, 6000, 4), draw.integers(1, 300, 60)]))[::-1]
+        out, held = mixing.pair_off(sizes, np.full(len(sizes), draw.uniform(0.1, 0.9)), np.arange(len(sizes)), seed)
+        assert held < 0 or sizes[held] <= 60
 
 
 def test_mix_meets_its_targets(spark):

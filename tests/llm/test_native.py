@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trajlake.llm import queries
 from trajlake.llm.exact_dedup import copy_groups, drop_copies
 from trajlake.llm.sharding import ring_plan, shard_by_ring, virtual_nodes
-from trajlake.llm.warc import fixity_audit
+from trajlake.llm.warc import differing_ranges, fixity_audit, leaf_table, merkle_levels
 
 from .tables import ODD, odd_docs
 
@@ -124,3 +124,25 @@ def test_audit_of_odd_replicas(spark):
     assert fixity_audit(left.limit(0), right.limit(0), key="k", record="r").count() == 0
     same = fixity_audit(left, left, key="k", record="r", fanout=2).collect()
     assert {r["status"] for r in same} == {"intact"} and [r["offset"] for r in sorted(same, key=lambda r: r["ordinal"])] == [0, 1, 2, 3, 3, 4]
+
+
+def test_descent_opens_only_damaged_ranges(spark):
+    leaves = spark.range(1000).select(F.col("id").alias("ordinal"), F.lit(5).alias("length"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    other = leaves.where("ordinal <> 998").withColumn("digest", F.when(F.col("ordinal").isin(3, 500), F.lit("x")).otherwise(F.col("digest")))
+    trees = [merkle_levels(side, 4, 5) for side in (leaves, other)]
+    assert sorted(r[0] for r in differing_ranges(*trees, 4).collect()) == [0, 125, 249]
+    assert differing_ranges(trees[0], merkle_levels(leaves.repartition(7), 4, 5), 4).count() == 0
+
+
+def test_copies_of_a_hot_record_are_numbered_without_gaps(spark):
+    rows = spark.range(10_000).select(F.lit(1).alias("k"), F.when(F.col("id") == 0, "b").otherwise("a").alias("r"))
+    got = leaf_table(rows, "k", "r").agg(F.count_distinct("copy"), F.min("copy"), F.max("copy")).first()
+    assert tuple(got) == (10_000, 0, 9_999)
+
+
+def test_audit_of_a_key_called_like_a_column(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "digest int, length string")
+    right = spark.createDataFrame([(1, "a"), (2, "x"), (3, "d")], "digest int, length string")
+    got = {r[0]: r["status"] for r in fixity_audit(left.withColumnRenamed("digest", "_own"), right.withColumnRenamed("digest", "_own"),
+                                                   key="_own", record="length", fanout=2).collect()}
+    assert got == {1: "intact", 2: "changed", 3: "extra", None: "missing"}

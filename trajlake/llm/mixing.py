@@ -38,7 +38,7 @@ def share_out(sizes: Sequence[float], weights: Sequence[float], total: float, li
 
 
 def _draw(key: int, seed: int) -> float:
-    """A uniform number that depends on the two documents only (splitmix64)."""
+    """A uniform number that depends on the document only (splitmix64)."""
     mask = 0xFFFFFFFFFFFFFFFF
     z = (key + seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & mask
     z = ((z ^ (z >> 30)) * 0xBF58476D1CE4E5B9) & mask
@@ -47,37 +47,54 @@ def _draw(key: int, seed: int) -> float:
 
 
 def pair_off(sizes: np.ndarray, parts: np.ndarray, keys: np.ndarray, seed: int) -> tuple[np.ndarray, int]:
-    """Move mass between two open documents at a time until one of them is 0 or 1.
-
-    ``sizes * parts`` keeps its sum, and each part keeps its expectation.
+    """Pair each open document with all later ones and move mass between them until it is 0 or 1.
+
+    Give the largest first: the smaller ones share what it gains or loses, so
+    what stays open at the end is small.  The draw keeps the document's
+    expectation; where the later ones can hold only one of the two outcomes,
+    that one is taken (so the last small ones lose part of their expectation
+    to the sum: 0.25 to 0.55 instead of 0.4 in a bucket of 14), and where they can hold neither, they give or take all
+    they have and the document stays open.  ``sizes * parts`` keeps its sum.
     Returns the parts and the place of the one still open (-1: none).
     """
     out = parts.copy()
-    held = -1
-    for i in range(len(out)):
-        if out[i] <= 0.0 or out[i] >= 1.0:
-            continue
-        if held < 0:
-            held = i
+    order = [i for i in range(len(out)) if 0.0 < out[i] < 1.0]
+    rest = float(sum(float(sizes[i]) for i in order))
+    mass = float(sum(float(sizes[i]) * out[i] for i in order))
+    near = 1e-9 * max(1.0, rest)
+    # the part of a later document is by now shift + scale * its first part
+    shift, scale = 0.0, 1.0
+    for n, i in enumerate(order):
+        a, p = float(sizes[i]), min(1.0, max(0.0, shift + scale * parts[i]))
+        rest -= a
+        held = min(rest, max(0.0, mass - p * a))
+        space = rest - held
+        up, down = (1.0 - p) * a, p * a
+        if min(up, down) <= near:  # at an end already, up to rounding
+            out[i], mass = round(p), held
             continue
-        p, q, a, b = out[held], out[i], float(sizes[held]), float(sizes[i])
-        up, down = min((1.0 - p) * a, q * b), min(p * a, (1.0 - q) * b)
-        if _draw(int(keys[held]) ^ (int(keys[i]) * 3), seed) * (up + down) < down:
-            move, held_ends = up, (1.0 - p) * a <= q * b
-            out[held], out[i] = (1.0 if held_ends else p + move / a), (q - move / b if held_ends else 0.0)
+        can_rise, can_fall = up <= held + near, down <= space + near
+        draw = _draw(int(keys[i]), seed)
+        if not can_rise and not can_fall:
+            rises = draw * (held + space) < space
+            out[i] = p + held / a if rises else p - space / a
+            out[order[n + 1:]] = 0.0 if rises else 1.0
+            return out, i
+        rises = draw < p if can_rise and can_fall else can_rise
+        if rises:
+            keep = max(0.0, held - up) / held if held > 0 else 0.0
+            shift, scale = shift * keep, scale * keep
+            out[i], mass = 1.0, max(0.0, held - up)
         else:
-            move, held_ends = down, p * a <= (1.0 - q) * b
-            out[held], out[i] = (0.0 if held_ends else p - move / a), (q + move / b if held_ends else 1.0)
-        for j in (held, i):  # both may end at once, up to rounding
-            out[j] = 0.0 if out[j] < 1e-12 else 1.0 if out[j] > 1 - 1e-12 else out[j]
-        open_ = [j for j in (held, i) if 0.0 < out[j] < 1.0]
-        held = open_[0] if open_ else -1
-    return out, held
+            keep = max(0.0, space - down) / space if space > 0 else 0.0
+            shift, scale = 1.0 - keep + shift * keep, scale * keep
+            out[i], mass = 0.0, min(rest, held + down)
+    return out, -1
 
 
 def _round_group(seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "_key"], ascending=[False, True], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["size", "_key", "_tie"], ascending=[False, True, True], kind="stable", ignore_index=True)
         pdf["_part"], _ = pair_off(pdf["size"].to_numpy(), pdf["_part"].to_numpy(float), pdf["_key"].to_numpy(), seed)
         return pdf
     return run
@@ -102,12 +119,14 @@ def mix_sources(docs: DataFrame, *, cycle: Sequence[float] = CYCLE, total_factor
     A source's target over its size is the expected number of copies of each of
     its documents: a whole part, and a fraction that is decided by pairing.
     Documents of a source fall into buckets by a hash of their id; a bucket
-    keeps the sum of size times fraction and leaves at most one document open.
+    keeps the sum of size times fraction and leaves at most one document open,
+    a small one as the large ones are decided first.
     The open ones meet in new buckets, level by level, until one document per
     source is left, which is rounded at random; so a source misses its target
     by less than that one document.  A bucket holds about ``bucket`` rows
     whatever the source's share of the rows; reruns agree because buckets and
-    draws depend on ids only.
+    draws depend on ids and sizes, and rows that agree in both are told apart
+    by the columns carried along.
 
     Columns: id, size (words), source_size, target, copies, taken.  A null text
     or one without words has size 0 and takes nothing.  Null is the last
@@ -123,7 +142,8 @@ def mix_sources(docs: DataFrame, *, cycle: Sequence[float] = CYCLE, total_factor
     rows = (sizes.withColumns({"_null": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))})
             .join(F.broadcast(table), ["_null", "_name"])
             .withColumns({"_whole": F.floor("_rate"), "_part": F.col("_rate") - F.floor("_rate"),
-                          "_key": F.xxhash64(id_col, "size")})
+                          "_key": F.xxhash64(id_col, "size"),
+                          "_tie": F.xxhash64(id_col, *[f"`{c}`" for c in sizes.columns[2:]])})
             .drop("_rate"))
     # a document without words can't be paired: it takes nothing
     rows = rows.withColumn("_part", F.when(F.col("size") > 0, F.col("_part")).otherwise(0.0))
@@ -149,7 +169,7 @@ def mix_sources(docs: DataFrame, *, cycle: Sequence[float] = CYCLE, total_factor
     copies = (F.col("_whole") + F.col("_part")).cast("bigint")
     return (out.withColumns({"copies": F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("bigint")})
             .withColumn("taken", F.col("copies") * F.col("size"))
-            .drop("_null", "_name", "_whole", "_part", "_key"))
+            .drop("_null", "_name", "_whole", "_part", "_key", "_tie"))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:

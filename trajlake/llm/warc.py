@@ -29,19 +29,57 @@ def leaf_table(records: DataFrame, key: str, record: str) -> DataFrame:
     rows = rows.groupBy(key, "length", "digest").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(key).orderBy("digest").rowsBetween(W.unboundedPreceding, -1)
     first = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    return (rows.withColumn("_at", first)
-            .withColumn("copy", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_n") - 1))).drop("_n", "_at"))
+    # numbers in blocks, so that no array is as long as the copies of a hot record
+    rows = rows.withColumn("_at", first).withColumn("_last", F.col("_at") + F.col("_n") - 1)
+    rows = rows.withColumn("_block", F.explode(F.sequence("_at", "_last", F.lit(4096).cast("bigint"))))
+    return (rows.withColumn("copy", F.explode(F.sequence("_block", F.least(F.col("_block") + 4095, "_last"))))
+            .drop("_n", "_at", "_last", "_block"))
+
+
+def merkle_levels(leaves: DataFrame, fanout: int, height: int) -> list[DataFrame]:
+    """(node, digest) tables of one replica's tree from the lowest ranges to the root.
+
+    ``leaves`` is (ordinal, length, digest).  A node hashes the places and
+    digests of its at most ``fanout`` children; a range without leaves has no node.
+    """
+    level = leaves.select(F.floor(F.col("ordinal") / fanout).alias("node"), F.col("ordinal").alias("_child"),
+                          F.concat_ws("@", "digest", "length").alias("digest"))
+    out = []
+    for _ in range(height):
+        pairs = F.array_sort(F.collect_list(F.struct(F.col("_child").cast("string").alias("at"), "digest")))
+        tree = stored(level.groupBy("node").agg(F.sha2(F.concat_ws(",", F.transform(
+            pairs, lambda c: F.concat_ws(":", c["at"], c["digest"]))), 256).alias("digest")))
+        out.append(tree)
+        level = tree.select(F.floor(F.col("node") / fanout).alias("node"), F.col("node").alias("_child"), "digest")
+    return out
+
+
+def differing_ranges(left: list[DataFrame], right: list[DataFrame], fanout: int) -> DataFrame:
+    """(range_id) of the lowest ranges whose digests differ, found from the roots down.
+
+    A level is compared only at the children of nodes that differ above it.
+    """
+    def compare(a: DataFrame, b: DataFrame) -> DataFrame:
+        both = a.join(b.withColumnRenamed("digest", "_other"), "node", "full")
+        return stored(both.where(~F.col("digest").eqNullSafe(F.col("_other"))).select("node"))
+
+    bad = compare(left[-1], right[-1])
+    for a, b in zip(left[-2::-1], right[-2::-1]):
+        down = bad.select(F.explode(F.sequence(F.col("node") * fanout, F.col("node") * fanout + fanout - 1)).alias("node"))
+        bad = compare(a.join(down, "node", "left_semi"), b.join(down, "node", "left_semi"))
+    return bad.select(F.col("node").alias("range_id"))
 
 
 def fixity_audit(left: DataFrame, right: DataFrame, *, key: str, record: str, fanout: int = 16) -> DataFrame:
     """Compare two replicas of a set of records and locate what differs.
 
-    Records are hashed into leaves, ordered by key; ranges of ``fanout`` leaves
-    (then of ``fanout`` ranges) hash the digests and lengths below them, up to one
-    root.  Offsets are relative to a range, so one resized record does not
-    change the ranges after it.  The roots are compared first; a level is joined only to
-    the children of nodes that differ.  Only range digests are touched on the
-    way down, and intact branches are never opened.
+    A manifest, the ordered keys of both replicas without digests, fixes the
+    ranges: ``fanout`` keys, then ``fanout`` ranges, up to one root.  Each
+    replica's tree is built from its own leaves alone.  The roots are compared
+    first, then only the children of nodes that differ; records of the right
+    replica meet those of the left one only in the lowest ranges that differ,
+    and equal range digests settle all others.  Offsets are no part of a
+    digest, so one resized record does not change the ranges after it.
 
     One row per record of either replica: key, copy, ordinal, offset and length
     in the left replica, digest, replica_digest, range_id (the lowest range)
@@ -51,41 +89,31 @@ def fixity_audit(left: DataFrame, right: DataFrame, *, key: str, record: str, fa
     count as empty; a null key is a key like any other.  Empty replicas give an
     empty result.
     """
-    a = leaf_table(left, key, record).select(F.col(key), "copy", "length", "digest")
-    b = leaf_table(right, key, record).select(F.col(key), "copy", F.col("length").alias("_length"),
-                                              F.col("digest").alias("replica_digest"))
-    a, b = a.alias("a"), b.alias("b")
-    both = a.join(b, F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}")) & (F.col("a.copy") == F.col("b.copy")), "full").select(
-        F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key), F.coalesce("a.copy", "b.copy").alias("copy"),
-        "length", "_length", "digest", "replica_digest")
-    ranked = global_rank(stored(both), [key, "copy"], "ordinal")
-    leaves = stored(running_total(ranked.withColumn("_own", F.coalesce("length", F.lit(0))), "_own", "ordinal", "offset")
-                    .withColumn("range_id", F.floor(F.col("ordinal") / fanout)).drop("_own"))
-
-    # at most ``fanout`` children meet in one group
-    level = leaves.select(F.col("range_id").alias("node"), F.col("ordinal").alias("_child"),
-                          F.concat_ws("@", F.coalesce("digest", F.lit("-")), F.coalesce("length", F.lit(-1))).alias("_a"),
-                          F.concat_ws("@", F.coalesce("replica_digest", F.lit("-")), F.coalesce("_length", F.lit(-1))).alias("_b"))
-    levels = []
-    while True:
-        tree = stored(level.groupBy("node").agg(_joined("_a").alias("_a"), _joined("_b").alias("_b")))
-        levels.append(tree)
-        if tree.count() <= 1:
-            break
-        level = tree.select(F.floor(F.col("node") / fanout).alias("node"), F.col("node").alias("_child"), "_a", "_b")
-    bad = levels[-1].where("_a <> _b").select("node")
-    for tree in levels[-2::-1]:
-        down = bad.select(F.explode(F.sequence(F.col("node") * fanout, F.col("node") * fanout + fanout - 1)).alias("node"))
-        bad = tree.join(down, "node").where("_a <> _b").select("node")
-    differs = bad.select(F.col("node").alias("range_id"), F.lit(True).alias("_open"))
-    same = F.col("digest").eqNullSafe(F.col("replica_digest"))
-    status = (F.when(F.col("_open").isNull() | same, "intact").when(F.col("replica_digest").isNull(), "missing")
-              .when(F.col("digest").isNull(), "extra").otherwise("changed"))
-    return leaves.join(differs, "range_id", "left").select(
-        key, "copy", "ordinal", "offset", "length", "digest", "replica_digest", "range_id", status.alias("status"))
+    # the caller's key may be called like a column of ours
+    a, b = [stored(leaf_table(side.select(F.col(key).alias("_key"), F.col(record).alias("_record")), "_key", "_record"))
+            for side in (left, right)]
+    names = a.select("_key", "copy").union(b.select("_key", "copy")).distinct()
+    manifest = stored(global_rank(stored(names), ["_key", "copy"], "ordinal"))
+
+    def placed(side: DataFrame, how: str) -> DataFrame:
+        m, s = manifest.alias("m"), side.alias("s")
+        same = F.col("m._key").eqNullSafe(F.col("s._key")) & (F.col("m.copy") == F.col("s.copy"))
+        return m.join(s, same, how).select("m._key", "m.copy", "m.ordinal", "s.length", "s.digest")
 
+    a = placed(a, "left").withColumn("_own", F.coalesce("length", F.lit(0)))
+    a = stored(running_total(a, "_own", "ordinal", "offset").withColumn("range_id", F.floor(F.col("ordinal") / fanout)).drop("_own"))
+    b = stored(placed(b, "inner").withColumn("range_id", F.floor(F.col("ordinal") / fanout)))
 
-def _joined(name: str) -> Column:
-    """Digest over the children's digests in their order."""
-    pairs = F.array_sort(F.collect_list(F.struct("_child", F.col(name).alias("_part"))))
-    return F.sha2(F.concat_ws(",", F.transform(pairs, lambda x: x["_part"])), 256)
+    height, nodes = 1, -(-manifest.count() // fanout)
+    while nodes > 1:
+        height, nodes = height + 1, -(-nodes // fanout)
+    trees = [merkle_levels(side, fanout, height) for side in (a.where("digest IS NOT NULL"), b)]
+    open_ = differing_ranges(*trees, fanout)
+    opened = b.join(open_, "range_id", "left_semi").select("ordinal", F.col("digest").alias("_other"))
+    rows = a.join(open_.withColumn("_open", F.lit(True)), "range_id", "left").join(opened, "ordinal", "left")
+    other = F.when(F.col("_open"), F.col("_other")).otherwise(F.col("digest"))
+    same = F.col("digest").eqNullSafe(F.col("replica_digest"))
+    status = (F.when(same, "intact").when(F.col("replica_digest").isNull(), "missing")
+              .when(F.col("digest").isNull(), "extra").otherwise("changed"))
+    return rows.withColumn("replica_digest", other).select(
+        F.col("_key").alias(key), "copy", "ordinal", "offset", "length", "digest", "replica_digest", "range_id", status.alias("status"))
