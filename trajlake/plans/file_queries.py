@@ -43,9 +43,8 @@ SELECT substr(sim_type, 1, 1) AS sim, frame, count(*) OVER (PARTITION BY frame)
 FROM atoms JOIN labels_of USING (frame)"""
 
 
-def thermo_log_scan(spark, sf_dir) -> DataFrame:
-    """Events written as thermo logs (one per simulation) and parsed."""
-    rows = at.thermo(spark, sf_dir)
+def write_logs(rows: DataFrame) -> str:
+    """Thermo rows as one log per simulation; returns the pattern of the logs."""
     lines = rows.select("sim", "block_id", "line_no", F.concat_ws(" ", "step", "temp", "press").alias("value"))
     edges = rows.select("sim", "block_id").distinct().select("sim", "block_id", F.explode(F.array(
         F.struct(F.lit(-1).cast("bigint").alias("line_no"), F.lit("Step Temp Press").alias("value")),
@@ -55,7 +54,12 @@ def thermo_log_scan(spark, sf_dir) -> DataFrame:
     # a log is one file, written in order
     (lines.unionByName(edges).repartition("sim").sortWithinPartitions("sim", "block_id", "line_no")
      .select("sim", "value").write.partitionBy("sim").text(folder))
-    back = read_thermo(spark, f"{folder}/sim=*")
+    return f"{folder}/sim=*"
+
+
+def thermo_log_scan(spark, sf_dir) -> DataFrame:
+    """Events written as thermo logs (one per simulation) and parsed."""
+    back = read_thermo(spark, write_logs(at.thermo(spark, sf_dir)))
     return back.select(_name().alias("sim"), F.col("block_id").cast("bigint").alias("block_id"), "step",
                        round_to("temp", 9).alias("temp"), round_to("press", 9).alias("press"))
 

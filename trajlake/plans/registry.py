@@ -1,7 +1,7 @@
 """All registered queries."""
 from __future__ import annotations
 
-from trajlake.plans import audit_queries, bead_queries, dataset_queries, file_queries, index_queries, job_queries, structure_queries
+from trajlake.plans import audit_queries, bead_queries, dataset_queries, file_queries, index_queries, job_queries, structure_queries, training_queries
 
 _BEADS = bead_queries
 MEAN_FORCE = f"""WITH RECURSIVE {_BEADS.at.ATOMS_SQL}, {_BEADS.at.PAIRS_SQL}, {_BEADS.GREEDY_SQL}, {_BEADS.at.LABELS_SQL},
@@ -20,6 +20,7 @@ REGISTERED = {
     **file_queries.QUERIES,
     **job_queries.QUERIES,
     **index_queries.QUERIES,
+    **training_queries.QUERIES,
 }
 
 

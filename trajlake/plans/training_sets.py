@@ -11,7 +11,7 @@ from trajlake.operators import training as T
 from trajlake.operators.thermo import constant_labels, in_unit
 from trajlake.session import cut_lineage
 from trajlake.sinks import training as sink
-from trajlake.sources.lines import count_filled_lines
+from trajlake.sources.lines import read_lines, with_line_no
 from trajlake.sources.thermo import read_thermo, temperature_series
 
 FRAME = ["file", "frame_idx"]
@@ -55,9 +55,9 @@ def write_training_set(rows: DataFrame, path: str, raw: bool = True, npy: bool =
     if npy:
         folder = F.concat_ws("/", group, F.format_string("set.%03d", "set_id"))
         for name in ("coord", "force", "atom_ener"):
-            sink.write_npy(rows, path, name, folder, ["frame_no", "chunk"], name, ["frame_no"]).collect()
-        sink.write_npy(first.withColumn("v", F.array("total_energy")), path, "energy", folder, ["frame_no"], "v", ["frame_no"], True).collect()
-        sink.write_npy(first, path, "box", folder, ["frame_no"], "cell", ["frame_no"]).collect()
+            sink.write_npy(rows, path, name, folder, ["frame_no", "chunk"], name, ["frame_no"])
+        sink.write_npy(first.withColumn("v", F.array("total_energy")), path, "energy", folder, ["frame_no"], "v", ["frame_no"], True)
+        sink.write_npy(first, path, "box", folder, ["frame_no"], "cell", ["frame_no"])
 
 
 def measured_labels(spark: SparkSession, logs: str | Sequence[str], unit: str = "eV") -> DataFrame:
@@ -70,11 +70,10 @@ def write_labels(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[
     """``fparam.raw`` text per group, and the same values as ``set.000/fparam.npy``."""
     sink.write_labels(rows, f"{path}/fparam.raw", by, order)
     folder = F.concat_ws("/", *[F.col(c).cast("string") for c in by], F.lit("set.000"))
-    sink.write_npy(rows.withColumn("_v", F.array("fparam")), path, "fparam", folder, order, "_v", order, True).collect()
+    sink.write_npy(rows.withColumn("_v", F.array("fparam")), path, "fparam", folder, order, "_v", order, True)
 
 
 def labels_for_boxes(spark: SparkSession, box_files: str | Sequence[str], temp: float, unit: str = "eV") -> DataFrame:
     """(file, frame_no, fparam): a constant label for every non-blank box line."""
-    counts = count_filled_lines(spark, box_files)
-    rows = counts.select("file", F.explode(F.sequence(F.lit(1), F.col("n_lines"))).alias("frame_no"))
-    return constant_labels(rows.withColumn("frame_no", F.col("frame_no") - 1), F.lit(temp), unit)
+    lines = read_lines(spark, box_files).where(F.trim("value") != "")
+    return constant_labels(with_line_no(lines, "frame_no").select("file", "frame_no"), F.lit(temp), unit)

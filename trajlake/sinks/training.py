@@ -7,9 +7,14 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.session import cut_lineage
+
+PARTS = "folder string, part long, path string, head long, n_rows long, width long, flat boolean, bytes long"
+COPY_BYTES = 8 << 20
 QUANTITIES = ("coord", "force", "atom_ener", "energy", "box")
 
 
@@ -48,56 +53,105 @@ def _npy_head(shape: tuple[int, ...]) -> bytes:
     return b"\x93NUMPY\x01\x00" + len(text).to_bytes(2, "little") + text.encode("latin1")
 
 
-def _stream_npy(root: str, name: str):
-    """Write each file of a sorted partition as its rows come by."""
+def _shape(n: int, width: int, flat: bool) -> tuple[int, ...]:
+    return (int(n),) if flat else (int(n), int(width))
+
+
+def _write_parts(root: str, scratch: str):
+    """Write the rows of each file in a sorted partition as one part, a whole ``.npy`` file if nothing else follows."""
 
     def run(batches):
         files, base = _open_fs(root)
-        current = sink = temp = None
-        done = 0
+        files.create_dir(f"{base}/{scratch}", recursive=True)
+        part = TaskContext.get().partitionId()
+        current = sink = head = path = None
+        done = []
 
         def close():
             sink.close()
-            files.move(temp, f"{base}/{current}/{name}.npy")
-            return {"file": f"{current}/{name}.npy", "rows": done}
+            done.append({"folder": current[0], "part": part, "path": path, "head": len(head), "n_rows": current[1], "width": current[2],
+                         "flat": current[3], "bytes": files.get_file_info(f"{base}/{path}").size - len(head)})
 
         for pdf in batches:
-            finished = []
-            for folder, n, width, flat, values, last in zip(pdf["folder"], pdf["n_rows"], pdf["width"], pdf["flat"],
-                                                            pdf["values"], pdf["last"]):
-                if folder != current:
+            for folder, n, width, flat, values in zip(pdf["folder"], pdf["n_rows"], pdf["width"], pdf["flat"], pdf["values"]):
+                if current is None or folder != current[0]:
                     if sink is not None:
-                        finished.append(close())
-                    files.create_dir(f"{base}/{folder}", recursive=True)
-                    temp = f"{base}/{folder}/.{name}-{uuid.uuid4().hex}"
-                    sink, current, done = files.open_output_stream(temp), folder, 0
-                    sink.write(_npy_head((int(n),) if flat else (int(n), int(width))))
+                        close()
+                    current, path = (folder, int(n), int(width), bool(flat)), f"{scratch}/{uuid.uuid4().hex}"
+                    head = _npy_head(_shape(n, width, flat))
+                    sink = files.open_output_stream(f"{base}/{path}")
+                    sink.write(head)
                 sink.write(np.asarray(values, dtype="<f8").tobytes())
-                done += bool(last)
-            yield pd.DataFrame(finished, columns=["file", "rows"])
-        yield pd.DataFrame([close()] if sink is not None else [], columns=["file", "rows"])
+        if sink is not None:
+            close()
+        yield pd.DataFrame(done, columns=["folder", "part", "path", "head", "n_rows", "width", "flat", "bytes"])
+
+    return run
+
+
+def _join_parts(root: str, name: str):
+    """Put the parts of each file in order behind one head; a file of one part is only moved."""
+
+    def run(batches):
+        files, base = _open_fs(root)
+        for pdf in batches:
+            done = []
+            for folder, n, width, flat, parts in zip(pdf["folder"], pdf["n_rows"], pdf["width"], pdf["flat"], pdf["parts"]):
+                target = f"{base}/{folder}/{name}.npy"
+                if sum(int(p["bytes"]) for p in parts) != 8 * int(n) * int(width):
+                    raise ValueError(f"parts of {target} do not add up")
+                files.create_dir(f"{base}/{folder}", recursive=True)
+                whole = f"{base}/{parts[0]['path']}"
+                if len(parts) > 1:
+                    whole = f"{whole}-{uuid.uuid4().hex}"
+                    with files.open_output_stream(whole) as sink:
+                        sink.write(_npy_head(_shape(n, width, flat)))
+                        for p in parts:
+                            with files.open_input_file(f"{base}/{p['path']}") as source:
+                                source.seek(int(p["head"]))
+                                while block := source.read(COPY_BYTES):
+                                    sink.write(block)
+                # a retry after the move finds its part gone and the file in place
+                elif files.get_file_info(whole).type == fs.FileType.NotFound and files.get_file_info(target).type == fs.FileType.File:
+                    whole = None
+                if whole is not None:
+                    files.move(whole, target)
+                done.append({"file": f"{folder}/{name}.npy", "rows": int(n), "parts": len(parts)})
+            yield pd.DataFrame(done, columns=["file", "rows", "parts"])
 
     return run
 
 
 def write_npy(rows: DataFrame, root: str, name: str, folder: Column, order: Sequence[str], values: str,
               frame: Sequence[str], flat: bool = False) -> DataFrame:
-    """Write ``<root>/<folder>/<name>.npy``; returns (file, rows).
-
-    Each file is streamed by one task from a sorted partition: neither a set
-    nor a frame (which may come in chunks) is held in memory.
+    """Write ``<root>/<folder>/<name>.npy``; returns (file, rows, parts).
+
+    The rows are sorted by range over all tasks, so one big file is converted
+    by many of them, each writing its stretch as a part; neither a set nor a
+    frame (which may come in chunks) is held in memory.  Heads are fixed before
+    by counts.  One task a file then copies its parts' bytes together, as the
+    format is one stream; a file of one part is moved.  Parts of lost or failed
+    tasks are not listed and go with the scratch folder at the end.  Frames of
+    different width in one file are an error; an empty table writes nothing.
     """
+    spark = rows.sparkSession
     named = rows.withColumn("folder", folder).withColumn("_len", F.size(values))
     shape = named.groupBy("folder", *frame).agg(F.sum("_len").alias("width")).groupBy("folder").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("width").alias("width"), F.max("width").alias("_wide"))
     shape = shape.withColumn("width", F.when(F.col("width") == F.col("_wide"), F.col("width")).otherwise(
         F.raise_error(F.lit("frames of different size in one set")).cast("bigint"))).drop("_wide")
-    lasts = named.groupBy("folder", *frame).agg(F.max(F.struct(*order)).alias("_last"))
-    ready = (named.join(shape, "folder").join(lasts, ["folder", *frame])
-             .withColumn("last", F.struct(*order) == F.col("_last")))
-    ready = (ready.repartition("folder").sortWithinPartitions("folder", *order)
-             .select("folder", "n_rows", "width", F.lit(flat).alias("flat"), F.col(values).alias("values"), "last"))
-    return ready.mapInPandas(_stream_npy(_qualified(rows, root), name), "file string, rows long")
+    ready = (named.join(shape, "folder").repartitionByRange("folder", *order).sortWithinPartitions("folder", *order)
+             .select("folder", "n_rows", "width", F.lit(flat).alias("flat"), F.col(values).alias("values")))
+    base, scratch = _qualified(rows, root), f".{name}-{uuid.uuid4().hex}"
+    try:
+        parts = cut_lineage(ready.mapInPandas(_write_parts(base, scratch), PARTS))
+        # as many parts a file as there are partitions, at most
+        files = parts.groupBy("folder", "n_rows", "width", "flat").agg(
+            F.array_sort(F.collect_list(F.struct("part", "path", "head", "bytes"))).alias("parts"))
+        return cut_lineage(files.repartition("folder").mapInPandas(_join_parts(base, name), "file string, rows long, parts long"))
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{scratch}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def set_folder(*group: str) -> Column:

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import ast
 from collections.abc import Sequence
+from urllib.parse import quote
 
 import numpy as np
 import pandas as pd
@@ -35,8 +36,10 @@ def _read_chunks(batches):
     """Each row names a file and a byte budget slot; read just those matrix rows."""
     for pdf in batches:
         for path, slot in zip(pdf["file"], pdf["slot"]):
-            files, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1)
-                                                  if path.startswith("file:/") and not path.startswith("file:///") else path)
+            scheme, _, rest = path.partition(":")
+            rest = f"//{rest}" if scheme == "file" and not rest.startswith("//") else rest
+            # Spark lists plain names, a URI wants blanks and the like escaped
+            files, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/@:=?&[]')}")
             with files.open_input_file(inner) as stream:
                 kind, shape, fortran, start = _npy_header(stream)
                 n = shape[0] if shape else 1
