@@ -53,7 +53,7 @@ def pair_off(sizes: np.ndarray, parts: np.ndarray, keys: np.ndarray, seed: int)
     what stays open at the end is small.  The draw keeps the document's
     expectation; where the later ones can hold only one of the two outcomes,
     that one is taken (so the last small ones lose part of their expectation
-    to the sum: 0.25 to 0.55 instead of 0.4 in a bucket of 14), and where they can hold neither, they give or take all
+    to the sum: 0.31 to 0.55 instead of 0.4 in a bucket of 14), and where they can hold neither, they give or take all
     they have and the document stays open.  ``sizes * parts`` keeps its sum.
     Returns the parts and the place of the one still open (-1: none).
     """
