@@ -1,5 +1,6 @@
 """The frame index: same frames and atoms as the line reader at any range size, pruned reads, odd files."""
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +89,31 @@ def test_picks_read_their_frames_only(spark, tmp_path):
 def test_no_files(spark):
     index = X.frame_index(spark.createDataFrame([], "file string, size bigint"))
     assert index.frames.count() == 0 and X.indexed_atoms(index.parts).count() == 0
+
+
+def test_many_small_frames_are_read_together(spark, tmp_path, monkeypatch):
+    """Frames that follow each other cost one open file, not one each; odd ones are parsed as before."""
+    path = write(tmp_path / "many", "".join(frame_text(i, [f"{k} 1 {i}.5 {k} 0.5" for k in range(1, 5)]) for i in range(300)))
+    index = X.frame_index(X.list_files(spark, path), 1000)
+    index.parts.coalesce(1).sortWithinPartitions("start").write.parquet(str(tmp_path / "index"))
+    opened, real = [], X.fs
+
+    def from_uri(uri):
+        opened.append(uri)
+        return real.FileSystem.from_uri(uri)
+
+    monkeypatch.setattr(X, "fs", SimpleNamespace(FileSystem=SimpleNamespace(from_uri=from_uri), FileSelector=real.FileSelector))
+    reader = X.AtomsReader(f"file://{tmp_path}/index")
+    rows = [r for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist()]
+    assert sum(uri.endswith("many") for uri in opened) == 1
+    assert sorted((r["timestep"], r["row_idx"], r["x"], r["y"]) for r in rows) == [(i, k, i + 0.5, k + 1.0) for i in range(300) for k in range(4)]
+
+
+def test_a_scan_uses_all_cores(spark, tmp_path, monkeypatch):
+    """The rows that name ranges are few bytes; adaptive execution must not merge them into one task."""
+    for i in range(40):
+        write(tmp_path / "in" / f"f{i}", frame_text(i, ["1 1 1 2 3"]))
+    tasks, real = [], X.cut_lineage
+    monkeypatch.setattr(X, "cut_lineage", lambda df: tasks.append(df.rdd.getNumPartitions()) or real(df))
+    X.frame_index(X.list_files(spark, str(tmp_path / "in" / "*")))
+    assert tasks[0] >= spark.sparkContext.defaultParallelism

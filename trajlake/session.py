@@ -2,10 +2,11 @@
 from __future__ import annotations
 
 import atexit
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _folders: dict[str, list[str]] = {}
@@ -51,6 +52,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out.select(*[F.lit(None).alias(c) if c in void else F.col(f"`{c}`") for c in df.columns]) if void else out
 
 
+def task_count(rows: DataFrame, n_bytes: Column, split: int) -> int:
+    """Tasks for work on that many bytes: one per ``split`` of them, and at least one a core.
+
+    The rows that name the work are small, so their own size (by which adaptive
+    execution merges partitions) says nothing about it.
+    """
+    total = rows.agg(n_bytes.alias("n")).first()["n"] or 0
+    return max(math.ceil(total / split), rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables of this session; call it when no result reads them any more."""
     sc = spark.sparkContext

@@ -21,13 +21,15 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
                                     LessThanOrEqual)
 
 from trajlake.operators.ordinals import bucketed_position
-from trajlake.session import cut_lineage, shared_folder
+from trajlake.session import cut_lineage, shared_folder, task_count
 from trajlake.sources.dump import ATOM_DOUBLES, ATOMS_MARK, COUNT_HEAD, FRAME_MARK, box_columns, has_box, split_words
 
 SPLIT = 32 << 20  # bytes of a range
 AHEAD = 1 << 16
 HEADER = 1 << 20  # bytes in which a header must end
 ROWS = 1 << 16  # atoms of an Arrow batch
+STRETCH = 4 << 20  # bytes that are read and parsed together
+FEW = 8  # parts of a stretch that are read one by one
 FRAME = ["file", "frame_idx"]
 
 _PORTION = ("file string, split_start bigint, start bigint, stop bigint, mark boolean, header string, columns string, body_start bigint, "
@@ -160,7 +162,8 @@ def frame_index(files: DataFrame, split_bytes: int = SPLIT) -> FrameIndex:
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split_bytes).cast("bigint")))
     splits = files.where("size > 0").select("file", "size", starts.alias("begin"))
     splits = splits.select("file", "size", "begin", (F.col("begin") + split_bytes).alias("end"))
-    seen = cut_lineage(splits.repartition(F.col("file"), F.col("begin")).mapInArrow(_scan, _PORTION))
+    tasks = task_count(files, F.sum("size"), SPLIT)
+    seen = cut_lineage(splits.repartition(tasks, "file", "begin").mapInArrow(_scan, _PORTION))
 
     heads = seen.where("mark").select(
         "file", F.col("start").alias("offset"), "split_start", "body_start",
@@ -259,24 +262,83 @@ def part_atoms(file, frame_idx, timestep, natoms, columns, lx, ly, lz, start, st
 
 
 def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
-    for i in range(batch.num_rows):
-        yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+    columns = [batch.column(name).to_pylist() for name in batch.schema.names]
+    for values in zip(*columns):
+        yield dict(zip(batch.schema.names, values))
+
+
+def _stretches(parts: Iterator[dict]) -> Iterator[list[dict]]:
+    """Runs of parts of one file and layout that follow each other closely."""
+    run: list[dict] = []
+    for part in parts:
+        if run and (part["file"] != run[0]["file"] or part["columns"] != run[0]["columns"] or not run[-1]["stop"] <= part["start"] <= run[-1]["stop"] + AHEAD
+                    or part["stop"] - run[0]["start"] > STRETCH):
+            yield run
+            run = []
+        run.append(part)
+    if run:
+        yield run
+
+
+def _atoms(parts: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """The atoms of parts; those of a stretch of many parts are read and parsed together."""
+    for run in _stretches(parts):
+        whole = stretch_atoms(run) if len(run) > FEW else None
+        if whole is None:
+            for part in run:
+                yield from part_atoms(**part)
+        else:
+            for at in range(0, whole.num_rows, ROWS):
+                yield whole.slice(at, ROWS)
+
+
+def stretch_atoms(run: list[dict]) -> pa.RecordBatch | None:
+    """The atoms of adjacent parts as one batch; None where a line is blank, too short, too long, no numbers or behind the last slot."""
+    columns, first = run[0]["columns"], run[0]["start"]
+    system, path = fs.FileSystem.from_uri(run[0]["file"])
+    with system.open_input_file(path) as src:
+        text = src.read_at(run[-1]["stop"] - first, first)
+    bodies = [text[p["start"] - first:p["stop"] - first] for p in run]
+    counts = np.array([b.count(b"\n") + (not b.endswith(b"\n")) for b in bodies])
+    if b"\r" in text or (counts > np.array([p["natoms"] - p["slot"] for p in run])).any():
+        return None
+    n, width = int(counts.sum()), len(columns)
+    names = ["id", "type", *ATOM_DOUBLES]
+    wanted = [(c, columns.index(c)) for c in names if c in columns]
+    lines = b"".join(b if b.endswith(b"\n") else b + b"\n" for b in bodies)
+    data = np.frombuffer(lines, np.uint8)
+    token = data > 32
+    begins = np.flatnonzero(token[1:] & ~token[:-1]) + 1
+    if token[0]:
+        begins = np.concatenate([[0], begins])
+    per_line = np.bincount(np.searchsorted(np.flatnonzero(data == 10), begins), minlength=n)
+    if len(per_line) != n or not (per_line == width).all():
+        return None
+    try:
+        values = np.array(lines.split(), dtype=np.float64).reshape(n, width)
+    except ValueError:
+        return None
+    cells = {c: pa.array(values[:, i]) for c, i in wanted}
+    owner = pa.array(np.repeat(np.arange(len(run)), counts))
+    said = {f: pa.array([p[f] for p in run], pa.int64()).take(owner) for f in ("frame_idx", "timestep", "natoms")}
+    box = [pa.array([p[f] for p in run], pa.float64()).take(owner) for f in ("lx", "ly", "lz")]
+    rows = np.arange(n) + np.repeat(np.array([p["row"] for p in run]) - (np.cumsum(counts) - counts), counts)
+    none = pa.nulls(n, pa.float64())
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(pa.scalar(run[0]["file"], pa.string()), n), *said.values(), pa.array(rows), _whole(cells.get("id", none), pa.int64()),
+         _whole(cells.get("type", none), pa.int32()), *[cells.get(c, none) for c in ATOM_DOUBLES], *box], [f.split()[0] for f in ATOM_SCHEMA.split(", ")])
 
 
 def _spread(parts: DataFrame) -> DataFrame:
-    """Parts dealt out so that a task reads about one range of bytes."""
-    total = parts.agg(F.sum(F.col("stop") - F.col("start"))).scalar()
-    tasks = F.greatest(F.ceil(total / SPLIT), F.lit(parts.sparkSession.sparkContext.defaultParallelism)).cast("int")
-    n = parts.sparkSession.range(1).select(tasks.alias("n")).first()["n"] if parts.take(1) else 1
-    return parts.repartition(n, "file", "start")
+    """Parts dealt out so that a task reads about one range of bytes, neighbours one after the other."""
+    tasks = task_count(parts, F.sum(F.col("stop") - F.col("start")), SPLIT)
+    return parts.repartition(tasks, F.col("file"), F.floor(F.col("start") / STRETCH)).sortWithinPartitions("file", "start")
 
 
 def indexed_atoms(parts: DataFrame) -> DataFrame:
     """Atoms (``ATOM_SCHEMA``) of the given parts of an index; nothing else is read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in _rows(batch):
-                yield from part_atoms(**part)
+        yield from _atoms(part for batch in batches for part in _rows(batch))
 
     return _spread(parts).mapInArrow(run, ATOM_SCHEMA)
 
@@ -329,8 +391,7 @@ class AtomsReader(DataSourceReader):
             return
         system, _ = fs.FileSystem.from_uri(self.path)
         found = pq.read_table(partition.path, filesystem=system, filters=self.wanted or None)
-        for part in _rows(found):
-            yield from part_atoms(**part)
+        yield from _atoms(_rows(found))
 
 
 class DumpAtoms(DataSource):
