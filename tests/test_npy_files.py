@@ -46,3 +46,16 @@ def test_empty_tables_and_flat_files(spark, tmp_path):
     write_npy(rows, f"{tmp_path}/out", "e", F.lit("a"), ["frame_no"], "values", ["frame_no"], True)
     write_npy(rows.where("frame_no < 3"), f"{tmp_path}/out", "e", F.lit("a"), ["frame_no"], "values", ["frame_no"], True)
     assert np.load(tmp_path / "out/a/e.npy").tolist() == [0.0, 10.0, 20.0]  # a second run overwrites
+
+
+def test_array_files_are_read_by_all_cores(spark, tmp_path):
+    """Slots are named by a few rows; adaptive execution must not merge them into one task."""
+    write_npy(chunks(spark, 400), f"{tmp_path}/out", "coord", F.col("name"), ["frame_no", "chunk"], "values", ["frame_no"])
+    back = read_npy(spark, f"{tmp_path}/out/*/coord.npy")
+    assert back.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and back.count() == 400
+
+
+def test_missing_numbers_become_nan(spark, tmp_path):
+    rows = spark.createDataFrame([(0, [1.0, None]), (1, [2.0, 3.0])], "frame_no long, values array<double>")
+    write_npy(rows, f"{tmp_path}/out", "x", F.lit("a"), ["frame_no"], "values", ["frame_no"])
+    assert np.array_equal(np.load(tmp_path / "out/a/x.npy"), [[1.0, np.nan], [2.0, 3.0]], equal_nan=True)

@@ -122,11 +122,12 @@ def score_predictions(spark: SparkSession, pred_dir: str, ref_dir: str, max_fram
         if max_frames is not None:
             ref = ref.join(pred.select("frame_no"), "frame_no", "left_semi")
             ref = even_downsample(ref, max_frames, [F.col("frame_no")])
-        values = M.paired_values(pred, ref)
-        frames = values.agg(F.count_distinct("frame_no").alias("n")).scalar()
         # a limit leaves predictions without a reference on purpose
-        left = M.unpaired_frames(pred if max_frames is None else pred.join(ref.select("frame_no"), "frame_no", "left_semi"), ref)
-        unpaired = left.agg(F.count(F.lit(1)).alias("n")).scalar()
+        shown = pred if max_frames is None else pred.join(ref.select("frame_no"), "frame_no", "left_semi")
+        both = cut_lineage(M.matched_frames(shown, ref))  # the files are read and joined once
+        values = M.frame_values(both)
+        frames = M.equal_frames(both).where(F.size("p") > 0).agg(F.count_distinct("frame_no").alias("n")).scalar()
+        unpaired = M.unequal_frames(both).agg(F.count(F.lit(1)).alias("n")).scalar()
         part = M.parity_metrics(values).select(F.lit(name).alias("quantity"), "rmse", "mae", "r2")
         if name == "force":
             axis = F.get(F.array(F.lit("x"), F.lit("y"), F.lit("z")), F.col("component").cast("int"))

@@ -6,14 +6,17 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.session import cut_lineage
+from trajlake.session import cut_lineage, task_count
 
 PARTS = "folder string, part long, path string, head long, n_rows long, width long, flat boolean, bytes long"
+PARTS_SCHEMA = pa.schema([("folder", pa.string()), ("part", pa.int64()), ("path", pa.string()), ("head", pa.int64()), ("n_rows", pa.int64()),
+                          ("width", pa.int64()), ("flat", pa.bool_()), ("bytes", pa.int64())])
 COPY_BYTES = 8 << 20
 QUANTITIES = ("coord", "force", "atom_ener", "energy", "box")
 
@@ -57,6 +60,13 @@ def _shape(n: int, width: int, flat: bool) -> tuple[int, ...]:
     return (int(n),) if flat else (int(n), int(width))
 
 
+def _raw_values(lists: pa.ListArray) -> bytes:
+    """The numbers of all rows one after the other; a missing row or number is NaN."""
+    if lists.null_count:
+        lists = pa.array([[np.nan] if v is None else v for v in lists.to_pylist()], pa.list_(pa.float64()))
+    return lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+
+
 def _write_parts(root: str, scratch: str):
     """Write the rows of each file in a sorted partition as one part, a whole ``.npy`` file if nothing else follows."""
 
@@ -72,19 +82,24 @@ def _write_parts(root: str, scratch: str):
             done.append({"folder": current[0], "part": part, "path": path, "head": len(head), "n_rows": current[1], "width": current[2],
                          "flat": current[3], "bytes": files.get_file_info(f"{base}/{path}").size - len(head)})
 
-        for pdf in batches:
-            for folder, n, width, flat, values in zip(pdf["folder"], pdf["n_rows"], pdf["width"], pdf["flat"], pdf["values"]):
-                if current is None or folder != current[0]:
+        for batch in batches:
+            folders = batch.column("folder").to_pylist()
+            cuts = [0, *[i for i in range(1, len(folders)) if folders[i] != folders[i - 1]], len(folders)]
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                if current is None or folders[low] != current[0]:
                     if sink is not None:
                         close()
-                    current, path = (folder, int(n), int(width), bool(flat)), f"{scratch}/{uuid.uuid4().hex}"
+                    n, width, flat = (batch.column(c)[low].as_py() for c in ("n_rows", "width", "flat"))
+                    current, path = (folders[low], int(n), int(width), bool(flat)), f"{scratch}/{uuid.uuid4().hex}"
                     head = _npy_head(_shape(n, width, flat))
                     sink = files.open_output_stream(f"{base}/{path}")
                     sink.write(head)
-                sink.write(np.asarray(values, dtype="<f8").tobytes())
+                sink.write(_raw_values(batch.column("values").slice(low, high - low)))
         if sink is not None:
             close()
-        yield pd.DataFrame(done, columns=["folder", "part", "path", "head", "n_rows", "width", "flat", "bytes"])
+        yield pa.RecordBatch.from_pylist(done, PARTS_SCHEMA)
 
     return run
 
@@ -144,11 +159,12 @@ def write_npy(rows: DataFrame, root: str, name: str, folder: Column, order: Sequ
              .select("folder", "n_rows", "width", F.lit(flat).alias("flat"), F.col(values).alias("values")))
     base, scratch = _qualified(rows, root), f".{name}-{uuid.uuid4().hex}"
     try:
-        parts = cut_lineage(ready.mapInPandas(_write_parts(base, scratch), PARTS))
+        parts = cut_lineage(ready.mapInArrow(_write_parts(base, scratch), PARTS))
+        tasks = task_count(parts, F.sum("bytes"), COPY_BYTES)
         # as many parts a file as there are partitions, at most
         files = parts.groupBy("folder", "n_rows", "width", "flat").agg(
             F.array_sort(F.collect_list(F.struct("part", "path", "head", "bytes"))).alias("parts"))
-        return cut_lineage(files.repartition("folder").mapInPandas(_join_parts(base, name), "file string, rows long, parts long"))
+        return cut_lineage(files.repartition(tasks, "folder").mapInPandas(_join_parts(base, name), "file string, rows long, parts long"))
     finally:
         where = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{scratch}")
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,15 +6,17 @@ from collections.abc import Sequence
 from urllib.parse import quote
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.session import task_count
 from trajlake.sources.lines import numbers, read_lines, with_line_no
 
 ROWS_SCHEMA = "file string, frame_no bigint, `values` array<double>"
 CHUNK_BYTES = 32 << 20
+ROWS = 1 << 16  # matrix rows of an Arrow batch
 
 
 def read_raw(spark: SparkSession, paths: str | Sequence[str], **options) -> DataFrame:
@@ -34,8 +36,8 @@ def _npy_header(stream) -> tuple[np.dtype, tuple[int, ...], bool, int]:
 
 def _read_chunks(batches):
     """Each row names a file and a byte budget slot; read just those matrix rows."""
-    for pdf in batches:
-        for path, slot in zip(pdf["file"], pdf["slot"]):
+    for batch in batches:
+        for path, slot in zip(batch.column("file").to_pylist(), batch.column("slot").to_pylist()):
             scheme, _, rest = path.partition(":")
             rest = f"//{rest}" if scheme == "file" and not rest.startswith("//") else rest
             # Spark lists plain names, a URI wants blanks and the like escaped
@@ -52,8 +54,12 @@ def _read_chunks(batches):
                     continue
                 stream.seek(start + a * width * kind.itemsize)
                 block = np.frombuffer(stream.read((b - a) * width * kind.itemsize), dtype=kind).reshape(b - a, width)
-            yield pd.DataFrame({"file": path, "frame_no": np.arange(a, b, dtype="int64"),
-                                "values": list(block.astype("float64"))})
+            for at in range(0, b - a, ROWS):
+                some = block[at:at + ROWS].astype("float64")
+                ends = np.arange(len(some) + 1, dtype="int32") * width
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(path), len(some)), pa.array(np.arange(a + at, a + at + len(some), dtype="int64")),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(some.ravel()))], ["file", "frame_no", "values"])
 
 
 def read_npy(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -66,8 +72,8 @@ def read_npy(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     # a chunk never holds fewer bytes than half the budget unless one row is larger
     slots = listed.select("file", F.explode(F.sequence(
         F.lit(0).cast("bigint"), F.ceil(F.col("length") / (CHUNK_BYTES // 2)))).alias("slot"))
-    spread = slots.repartition("file", "slot")
-    return spread.mapInPandas(_read_chunks, ROWS_SCHEMA)
+    tasks = task_count(listed, F.sum("length"), CHUNK_BYTES)
+    return slots.repartition(tasks, "file", "slot").mapInArrow(_read_chunks, ROWS_SCHEMA)
 
 
 def read_matrix(spark: SparkSession, folder: str, name: str) -> DataFrame:
