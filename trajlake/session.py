@@ -9,6 +9,11 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# bytes of a stored row in memory for one in the file, at least: sorted keys and repeated paths take next to nothing in
+# Parquet, and Spark judges by the file what it may send whole through the driver
+COMPRESSION = "spark.sql.sources.fileCompressionFactor"
+FACTOR = 10.0
+
 _folders: dict[str, list[str]] = {}
 
 
@@ -38,6 +43,16 @@ def _fresh(spark: SparkSession, kind: str) -> str:
     return path
 
 
+def guard_broadcasts(spark: SparkSession) -> None:
+    """Let Spark expect Parquet tables to be ten times their files, unless the session expects more.
+
+    Otherwise a table of a million keys passes as small and is sent to all
+    executors through the driver, where it takes hundreds of MB.
+    """
+    if float(spark.conf.get(COMPRESSION)) < FACTOR:
+        spark.conf.set(COMPRESSION, str(FACTOR))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` as Parquet in the shared folder and read it back.
 
@@ -46,6 +61,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     void = [c for c, kind in df.dtypes if kind == "void"]
     path = _fresh(df.sparkSession, "rows")
+    guard_broadcasts(df.sparkSession)
     kept = df.drop(*void)
     kept.write.parquet(path)
     out = df.sparkSession.read.schema(kept.schema).parquet(path)
