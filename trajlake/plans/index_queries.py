@@ -16,12 +16,18 @@ from trajlake.sources.frame_index import FrameIndex, frame_index, indexed_atoms,
 SPLIT = 1 << 16  # small ranges, so that files and frames are cut
 
 
-def _index(spark, sf_dir) -> FrameIndex:
-    """Dumps of one folder per simulation, indexed; frames with a step divisible by 5 are tilted."""
+def _index(spark, sf_dir, keep_empty: bool = False) -> FrameIndex:
+    """Dumps of one folder per simulation, indexed; frames with a step divisible by 5 are tilted.
+
+    An order without line items is a frame without atoms, written with ``keep_empty`` only.
+    """
     rows = cut_lineage(at.atoms(spark, sf_dir, labels=True).withColumn("sim", F.substring("sim_type", 1, 1)))
     boxes = rows.select("sim", "frame", "lx", "ly", "lz").distinct().select(
         "sim", "frame", F.col("frame").alias("timestep"), cell9(F.col("lx"), F.col("ly"), F.col("lz")).alias("cell"))
-    lines = bead_dump_lines(rows, boxes, ["sim", "frame"])
+    if keep_empty:
+        boxes = at.frame_labels(spark, sf_dir).select(
+            F.substring("sim_type", 1, 1).alias("sim"), "frame", F.col("frame").alias("timestep"), cell9(*[F.lit(v) for v in at.BOX]).alias("cell"))
+    lines = bead_dump_lines(rows, boxes, ["sim", "frame"], keep_empty=keep_empty)
     tilted = F.when((F.col("line_no") == 5) & (F.col("frame") % 5 == 0), F.regexp_replace("value", r" 0\.0$", " 0.25")).otherwise(F.col("value"))
     folder = shared_folder(rows)
     write_dump(lines.withColumn("value", tilted), folder, "sim", ["frame"])
@@ -67,7 +73,7 @@ GROUP BY frame"""
 
 def indexed_file_ends(spark, sf_dir) -> DataFrame:
     """First and last frame of each simulation's files, found by index from both ends."""
-    frames = _index(spark, sf_dir).frames.where("ok")
+    frames = _index(spark, sf_dir, keep_empty=True).frames.where("ok")
     first, last = frame_at(frames, 0).groupBy(_name().alias("sim")).agg(F.min("timestep").alias("first")), frame_at(frames, -1).groupBy(
         _name().alias("sim")).agg(F.max("timestep").alias("last"))
     return first.join(last, "sim")

@@ -19,17 +19,18 @@ def _header(step: Column, count: Column, box: Sequence[Column], columns: Column)
     return F.array(*lines)
 
 
-def bead_dump_lines(beads: DataFrame, boxes: DataFrame, frame: Sequence[str], unwrapped: bool = True) -> DataFrame:
+def bead_dump_lines(beads: DataFrame, boxes: DataFrame, frame: Sequence[str], unwrapped: bool = True,
+                    keep_empty: bool = False) -> DataFrame:
     """(frame, line_no, value): beads by id, box from 0, six decimals.
 
-    ``boxes`` has (frame, timestep, cell); frames without beads are left out.
+    ``boxes`` has (frame, timestep, cell); frames without beads are left out, or heads of no atoms with ``keep_empty``.
     """
     frame = list(frame)
     names = "id type xu yu zu fx fy fz" if unwrapped else "id type x y z fx fy fz"
     sizes = beads.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n"))
     axis = [F.format_string("%.6f %.6f 0.0", F.lit(0.0), F.col("cell")[i]) for i in (0, 4, 8)]
-    heads = boxes.join(sizes, frame).select(*frame, F.posexplode(
-        _header(F.col("timestep"), F.col("_n"), axis, F.lit(names))).alias("line_no", "value"))
+    heads = boxes.join(sizes, frame, "left" if keep_empty else "inner").select(*frame, F.posexplode(
+        _header(F.col("timestep"), F.coalesce("_n", F.lit(0)), axis, F.lit(names))).alias("line_no", "value"))
     row = F.concat_ws(" ", F.col("id").cast("string"), F.col("type").cast("string"),
                       *[F.format_string("%.6f", c) for c in ("x", "y", "z", "fx", "fy", "fz")])
     body = beads.select(*frame, (F.col("id") + (HEAD - 1)).alias("line_no"), row.alias("value"))
