@@ -3,6 +3,8 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from trajlake.operators.ordinals import keyed_position
+from trajlake.plans import bindings as at
 from trajlake.session import cut_lineage
 
 
@@ -23,3 +25,17 @@ def test_file_ends_without_atoms(spark, tmp_path):
     want = con.execute(entry.oracle_sql()["indexed_file_ends"]).fetchall()
     got = entry.queries()["indexed_file_ends"](spark, str(tmp_path)).select("sim", "first", "last").collect()
     assert sorted(tuple(r) for r in got) == sorted(want) and len(want) == 5
+
+
+def test_positions_of_short_and_long_keys(spark):
+    """A window for short keys, a range sort for long ones: the same positions."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id") % 7).alias("k"), F.hash("id").alias("v"), "id")
+    want = {tuple(r) for r in rows.withColumn("at", F.expr("row_number() over (partition by k order by v, id) - 1").cast("bigint")).collect()}
+    for long in (10_000, 500, 1):
+        got = [tuple(r) for r in keyed_position(rows, ["k"], [F.col("v"), F.col("id")], "at", long).collect()]
+        assert len(got) == 3000 and set(got) == want
+
+
+def test_atoms_are_shuffled_once(spark):
+    plan = at.atoms(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

@@ -9,6 +9,8 @@ task.  Two ways around it:
 * ``ranged_position``: a range sort of everything; a position is the rows of
   earlier partitions + the place in the partition.  Good for any order and for
   keys that hold most of the rows.
+* ``keyed_position``: a window per key where keys are short, the range sort for
+  the long ones only.  One shuffle by key, which later steps on the key use too.
 """
 from __future__ import annotations
 
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from trajlake.operators.joins import join_keys
 from trajlake.session import cut_lineage
 
+LONG = 1_000_000  # rows of a key that one task sorts
+
 
 def bucket_offsets(df: DataFrame, keys: Sequence[str], buckets: Sequence[str],
                    out: str) -> DataFrame:
@@ -69,6 +73,21 @@ def ranged_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return placed.withColumn(out, F.col("_place").cast("bigint")).drop("_part", "_row", "_shift", "_place")
 
 
+def keyed_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str, long: int = LONG) -> DataFrame:
+    """Like ``ranged_position`` for an ``order`` that leaves no ties between different rows.
+
+    Keys of up to ``long`` rows are sorted by one task each (which may spill);
+    only longer ones are spread by range.  Nothing is stored for short keys, so
+    the positions are formed anew by each use.
+    """
+    inside = W.partitionBy(*keys).orderBy(*order)
+    hot = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > long).drop("_n"))
+    if hot.isEmpty():
+        return df.withColumn(out, (F.row_number().over(inside) - 1).cast("bigint"))
+    short = join_keys(df, hot, keys, "left_anti").withColumn(out, (F.row_number().over(inside) - 1).cast("bigint"))
+    return short.unionByName(ranged_position(join_keys(df, hot, keys, "left_semi"), keys, order, out))
+
+
 def even_picks_truncating(position_col: Column, n: Column, picks: int) -> Column:
     """True where the position is one of ``int(linspace(0, n-1, picks))``.
 

@@ -10,7 +10,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.operators.ordinals import ranged_position
+from trajlake.operators.ordinals import keyed_position
 
 FRAME = ["frame"]
 BOX = (50.0, 12.0, 10.0)
@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def atoms(spark: SparkSession, sf_dir: str, labels: bool = False) -> DataFrame:
     """Line items as atoms; ``labels`` adds sim_type and temp of the frame's order."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    lines = ranged_position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "row_idx")
+    lines = keyed_position(lines, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "row_idx")
     out = lines.select(
         F.col("l_orderkey").alias("frame"), "row_idx", (F.col("row_idx") + 1).alias("id"),
         F.when(F.col("row_idx") % 3 == 0, 1).otherwise(2).alias("type"),
