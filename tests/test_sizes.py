@@ -1,8 +1,12 @@
 """Faults that showed on larger or odd tables only."""
+import random
+
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from trajlake.operators import graphs, neighbors
 from trajlake.operators.ordinals import keyed_position
 from trajlake.plans import bindings as at
 from trajlake.session import cut_lineage
@@ -39,3 +43,20 @@ def test_positions_of_short_and_long_keys(spark):
 def test_atoms_are_shuffled_once(spark):
     plan = at.atoms(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("box", [(4.0, 4.0, 4.0), (7.0, 10.0, 31.0), (40.0, 3.0, 9.0)])
+def test_contacts_meet_once(spark, box):
+    """Every pair once, by brute force, also where a box has one or two cells a side; at most 14 cells are visited."""
+    rng = random.Random(5)
+    points = [(i, *[rng.uniform(-1, 2) * b for b in box]) for i in range(120)]
+    atoms = spark.createDataFrame([(0, i, x, y, z, *box) for i, x, y, z in points],
+                                  "frame long, row_idx long, px double, py double, pz double, lx double, ly double, lz double")
+    def d2(a, b):
+        return sum((u - v - round((u - v) / l) * l) ** 2 for u, v, l in zip(a[1:], b[1:], box))
+    want = [(a[0], b[0]) for a in points for b in points if a[0] < b[0] and d2(a, b) < 9.0]
+    edges = graphs.contact_edges(atoms, ["frame"], 3.0)
+    assert sorted((r["src"], r["dst"]) for r in edges.collect()) == sorted(want)
+    probes = neighbors.cell_pairs(atoms, atoms.select("frame", "row_idx", "px", "py", "pz", "lx", "ly", "lz").withColumnRenamed("row_idx", "other"),
+                                  ["frame"], 3.0, once=True)
+    assert probes.where("not same_cell").groupBy(F.least("row_idx", "other"), F.greatest("row_idx", "other")).count().where("count > 1").isEmpty()

@@ -54,8 +54,9 @@ def contact_edges(atoms: DataFrame, frame: Sequence[str], cutoff: float | None =
     base = [*frame, *POSITION, *LENGTHS]
     left = atoms.select(*base, F.col("row_idx").alias("src"))
     right = atoms.select(*base, F.col("row_idx").alias("dst"))
-    pairs = cell_pairs(left, right, frame, contact_cutoff() if cutoff is None else cutoff, inclusive=False)
-    return pairs.where(F.col("src") < F.col("dst")).select(*frame, "src", "dst", "d2")
+    pairs = cell_pairs(left, right, frame, contact_cutoff() if cutoff is None else cutoff, inclusive=False, once=True)
+    return pairs.where(~F.col("same_cell") | (F.col("src") < F.col("dst"))).select(
+        *frame, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "d2")
 
 
 def graph_statistics(atoms: DataFrame, frame: Sequence[str], window: int = 20) -> DataFrame:

@@ -61,35 +61,43 @@ def _around(i: int) -> Column:
 
 
 def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
-               cutoff: float | Column, inclusive: bool = True) -> DataFrame:
+               cutoff: float | Column, inclusive: bool = True, once: bool = False) -> DataFrame:
     """All (center, member) pairs of a frame within the cutoff.
 
     The cutoff is a number or an expression over the box lengths.
 
     Both inputs carry px,py,pz,lx,ly,lz; the other columns of ``members`` must
     not clash with those of ``centers`` (frame excepted).  Adds ``d2``.
+
+    With ``once`` both inputs are the same atoms: of two cells only the lower
+    one looks into the other, so atoms of different cells meet once.  Adds
+    ``same_cell``; atoms of one cell still meet in both orders.
     """
     frame = list(frame)
     cutoff = cutoff if isinstance(cutoff, Column) else F.lit(float(cutoff))
     member_cells = _with_cells(members, cutoff)
     member_cells = member_cells.withColumn("_cell", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
-    for p in POSITION:
-        member_cells = member_cells.withColumnRenamed(p, f"_m{p}")
-    member_cells = member_cells.drop(*LENGTHS, *[f"_n{i}" for i in range(3)], *[f"_c{i}" for i in range(3)])
+    # a center is sent to up to 27 cells, a member to one: the box and the limit go with the member
+    member_cells = member_cells.withColumn("_limit", cutoff * cutoff)
+    member_cells = member_cells.withColumnsRenamed({c: f"_m{c}" for c in (*POSITION, *LENGTHS)})
+    member_cells = member_cells.drop(*[f"_n{i}" for i in range(3)], *[f"_c{i}" for i in range(3)])
 
     probe = _with_cells(centers, cutoff)
+    if once:
+        probe = probe.withColumn("_home", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
     for i in range(3):
         probe = probe.withColumn(f"_a{i}", F.explode(_around(i)))
     probe = probe.withColumn("_cell", _cell_key(F.col("_a0"), F.col("_a1"), F.col("_a2")))
+    if once:  # being neighbours is mutual, also across the border of the box
+        probe = probe.where(F.col("_cell") >= F.col("_home")).withColumn("same_cell", F.col("_cell") == F.col("_home")).drop("_home")
     probe = probe.drop(*[f"_{k}{i}" for k in "nca" for i in range(3)])
 
     d2 = squared_distance([F.col(p) for p in POSITION], [F.col(f"_m{p}") for p in POSITION],
-                          [F.col(l) for l in LENGTHS])
-    limit = cutoff * cutoff
+                          [F.col(f"_m{l}") for l in LENGTHS])
     return (probe.join(member_cells, [*frame, "_cell"])
             .withColumn("d2", d2)
-            .where(F.col("d2") <= limit if inclusive else F.col("d2") < limit)
-            .drop("_cell", *[f"_m{p}" for p in POSITION]))
+            .where(F.col("d2") <= F.col("_limit") if inclusive else F.col("d2") < F.col("_limit"))
+            .drop("_cell", "_limit", *[f"_m{c}" for c in (*POSITION, *LENGTHS)]))
 
 
 def _split(atoms: DataFrame, frame: Sequence[str], center_type: int, member_type: int):
