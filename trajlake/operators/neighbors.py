@@ -55,9 +55,19 @@ def _cell_key(a: Column, b: Column, c: Column) -> Column:
 
 
 def _around(i: int) -> Column:
-    return F.array_distinct(F.transform(
-        F.array(F.lit(-1), F.lit(0), F.lit(1)),
-        lambda o: F.pmod(F.col(f"_c{i}") + o, F.col(f"_n{i}"))))
+    """The own and the next cells along an axis, each once, with the squared distance to it."""
+    n, c, length = F.col(f"_n{i}"), F.col(f"_c{i}"), F.col(LENGTHS[i])
+    turns = F.try_divide(F.col(POSITION[i]), length)
+    inside = (turns - F.floor(turns)) * n - c  # place in the own cell, 0 to 1
+    width = F.try_divide(length, n)
+    low, high = F.greatest(inside, F.lit(0.0)) * width, F.greatest(1 - inside, F.lit(0.0)) * width
+
+    def cell(step: int, gap: Column) -> Column:
+        return F.struct(F.pmod(c + step, n).alias("c"), (gap * gap).alias("g"))
+
+    own = F.struct(c.alias("c"), F.lit(0.0).alias("g"))
+    return (F.when(n >= 3, F.array(own, cell(-1, low), cell(1, high)))
+            .when(n == 2, F.array(own, cell(1, F.least(low, high)))).otherwise(F.array(own)))
 
 
 def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
@@ -87,7 +97,9 @@ def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
         probe = probe.withColumn("_home", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
     for i in range(3):
         probe = probe.withColumn(f"_a{i}", F.explode(_around(i)))
-    probe = probe.withColumn("_cell", _cell_key(F.col("_a0"), F.col("_a1"), F.col("_a2")))
+    # cells out of reach are left out, with room for rounding
+    probe = probe.where(F.col("_a0.g") + F.col("_a1.g") + F.col("_a2.g") <= cutoff * cutoff * (1 + 1e-6))
+    probe = probe.withColumn("_cell", _cell_key(F.col("_a0.c"), F.col("_a1.c"), F.col("_a2.c")))
     if once:  # being neighbours is mutual, also across the border of the box
         probe = probe.where(F.col("_cell") >= F.col("_home")).withColumn("same_cell", F.col("_cell") == F.col("_home")).drop("_home")
     probe = probe.drop(*[f"_{k}{i}" for k in "nca" for i in range(3)])
