@@ -1,11 +1,13 @@
 """Language identification and toxicity: held-out accuracy, exact search, odd rows."""
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from trajlake.llm import toxicity
 from trajlake.llm.language import fit_languages, fold_of, ngram_counts, predict_languages
 from trajlake.llm.toxicity import ToxicityModel, drop_toxic, fit_toxicity, score_toxicity
 
@@ -72,6 +74,33 @@ def test_block_search_equals_brute_force():
         assert model.nearest(query) == [(-c, i) for c, i in want]
 
 
+def test_texts_looked_up_together(monkeypatch):
+    """All texts of a batch share one look-up; what a task forgets it learns again, examples travel packed."""
+    draw = random.Random(8)
+    words = [f"{draw.choice('abcd')}{draw.choice(['', 'word', 'longer', chr(0x1F600)])}{i}" for i in range(120)]
+    texts = [None, "", "...", "\ud800 half", *[" ".join(draw.choices(words, k=draw.randint(1, 300))) for _ in range(60)]]
+    names = np.unique(toxicity.term_hashes(words[::2])[0])
+    model = ToxicityModel.without_examples(names)
+
+    def plain(text):
+        counts = Counter()
+        for w in toxicity.words_of(text):
+            counts.update(h for h in toxicity.term_hashes([w])[0].tolist() if h in names)
+        return sorted((int(np.searchsorted(names, h)), n) for h, n in counts.items())
+
+    want = [plain(t) for t in texts]
+    for memo in (1000, 10):
+        monkeypatch.setattr(toxicity, "WORDS", memo)
+        got = [f for i in range(0, len(texts), 16) for f in model.vectors(texts[i:i + 16])]
+        assert [list(zip(at.tolist(), n.tolist())) for at, n in got] == want
+    assert list(zip(*(x.tolist() for x in model.vector(texts[9])))) == want[9]
+    some = [(at, n) for at, n in got if len(at)]
+    packed = toxicity.PackedCounts(*map(list, zip(*[toxicity._pack(at, n) for at, n in some])))
+    counts = packed.unpacked()
+    assert counts.size.tolist() == [len(at) for at, _ in some]
+    assert np.array_equal(counts.term, np.concatenate([at for at, _ in some])) and np.array_equal(counts.n, np.concatenate([n for _, n in some]))
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(1, 0), (4, 1), (4, None), (5, 0), (7, 0), (8, 1), (None, 1), (99, 1)], "doc_id bigint, toxic int")

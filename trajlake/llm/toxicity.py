@@ -23,8 +23,7 @@ BLOCK = 64  # examples of one block of the inverted lists
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘¡¿…"
 STEMS = (5,)  # lengths of the word beginnings that are terms of their own
 MEMO = 100_000
-WORDS = 200_000
-NONE: list[int] = []  # shared by all words without a term
+WORDS = 300_000
 LONG = 512  # terms whose lists are also kept in blocks
 BATCH = 256  # texts searched at once
 SLACK = 1e-4  # more than the rounding of approximate cosines
@@ -43,7 +42,10 @@ def terms_of(word: str) -> list[str]:
 def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the terms of the words, one after the other, and how many each word has."""
     terms = [terms_of(w) for w in words]
-    flat = np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in chain.from_iterable(terms)), np.uint64)
+    try:
+        flat = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(terms)), np.uint64)
+    except UnicodeEncodeError:  # half a surrogate pair
+        flat = np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in chain.from_iterable(terms)), np.uint64)
     return flat.view(np.int64), np.fromiter(map(len, terms), np.int64, len(terms))
 
 
@@ -56,9 +58,23 @@ class TermCounts:
     n: np.ndarray
 
 
-def _counts_of(size: bytes, steps: bytes, n: bytes) -> TermCounts:
-    size, steps, n = (np.frombuffer(zlib.decompress(x), np.int32) for x in (size, steps, n))
-    return TermCounts(size, np.cumsum(steps, dtype=np.int32), n)
+def _pack(at: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending terms and counts of one example in few bytes."""
+    return tuple(zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (np.diff(at, prepend=0), n))
+
+
+@dataclass
+class PackedCounts:
+    """``TermCounts`` as the tasks packed it, an example at a time; only who searches unpacks it."""
+
+    term: list[bytes]
+    n: list[bytes]
+
+    def unpacked(self) -> TermCounts:
+        terms = [np.cumsum(np.frombuffer(zlib.decompress(t), np.int32), dtype=np.int32) for t in self.term]
+        n = [np.frombuffer(zlib.decompress(x), np.int32) for x in self.n]
+        none = np.zeros(0, np.int32)
+        return TermCounts(np.array([len(t) for t in terms], np.int32), np.concatenate([none, *terms]), np.concatenate([none, *n]))
 
 
 class TermIndex:
@@ -172,18 +188,22 @@ class ToxicityModel:
     ids: list[int]
     toxic: np.ndarray
     worth: np.ndarray  # documents an example stands for
-    weights: np.ndarray | TermCounts  # terms x examples
+    weights: np.ndarray | TermCounts | PackedCounts  # terms x examples
     base: float  # share of toxic documents among those without any term
     k: int = 9
     smooth: float = 0.05
-    known: dict = field(default_factory=dict, repr=False, compare=False)
+    known: dict = field(default_factory=dict, repr=False, compare=False)  # places of words in the next three; 0: without a term
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64), repr=False, compare=False)
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64), repr=False, compare=False)
+    numbers: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False, compare=False)
     found: dict = field(default_factory=dict, repr=False, compare=False)
     index: TermIndex | None = field(default=None, repr=False, compare=False)
 
     def prepare(self):
         """Make the lists and blocks, where the first text is searched."""
-        if isinstance(self.weights, TermCounts):
-            self.index = TermIndex.of_counts(self.weights, self.idf)
+        if isinstance(self.weights, (TermCounts, PackedCounts)):
+            counts = self.weights.unpacked() if isinstance(self.weights, PackedCounts) else self.weights
+            self.index = TermIndex.of_counts(counts, self.idf)
         else:
             self.index = TermIndex.of_dense(np.asarray(self.weights))
 
@@ -194,59 +214,72 @@ class ToxicityModel:
     @classmethod
     def without_examples(cls, terms: np.ndarray, idf: np.ndarray | None = None, base: float = 0.0, k: int = 9) -> ToxicityModel:
         idf = np.ones(len(terms)) if idf is None else idf
-        nothing = TermCounts(*[np.zeros(0, np.int32)] * 3)
-        return cls(terms, idf, [], np.zeros(0), np.zeros(0), nothing, base, k)
+        return cls(terms, idf, [], np.zeros(0), np.zeros(0), PackedCounts([], []), base, k)
 
     def values(self) -> tuple:
         """What a worker needs, as plain values: it builds its own model of them."""
         w = self.weights
-        packed = [zlib.compress(x.astype(np.int32).tobytes(), 1) for x in (w.size, np.diff(w.term, prepend=np.int32(0)), w.n)]
-        return (np.asarray(self.terms).tobytes(), zlib.compress(self.idf.tobytes(), 1), self.ids, self.toxic, self.worth, *packed, self.base, self.k, self.smooth)
+        return (np.asarray(self.terms).tobytes(), zlib.compress(self.idf.tobytes(), 1), self.ids, self.toxic, self.worth, w.term, w.n, self.base, self.k, self.smooth)
 
     @classmethod
     def of_values(cls, values: tuple) -> ToxicityModel:
-        terms, idf, ids, toxic, worth, size, steps, n, base, k, smooth = values
-        return cls(np.frombuffer(terms, np.int64), np.frombuffer(zlib.decompress(idf)), ids, toxic, worth, _counts_of(size, steps, n), base, k, smooth)
+        terms, idf, ids, toxic, worth, term, n, base, k, smooth = values
+        return cls(np.frombuffer(terms, np.int64), np.frombuffer(zlib.decompress(idf)), ids, toxic, worth, PackedCounts(term, n), base, k, smooth)
 
     def learn(self, words: list[str]) -> None:
         """Remember the numbers of the model's terms in new words."""
         if isinstance(self.terms, dict):
-            self.known |= {w: [self.terms[t] for t in terms_of(w) if t in self.terms] for w in words}
-            return
-        hashes, sizes = term_hashes(words)
-        at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1))
-        hit = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
-        ends = np.cumsum(sizes)
-        per_word = np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(hit)])[ends]])).tolist()
-        numbers, start = at[hit].tolist(), 0
-        for word, n in zip(words, per_word):
-            self.known[word] = numbers[start:start + n] if n else NONE
-            start += n
-
-    def term_set(self, text: str | None) -> np.ndarray:
-        """The model's terms in the whole text, ascending."""
-        words, known = set(words_of(text)), self.known
-        self._learn_new(words)
-        return np.unique(np.fromiter(chain.from_iterable([known[w] for w in words]), np.int64))
-
-    def _learn_new(self, words) -> None:
+            hits = [[self.terms[t] for t in terms_of(w) if t in self.terms] for w in words]
+            per_word = np.fromiter(map(len, hits), np.int64, len(hits))
+            numbers = np.fromiter(chain.from_iterable(hits), np.int64)
+        else:
+            hashes, sizes = term_hashes(words)
+            at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1))
+            hit = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
+            ends = np.cumsum(sizes)
+            per_word = np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(hit)])[ends]]))
+            numbers = at[hit]
+        some = per_word > 0
+        self.known.update(zip(words, np.where(some, len(self.sizes) + np.cumsum(some) - 1, 0).tolist()))
+        self.sizes = np.concatenate([self.sizes, per_word[some]])
+        self.numbers = np.concatenate([self.numbers, numbers])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The model's terms in each whole text, ascending, and their counts; all texts are looked up and sorted together."""
+        counts = [Counter(words_of(t)) for t in texts]
         if len(self.known) > WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
+            self.sizes, self.starts, self.numbers = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        new = list(set().union(*counts).difference(self.known))
         if new:
             self.learn(new)
+        size = np.fromiter(map(len, counts), np.int64, len(counts))
+        word = np.fromiter(map(self.known.__getitem__, chain.from_iterable(counts)), np.int64, int(size.sum()))
+        n = np.fromiter(chain.from_iterable([c.values() for c in counts]), np.int64, len(word))
+        text = np.repeat(np.arange(len(counts)), size)
+        some = word > 0
+        word, n, text = word[some], n[some], text[some]
+        size = self.sizes[word]
+        pick = np.repeat(self.starts[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        width = max(1, len(self.terms))
+        key, n = np.repeat(text * width, size) + self.numbers[pick], np.repeat(n, size)
+        bits = int(n.max(initial=1)).bit_length()
+        if bits + (len(counts) * width).bit_length() < 64:  # sorted as one number
+            both = np.sort(key << bits | n)
+            key, n = both >> bits, both & ((1 << bits) - 1)
+        else:
+            order = np.argsort(key, kind="stable")
+            key, n = key[order], n[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n = np.add.reduceat(n, first) if len(first) else n
+        key = key[first]
+        ends = np.searchsorted(key, np.arange(len(counts) + 1) * width)
+        term = key % width
+        return [(term[a:b], n[a:b].astype(np.float64)) for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The model's terms in the whole text, ascending, and their counts."""
-        counts, known = Counter(words_of(text)), self.known
-        self._learn_new(counts)
-        hits = [known[w] for w in counts]
-        sizes = np.fromiter(map(len, hits), np.int64, len(hits))
-        at = np.fromiter(chain.from_iterable(hits), np.int64, int(sizes.sum()))
-        if not len(at):
-            return at, np.zeros(0)
-        places, back = np.unique(at, return_inverse=True)
-        return places, np.bincount(back, weights=np.repeat(np.fromiter(counts.values(), np.float64, len(hits)), sizes))
+        return self.vectors([text])[0]
 
     def unit(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = (1 + np.log(n)) * self.idf[at]
@@ -280,16 +313,15 @@ class ToxicityModel:
         if len(self.found) > MEMO:
             self.found.clear()
         new = {key: t for key, t in zip(keys, texts) if key not in self.found}
-        queries = []
-        for key, text in new.items():
-            at, n = self.vector(text)
-            if len(at):
-                queries.append((key, (at, self.unit(at, n))))
-            else:
-                self.found[key] = self.base, []
-        for i in range(0, len(queries), BATCH):
-            some = queries[i:i + BATCH]
-            for (key, _), near in zip(some, self.search([q for _, q in some])):
+        fresh = list(new)
+        for i in range(0, len(fresh), BATCH):
+            queries = []
+            for key, (at, n) in zip(fresh[i:i + BATCH], self.vectors([new[key] for key in fresh[i:i + BATCH]])):
+                if len(at):
+                    queries.append((key, (at, self.unit(at, n))))
+                else:
+                    self.found[key] = self.base, []
+            for (key, _), near in zip(queries, self.search([q for _, q in queries]) if queries else []):
                 self.found[key] = self.vote(near)
         return [self.found[key] for key in keys]
 
@@ -322,13 +354,13 @@ def _of_terms(shared: Broadcast) -> ToxicityModel:
 
 
 def _vector_rows(shared: Broadcast):
-    """(id, toxic, term numbers, counts) of every example, the last two as bytes."""
+    """(id, toxic, term numbers, counts) of every example, the last two packed; empty if it has no term."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _of_terms(shared)
         for batch in batches:
-            found = [model.vector(t) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([at.astype(np.int32).tobytes() for at, _ in found], pa.binary()),
-                                              pa.array([n.astype(np.int32).tobytes() for _, n in found], pa.binary())], ["id", "toxic", "at", "n"])
+            found = [_pack(at, n) if len(at) else (b"", b"") for at, n in model.vectors(batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([at for at, _ in found], pa.binary()),
+                                              pa.array([n for _, n in found], pa.binary())], ["id", "toxic", "at", "n"])
     return run
 
 
@@ -361,22 +393,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, most_toxic: int = 2000,
     idf = (np.log((1 + n_docs) / (1 + df)) + 1) * (1 + contrast)
     rows = (bound_batches(examples).mapInArrow(_vector_rows(shared), "id bigint, toxic int, at binary, n binary")
             .toArrow().sort_by([("id", "ascending"), ("toxic", "ascending"), ("at", "ascending"), ("n", "ascending")]))
-    kept, term, count, empty = [], [], [], Counter()
-    for i, y, at, n in zip(*(rows[c] for c in ("id", "toxic", "at", "n"))):
-        y, at, n = y.as_py(), np.frombuffer(at.as_py(), np.int32), np.frombuffer(n.as_py(), np.int32)
-        if not len(at):
+    kept, packed, empty = [], PackedCounts([], []), Counter()
+    for i, y, at, n in zip(*(rows[c].to_pylist() for c in ("id", "toxic", "at", "n"))):
+        if not at:
             empty[y] += worths[y]
             continue
-        kept.append((i.as_py(), y, worths[y]))
-        term.append(at)
-        count.append(n)
+        kept.append((i, y, worths[y]))
+        packed.term.append(at)
+        packed.n.append(n)
     shared.unpersist()
+    del rows, contrast, df
+    pa.default_memory_pool().release_unused()  # the driver keeps the model only
     share = empty[1] / sum(empty.values()) if empty else held.get(1, 0) / max(1, sum(held.values()))
     if not kept:
         return ToxicityModel.without_examples(names, idf, share, k)
-    counts = TermCounts(np.array([len(t) for t in term], np.int32), np.concatenate(term), np.concatenate(count))
     return ToxicityModel(names, idf, [i for i, _, _ in kept], np.array([y for _, y, _ in kept], float),
-                         np.array([w for _, _, w in kept]), counts, share, k)
+                         np.array([w for _, _, w in kept]), packed, share, k)
 
 
 def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: str = "text") -> tuple[int, np.ndarray]:
@@ -385,9 +417,11 @@ def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: st
         model = _of_terms(shared)
         total, n = np.zeros(terms, np.int64), 0
         for batch in batches:
-            for text in batch.column(0):
-                n += 1
-                total[model.term_set(text.as_py())] += 1
+            for i in range(0, batch.num_rows, BATCH):
+                some = batch.column(0).slice(i, BATCH).to_pylist()
+                n += len(some)
+                terms_seen = [at for at, _ in model.vectors(some)]
+                np.add.at(total, np.concatenate(terms_seen), 1)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[n], total[some]]))], ["term", "n"])
 
