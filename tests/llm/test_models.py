@@ -82,6 +82,12 @@ def test_texts_looked_up_together(monkeypatch):
     names = np.unique(toxicity.term_hashes(words[::2])[0])
     model = ToxicityModel.without_examples(names)
 
+    odd = ["", "...", "a", "abcd", "(abcde)", "abcdef!", "\ud800longer", *words]
+    hashes, sizes = toxicity.term_hashes(odd)
+    assert sizes.tolist() == [len(toxicity.terms_of(w)) for w in odd]
+    assert hashes.tolist() == [h for w in odd for h in np.array([toxicity.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass"))
+                                                                 for x in toxicity.terms_of(w)], np.uint64).view(np.int64).tolist()]
+
     def plain(text):
         counts = Counter()
         for w in toxicity.words_of(text):
@@ -94,6 +100,7 @@ def test_texts_looked_up_together(monkeypatch):
         got = [f for i in range(0, len(texts), 16) for f in model.vectors(texts[i:i + 16])]
         assert [list(zip(at.tolist(), n.tolist())) for at, n in got] == want
     assert list(zip(*(x.tolist() for x in model.vector(texts[9])))) == want[9]
+    assert Counter(model.terms_once(texts).tolist()) == Counter(t for w in want for t, _ in w)
     some = [(at, n) for at, n in got if len(at)]
     packed = toxicity.PackedCounts(*map(list, zip(*[toxicity._pack(at, n) for at, n in some])))
     counts = packed.unpacked()

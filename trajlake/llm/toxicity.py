@@ -39,14 +39,25 @@ def terms_of(word: str) -> list[str]:
     return [word, *[f"{word[:n]}-" for n in STEMS if len(word) >= n]] if word else []
 
 
-def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the terms of the words, one after the other, and how many each word has."""
-    terms = [terms_of(w) for w in words]
+def _hashes(terms: list[str]) -> np.ndarray:
     try:
-        flat = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(terms)), np.uint64)
+        return np.fromiter(map(xxh3_64_intdigest, terms), np.uint64, len(terms))
     except UnicodeEncodeError:  # half a surrogate pair
-        flat = np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in chain.from_iterable(terms)), np.uint64)
-    return flat.view(np.int64), np.fromiter(map(len, terms), np.int64, len(terms))
+        return np.fromiter((xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in terms), np.uint64, len(terms))
+
+
+def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of ``terms_of`` the words, one after the other, and how many each word has."""
+    bare = [w.strip(EDGES) for w in words]
+    length = np.fromiter(map(len, bare), np.int64, len(bare))
+    lists = [(length > 0, [w for w in bare if w]), *[(length >= n, [w[:n] + "-" for w in bare if len(w) >= n]) for n in STEMS]]
+    sizes = sum(has.astype(np.int64) for has, _ in lists)
+    place = np.cumsum(sizes) - sizes
+    flat = np.empty(int(sizes.sum()), np.uint64)
+    for has, terms in lists:
+        flat[place[has]] = _hashes(terms)
+        place += has
+    return flat.view(np.int64), sizes
 
 
 @dataclass
@@ -245,25 +256,32 @@ class ToxicityModel:
         self.numbers = np.concatenate([self.numbers, numbers])
         self.starts = np.cumsum(self.sizes) - self.sizes
 
-    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The model's terms in each whole text, ascending, and their counts; all texts are looked up and sorted together."""
-        counts = [Counter(words_of(t)) for t in texts]
+    def _keys(self, words: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, term) as one number for each term of each text's distinct words, which words have terms, and how many these have."""
         if len(self.known) > WORDS:
             self.known.clear()
             self.sizes, self.starts, self.numbers = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
-        new = list(set().union(*counts).difference(self.known))
+        new = list(set().union(*words).difference(self.known))
         if new:
             self.learn(new)
-        size = np.fromiter(map(len, counts), np.int64, len(counts))
-        word = np.fromiter(map(self.known.__getitem__, chain.from_iterable(counts)), np.int64, int(size.sum()))
-        n = np.fromiter(chain.from_iterable([c.values() for c in counts]), np.int64, len(word))
-        text = np.repeat(np.arange(len(counts)), size)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        word = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(size.sum()))
         some = word > 0
-        word, n, text = word[some], n[some], text[some]
+        word, text = word[some], np.repeat(np.arange(len(words)), size)[some]
         size = self.sizes[word]
         pick = np.repeat(self.starts[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        width = max(1, len(self.terms))
-        key, n = np.repeat(text * width, size) + self.numbers[pick], np.repeat(n, size)
+        return np.repeat(text * max(1, len(self.terms)), size) + self.numbers[pick], some, size
+
+    def terms_once(self, texts: list[str | None]) -> np.ndarray:
+        """The model's terms in the whole texts, each once a text."""
+        key = np.sort(self._keys([set(words_of(t)) for t in texts])[0])
+        return key[np.diff(key, prepend=-1) > 0] % max(1, len(self.terms))
+
+    def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The model's terms in each whole text, ascending, and their counts; all texts are looked up and sorted together."""
+        counts, width = [Counter(words_of(t)) for t in texts], max(1, len(self.terms))
+        key, some, size = self._keys(counts)
+        n = np.repeat(np.fromiter(chain.from_iterable([c.values() for c in counts]), np.int64, len(some))[some], size)
         bits = int(n.max(initial=1)).bit_length()
         if bits + (len(counts) * width).bit_length() < 64:  # sorted as one number
             both = np.sort(key << bits | n)
@@ -420,8 +438,7 @@ def document_counts(docs: DataFrame, shared: Broadcast, terms: int, text_col: st
             for i in range(0, batch.num_rows, BATCH):
                 some = batch.column(0).slice(i, BATCH).to_pylist()
                 n += len(some)
-                terms_seen = [at for at, _ in model.vectors(some)]
-                np.add.at(total, np.concatenate(terms_seen), 1)
+                np.add.at(total, model.terms_once(some), 1)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], some])), pa.array(np.concatenate([[n], total[some]]))], ["term", "n"])
 
