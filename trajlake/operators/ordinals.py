@@ -59,8 +59,10 @@ def ranged_position(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     The sorted rows are stored, so partition numbers and places stay what
     they were when the offsets were counted.
     """
-    everything = [*[F.col(k) for k in keys], *order]
-    rows = cut_lineage(df.repartitionByRange(*everything).sortWithinPartitions(*everything)
+    # an expression in a sort is formed anew in every comparison
+    places = {f"_o{i}": c for i, c in enumerate(order)}
+    everything = [F.col(c) for c in (*keys, *places)]
+    rows = cut_lineage(df.withColumns(places).repartitionByRange(*everything).sortWithinPartitions(*everything).drop(*places)
                        .withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
     # one row per partition
     parts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))

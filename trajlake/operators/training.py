@@ -41,17 +41,48 @@ def pack_frames(beads: DataFrame, frame: Sequence[str], chunk: int = CHUNK_BEADS
     rows = beads.withColumn("chunk", F.floor((F.col("id") - 1) / chunk))
     packed = rows.groupBy(*frame, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("id", "x", "y", "z", "fx", "fy", "fz", "c_pe", "code"))).alias("_b"))
+    return _flat(packed, frame)
 
+
+def _flat(packed: DataFrame, keep: Sequence[str]) -> DataFrame:
     def flat(*names: str) -> Column:
         return F.flatten(F.transform("_b", lambda b: F.array(*[b[n] for n in names])))
 
     return packed.select(
-        *frame, "chunk", F.size("_b").cast("bigint").alias("n"), flat("x", "y", "z").alias("coord"),
+        *keep, "chunk", F.size("_b").cast("bigint").alias("n"), flat("x", "y", "z").alias("coord"),
         flat("fx", "fy", "fz").alias("force"), F.transform("_b", lambda b: b["c_pe"]).alias("atom_ener"),
         F.transform("_b", lambda b: b["code"]).alias("codes"),
         F.aggregate(F.transform("_b", lambda b: b["c_pe"]), F.lit(0.0), lambda a, e: a + e).alias("energy"))
 
 
+def pack_typed_frames(beads: DataFrame, frame: Sequence[str], source: str | None = "type", carry: Sequence[str] = (),
+                      chunk: int = CHUNK_BEADS) -> DataFrame:
+    """Like ``pack_frames``, with the types themselves in ``kinds``, and the ``carry`` columns of the frame.
+
+    ``frame_heads`` and ``coded`` turn kinds into codes once all chunks of a frame are
+    known, so that beads are aggregated once and only packed rows are joined.
+    """
+    kind = F.lit(0).cast("bigint") if source is None else F.col(source).cast("bigint")
+    rows = beads.select(*frame, *carry, "id", "x", "y", "z", "fx", "fy", "fz", "c_pe", kind.alias("code"))
+    labels = rows.withColumn("chunk", F.floor((F.col("id") - 1) / chunk)).groupBy(*frame, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("id", "x", "y", "z", "fx", "fy", "fz", "c_pe", "code"))).alias("_b"),
+        *[F.first(c).alias(c) for c in carry])
+    return _flat(labels, [*frame, *carry]).withColumnRenamed("codes", "kinds")
+
+
+def frame_heads(packed: DataFrame, frame: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """(frame, carry, n_beads, total_energy, types): one row a frame; types ascending."""
+    own = F.array_compact(F.array_distinct("kinds"))
+    return packed.select(*frame, *carry, "n", "energy", own.alias("_k")).groupBy(*frame).agg(
+        *[F.first(c).alias(c) for c in carry], F.sum("n").alias("n_beads"), F.sum("energy").alias("total_energy"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_k")))).alias("types"))
+
+
+def coded(packed: DataFrame) -> DataFrame:
+    """Kinds as 0-based places among the frame's ``types``."""
+    return packed.withColumn("codes", F.transform("kinds", lambda k: (F.array_position("types", k) - 1).cast("int"))).drop("kinds", "types")
+
+
 def frame_energy(packed: DataFrame, frame: Sequence[str]) -> DataFrame:
     return packed.groupBy(*frame).agg(F.sum("energy").alias("energy"), F.sum("n").alias("n"))
 

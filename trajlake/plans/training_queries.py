@@ -45,17 +45,18 @@ def training_files(spark, sf_dir) -> DataFrame:
     folder = shared_folder(rows)
     write_training_set(training_rows(rows, boxes, 3), folder)
     out = None
+    per_file = [F.count(F.lit(1)).alias("n"), F.sum(F.size("values")).alias("m"), F.sum(_total()).alias("s")]
     for name in ("coord", "force", "atom_ener", "energy", "box"):
         path = F.regexp_extract("file", PLACE, 1)
-        arrays = read_npy(spark, f"{folder}/*/*/*/set.*/{name}.npy").select(
+        arrays = read_npy(spark, f"{folder}/*/*/*/set.*/{name}.npy").groupBy("file").agg(*per_file).select(
             path.alias("sim_type"), *[F.regexp_extract("file", PLACE, i).cast("bigint").alias(c)
-                                      for i, c in ((2, "temp"), (3, "n_beads"), (4, "set_id"))], "values")
+                                      for i, c in ((2, "temp"), (3, "n_beads"), (4, "set_id"))], "n", "m", "s")
         plain = F.url_decode("file")
-        texts = read_raw(spark, f"{folder}/{name}.raw/*/*/*").select(
+        texts = read_raw(spark, f"{folder}/{name}.raw/*/*/*").groupBy("file").agg(*per_file).select(
             F.regexp_extract(plain, "sim_type=([^/]*)/", 1).alias("sim_type"), F.regexp_extract(plain, r"/temp=(\d+)/", 1).cast("bigint").alias("temp"),
-            F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"), "values")
+            F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"), "n", "m", "s")
         part = arrays.unionByName(texts).groupBy("sim_type", "temp", "n_beads", "set_id").agg(
-            F.count(F.lit(1)).alias("n_frames"), F.sum(F.size("values")).alias("n_values"), round_to(F.sum(_total()), 6).alias("total"))
+            F.sum("n").alias("n_frames"), F.sum("m").alias("n_values"), round_to(F.sum("s"), 6).alias("total"))
         part = part.withColumn("quantity", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out

@@ -25,12 +25,11 @@ def training_rows(beads: DataFrame, boxes: DataFrame, num_sets: int = 1, use_typ
     numbered by natural path order, then by their place in the file.
     """
     source = "type" if use_type_column else ("n_atoms" if "n_atoms" in beads.columns else None)
-    packed = T.pack_frames(T.type_codes(beads, FRAME, source), FRAME)
-    sizes = T.frame_energy(packed, FRAME).select(*FRAME, F.col("n").alias("n_beads"), F.col("energy").alias("total_energy"))
-    heads = beads.select("sim_type", "temp", "file", "frame_idx").distinct().join(sizes, FRAME).join(
-        boxes.select(*FRAME, "cell"), FRAME)
+    labels = ["sim_type", "temp"]
+    packed = cut_lineage(T.pack_typed_frames(beads, FRAME, source, labels))
+    heads = T.frame_heads(packed, FRAME, labels).join(boxes.select(*FRAME, "cell"), FRAME)
     placed = T.split_sets(heads, GROUP, num_sets, [natural_key(F.col("file")), F.col("file"), F.col("frame_idx")])
-    return packed.join(placed, FRAME)
+    return T.coded(packed.drop(*labels).join(placed, FRAME))
 
 
 def _in_chunk_order(name: str):
@@ -46,18 +45,22 @@ def write_training_set(rows: DataFrame, path: str, raw: bool = True, npy: bool =
                         F.format_string("n%d", "n_beads"))
     if raw:
         # a line holds a whole frame; chunks of giant frames are put back together here only
-        whole = rows.groupBy(*GROUP, "frame_no").agg(*[_in_chunk_order(c) for c in ("coord", "force", "atom_ener")])
+        cut = F.col("n") != F.col("n_beads")
         for name in ("coord", "force", "atom_ener"):
+            whole = rows.where(~cut).select(*GROUP, "frame_no", name).unionByName(
+                rows.where(cut).groupBy(*GROUP, "frame_no").agg(_in_chunk_order(name)))
             sink.write_raw(whole, f"{path}/{name}.raw", GROUP, ["frame_no"], name)
         sink.write_raw(first.withColumn("v", F.array("total_energy")), f"{path}/energy.raw", GROUP, ["frame_no"], "v")
         sink.write_raw(first, f"{path}/box.raw", GROUP, ["frame_no"], "cell")
         sink.write_types(T.type_map(rows, GROUP, ["frame_no"]), path, GROUP)
     if npy:
         folder = F.concat_ws("/", group, F.format_string("set.%03d", "set_id"))
-        for name in ("coord", "force", "atom_ener"):
-            sink.write_npy(rows, path, name, folder, ["frame_no", "chunk"], name, ["frame_no"])
-        sink.write_npy(first.withColumn("v", F.array("total_energy")), path, "energy", folder, ["frame_no"], "v", ["frame_no"], True)
-        sink.write_npy(first, path, "box", folder, ["frame_no"], "cell", ["frame_no"])
+        def once(values):  # of the frame, not of its chunks
+            return F.when(F.col("chunk") == 0, values).otherwise(F.array().cast("array<double>"))
+
+        sink.write_arrays(rows, path, folder, ["frame_no", "chunk"], {
+            **{name: (F.col(name), False) for name in ("coord", "force", "atom_ener")},
+            "energy": (once(F.array("total_energy")), True), "box": (once(F.col("cell")), False)}, ["frame_no"])
 
 
 def measured_labels(spark: SparkSession, logs: str | Sequence[str], unit: str = "eV") -> DataFrame:

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,15 +14,39 @@ from pyspark.sql import functions as F
 
 from trajlake.session import cut_lineage, task_count
 
-PARTS = "folder string, part long, path string, head long, n_rows long, width long, flat boolean, bytes long"
-PARTS_SCHEMA = pa.schema([("folder", pa.string()), ("part", pa.int64()), ("path", pa.string()), ("head", pa.int64()), ("n_rows", pa.int64()),
+PARTS = "folder string, name string, part long, path string, head long, n_rows long, width long, flat boolean, bytes long"
+PARTS_SCHEMA = pa.schema([("folder", pa.string()), ("name", pa.string()), ("part", pa.int64()), ("path", pa.string()), ("head", pa.int64()), ("n_rows", pa.int64()),
                           ("width", pa.int64()), ("flat", pa.bool_()), ("bytes", pa.int64())])
 COPY_BYTES = 8 << 20
 QUANTITIES = ("coord", "force", "atom_ener", "energy", "box")
 
 
-def _row_text(values: Column, pattern: str) -> Column:
-    return F.array_join(F.transform(values, lambda v: F.format_string(pattern, v)), " ")
+def number_text(values: Column, pattern: str) -> Column:
+    """The numbers of an array by a printf pattern, with blanks between them; a missing number is ``null``.
+
+    Rounded from the exact binary value, as C and NumPy print it.
+    """
+    @F.arrow_udf("string")
+    def run(lists: pa.Array) -> pa.Array:
+        special = {np.inf: "Infinity", -np.inf: "-Infinity"}
+
+        def cell(v):
+            return "null" if v is None else "NaN" if v != v else special.get(v) or pattern % v
+
+        flat = lists.flatten()
+        plain = flat.null_count == 0 and bool(np.isfinite(flat.to_numpy(zero_copy_only=False)).all())
+        if not plain or lists.null_count:
+            return pa.array([None if row is None else " ".join(map(cell, row)) for row in lists.to_pylist()], pa.string())
+        values, sizes = flat.to_numpy().tolist(), lists.value_lengths().to_numpy().tolist()
+        rows, lines, at = {}, [], 0
+        for n in sizes:
+            if n not in rows:
+                rows[n] = " ".join([pattern] * n)
+            lines.append(rows[n] % tuple(values[at:at + n]))
+            at += n
+        return pa.array(lines, pa.string())
+
+    return run(values.cast("array<double>"))
 
 
 def write_raw(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str], values: str,
@@ -33,7 +57,7 @@ def write_raw(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str
     now: the format has one line per frame.
     """
     (rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
-     .select(*by, _row_text(F.col(values), pattern).alias("value"))
+     .select(*by, number_text(F.col(values), pattern).alias("value"))
      .write.mode("overwrite").partitionBy(*by).text(path))
 
 
@@ -67,20 +91,21 @@ def _raw_values(lists: pa.ListArray) -> bytes:
     return lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).astype("<f8").tobytes()
 
 
-def _write_parts(root: str, scratch: str):
-    """Write the rows of each file in a sorted partition as one part, a whole ``.npy`` file if nothing else follows."""
+def _write_parts(root: str, scratch: str, names: Sequence[str]):
+    """Write the rows of each folder in a sorted partition as one part a name, a whole ``.npy`` file if nothing else follows."""
+    names = list(names)
 
     def run(batches):
         files, base = _open_fs(root)
         files.create_dir(f"{base}/{scratch}", recursive=True)
         part = TaskContext.get().partitionId()
-        current = sink = head = path = None
-        done = []
+        current, n_rows, open_parts, done = None, 0, [], []
 
         def close():
-            sink.close()
-            done.append({"folder": current[0], "part": part, "path": path, "head": len(head), "n_rows": current[1], "width": current[2],
-                         "flat": current[3], "bytes": files.get_file_info(f"{base}/{path}").size - len(head)})
+            for name, path, head, width, flat, sink in open_parts:
+                sink.close()
+                done.append({"folder": current, "name": name, "part": part, "path": path, "head": len(head), "n_rows": n_rows, "width": width,
+                             "flat": flat, "bytes": files.get_file_info(f"{base}/{path}").size - len(head)})
 
         for batch in batches:
             folders = batch.column("folder").to_pylist()
@@ -88,30 +113,31 @@ def _write_parts(root: str, scratch: str):
             for low, high in zip(cuts, cuts[1:]):
                 if low == high:
                     continue
-                if current is None or folders[low] != current[0]:
-                    if sink is not None:
-                        close()
-                    n, width, flat = (batch.column(c)[low].as_py() for c in ("n_rows", "width", "flat"))
-                    current, path = (folders[low], int(n), int(width), bool(flat)), f"{scratch}/{uuid.uuid4().hex}"
-                    head = _npy_head(_shape(n, width, flat))
-                    sink = files.open_output_stream(f"{base}/{path}")
-                    sink.write(head)
-                sink.write(_raw_values(batch.column("values").slice(low, high - low)))
-        if sink is not None:
-            close()
+                if folders[low] != current:
+                    close()
+                    current, n_rows, open_parts = folders[low], int(batch.column("n_rows")[low].as_py()), []
+                    for i, name in enumerate(names):
+                        width, flat = int(batch.column(f"width{i}")[low].as_py()), bool(batch.column(f"flat{i}")[low].as_py())
+                        path, head = f"{scratch}/{uuid.uuid4().hex}", _npy_head(_shape(n_rows, width, flat))
+                        sink = files.open_output_stream(f"{base}/{path}")
+                        sink.write(head)
+                        open_parts.append((name, path, head, width, flat, sink))
+                for i, (*_, sink) in enumerate(open_parts):
+                    sink.write(_raw_values(batch.column(f"values{i}").slice(low, high - low)))
+        close()
         yield pa.RecordBatch.from_pylist(done, PARTS_SCHEMA)
 
     return run
 
 
-def _join_parts(root: str, name: str):
+def _join_parts(root: str):
     """Put the parts of each file in order behind one head; a file of one part is only moved."""
 
     def run(batches):
         files, base = _open_fs(root)
         for pdf in batches:
             done = []
-            for folder, n, width, flat, parts in zip(pdf["folder"], pdf["n_rows"], pdf["width"], pdf["flat"], pdf["parts"]):
+            for folder, name, n, width, flat, parts in zip(*[pdf[c] for c in ("folder", "name", "n_rows", "width", "flat", "parts")]):
                 target = f"{base}/{folder}/{name}.npy"
                 if sum(int(p["bytes"]) for p in parts) != 8 * int(n) * int(width):
                     raise ValueError(f"parts of {target} do not add up")
@@ -139,32 +165,43 @@ def _join_parts(root: str, name: str):
 
 def write_npy(rows: DataFrame, root: str, name: str, folder: Column, order: Sequence[str], values: str,
               frame: Sequence[str], flat: bool = False) -> DataFrame:
-    """Write ``<root>/<folder>/<name>.npy``; returns (file, rows, parts).
+    """Write ``<root>/<folder>/<name>.npy``; returns (file, rows, parts).  See ``write_arrays``."""
+    return write_arrays(rows, root, folder, order, {name: (F.col(values), flat)}, frame)
+
 
-    The rows are sorted by range over all tasks, so one big file is converted
-    by many of them, each writing its stretch as a part; neither a set nor a
-    frame (which may come in chunks) is held in memory.  Heads are fixed before
-    by counts.  One task a file then copies its parts' bytes together, as the
+def write_arrays(rows: DataFrame, root: str, folder: Column, order: Sequence[str], arrays: Mapping[str, tuple[Column, bool]],
+                 frame: Sequence[str]) -> DataFrame:
+    """Write ``<root>/<folder>/<name>.npy`` of each name and its (values, flat); returns (file, rows, parts).
+
+    The rows are sorted by range over all tasks, once for all names, so one big
+    file is converted by many of them, each writing its stretch as a part;
+    neither a set nor a frame (which may come in chunks, some of them without
+    values of a name) is held in memory.  Heads are fixed before by counts.
+    One task a file then copies its parts' bytes together, as the
     format is one stream; a file of one part is moved.  Parts of lost or failed
     tasks are not listed and go with the scratch folder at the end.  Frames of
     different width in one file are an error; an empty table writes nothing.
     """
-    spark = rows.sparkSession
-    named = rows.withColumn("folder", folder).withColumn("_len", F.size(values))
-    shape = named.groupBy("folder", *frame).agg(F.sum("_len").alias("width")).groupBy("folder").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("width").alias("width"), F.max("width").alias("_wide"))
-    shape = shape.withColumn("width", F.when(F.col("width") == F.col("_wide"), F.col("width")).otherwise(
-        F.raise_error(F.lit("frames of different size in one set")).cast("bigint"))).drop("_wide")
-    ready = (named.join(shape, "folder").repartitionByRange("folder", *order).sortWithinPartitions("folder", *order)
-             .select("folder", "n_rows", "width", F.lit(flat).alias("flat"), F.col(values).alias("values")))
-    base, scratch = _qualified(rows, root), f".{name}-{uuid.uuid4().hex}"
+    spark, names = rows.sparkSession, list(arrays)
+    # from here on values are numbered: the caller's columns may have any name
+    named = rows.withColumn("folder", folder).select("folder", *dict.fromkeys([*frame, *order]), *[
+        arrays[name][0].alias(f"values{i}") for i, name in enumerate(names)])
+    wide = named.groupBy("folder", *frame).agg(*[F.sum(F.size(f"values{i}")).alias(f"width{i}") for i in range(len(names))])
+    shape = wide.groupBy("folder").agg(F.count(F.lit(1)).alias("n_rows"), *[
+        F.when(F.min(f"width{i}") == F.max(f"width{i}"), F.min(f"width{i}")).otherwise(
+            F.raise_error(F.lit("frames of different size in one set")).cast("bigint")).alias(f"width{i}") for i in range(len(names))])
+    # one row a folder: without the hint all values would be shuffled to meet it
+    ready = named.join(F.broadcast(shape), "folder").repartitionByRange("folder", *order).sortWithinPartitions("folder", *order).select(
+        "folder", "n_rows", *[c for i, name in enumerate(names) for c in (
+            f"width{i}", F.lit(arrays[name][1]).alias(f"flat{i}"), f"values{i}")])
+    base, scratch = _qualified(rows, root), f".{names[0]}-{uuid.uuid4().hex}"
     try:
-        parts = cut_lineage(ready.mapInArrow(_write_parts(base, scratch), PARTS))
+        parts = cut_lineage(ready.mapInArrow(_write_parts(base, scratch, names), PARTS))
         tasks = task_count(parts, F.sum("bytes"), COPY_BYTES)
         # as many parts a file as there are partitions, at most
-        files = parts.groupBy("folder", "n_rows", "width", "flat").agg(
+        files = parts.groupBy("folder", "name", "n_rows", "width", "flat").agg(
             F.array_sort(F.collect_list(F.struct("part", "path", "head", "bytes"))).alias("parts"))
-        return cut_lineage(files.repartition(tasks, "folder").mapInPandas(_join_parts(base, name), "file string, rows long, parts long"))
+        return cut_lineage(files.repartition(tasks, "folder", "name").mapInPandas(_join_parts(base), "file string, rows long, parts long"))
     finally:
         where = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{scratch}")
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -8,10 +8,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trajlake.operators.ordinals import bucketed_position
-
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], line_sep: str | None = None,
                **options) -> DataFrame:
@@ -26,8 +25,18 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], line_sep: str |
 
 
 def with_line_no(lines: DataFrame, out: str = "line_no") -> DataFrame:
-    """Add the 0-based position of each row of ``lines`` in its file."""
-    return bucketed_position(lines, ["file"], {"_split": F.col("split_start")}, [F.col("seq")], out)
+    """Add the 0-based position of each row of ``lines``, filtered or not, in its file.
+
+    The rows of a split follow each other in one task, so they are numbered
+    where they are read and no text is shuffled; both readings of the files
+    are planned alike.  One row per file split is broadcast.
+    """
+    rows = lines.withColumn("_at", F.monotonically_increasing_id())
+    first = rows.groupBy("file", "split_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("file").orderBy("split_start").rowsBetween(W.unboundedPreceding, -1)
+    shift = first.select("file", "split_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return rows.join(F.broadcast(shift), ["file", "split_start"]).withColumn(
+        out, (F.col("_at") + F.col("_shift")).cast("bigint")).drop("_at", "_shift")
 
 
 def count_filled_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
