@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.functions.geometry import min_image, squared_distance
-from trajlake.operators.neighbors import LENGTHS, POSITION, cell_pairs
+from trajlake.operators.neighbors import LENGTHS, POSITION, cell_pairs, largest_frame
 
 PAIR_WINDOW = 99
 PAIR_VALUES = 500  # of the explicit prefix form
@@ -96,7 +96,7 @@ def density_descriptor(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0
     sizes = atoms.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n"))
     left = spots.select(*frame, *POSITION, *LENGTHS, F.col("type").alias("type_i"), F.col("w").alias("wi"), F.col("spot").alias("si"))
     right = spots.select(*frame, *POSITION, *LENGTHS, F.col("type").alias("type_j"), F.col("w").alias("wj"), F.col("spot").alias("sj"))
-    pairs = cell_pairs(left, right, frame, rcut)
+    pairs = cell_pairs(left, right, frame, rcut, crowd=largest_frame(atoms, frame))
     same = (F.col("si") == F.col("sj")) & (F.col("type_i") == F.col("type_j"))
     pairs = pairs.withColumn("_w", F.when(same, F.col("wi") * (F.col("wj") - 1)).otherwise(F.col("wi") * F.col("wj")))
     centers = [(k + 0.5) * rcut / n_max for k in range(n_max)]
@@ -177,7 +177,7 @@ def angular_spectrum(atoms: DataFrame, frame: Sequence[str], rcut: float = 5.0,
     right = (spots.where(F.col("type").isin(*types))
              .select(*frame, *POSITION, *LENGTHS, F.col("type").alias("type_j"), F.col("w").alias("wj"), F.col("spot").alias("sj"),
                      *[F.col(p).alias(f"_to{p}") for p in POSITION]))
-    pairs = cell_pairs(left, right, frame, rcut)
+    pairs = cell_pairs(left, right, frame, rcut, crowd=largest_frame(atoms, frame))
     same = (F.col("si") == F.col("sj")) & (F.col("type_i") == F.col("type_j"))
     inverse = F.when(F.col("d2") > 0, 1 / F.sqrt("d2")).otherwise(0.0)
     rest = F.lit(rcut) - F.sqrt("d2")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trajlake.functions.geometry import squared_distance
 
 LENGTHS = ("lx", "ly", "lz")
+CELL_ATOMS = 64  # of a frame, for each cell along an axis at most
 POSITION = ("px", "py", "pz")
 
 
@@ -43,8 +44,15 @@ def _cell_of(pos: Column, length: Column, count: Column) -> Column:
     return F.least(F.floor(fraction * count), count - 1).cast("bigint")
 
 
-def _with_cells(df: DataFrame, cutoff: Column) -> DataFrame:
+def largest_frame(atoms: DataFrame, frame: Sequence[str]) -> int:
+    """Atoms of the frame that has most of them; counts by frame stay in the tasks."""
+    return int(atoms.groupBy(*frame).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0)
+
+
+def _with_cells(df: DataFrame, cutoff: Column, crowd: int | None = None) -> DataFrame:
     counts = {f"_n{i}": _cells_along(F.col(l), cutoff) for i, l in enumerate(LENGTHS)}
+    if crowd is not None:
+        counts = {c: F.least(n, F.lit(crowd // CELL_ATOMS + 1).cast("bigint")) for c, n in counts.items()}
     df = df.withColumns(counts)
     return df.withColumns({f"_c{i}": _cell_of(F.col(p), F.col(l), F.col(f"_n{i}"))
                            for i, (p, l) in enumerate(zip(POSITION, LENGTHS))})
@@ -71,10 +79,13 @@ def _around(i: int) -> Column:
 
 
 def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
-               cutoff: float | Column, inclusive: bool = True, once: bool = False) -> DataFrame:
+               cutoff: float | Column, inclusive: bool = True, once: bool = False,
+               crowd: int | None = None) -> DataFrame:
     """All (center, member) pairs of a frame within the cutoff.
 
-    The cutoff is a number or an expression over the box lengths.
+    The cutoff is a number or an expression over the box lengths.  ``crowd``,
+    the ``largest_frame``, keeps the cells of few atoms wide: a center is sent to
+    each cell it looks into, which costs more than the pairs it spares there.
 
     Both inputs carry px,py,pz,lx,ly,lz; the other columns of ``members`` must
     not clash with those of ``centers`` (frame excepted).  Adds ``d2``.
@@ -85,14 +96,14 @@ def cell_pairs(centers: DataFrame, members: DataFrame, frame: Sequence[str],
     """
     frame = list(frame)
     cutoff = cutoff if isinstance(cutoff, Column) else F.lit(float(cutoff))
-    member_cells = _with_cells(members, cutoff)
+    member_cells = _with_cells(members, cutoff, crowd)
     member_cells = member_cells.withColumn("_cell", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
     # a center is sent to up to 27 cells, a member to one: the box and the limit go with the member
     member_cells = member_cells.withColumn("_limit", cutoff * cutoff)
     member_cells = member_cells.withColumnsRenamed({c: f"_m{c}" for c in (*POSITION, *LENGTHS)})
     member_cells = member_cells.drop(*[f"_n{i}" for i in range(3)], *[f"_c{i}" for i in range(3)])
 
-    probe = _with_cells(centers, cutoff)
+    probe = _with_cells(centers, cutoff, crowd)
     if once:
         probe = probe.withColumn("_home", _cell_key(F.col("_c0"), F.col("_c1"), F.col("_c2")))
     for i in range(3):
@@ -125,7 +136,7 @@ def candidate_pairs(atoms: DataFrame, frame: Sequence[str], cutoff: float,
                     center_type: int = 1, member_type: int = 2) -> DataFrame:
     """(frame, center_row, member_row, d2) for every free member in reach of a center."""
     centers, members = _split(atoms, frame, center_type, member_type)
-    pairs = cell_pairs(centers, members, frame, cutoff)
+    pairs = cell_pairs(centers, members, frame, cutoff, crowd=largest_frame(atoms, frame))
     if center_type == member_type:
         pairs = pairs.where(F.col("center_row") != F.col("member_row"))
     return pairs.select(*frame, "center_row", "member_row", "d2")
