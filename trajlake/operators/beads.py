@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from trajlake.operators.components import connected_components
+from trajlake.operators.joins import join_keys
 from trajlake.operators.neighbors import LENGTHS, POSITION, candidate_pairs
 from trajlake.operators.ordinals import bucketed_position
 from trajlake.session import cut_lineage
@@ -25,6 +26,8 @@ from trajlake.session import cut_lineage
 EXPLICIT, OFFSET, DISTANCE = 1, 2, 3
 MEMBER_TYPE = 2
 ROW_BLOCK = 65_536
+FRAME_PAIRS = 65_536  # contested pairs of a frame that are decided in one stream
+ATOM_PAIRS = 32  # pairs an atom that a frame may have all of them
 
 
 @dataclass(frozen=True)
@@ -333,7 +336,14 @@ def settle_contested(flagged: DataFrame, frame: Sequence[str], rules: BeadRules)
     frame = list(frame)
     shared = rules.center_type == MEMBER_TYPE
     rows = flagged.where("contested").select(*frame, "center_row", "member_row", "d2")
-    rows = _in_groups(_conflict_groups(rows, frame, "member_row", shared), frame, ["d2", "member_row"])
+    # components only spread the work: frames of few pairs are a group as they are
+    long = cut_lineage(rows.groupBy(*frame).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FRAME_PAIRS).drop("_n"))
+    if long.isEmpty():
+        rows = rows.withColumn("_group", F.lit(0).cast("bigint"))
+    else:
+        short = join_keys(rows, long, frame, "left_anti").withColumn("_group", F.lit(0).cast("bigint"))
+        rows = short.unionByName(_conflict_groups(join_keys(rows, long, frame, "left_semi"), frame, "member_row", shared))
+    rows = _in_groups(rows, frame, ["d2", "member_row"])
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*frame).schema],
                         "center_row bigint, pattern_no int, pos int, row_idx bigint"])
     chosen = rows.mapInPandas(_greedy(frame, rules.best_pattern(), shared), schema)
@@ -350,7 +360,16 @@ def distance_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules) -
     """Members bound by the nearest-neighbour patterns among the given free atoms."""
     frame = list(frame)
     if rules.r_cutoff is None:
-        return _growing_cutoff(atoms, frame, rules, 2.0, _frame_diagonal(atoms) * (1 + 1e-9) or 1.0)
+        reach = _frame_diagonal(atoms) * (1 + 1e-9) or 1.0
+        centers = F.count_if(F.col("type") == rules.center_type)
+        pairs = centers * F.count_if(F.col("type") == MEMBER_TYPE)
+        large = cut_lineage(atoms.groupBy(*frame).agg(pairs.alias("_p"), F.count(F.lit(1)).alias("_n"))
+                            .where(F.col("_p") > ATOM_PAIRS * F.col("_n")).drop("_p", "_n"))
+        # frames whose pairs are few all the same need no growing
+        if large.isEmpty():
+            return _within_cutoff(atoms, frame, rules, reach)
+        return _within_cutoff(join_keys(atoms, large, frame, "left_anti"), frame, rules, reach).unionByName(
+            _growing_cutoff(cut_lineage(join_keys(atoms, large, frame, "left_semi")), frame, rules, 2.0, reach))
     return _within_cutoff(atoms, frame, rules, float(rules.r_cutoff))
 
 
@@ -373,7 +392,7 @@ def _within_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, cutoff:
                  .select(*frame, "center_row", F.lit(lonely[1]).alias("pattern_no"),
                          F.lit(0).alias("pos"), F.col("center_row").alias("row_idx")))
         members = members.unionByName(_pattern_rows(alone, frame, rules))
-    return members
+    return cut_lineage(members)  # values, numbers and notes all read them
 
 
 def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, first: float, reach: float) -> DataFrame:
@@ -388,7 +407,7 @@ def _growing_cutoff(atoms: DataFrame, frame: list[str], rules: BeadRules, first:
     done, open_atoms, cutoff = None, atoms, first
     while True:
         last = cutoff >= reach
-        members = cut_lineage(_within_cutoff(open_atoms, frame, rules, min(cutoff, reach)))
+        members = _within_cutoff(open_atoms, frame, rules, min(cutoff, reach))
         if last:
             return members if done is None else done.unionByName(members)
         full = members.groupBy(*frame, "center_row").agg((F.count(F.lit(1)) - 1).alias("_got"))
@@ -437,7 +456,7 @@ def assign_members(atoms: DataFrame, frame: Sequence[str], rules: BeadRules) ->
         parts.append(members)
     used = _used(parts, frame)
     free = atoms if used is None else atoms.join(used, [*frame, "row_idx"], "left_anti")
-    nearest = cut_lineage(distance_members(free, frame, rules))
+    nearest = distance_members(free, frame, rules)
     parts.append(nearest)
     unmatched = (free.where(F.col("type") == rules.center_type)
                  .select(*frame, F.col("row_idx").alias("center_row"), F.col("id").alias("center_id"))
