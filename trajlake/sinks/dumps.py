@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.session import cut_lineage
+from trajlake.sinks.training import number_text
+
 HEAD = 9  # header lines of a frame
 
 
@@ -32,7 +35,7 @@ def bead_dump_lines(beads: DataFrame, boxes: DataFrame, frame: Sequence[str], un
     heads = boxes.join(sizes, frame, "left" if keep_empty else "inner").select(*frame, F.posexplode(
         _header(F.col("timestep"), F.coalesce("_n", F.lit(0)), axis, F.lit(names))).alias("line_no", "value"))
     row = F.concat_ws(" ", F.col("id").cast("string"), F.col("type").cast("string"),
-                      *[F.format_string("%.6f", c) for c in ("x", "y", "z", "fx", "fy", "fz")])
+                      number_text(F.array("x", "y", "z", "fx", "fy", "fz"), "%.6f"))
     body = beads.select(*frame, (F.col("id") + (HEAD - 1)).alias("line_no"), row.alias("value"))
     return heads.withColumn("line_no", F.col("line_no").cast("bigint")).unionByName(body)
 
@@ -82,6 +85,8 @@ def _plain_cells(line: str, width: str) -> Column:
 
 def write_dump(lines: DataFrame, path: str, output: str, frame: Sequence[str]) -> None:
     """One folder ``<output>=<name>`` per output under ``path``; its part files in
-    name order are the dump, and no frame is cut between two of them."""
-    (lines.repartitionByRange(output, *frame).sortWithinPartitions(output, *frame, "line_no")
+    name order are the dump, and no frame is cut between two of them.
+
+    The lines are stored first: finding the ranges would format all of them once more."""
+    (cut_lineage(lines.select(output, *frame, "line_no", "value")).repartitionByRange(output, *frame).sortWithinPartitions(output, *frame, "line_no")
      .select(output, "value").write.mode("overwrite").partitionBy(output).text(path))

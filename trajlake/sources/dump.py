@@ -26,16 +26,14 @@ def split_words(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
 
-def _box_axis(header: Column, line: int) -> Column:
-    parts = split_words(F.regexp_extract(header, BOX_HEAD, line))
-    return F.struct(F.get(parts, F.lit(0)).try_cast("double").alias("lo"),
-                    F.get(parts, F.lit(1)).try_cast("double").alias("hi"),
-                    F.get(parts, F.lit(2)).try_cast("double").alias("tilt"))
-
-
 def box_columns(header: Column) -> Column:
     """The three axes of a frame's box: lo, hi, tilt."""
-    return F.array(*[_box_axis(header, i) for i in (1, 2, 3)])
+    def cell(words: Column, i: int, name: str) -> Column:
+        return F.get(words, F.lit(i)).try_cast("double").alias(name)
+
+    # each line is searched and split once
+    lines = F.array(*[F.regexp_extract(header, BOX_HEAD, i) for i in (1, 2, 3)])
+    return F.transform(F.transform(lines, split_words), lambda w: F.struct(cell(w, 0, "lo"), cell(w, 1, "hi"), cell(w, 2, "tilt")))
 
 
 def has_box(box: str) -> Column:
