@@ -4,7 +4,10 @@ from __future__ import annotations
 import csv
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,16 +25,32 @@ def _csv(spark: SparkSession, paths, schema: str, **options) -> DataFrame:
             .schema(schema).csv(paths))
 
 
+def _first_lines(batches):
+    """(file, head): the first line of each listed file; files without any are left out."""
+    for batch in batches:
+        out = []
+        for path in batch.column("file").to_pylist():
+            scheme, _, rest = path.partition(":")
+            rest = f"//{rest}" if scheme == "file" and not rest.startswith("//") else rest
+            # Spark lists plain names, a URI wants blanks and the like escaped
+            files, inner = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/@:=?&[]')}")
+            with files.open_input_stream(inner) as stream:
+                head = b""
+                while b"\n" not in head and (block := stream.read(1 << 12)):
+                    head += block
+            if head:
+                out.append({"file": path, "head": head.split(b"\n")[0].removesuffix(b"\r").decode("utf-8", "replace")})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([("file", pa.string()), ("head", pa.string())]))
+
+
 def _by_layout(spark: SparkSession, paths) -> list[tuple[tuple[str, ...], list[str]]]:
     """(column names, files) for every distinct header line behind ``paths``.
 
-    Only header lines are read as rows; one row per layout, with its files,
-    reaches the driver.
+    Files are listed by Spark and only their first bytes are read; one row per
+    layout, with its files, reaches the driver.
     """
-    first = spark.read.option("wholetext", False).text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("n"), "value").where("at = 0")
-    heads = first.groupBy("file").agg(F.min_by("value", "n").alias("head"))
+    listed = spark.read.format("binaryFile").load(paths).select(F.col("path").alias("file"))
+    heads = listed.mapInArrow(_first_lines, "file string, head string")
     rows = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
     return [(tuple(next(csv.reader([r["head"]]))), r["files"]) for r in rows]
 
