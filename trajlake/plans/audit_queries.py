@@ -27,12 +27,12 @@ def _tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     rows = F.array(*[F.col("_k") * 3 + i for i in range(3)])
     ids = F.when(mark % 17 == 0, F.array()).when(
         mark % 13 == 0, F.array(F.col("_k") * 3, F.col("_k") * 3 + 1, F.col("_k") * 3 + 3)).otherwise(rows)
-    beads = beads.select(
+    beads = cut_lineage(beads.select(
         "frame", (F.col("_k") + 1).alias("id"), (F.col("_k") + F.when(mark % 19 == 0, 5).otherwise(2)).alias("type"), "x", "y", "z",
         (F.col("fx") + F.when(mark % 7 == 0, 1e-3).otherwise(0.0)).alias("fx"), "fy", "fz",
         (F.col("c_pe") + F.when(mark % 11 == 0, 1e-5).otherwise(0.0)).alias("c_pe"), ids.alias("atom_indices"),
         ((F.col("_k") < 2) & (mark % 23 != 0) | (mark % 29 == 0)).alias("manual_assignment"),
-        F.transform(rows, lambda r: r + 1).alias("assigned_atom_ids"))
+        F.transform(rows, lambda r: r + 1).alias("assigned_atom_ids")))  # every check reads them
     return atoms, beads
 
 
