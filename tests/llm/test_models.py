@@ -108,6 +108,36 @@ def test_texts_looked_up_together(monkeypatch):
     assert np.array_equal(counts.term, np.concatenate([at for at, _ in some])) and np.array_equal(counts.n, np.concatenate([n for _, n in some]))
 
 
+def test_terms_are_hashed_once_however_they_are_written(monkeypatch):
+    """A term is named and hashed when first seen, not for each form with other marks around it."""
+    words, marks, hashed = ["alpha", "beta", "gammarays", "of"], ["", ",", ".", "!", "...", ");", "\u201d"], []
+    plain = toxicity._hashes
+    model = ToxicityModel.without_examples(np.unique(toxicity.term_hashes(words)[0]))
+    monkeypatch.setattr(toxicity, "_hashes", lambda terms: hashed.extend(terms) or plain(terms))
+    texts = [" ".join(f"{random.Random(i).choice(marks[1:])}{w}{m}" for w in words for m in marks) for i in range(40)]
+    got = model.vectors(texts) + model.vectors(texts)
+    assert sorted(hashed) == sorted(t for w in words for t in toxicity.terms_of(w))
+    assert all(n.tolist() == [len(marks)] * len(hashed) for _, n in got)
+
+
+def test_words_cut_as_python_cuts_them(monkeypatch):
+    """Spaces, edges and lower case of all kinds of text, across pieces, equal to ``terms_of`` the words of the text."""
+    draw = random.Random(4)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    letters = ["a", "B", "9", "-", "'", "(", "\u00ab", "\u2026", "\u0130", "\u03a3", "\u4e2d", "\U0001f600", "\ud800", "\x00", "\u200b", "_"]
+    texts = ["", None, "...", "x" * 700, *["".join(draw.choices(letters * 3 + spaces, k=draw.randint(1, 400))) for _ in range(80)]]
+    names = sorted({t for text in texts for w in toxicity.words_of(text) for t in toxicity.terms_of(w)})
+    terms = {t: i for i, t in enumerate(names[::2])}
+    want = [Counter(terms[t] for w in toxicity.words_of(text) for t in toxicity.terms_of(w) if t in terms) for text in texts]
+    for piece, memo in ((1 << 17, 1 << 20), (50, 30)):
+        monkeypatch.setattr(toxicity, "PIECE", piece)
+        monkeypatch.setattr(toxicity, "WORDS", memo)
+        model = ToxicityModel.without_examples(np.zeros(0, np.int64))
+        model.terms = terms
+        for _ in range(2):
+            assert [dict(zip(at.tolist(), n.tolist())) for at, n in model.vectors(texts)] == want
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(1, 0), (4, 1), (4, None), (5, 0), (7, 0), (8, 1), (None, 1), (99, 1)], "doc_id bigint, toxic int")
@@ -165,3 +195,23 @@ def test_search_over_short_and_long_lists_equals_brute_force():
     for (at, w), got in zip(queries, model.search(queries)):
         want = sorted((-round(float(c), 12), i) for i, c in enumerate(w @ dense[at]) if c > 0)[:9]
         assert [i for _, i in got] == [i for _, i in want] and np.allclose([c for c, _ in got], [-c for c, _ in want], atol=1e-11)
+
+
+def test_examples_of_one_language_share_blocks():
+    """Blocks hold alike examples, so a text opens few of them; results are those of brute force."""
+    draw, dense = np.random.default_rng(9), np.zeros((600, 1536))
+    for e in range(1536):
+        at = np.unique(200 * (e % 3) + np.minimum(draw.zipf(1.2, 40) - 1, 199))
+        dense[at, e] = draw.random(len(at)) + 0.1
+    dense /= np.linalg.norm(dense, axis=0)
+    model = ToxicityModel({f"t{i}": i for i in range(600)}, np.ones(600), list(range(1536)), np.zeros(1536), np.ones(1536), dense, 0.1, k=9)
+    model.prepare()
+    index, opened = model.index, []
+    assert np.mean([len(set(index.label[b:b + toxicity.BLOCK] % 3)) for b in range(0, 1536, toxicity.BLOCK)]) <= 2
+    plain = index._open
+    index._open = lambda cosine, far, wanted: opened.append(wanted.sum()) or plain(cosine, far, wanted)
+    queries = [(at := np.unique(200 * (i % 3) + np.minimum(draw.zipf(1.2, 30) - 1, 199)), model.unit(at, np.ones(len(at)))) for i in range(90)]
+    for (at, w), got in zip(queries, model.search(queries)):
+        want = sorted((-round(float(c), 12), i) for i, c in enumerate(w @ dense[at]) if c > 0)[:9]
+        assert [i for _, i in got] == [i for _, i in want] and np.allclose([c for c, _ in got], [-c for c, _ in want], atol=1e-11)
+    assert sum(opened) < 0.7 * len(queries) * index.blocks

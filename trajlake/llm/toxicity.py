@@ -6,7 +6,6 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from hashlib import blake2b
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -19,12 +18,17 @@ from xxhash import xxh3_64_intdigest
 from trajlake.llm.common import bound_batches, stored
 from trajlake.llm.language import fold_of, thinned
 
-BLOCK = 64  # examples of one block of the inverted lists
+BLOCK = 256  # examples of one block of the inverted lists
+OFTEN = 32  # examples of a block with a term, from which on the term is kept inside the block
+FIRST = 1  # blocks of a text that are opened whatever their bounds
+RUN = 32  # places, far from each other, whose greatest cosine stands for them
+COMMON, GROUPS, ROUNDS = 512, 64, 5  # frequent terms, groups and rounds of the order of the examples
 EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„’‘¡¿…"
 STEMS = (5,)  # lengths of the word beginnings that are terms of their own
 MEMO = 100_000
-WORDS = 300_000
-LONG = 512  # terms whose lists are also kept in blocks
+WORDS = 1 << 20  # terms a task remembers
+PIECE = 1 << 17  # characters looked at together
+BASE, SPREAD = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9  # odd, so that powers have inverses
 BATCH = 256  # texts searched at once
 SLACK = 1e-4  # more than the rounding of approximate cosines
 
@@ -60,6 +64,81 @@ def term_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat.view(np.int64), sizes
 
 
+def _pieces(texts: list[str | None]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Lower-case texts joined by spaces, where each starts and which it is; long ones are cut between words."""
+    some, starts, owners, size = [], [], [], 0
+    for i, text in enumerate(texts):
+        text, a = (text or "").lower(), 0
+        while a < len(text):
+            b = a + PIECE
+            while b < len(text) and not text[b].isspace():
+                b += 1
+            some.append(text[a:b])
+            starts.append(size)
+            owners.append(i)
+            size, a = size + len(some[-1]) + 1, b
+            if size > PIECE:
+                yield " ".join(some), np.array(starts), np.array(owners)
+                some, starts, owners, size = [], [], [], 0
+    if some:
+        yield " ".join(some), np.array(starts), np.array(owners)
+
+
+class TermNumbers:
+    """Numbers of all terms in a text, without a Python object for each word.
+
+    A term is known by a 64-bit polynomial of its code points: a stretch's comes
+    from two running sums.  Terms of the last keys seen are remembered, one a
+    place; ``look_up`` numbers the names of others (-1: none).
+    """
+
+    def __init__(self, look_up):
+        self.look_up = look_up
+        self.kind = np.zeros(0x3002, np.uint8)  # of a code point: 1 space, 2 edge; the last stands for all others
+        self.kind[[c for c in range(0x3001) if chr(c).isspace()]] = 1
+        self.kind[[ord(c) for c in EDGES]] = 2
+        self.power = self.inverse = np.ones(1, np.uint64)
+        self.key, self.number = np.zeros(WORDS, np.uint64), np.full(WORDS, -1, np.int32)
+
+    def _powers(self, n: int) -> None:
+        if len(self.power) < n:
+            both = np.array([[BASE], [pow(BASE, -1, 1 << 64)]], np.uint64).repeat(n, axis=1)
+            both[:, 0] = 1
+            self.power, self.inverse = np.multiply.accumulate(both, axis=1)
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Where the word of each term begins, and the term's number; words as ``terms_of`` splits and strips them."""
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self.kind[np.minimum(code, 0x3001)]
+        turn = np.flatnonzero(np.diff(kind == 1, prepend=True, append=True))
+        inner = np.flatnonzero(kind == 0)
+        before = np.concatenate([[0], np.cumsum(kind == 0, dtype=np.int32)])
+        a, b = before[turn[::2]], before[turn[1::2]]
+        a, b = a[a < b], b[a < b]
+        begin, end = inner[a], inner[b - 1] + 1
+        self._powers(max(len(code), *STEMS) + 1)
+        total = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum((code + np.uint32(1)) * self.power[:len(code)], out=total[1:])
+        keys, begins, ends = [(total[end] - total[begin]) * self.inverse[begin]], [begin], [end]
+        for n in STEMS:
+            at = begin[end - begin >= n]
+            keys.append((total[at + n] - total[at]) * self.inverse[at] + self.power[n:n + 1] * np.uint64(ord("-") + 1))
+            begins.append(at)
+            ends.append(at + n)
+        key, begins, ends = np.concatenate(keys), np.concatenate(begins), np.concatenate(ends)
+        place = ((key * np.uint64(SPREAD) >> np.uint64(32)) * np.uint64(len(self.key)) >> np.uint64(32)).astype(np.int64)
+        number = self.number[place]
+        new = np.flatnonzero(self.key[place] != key)
+        if len(new):
+            _, one, same = np.unique(key[new], return_index=True, return_inverse=True)
+            one = new[one]
+            tails = np.where(one < len(begin), "", "-").tolist()
+            names = [text[a:b] + tail for a, b, tail in zip(begins[one].tolist(), ends[one].tolist(), tails)]
+            number[new] = self.look_up(names)[same]
+            self.key[place[new]], self.number[place[new]] = key[new], number[new]
+        return begins, number
+
+
 @dataclass
 class TermCounts:
     """The terms (ascending) and counts of the examples, one after the other, and how many each has."""
@@ -89,10 +168,12 @@ class PackedCounts:
 
 
 class TermIndex:
-    """Inverted lists of weighted examples, the longest also in blocks with their greatest weights.
+    """Inverted lists of weighted examples; what fills a block of alike examples is kept in the block, with its greatest weight.
 
-    Approximate cosines are single precision; ``exact`` adds up an example's
-    own weights in double precision.
+    An entry is in one place only: in its block if at least ``OFTEN`` examples
+    of the block have its term, else in the list of the term.  Approximate
+    cosines are single precision; ``exact`` adds up an example's own weights in
+    double precision.
     """
 
     def __init__(self, size: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
@@ -104,31 +185,60 @@ class TermIndex:
         place = np.empty(len(size), np.int32)
         place[self.label] = np.arange(len(size))
         order = np.argsort(term, kind="stable")
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
-        self.example = place[example][order]
-        self.near = weight[order].astype(np.float32)
-        sizes, blocks = np.diff(self.start), -(-len(size) // BLOCK)
-        long = np.sort(np.argsort(-sizes, kind="stable")[:LONG])
-        long = long[sizes[long] >= BLOCK]
-        self.long_of = np.full(len(sizes), -1)
-        self.long_of[long] = np.arange(len(long))
-        self.long = np.zeros((blocks, len(long), BLOCK), np.float32)
-        for i, t in enumerate(long):
-            e = self.example[self.start[t]:self.start[t + 1]]
-            self.long[e // BLOCK, i, e % BLOCK] = self.near[self.start[t]:self.start[t + 1]]
-        self.block_max = self.long.max(axis=2).T.copy() if blocks else np.zeros((len(long), 0), np.float32)
+        term, example, near = term[order], place[example][order], weight[order].astype(np.float32)
+        sizes, self.blocks = np.bincount(term, minlength=terms), -(-len(size) // BLOCK)
+        many = sizes >= OFTEN
+        some = np.flatnonzero(many[term])
+        pair = example[some] // BLOCK * int(many.sum()) + (np.cumsum(many) - 1)[term[some]]  # (block, frequent term) as one number
+        often = np.bincount(pair, minlength=self.blocks * int(many.sum())) >= OFTEN
+        row = np.cumsum(often) - 1
+        inside, pair = some[often[pair]], pair[often[pair]]
+        often = often.reshape(self.blocks, -1) if self.blocks else often.reshape(0, int(many.sum()))
+        kept = often.any(axis=0)
+        self.long_of = np.full(terms, -1)
+        self.long_of[np.flatnonzero(many)[kept]] = np.arange(kept.sum())
+        self.inside = [np.flatnonzero(x) for x in often[:, kept]]  # the long terms of each block
+        self.first = np.concatenate([[0], np.cumsum(often.sum(axis=1))])
+        self.long = np.zeros((int(self.first[-1]), BLOCK), np.float32)
+        self.long[row[pair], example[inside] % BLOCK] = near[inside]
+        self.block_max = np.zeros((int(kept.sum()), self.blocks), np.float32)
+        for b, at in enumerate(self.inside):
+            self.block_max[at, b] = self.long[self.first[b]:self.first[b + 1]].max(axis=1, initial=0)
+        left = np.ones(len(term), bool)
+        left[inside] = False
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(term[left], minlength=terms))])
+        self.entry = np.empty(int(left.sum()), np.int64)  # both halves are needed at once
+        self.entry.view(np.int32)[::2], self.entry.view(np.float32)[1::2] = example[left], near[left]
         self.query = np.zeros(terms)
 
     @staticmethod
     def _alike(examples: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> np.ndarray:
-        """The examples in an order that brings those with the same weightiest frequent term together, so that blocks are alike."""
-        frequent = np.zeros(terms, bool)
-        frequent[np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:BLOCK]] = True
-        some = np.flatnonzero(frequent[term])
-        some = some[np.argsort(weight[some], kind="stable")]
-        head = np.full(examples, -1)
-        head[example[some]] = term[some]  # the greatest comes last
-        return np.argsort(head, kind="stable")
+        """The examples in an order that brings alike ones together, by k-means over the frequent terms, so that blocks share terms."""
+        sizes = np.bincount(term, minlength=terms)
+        frequent = np.full(terms, -1)
+        common = np.argsort(-sizes, kind="stable")[:COMMON]
+        frequent[common] = np.arange(len(common))
+        some = np.flatnonzero(frequent[term] >= 0)
+        x = np.zeros((examples, len(common)), np.float32)
+        x[example[some], frequent[term[some]]] = weight[some]
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        groups = max(1, min(GROUPS, examples // BLOCK))
+        if not examples or groups == 1:
+            return np.arange(examples)
+        middle = x[np.linspace(0, examples - 1, groups).astype(int)]
+        for _ in range(ROUNDS):
+            near = np.argmax(x @ middle.T, axis=1)
+            member = np.zeros((groups, examples), np.float32)
+            member[near, np.arange(examples)] = 1
+            middle = member @ x
+            middle /= np.maximum(np.linalg.norm(middle, axis=1, keepdims=True), 1e-9)
+        like, chain_of = middle @ middle.T, [0]  # each group beside the most alike one that is left
+        while len(chain_of) < groups:
+            like[:, chain_of[-1]] = -1
+            chain_of.append(int(np.argmax(like[chain_of[-1]])))
+        position = np.empty(groups, int)
+        position[chain_of] = np.arange(groups)
+        return np.argsort(position[near], kind="stable")
 
     @classmethod
     def of_dense(cls, weights: np.ndarray) -> TermIndex:
@@ -143,40 +253,57 @@ class TermIndex:
 
     def exact(self, at: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
         self.query[at] = w
-        out = np.array([self.query[self.term[a:b]] @ self.weight[a:b] for a, b in zip(self.own[examples], self.own[examples + 1])])
+        ends = list(zip(self.own[examples].tolist(), self.own[examples + 1].tolist()))
+        near = self.query[np.concatenate([self.term[a:b] for a, b in ends])]
+        near *= np.concatenate([self.weight[a:b] for a, b in ends])
         self.query[at] = 0
-        return out
+        return np.add.reduceat(near, np.cumsum([0, *[b - a for a, b in ends[:-1]]]))
+
+    def _open(self, cosine: np.ndarray, far: np.ndarray, wanted: np.ndarray) -> None:
+        """Add what is kept inside the wanted blocks."""
+        for b, inside in enumerate(self.inside):
+            rows = np.flatnonzero(wanted[:, b])
+            if len(rows) and len(inside):
+                cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows[:, None], inside] @ self.long[self.first[b]:self.first[b + 1]]
+
+    @staticmethod
+    def _least(cosine: np.ndarray, k: int) -> np.ndarray:
+        """What the k-th greatest of each row is at least: the k-th greatest of the greatest ones of ``RUN`` places each."""
+        best = cosine.reshape(len(cosine), RUN, -1).max(axis=1)
+        if best.shape[1] < k:
+            return np.zeros(len(cosine), np.float32)
+        return np.partition(best, -k, axis=1)[:, -k]
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
         """The ``k`` examples of the greatest cosine above 0 of each query, exactly; ties go to the earlier example.
 
-        Short lists are added up whole.  That sum bounds a cosine from below;
-        with the greatest weights of the long lists in a block it bounds it from
-        above, and only blocks that can reach the k-th lower bound are opened.
-        What comes within ``SLACK`` of the k-th is computed again exactly.
+        Lists are added up whole.  That sum bounds a cosine from below; with the
+        greatest weights inside a block it bounds it from above.  The ``FIRST``
+        blocks of the greatest bounds are opened first, then only those that can
+        still reach the k-th lower bound.  What comes within ``SLACK`` of the
+        k-th is computed again exactly.
         """
         if not self.examples:
             return [[] for _ in queries]
-        blocks, k = len(self.long), min(k, self.examples)
-        cosine = np.zeros((len(queries), blocks * BLOCK), np.float32)
+        k = min(k, self.examples)
+        cosine = np.zeros((len(queries), self.blocks * BLOCK), np.float32)
         far = np.zeros((len(queries), len(self.block_max)), np.float32)
         for row, wide, (at, w) in zip(cosine, far, queries):
             place = self.long_of[at]
             wide[place[place >= 0]] = w[place >= 0]
-            at, w = at[place < 0], w[place < 0].astype(np.float32)
-            size = self.start[at + 1] - self.start[at]
-            pick = np.repeat(self.start[at] - np.cumsum(size) + size, size) + np.arange(size.sum())
-            row += np.bincount(self.example[pick], weights=self.near[pick] * np.repeat(w, size), minlength=len(row)).astype(np.float32)
-        few = min(k, blocks)  # the greatest ones of k blocks are k examples
-        best = cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
-        least = np.partition(best, -few, axis=1)[:, -few] if few == k else np.zeros(len(queries), np.float32)
-        bound = far @ self.block_max + best
-        for b in range(blocks):
-            rows = np.flatnonzero(bound[:, b] >= least - SLACK)
-            if len(rows):
-                cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows] @ self.long[b]
-        best = cosine.reshape(len(queries), blocks, BLOCK).max(axis=2)
-        least = np.partition(best, -few, axis=1)[:, -few] if few == k else np.zeros(len(queries), np.float32)
+            start = self.start[at]
+            size = self.start[at + 1] - start
+            ends = np.cumsum(size)
+            pick = np.repeat(start - ends + size, size)
+            pick += np.arange(len(pick))
+            entry = self.entry[pick]
+            row += np.bincount(entry.view(np.int32)[::2], entry.view(np.float32)[1::2] * np.repeat(w, size), len(row)).astype(np.float32)
+        bound = far @ self.block_max + cosine.reshape(len(queries), self.blocks, BLOCK).max(axis=2)
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, min(FIRST, self.blocks) - 1, axis=1)[:, :FIRST], True, axis=1)
+        self._open(cosine, far, first)
+        self._open(cosine, far, ~first & (bound >= self._least(cosine, k)[:, None] - SLACK))
+        least = self._least(cosine, k)
         out = []
         for row, floor, (at, w) in zip(cosine, least, queries):
             near = np.flatnonzero(row[:self.examples] >= max(floor - SLACK, SLACK))
@@ -184,6 +311,9 @@ class TermIndex:
                 near = near[row[near] >= np.partition(row[near], -k)[-k] - SLACK]
             if len(near) < k:  # fewer than k examples share a term that counts
                 near = np.flatnonzero(row[:self.examples] > 0)
+            if not len(near):
+                out.append([])
+                continue
             near = self.label[near]
             found = sorted((-round(c, 12), i) for c, i in zip(self.exact(at, w, near).tolist(), near.tolist()) if c > 0)
             out.append([(-c, i) for c, i in found[:k]])
@@ -203,10 +333,7 @@ class ToxicityModel:
     base: float  # share of toxic documents among those without any term
     k: int = 9
     smooth: float = 0.05
-    known: dict = field(default_factory=dict, repr=False, compare=False)  # places of words in the next three; 0: without a term
-    sizes: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64), repr=False, compare=False)
-    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64), repr=False, compare=False)
-    numbers: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64), repr=False, compare=False)
+    numbers: TermNumbers | None = field(default=None, repr=False, compare=False)
     found: dict = field(default_factory=dict, repr=False, compare=False)
     index: TermIndex | None = field(default=None, repr=False, compare=False)
 
@@ -237,64 +364,41 @@ class ToxicityModel:
         terms, idf, ids, toxic, worth, term, n, base, k, smooth = values
         return cls(np.frombuffer(terms, np.int64), np.frombuffer(zlib.decompress(idf)), ids, toxic, worth, PackedCounts(term, n), base, k, smooth)
 
-    def learn(self, words: list[str]) -> None:
-        """Remember the numbers of the model's terms in new words."""
+    def look_up(self, names: list[str]) -> np.ndarray:
+        """The numbers of terms, -1 for those the model does not have."""
         if isinstance(self.terms, dict):
-            hits = [[self.terms[t] for t in terms_of(w) if t in self.terms] for w in words]
-            per_word = np.fromiter(map(len, hits), np.int64, len(hits))
-            numbers = np.fromiter(chain.from_iterable(hits), np.int64)
-        else:
-            hashes, sizes = term_hashes(words)
-            at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1))
-            hit = self.terms[at] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
-            ends = np.cumsum(sizes)
-            per_word = np.diff(np.concatenate([[0], np.concatenate([[0], np.cumsum(hit)])[ends]]))
-            numbers = at[hit]
-        some = per_word > 0
-        self.known.update(zip(words, np.where(some, len(self.sizes) + np.cumsum(some) - 1, 0).tolist()))
-        self.sizes = np.concatenate([self.sizes, per_word[some]])
-        self.numbers = np.concatenate([self.numbers, numbers])
-        self.starts = np.cumsum(self.sizes) - self.sizes
-
-    def _keys(self, words: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term) as one number for each term of each text's distinct words, which words have terms, and how many these have."""
-        if len(self.known) > WORDS:
-            self.known.clear()
-            self.sizes, self.starts, self.numbers = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
-        new = list(set().union(*words).difference(self.known))
-        if new:
-            self.learn(new)
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        word = np.fromiter(map(self.known.__getitem__, chain.from_iterable(words)), np.int64, int(size.sum()))
-        some = word > 0
-        word, text = word[some], np.repeat(np.arange(len(words)), size)[some]
-        size = self.sizes[word]
-        pick = np.repeat(self.starts[word] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        return np.repeat(text * max(1, len(self.terms)), size) + self.numbers[pick], some, size
+            return np.fromiter((self.terms.get(t, -1) for t in names), np.int32, len(names))
+        if not len(self.terms):
+            return np.full(len(names), -1, np.int32)
+        hashes = _hashes(names).view(np.int64)
+        at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+        return np.where(self.terms[at] == hashes, at, -1).astype(np.int32)
+
+    def _keys(self, texts: list[str | None]) -> np.ndarray:
+        """(text, term) as one number for each occurrence of a term of the model, ascending."""
+        if self.numbers is None:
+            self.numbers = TermNumbers(self.look_up)
+        keys = [np.zeros(0, np.int64)]
+        for text, starts, owners in _pieces(texts):
+            begin, number = self.numbers.of(text)
+            begin, number = begin[number >= 0], number[number >= 0]
+            keys.append(owners[np.searchsorted(starts, begin, "right") - 1] * max(1, len(self.terms)) + number)
+        return np.sort(np.concatenate(keys))
 
     def terms_once(self, texts: list[str | None]) -> np.ndarray:
         """The model's terms in the whole texts, each once a text."""
-        key = np.sort(self._keys([set(words_of(t)) for t in texts])[0])
+        key = self._keys(texts)
         return key[np.diff(key, prepend=-1) > 0] % max(1, len(self.terms))
 
     def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The model's terms in each whole text, ascending, and their counts; all texts are looked up and sorted together."""
-        counts, width = [Counter(words_of(t)) for t in texts], max(1, len(self.terms))
-        key, some, size = self._keys(counts)
-        n = np.repeat(np.fromiter(chain.from_iterable([c.values() for c in counts]), np.int64, len(some))[some], size)
-        bits = int(n.max(initial=1)).bit_length()
-        if bits + (len(counts) * width).bit_length() < 64:  # sorted as one number
-            both = np.sort(key << bits | n)
-            key, n = both >> bits, both & ((1 << bits) - 1)
-        else:
-            order = np.argsort(key, kind="stable")
-            key, n = key[order], n[order]
+        key, width = self._keys(texts), max(1, len(self.terms))
         first = np.flatnonzero(np.diff(key, prepend=-1))
-        n = np.add.reduceat(n, first) if len(first) else n
+        n = np.diff(first, append=len(key)).astype(np.float64)
         key = key[first]
-        ends = np.searchsorted(key, np.arange(len(counts) + 1) * width)
+        ends = np.searchsorted(key, np.arange(len(texts) + 1) * width)
         term = key % width
-        return [(term[a:b], n[a:b].astype(np.float64)) for a, b in zip(ends.tolist(), ends[1:].tolist())]
+        return [(term[a:b], n[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return self.vectors([text])[0]
