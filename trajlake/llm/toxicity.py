@@ -179,48 +179,52 @@ class TermIndex:
     def __init__(self, size: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int):
         self.examples = len(size)
         self.own = np.concatenate([[0], np.cumsum(size)])
-        self.term, self.weight = term.astype(np.int32), weight
-        example = np.repeat(np.arange(len(size), dtype=np.int32), size)
-        self.label = self._alike(len(size), example, term, weight, terms)
-        place = np.empty(len(size), np.int32)
-        place[self.label] = np.arange(len(size))
-        order = np.argsort(term, kind="stable")
-        term, example, near = term[order], place[example][order], weight[order].astype(np.float32)
-        sizes, self.blocks = np.bincount(term, minlength=terms), -(-len(size) // BLOCK)
-        many = sizes >= OFTEN
-        some = np.flatnonzero(many[term])
-        pair = example[some] // BLOCK * int(many.sum()) + (np.cumsum(many) - 1)[term[some]]  # (block, frequent term) as one number
-        often = np.bincount(pair, minlength=self.blocks * int(many.sum())) >= OFTEN
-        row = np.cumsum(often) - 1
-        inside, pair = some[often[pair]], pair[often[pair]]
-        often = often.reshape(self.blocks, -1) if self.blocks else often.reshape(0, int(many.sum()))
-        kept = often.any(axis=0)
-        self.long_of = np.full(terms, -1)
-        self.long_of[np.flatnonzero(many)[kept]] = np.arange(kept.sum())
-        self.inside = [np.flatnonzero(x) for x in often[:, kept]]  # the long terms of each block
-        self.first = np.concatenate([[0], np.cumsum(often.sum(axis=1))])
-        self.long = np.zeros((int(self.first[-1]), BLOCK), np.float32)
-        self.long[row[pair], example[inside] % BLOCK] = near[inside]
-        self.block_max = np.zeros((int(kept.sum()), self.blocks), np.float32)
+        self.term, self.weight = term.astype(np.int32, copy=False), weight
+        self.label = self._alike(size, self.term, weight, terms)
+        self.blocks = -(-len(size) // BLOCK)
+        inside, self.long, left, row = [], [], [], np.full(terms, -1, np.int32)
+        for b in range(self.blocks):
+            members = self.label[b * BLOCK:(b + 1) * BLOCK]
+            t, w = self._of(members)
+            w, place = w.astype(np.float32), np.repeat(np.arange(len(members), dtype=np.int32), size[members])
+            inside.append(np.flatnonzero(np.bincount(t, minlength=terms) >= OFTEN))
+            row[inside[-1]] = np.arange(len(inside[-1]))
+            hit = row[t] >= 0
+            self.long.append(np.zeros((len(inside[-1]), BLOCK), np.float32))
+            self.long[-1][row[t[hit]], place[hit]] = w[hit]
+            row[inside[-1]] = -1
+            left.append((t[~hit], place[~hit] + np.int32(b * BLOCK), w[~hit]))
+        long = np.unique(np.concatenate([np.zeros(0, np.int64), *inside]))
+        self.long_of = np.full(terms, -1, np.int32)
+        self.long_of[long] = np.arange(len(long))
+        self.inside = [self.long_of[x] for x in inside]  # the long terms of each block
+        self.block_max = np.zeros((len(long), self.blocks), np.float32)
         for b, at in enumerate(self.inside):
-            self.block_max[at, b] = self.long[self.first[b]:self.first[b + 1]].max(axis=1, initial=0)
-        left = np.ones(len(term), bool)
-        left[inside] = False
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(term[left], minlength=terms))])
-        self.entry = np.empty(int(left.sum()), np.int64)  # both halves are needed at once
-        self.entry.view(np.int32)[::2], self.entry.view(np.float32)[1::2] = example[left], near[left]
+            self.block_max[at, b] = self.long[b].max(axis=1, initial=0)
+        t = np.concatenate([np.zeros(0, np.int32), *[x for x, _, _ in left]])
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(t, minlength=terms))])
+        order = np.argsort(t, kind="stable")
+        self.entry = np.empty(len(t), np.int64)  # place and weight, as both are needed at once
+        if len(t):
+            self.entry.view(np.int32)[::2] = np.concatenate([x for _, x, _ in left])[order]
+            self.entry.view(np.float32)[1::2] = np.concatenate([x for _, _, x in left])[order]
         self.query = np.zeros(terms)
 
+    def _of(self, examples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of the examples, one after the other."""
+        spans = list(zip(self.own[examples].tolist(), self.own[examples + 1].tolist()))
+        return np.concatenate([self.term[a:b] for a, b in spans]), np.concatenate([self.weight[a:b] for a, b in spans])
+
     @staticmethod
-    def _alike(examples: int, example: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> np.ndarray:
+    def _alike(size: np.ndarray, term: np.ndarray, weight: np.ndarray, terms: int) -> np.ndarray:
         """The examples in an order that brings alike ones together, by k-means over the frequent terms, so that blocks share terms."""
-        sizes = np.bincount(term, minlength=terms)
-        frequent = np.full(terms, -1)
-        common = np.argsort(-sizes, kind="stable")[:COMMON]
+        examples = len(size)
+        frequent = np.full(terms, -1, np.int32)
+        common = np.argsort(-np.bincount(term, minlength=terms), kind="stable")[:COMMON]
         frequent[common] = np.arange(len(common))
         some = np.flatnonzero(frequent[term] >= 0)
         x = np.zeros((examples, len(common)), np.float32)
-        x[example[some], frequent[term[some]]] = weight[some]
+        x[np.repeat(np.arange(examples, dtype=np.int32), size)[some], frequent[term[some]]] = weight[some]
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         groups = max(1, min(GROUPS, examples // BLOCK))
         if not examples or groups == 1:
@@ -248,23 +252,26 @@ class TermIndex:
     @classmethod
     def of_counts(cls, counts: TermCounts, idf: np.ndarray) -> TermIndex:
         example = np.repeat(np.arange(len(counts.size), dtype=np.int32), counts.size)
-        w = (1 + np.log(counts.n)) * idf[counts.term]
-        return cls(counts.size, counts.term, w / np.sqrt(np.bincount(example, weights=w * w))[example], len(idf))
+        w = np.log(counts.n)
+        w += 1
+        w *= idf[counts.term]
+        w /= np.sqrt(np.bincount(example, weights=w * w))[example]
+        return cls(counts.size, counts.term, w, len(idf))
 
     def exact(self, at: np.ndarray, w: np.ndarray, examples: np.ndarray) -> np.ndarray:
         self.query[at] = w
-        ends = list(zip(self.own[examples].tolist(), self.own[examples + 1].tolist()))
-        near = self.query[np.concatenate([self.term[a:b] for a, b in ends])]
-        near *= np.concatenate([self.weight[a:b] for a, b in ends])
+        term, weight = self._of(examples)
+        near = self.query[term] * weight
         self.query[at] = 0
-        return np.add.reduceat(near, np.cumsum([0, *[b - a for a, b in ends[:-1]]]))
+        size = self.own[examples + 1] - self.own[examples]
+        return np.add.reduceat(near, np.cumsum(size) - size)
 
     def _open(self, cosine: np.ndarray, far: np.ndarray, wanted: np.ndarray) -> None:
         """Add what is kept inside the wanted blocks."""
         for b, inside in enumerate(self.inside):
             rows = np.flatnonzero(wanted[:, b])
             if len(rows) and len(inside):
-                cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows[:, None], inside] @ self.long[self.first[b]:self.first[b + 1]]
+                cosine[rows, b * BLOCK:(b + 1) * BLOCK] += far[rows[:, None], inside] @ self.long[b]
 
     @staticmethod
     def _least(cosine: np.ndarray, k: int) -> np.ndarray:
