@@ -8,9 +8,9 @@ from trajlake.functions.geometry import cell9, round_to
 from trajlake.plans import bindings as at
 from trajlake.plans.checks import score_predictions
 from trajlake.plans.file_queries import _name, write_logs
-from trajlake.plans.training_sets import labels_for_boxes, measured_labels, training_rows, write_labels, write_training_set
-from trajlake.session import cut_lineage, shared_folder
-from trajlake.sinks.training import write_npy, write_raw
+from trajlake.plans.training_sets import labels_for_boxes, measured_labels, training_rows, write_labels, write_sets, write_text, write_type_lines
+from trajlake.session import cut_lineage, shared_folder, stored, tidy
+from trajlake.sinks.training import QUANTITIES, write_npy, write_raw
 from trajlake.sources.matrix import read_npy, read_raw
 
 # electron volts in a kelvin (fixed value)
@@ -37,24 +37,15 @@ NPY_ROUND_TRIP = """SELECT label::BIGINT AS label, row_number() OVER (PARTITION
 
 
 def training_files(spark, sf_dir) -> DataFrame:
-    """Training sets written as array and text files: totals of every set (text: set -1) as read back."""
-    rows = at.atoms(spark, sf_dir, labels=True).withColumns({
-        "file": F.concat(F.lit("dump."), F.col("frame") % 50), "frame_idx": F.col("frame")})
-    boxes = rows.select("file", "frame_idx", "lx", "ly", "lz").distinct().select(
-        "file", "frame_idx", cell9(F.col("lx"), F.col("ly"), F.col("lz")).alias("cell"))
-    folder = shared_folder(rows)
-    write_training_set(training_rows(rows, boxes, 3), folder)
-    out = None
-    per_file = [F.count(F.lit(1)).alias("n"), F.sum(F.size("values")).alias("m"), F.sum(_total()).alias("s")]
-    for name in ("coord", "force", "atom_ener", "energy", "box"):
-        path = F.regexp_extract("file", PLACE, 1)
-        arrays = read_npy(spark, f"{folder}/*/*/*/set.*/{name}.npy").groupBy("file").agg(*per_file).select(
-            path.alias("sim_type"), *[F.regexp_extract("file", PLACE, i).cast("bigint").alias(c)
-                                      for i, c in ((2, "temp"), (3, "n_beads"), (4, "set_id"))], "n", "m", "s")
-        plain = F.url_decode("file")
-        texts = read_raw(spark, f"{folder}/{name}.raw/*/*/*").groupBy("file").agg(*per_file).select(
-            F.regexp_extract(plain, "sim_type=([^/]*)/", 1).alias("sim_type"), F.regexp_extract(plain, r"/temp=(\d+)/", 1).cast("bigint").alias("temp"),
-            F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"), "n", "m", "s")
+    """Training sets written as array and text files: totals of every set (text: set -1) as read back.
+
+    The files are scratch: each kind goes when its totals are stored, so that the whole set never lies on disk.
+    """
+    sets, out = stored(spark, lambda: _training_rows(spark, sf_dir)), None
+    with tidy(spark):
+        write_type_lines(sets, shared_folder(sets))
+    for name in QUANTITIES:
+        arrays, texts = (stored(spark, lambda: totals(sets, name)) for totals in (_set_totals, _text_totals))
         part = arrays.unionByName(texts).groupBy("sim_type", "temp", "n_beads", "set_id").agg(
             F.sum("n").alias("n_frames"), F.sum("m").alias("n_values"), round_to(F.sum("s"), 6).alias("total"))
         part = part.withColumn("quantity", F.lit(name))
@@ -62,6 +53,36 @@ def training_files(spark, sf_dir) -> DataFrame:
     return out
 
 
+def _training_rows(spark, sf_dir) -> DataFrame:
+    rows = at.atoms(spark, sf_dir, labels=True).withColumns({
+        "file": F.concat(F.lit("dump."), F.col("frame") % 50), "frame_idx": F.col("frame")})
+    boxes = rows.select("file", "frame_idx", "lx", "ly", "lz").distinct().select(
+        "file", "frame_idx", cell9(F.col("lx"), F.col("ly"), F.col("lz")).alias("cell"))
+    return training_rows(rows, boxes, 3)
+
+
+def _per_file(values: DataFrame) -> DataFrame:
+    return values.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("values")).alias("m"), F.sum(_total()).alias("s"))
+
+
+def _set_totals(sets: DataFrame, name: str) -> DataFrame:
+    folder = shared_folder(sets)
+    write_sets(sets, folder, [name])
+    path = F.regexp_extract("file", PLACE, 1)
+    return _per_file(read_npy(sets.sparkSession, f"{folder}/*/*/*/set.*/{name}.npy")).select(
+        path.alias("sim_type"), *[F.regexp_extract("file", PLACE, i).cast("bigint").alias(c)
+                                  for i, c in ((2, "temp"), (3, "n_beads"), (4, "set_id"))], "n", "m", "s")
+
+
+def _text_totals(sets: DataFrame, name: str) -> DataFrame:
+    folder = shared_folder(sets)
+    write_text(sets, folder, name)
+    plain = F.url_decode("file")
+    return _per_file(read_raw(sets.sparkSession, f"{folder}/{name}.raw/*/*/*")).select(
+        F.regexp_extract(plain, "sim_type=([^/]*)/", 1).alias("sim_type"), F.regexp_extract(plain, r"/temp=(\d+)/", 1).cast("bigint").alias("temp"),
+        F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"), "n", "m", "s")
+
+
 TRAINING_FILES = f"""WITH {at.ATOMS_SQL}, {at.LABELS_SQL},
 f AS (SELECT frame, count(*) AS n_beads, sum(c_pe) AS e, sum(x + y + z) AS c, sum(fx + fy + fz) AS g FROM atoms GROUP BY frame),
 s AS (SELECT f.*, sim_type, temp, ntile(3) OVER (PARTITION BY sim_type, temp, n_beads ORDER BY frame % 50, frame) - 1 AS set_id

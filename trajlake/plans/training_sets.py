@@ -3,13 +3,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.functions.metadata import natural_key
 from trajlake.operators import training as T
 from trajlake.operators.thermo import constant_labels, in_unit
-from trajlake.session import cut_lineage
+from trajlake.session import cut_lineage, tidy
 from trajlake.sinks import training as sink
 from trajlake.sources.lines import read_lines, with_line_no
 from trajlake.sources.thermo import read_thermo, temperature_series
@@ -32,6 +32,11 @@ def training_rows(beads: DataFrame, boxes: DataFrame, num_sets: int = 1, use_typ
     return T.coded(packed.drop(*labels).join(placed, FRAME))
 
 
+def _of_frame(name: str) -> Column | None:
+    """The values of a quantity that a frame has once, not for every bead."""
+    return F.array("total_energy") if name == "energy" else F.col("cell") if name == "box" else None
+
+
 def _in_chunk_order(name: str):
     parts = F.array_sort(F.collect_list(F.struct("chunk", name)))
     return F.flatten(F.transform(parts, lambda s: s[name])).alias(name)
@@ -39,28 +44,45 @@ def _in_chunk_order(name: str):
 
 def write_training_set(rows: DataFrame, path: str, raw: bool = True, npy: bool = True) -> None:
     """``.raw`` text folders and ``set.NNN/*.npy`` files per (sim, temp, bead count)."""
-    rows = cut_lineage(rows)
-    first = rows.where(F.col("chunk") == 0)
-    group = F.concat_ws("/", F.col("sim_type"), F.coalesce(F.col("temp").cast("string"), F.lit("ramp")),
-                        F.format_string("n%d", "n_beads"))
-    if raw:
+    with tidy(rows.sparkSession):
+        rows = cut_lineage(rows)
+        if raw:
+            for name in sink.QUANTITIES:
+                write_text(rows, path, name)
+            write_type_lines(rows, path)
+        if npy:
+            write_sets(rows, path, sink.QUANTITIES)
+
+
+def write_text(rows: DataFrame, path: str, name: str) -> None:
+    """One quantity of stored training rows as ``<name>.raw`` text."""
+    if (values := _of_frame(name)) is not None:
+        rows = rows.where(F.col("chunk") == 0).select(*GROUP, "frame_no", values.alias(name))
+    else:
         # a line holds a whole frame; chunks of giant frames are put back together here only
         cut = F.col("n") != F.col("n_beads")
-        for name in ("coord", "force", "atom_ener"):
-            whole = rows.where(~cut).select(*GROUP, "frame_no", name).unionByName(
-                rows.where(cut).groupBy(*GROUP, "frame_no").agg(_in_chunk_order(name)))
-            sink.write_raw(whole, f"{path}/{name}.raw", GROUP, ["frame_no"], name)
-        sink.write_raw(first.withColumn("v", F.array("total_energy")), f"{path}/energy.raw", GROUP, ["frame_no"], "v")
-        sink.write_raw(first, f"{path}/box.raw", GROUP, ["frame_no"], "cell")
+        rows = rows.where(~cut).select(*GROUP, "frame_no", name).unionByName(
+            rows.where(cut).groupBy(*GROUP, "frame_no").agg(_in_chunk_order(name)))
+    sink.write_raw(rows, f"{path}/{name}.raw", GROUP, ["frame_no"], name)
+
+
+def write_sets(rows: DataFrame, path: str, names: Sequence[str]) -> None:
+    """Some quantities of stored training rows as ``set.NNN/<name>.npy``, all from one sort."""
+    group = F.concat_ws("/", F.col("sim_type"), F.coalesce(F.col("temp").cast("string"), F.lit("ramp")),
+                        F.format_string("n%d", "n_beads"))
+
+    def values(name):
+        own = _of_frame(name)
+        return F.col(name) if own is None else F.when(F.col("chunk") == 0, own).otherwise(F.array().cast("array<double>"))
+
+    sink.write_arrays(rows, path, F.concat_ws("/", group, F.format_string("set.%03d", "set_id")), ["frame_no", "chunk"],
+                      {name: (values(name), name == "energy") for name in names}, ["frame_no"])
+
+
+def write_type_lines(rows: DataFrame, path: str) -> None:
+    """``type.raw`` and ``type_map.raw`` of stored training rows."""
+    with tidy(rows.sparkSession):
         sink.write_types(T.type_map(rows, GROUP, ["frame_no"]), path, GROUP)
-    if npy:
-        folder = F.concat_ws("/", group, F.format_string("set.%03d", "set_id"))
-        def once(values):  # of the frame, not of its chunks
-            return F.when(F.col("chunk") == 0, values).otherwise(F.array().cast("array<double>"))
-
-        sink.write_arrays(rows, path, folder, ["frame_no", "chunk"], {
-            **{name: (F.col(name), False) for name in ("coord", "force", "atom_ener")},
-            "energy": (once(F.array("total_energy")), True), "box": (once(F.col("cell")), False)}, ["frame_no"])
 
 
 def measured_labels(spark: SparkSession, logs: str | Sequence[str], unit: str = "eV") -> DataFrame:

@@ -5,6 +5,9 @@ import atexit
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +16,11 @@ from pyspark.sql import functions as F
 # Parquet, and Spark judges by the file what it may send whole through the driver
 COMPRESSION = "spark.sql.sources.fileCompressionFactor"
 FACTOR = 10.0
+# Spark else keeps the shuffle files of a finished write until the driver happens to collect its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _folders: dict[str, list[str]] = {}
+_block: ContextVar[list[str] | None] = ContextVar("_block", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -39,7 +45,8 @@ def shared_folder(df: DataFrame) -> str:
 
 def _fresh(spark: SparkSession, kind: str) -> str:
     path = f"{scratch_root(spark)}/{kind}-{uuid.uuid4().hex}"
-    _folders.setdefault(spark.sparkContext.applicationId, []).append(path)
+    own = _block.get()
+    (_folders.setdefault(spark.sparkContext.applicationId, []) if own is None else own).append(path)
     return path
 
 
@@ -59,8 +66,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Later steps read only the columns and rows they need, and a lost executor
     costs a re-read.  Columns without a type are put back as NULL.
     """
+    return _store(df, _fresh(df.sparkSession, "rows"))
+
+
+def stored(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``make`` returns, stored as by ``cut_lineage``; all that ``make`` itself stored is deleted."""
+    path = _fresh(spark, "rows")
+    with tidy(spark):
+        return _store(make(), path)
+
+
+def _store(df: DataFrame, path: str) -> DataFrame:
     void = [c for c, kind in df.dtypes if kind == "void"]
-    path = _fresh(df.sparkSession, "rows")
     guard_broadcasts(df.sparkSession)
     kept = df.drop(*void)
     kept.write.parquet(path)
@@ -78,10 +95,31 @@ def task_count(rows: DataFrame, n_bytes: Column, split: int) -> int:
     return max(math.ceil(total / split), rows.sparkSession.sparkContext.defaultParallelism)
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside is deleted at the end, and shuffle files after each write.
+
+    Nothing that reads the tables of the block may be used after it.
+    """
+    own: list[str] = []
+    token, before = _block.set(own), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        _block.reset(token)
+        spark.conf.set(CLEANUP, before)
+        _delete(spark, own)
+
+
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables of this session; call it when no result reads them any more."""
+    _delete(spark, _folders.pop(spark.sparkContext.applicationId, []))
+
+
+def _delete(spark: SparkSession, paths: Sequence[str]) -> None:
     sc = spark.sparkContext
-    for path in _folders.pop(sc.applicationId, []):
+    for path in paths:
         where = sc._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.session import cut_lineage, task_count
+from trajlake.session import cut_lineage, stored, task_count, tidy
 
 PARTS = "folder string, name string, part long, path string, head long, n_rows long, width long, flat boolean, bytes long"
 PARTS_SCHEMA = pa.schema([("folder", pa.string()), ("name", pa.string()), ("part", pa.int64()), ("path", pa.string()), ("head", pa.int64()), ("n_rows", pa.int64()),
@@ -56,9 +56,10 @@ def write_raw(rows: DataFrame, path: str, by: Sequence[str], order: Sequence[str
     A frame that was packed in several chunks must be one ``values`` array by
     now: the format has one line per frame.
     """
-    (rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
-     .select(*by, number_text(F.col(values), pattern).alias("value"))
-     .write.mode("overwrite").partitionBy(*by).text(path))
+    with tidy(rows.sparkSession):
+        (rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+         .select(*by, number_text(F.col(values), pattern).alias("value"))
+         .write.mode("overwrite").partitionBy(*by).text(path))
 
 
 def _open_fs(uri: str):
@@ -131,7 +132,10 @@ def _write_parts(root: str, scratch: str, names: Sequence[str]):
 
 
 def _join_parts(root: str):
-    """Put the parts of each file in order behind one head; a file of one part is only moved."""
+    """Put the parts of each file in order behind one head; a file of one part is only moved.
+
+    Parts go as soon as their file is in place, so few bytes exist twice.
+    """
 
     def run(batches):
         files, base = _open_fs(root)
@@ -142,21 +146,25 @@ def _join_parts(root: str):
                 if sum(int(p["bytes"]) for p in parts) != 8 * int(n) * int(width):
                     raise ValueError(f"parts of {target} do not add up")
                 files.create_dir(f"{base}/{folder}", recursive=True)
-                whole = f"{base}/{parts[0]['path']}"
-                if len(parts) > 1:
-                    whole = f"{whole}-{uuid.uuid4().hex}"
-                    with files.open_output_stream(whole) as sink:
-                        sink.write(_npy_head(_shape(n, width, flat)))
-                        for p in parts:
-                            with files.open_input_file(f"{base}/{p['path']}") as source:
-                                source.seek(int(p["head"]))
-                                while block := source.read(COPY_BYTES):
-                                    sink.write(block)
-                # a retry after the move finds its part gone and the file in place
-                elif files.get_file_info(whole).type == fs.FileType.NotFound and files.get_file_info(target).type == fs.FileType.File:
-                    whole = None
-                if whole is not None:
+                own = [f"{base}/{p['path']}" for p in parts]
+                there = [info.type == fs.FileType.File for info in files.get_file_info(own)]
+                # a retry after the move finds parts gone and the file in place
+                if all(there) or files.get_file_info(target).type != fs.FileType.File:
+                    whole = own[0]
+                    if len(parts) > 1:
+                        whole = f"{whole}-{uuid.uuid4().hex}"
+                        with files.open_output_stream(whole) as sink:
+                            sink.write(_npy_head(_shape(n, width, flat)))
+                            for p, path in zip(parts, own):
+                                with files.open_input_file(path) as source:
+                                    source.seek(int(p["head"]))
+                                    while block := source.read(COPY_BYTES):
+                                        sink.write(block)
                     files.move(whole, target)
+                if len(parts) > 1:
+                    for path, found in zip(own, there):
+                        if found:
+                            files.delete_file(path)
                 done.append({"file": f"{folder}/{name}.npy", "rows": int(n), "parts": len(parts)})
             yield pd.DataFrame(done, columns=["file", "rows", "parts"])
 
@@ -178,7 +186,7 @@ def write_arrays(rows: DataFrame, root: str, folder: Column, order: Sequence[str
     neither a set nor a frame (which may come in chunks, some of them without
     values of a name) is held in memory.  Heads are fixed before by counts.
     One task a file then copies its parts' bytes together, as the
-    format is one stream; a file of one part is moved.  Parts of lost or failed
+    format is one stream, and deletes them; a file of one part is moved.  Parts of lost or failed
     tasks are not listed and go with the scratch folder at the end.  Frames of
     different width in one file are an error; an empty table writes nothing.
     """
@@ -195,13 +203,17 @@ def write_arrays(rows: DataFrame, root: str, folder: Column, order: Sequence[str
         "folder", "n_rows", *[c for i, name in enumerate(names) for c in (
             f"width{i}", F.lit(arrays[name][1]).alias(f"flat{i}"), f"values{i}")])
     base, scratch = _qualified(rows, root), f".{names[0]}-{uuid.uuid4().hex}"
-    try:
+
+    def files() -> DataFrame:
         parts = cut_lineage(ready.mapInArrow(_write_parts(base, scratch, names), PARTS))
         tasks = task_count(parts, F.sum("bytes"), COPY_BYTES)
         # as many parts a file as there are partitions, at most
-        files = parts.groupBy("folder", "name", "n_rows", "width", "flat").agg(
+        whole = parts.groupBy("folder", "name", "n_rows", "width", "flat").agg(
             F.array_sort(F.collect_list(F.struct("part", "path", "head", "bytes"))).alias("parts"))
-        return cut_lineage(files.repartition(tasks, "folder", "name").mapInPandas(_join_parts(base), "file string, rows long, parts long"))
+        return whole.repartition(tasks, "folder", "name").mapInPandas(_join_parts(base), "file string, rows long, parts long")
+
+    try:
+        return stored(spark, files)
     finally:
         where = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{scratch}")
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
