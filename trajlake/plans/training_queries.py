@@ -1,6 +1,9 @@
 """Registered queries on training files: sets, labels and predictions are written and read back."""
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from trajlake.sources.matrix import read_npy, read_raw
 
 # electron volts in a kelvin (fixed value)
 EV = "8.617333262e-5"
-PLACE = r"/([^/]+)/([^/]+)/n(\d+)/set\.(\d+)/[^/]*$"
+PLACE = r"/([^/]+)/([^/]+)/n(\d+)/set\.(\d+)/([^/]*)\.npy$"
 
 
 def _total(values: str = "values"):
@@ -36,21 +39,24 @@ NPY_ROUND_TRIP = """SELECT label::BIGINT AS label, row_number() OVER (PARTITION
   embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last, round(list_sum(embedding::DOUBLE[]), 6) AS total FROM embeddings"""
 
 
+# quantities whose array files lie on disk together: those of one sort, about half of all values each
+TOGETHER = (("coord", "energy", "box"), ("force", "atom_ener"))
+
+
 def training_files(spark, sf_dir) -> DataFrame:
     """Training sets written as array and text files: totals of every set (text: set -1) as read back.
 
     The files are scratch: each kind goes when its totals are stored, so that the whole set never lies on disk.
     """
-    sets, out = stored(spark, lambda: _training_rows(spark, sf_dir)), None
+    sets = stored(spark, lambda: _training_rows(spark, sf_dir))
     with tidy(spark):
         write_type_lines(sets, shared_folder(sets))
-    for name in QUANTITIES:
-        arrays, texts = (stored(spark, lambda: totals(sets, name)) for totals in (_set_totals, _text_totals))
-        part = arrays.unionByName(texts).groupBy("sim_type", "temp", "n_beads", "set_id").agg(
-            F.sum("n").alias("n_frames"), F.sum("m").alias("n_values"), round_to(F.sum("s"), 6).alias("total"))
-        part = part.withColumn("quantity", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out
+    totals = [stored(spark, lambda: _set_totals(sets, names)) for names in TOGETHER]
+    totals += [stored(spark, lambda: _text_totals(sets, name)) for name in QUANTITIES]
+    # a text folder may hold several part files
+    return reduce(DataFrame.unionByName, totals).groupBy("sim_type", "temp", "n_beads", "set_id", "quantity").agg(
+        F.sum("n").alias("n_frames"), F.sum("m").alias("n_values"), round_to(F.sum("s"), 6).alias("total")).select(
+        "sim_type", "temp", "n_beads", "set_id", "n_frames", "n_values", "total", "quantity")
 
 
 def _training_rows(spark, sf_dir) -> DataFrame:
@@ -65,13 +71,13 @@ def _per_file(values: DataFrame) -> DataFrame:
     return values.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("values")).alias("m"), F.sum(_total()).alias("s"))
 
 
-def _set_totals(sets: DataFrame, name: str) -> DataFrame:
+def _set_totals(sets: DataFrame, names: Sequence[str]) -> DataFrame:
     folder = shared_folder(sets)
-    write_sets(sets, folder, [name])
-    path = F.regexp_extract("file", PLACE, 1)
-    return _per_file(read_npy(sets.sparkSession, f"{folder}/*/*/*/set.*/{name}.npy")).select(
-        path.alias("sim_type"), *[F.regexp_extract("file", PLACE, i).cast("bigint").alias(c)
-                                  for i, c in ((2, "temp"), (3, "n_beads"), (4, "set_id"))], "n", "m", "s")
+    write_sets(sets, folder, names)
+    place = [F.regexp_extract("file", PLACE, i) for i in range(1, 6)]
+    return _per_file(read_npy(sets.sparkSession, [f"{folder}/*/*/*/set.*/{name}.npy" for name in names])).select(
+        place[0].alias("sim_type"), *[p.cast("bigint").alias(c) for p, c in zip(place[1:4], ("temp", "n_beads", "set_id"))],
+        place[4].alias("quantity"), "n", "m", "s")
 
 
 def _text_totals(sets: DataFrame, name: str) -> DataFrame:
@@ -80,7 +86,8 @@ def _text_totals(sets: DataFrame, name: str) -> DataFrame:
     plain = F.url_decode("file")
     return _per_file(read_raw(sets.sparkSession, f"{folder}/{name}.raw/*/*/*")).select(
         F.regexp_extract(plain, "sim_type=([^/]*)/", 1).alias("sim_type"), F.regexp_extract(plain, r"/temp=(\d+)/", 1).cast("bigint").alias("temp"),
-        F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"), "n", "m", "s")
+        F.regexp_extract(plain, r"/n_beads=(\d+)/", 1).cast("bigint").alias("n_beads"), F.lit(-1).cast("bigint").alias("set_id"),
+        F.lit(name).alias("quantity"), "n", "m", "s")
 
 
 TRAINING_FILES = f"""WITH {at.ATOMS_SQL}, {at.LABELS_SQL},
